@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.llm.common import map_batches
+from tidewell.session import materialise
 
 #: Words per window, and bytes of benchmark text up to which its windows are broadcast.
 WINDOW, MAX_BROADCAST = 10, 4 << 20
@@ -128,6 +129,12 @@ def _words(text: Column) -> Column:
     return F.filter(parts, lambda x: x != "")
 
 
+def _windows_of(length: int) -> Column:
+    """All runs of ``length`` words of ``w``: (at, length, window)."""
+    starts = F.when(F.size("w") >= length, F.sequence(F.lit(1), F.size("w") - length + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(length).alias("length"), F.array_join(F.slice("w", i, length), " ").alias("window")))
+
+
 def _scan_shuffled(docs: DataFrame, items: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """The same by joins: document windows meet distinct benchmark windows, each by its words."""
     spread = items.select("item", _words(F.col("text")).alias("w")).filter(F.size("w") > 0)
@@ -135,10 +142,8 @@ def _scan_shuffled(docs: DataFrame, items: DataFrame, n: int, id_col: str, text_
     spread = spread.withColumn("length", F.size(F.split("window", " ")))
     lengths = [r[0] for r in spread.select("length").distinct().collect()]  # n values at most
     rows = docs.select(F.col(id_col), F.monotonically_increasing_id().alias("row"), _words(F.col(text_col)).alias("w"))
-    from tidewell.session import materialise
-
     rows = materialise(rows, "decontam-words")
-    at = [F.transform(F.when(F.size("w") >= k, F.sequence(F.lit(1), F.size("w") - k + 1)).otherwise(F.array().cast("array<int>")), lambda i, k=k: F.struct(i.alias("at"), F.lit(k).alias("length"), F.array_join(F.slice("w", i, k), " ").alias("window"))) for k in lengths]
+    at = [_windows_of(k) for k in lengths]
     empty = F.array().cast("array<struct<at:int,length:int,window:string>>")
     hits = rows.select("row", F.explode(F.concat(empty, *at)).alias("x")).select("row", "x.*")
     hits = hits.join(spread.select("window").distinct(), "window")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewell.llm import bpe
+from tidewell.llm import bpe, decontam, toxicity
+from tidewell.llm.common import fold
 from tidewell.sources.tables import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -16,5 +18,40 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_byte_bpe": op1_byte_bpe}
-ORACLES: dict[str, str] = {}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontam.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of four folds in five."""
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {"op1_byte_bpe": op1_byte_bpe, "op8_decontamination": op8_decontamination, "op10_toxicity": op10_toxicity}
+
+ORACLES: dict[str, str] = {
+    "op8_decontamination": r"""
+        WITH low AS (SELECT doc_id, row_number() OVER () AS rid,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+            items AS (SELECT item_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+            spread AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0),
+            windows AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 9), ' ') AS win, len(list_slice(w, i, i + 9)) AS n FROM spread),
+            sizes AS (SELECT DISTINCT n FROM windows),
+            starts AS (SELECT rid, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM low, sizes WHERE len(w) >= n),
+            hits AS (SELECT DISTINCT a.rid, a.i, a.n, a.win FROM (SELECT rid, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win FROM starts) a
+                SEMI JOIN windows x ON a.win = x.win),
+            covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hits) GROUP BY rid),
+            owners AS (SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+                FROM hits JOIN windows USING (win) GROUP BY rid)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM low LEFT JOIN covered USING (rid) LEFT JOIN owners USING (rid)""",
+}

@@ -2,11 +2,12 @@
 
 Confirmed toxic documents (P) and documents of any kind (U) train a logistic model whose risk is corrected by the
 share ``prior`` of toxic documents:  ``prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)])``. Where the second
-term of a batch falls below zero its gradient is turned round, as the non-negative estimator asks.
+term falls below zero its gradient is turned round, as the non-negative estimator asks. Last, the bias is moved so
+that the share of U above one half is the prior.
 
 A text's features are the presence of hashed words and of hashed word beginnings, so inflected and compound forms
-share weight with their stems. Features that fewer than ``MIN_POSITIVE`` toxic training documents have weigh
-nothing, which keeps long clean texts from collecting weight by chance.
+share weight with their stems. Only features that stand out in P against U weigh anything (``MIN_POSITIVE``
+documents of P and ``MIN_LIFT`` standard deviations), which keeps long clean texts from collecting weight by chance.
 
 The fit takes a bounded sample (``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents, those whose ids hash lowest); the
 prior is counted over all labelled training rows. Scoring covers every whole text.
@@ -25,8 +26,8 @@ from pyspark.sql import types as T
 
 from tidewell.llm.common import fold, map_batches
 
-#: Hash space of the features; documents that the fit takes; toxic documents a feature needs; lengths (bytes) of beginnings.
-BITS, MAX_POSITIVE, MAX_UNLABELLED, MIN_POSITIVE, BEGINNINGS = 18, 3000, 6000, 3, (5, 6, 7, 8, 9)
+#: Hash space of the features; documents that the fit takes; toxic documents and standard deviations that a feature needs; lengths (bytes) of beginnings.
+BITS, MAX_POSITIVE, MAX_UNLABELLED, MIN_POSITIVE, MIN_LIFT, BEGINNINGS = 18, 3000, 6000, 5, 8.0, (5, 6, 7, 8, 9)
 #: Bytes of a word that its hash takes; longer words with the same start are one word.
 REACH = 16
 _WORD = np.array([48 <= c <= 57 or 97 <= c <= 122 or c >= 128 for c in range(256)])
@@ -35,6 +36,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features of each text as (offsets, indices), whole texts at a time, vectorised."""
+    if not texts:
+        return np.zeros(1, np.int64), np.zeros(0, np.int32)
     raws = [x.lower().encode() if x else b"" for x in texts]
     ends = np.cumsum([len(r) + 1 for r in raws])
     data = np.frombuffer(b" ".join(raws) + b" " * (REACH + 1), np.uint8)
@@ -62,48 +65,42 @@ def _sums(weights: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> np.nda
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, epochs: int = 40, rate: float = 0.02, decay: float = 1e-4, batches: int = 12, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights and bias of the logistic model under the non-negative PU risk (Adam, batches of P and of U)."""
-    seen = np.zeros(1 << BITS, np.int64)
-    for x in positive:
-        seen[x] += 1
-    used = np.flatnonzero(seen >= min(MIN_POSITIVE, max(1, len(positive) // 2)))
+def _pack(rows: list[np.ndarray], slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features in use of each row, as (offsets, indices)."""
+    kept = [y[y >= 0] for y in (slot[x] for x in rows)]
+    return np.concatenate(([0], np.cumsum([len(x) for x in kept]))), np.concatenate(kept)
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.05, decay: float = 5e-5) -> tuple[np.ndarray, float]:
+    """Weights and bias of the logistic model under the non-negative PU risk; Adam over the whole sample."""
+    seen = [np.bincount(np.concatenate(x), minlength=1 << BITS) for x in (positive, unlabelled)]
+    share = (seen[1] + 0.5) / (len(unlabelled) + 1)
+    lift = (seen[0] - len(positive) * share) / np.sqrt(len(positive) * share * (1 - share))
+    used = np.flatnonzero((seen[0] >= min(MIN_POSITIVE, max(1, len(positive) // 2))) & (lift >= min(MIN_LIFT, len(positive) ** 0.5 / 2)))
     slot = np.full(1 << BITS, -1, np.int64)
     slot[used] = np.arange(used.size)
-    pack = lambda xs: [y[y >= 0] for y in (slot[x] for x in xs)]
-    sets, rng = (pack(positive), pack(unlabelled)), np.random.default_rng(seed)
-    w, b = np.zeros(used.size + 1), 0
-    w[-1] = np.log(prior / (1 - prior))
-    m, v, t = np.zeros_like(w), np.zeros_like(w), 0
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-    for _ in range(epochs):
-        order = [np.array_split(rng.permutation(len(s)), batches) for s in sets]
-        for b in range(batches):
-            rows = [[s[i] for i in o[b]] for s, o in zip(sets, order)]
-            if not rows[0] or not rows[1]:
-                continue
-            grad, z = [], []
-            for group in rows:
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in group])))
-                z.append((offsets, np.concatenate(group), group))
-            (zp, zu) = (w[-1] + _sums(w, o, i) for o, i, _ in z)
-            soft = lambda x: np.logaddexp(0, x)
-            negative = soft(zu).mean() - prior * soft(zp).mean()
-            if negative >= 0:
-                dp, du = (prior * (sigmoid(zp) - 1) - prior * sigmoid(zp)) / len(zp), sigmoid(zu) / len(zu)
-            else:
-                dp, du = prior * sigmoid(zp) / len(zp), -sigmoid(zu) / len(zu)
-            g = np.zeros_like(w)
-            for (offsets, index, _), d in zip(z, (dp, du)):
-                g[:-1] += np.bincount(index, np.repeat(d, np.diff(offsets)), used.size) if index.size else 0
-                g[-1] += d.sum()
-            t += 1
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            w -= rate * (m / (1 - 0.9**t) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8))
-            w[:-1] *= 1 - rate * decay * 100
+    (p_at, p_index), (u_at, u_index) = _pack(positive, slot), _pack(unlabelled, slot)
+    w, bias = np.zeros(used.size), np.log(prior / (1 - prior))
+    m, v = np.zeros(used.size + 1), np.zeros(used.size + 1)
+    for t in range(1, steps + 1):
+        zp, zu = bias + _sums(w, p_at, p_index), bias + _sums(w, u_at, u_index)
+        if np.logaddexp(0, zu).mean() >= prior * np.logaddexp(0, zp).mean():
+            dp, du = np.full(zp.size, -prior / zp.size), _sigmoid(zu) / zu.size
+        else:
+            dp, du = prior * _sigmoid(zp) / zp.size, -_sigmoid(zu) / zu.size
+        grad = [np.bincount(i, np.repeat(d, np.diff(o)), used.size) for o, i, d in ((p_at, p_index, dp), (u_at, u_index, du))]
+        grad = np.append(sum(grad)[: used.size], dp.sum() + du.sum())
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
+        step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        w, bias = (w - step[:-1]) * (1 - rate * decay * 100), bias - step[-1]
+    cut = max(np.quantile(_sums(w, u_at, u_index), 1 - prior), 1e-3)
     full = np.zeros(1 << BITS, np.float32)
-    full[used] = w[:-1]
-    return full, float(w[-1])
+    full[used] = w
+    return full, float(-cut)
 
 
 def _sample(docs: DataFrame, limit: int) -> list[np.ndarray]:
@@ -148,7 +145,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float] | None, id_col: str =
                 return [columns[0], [0.0] * len(columns[0])]
             weights, bias = shared.value
             z = bias + _sums(weights, *features(columns[1]))
-            return [columns[0], (1 / (1 + np.exp(-np.clip(z, -40, 40)))).tolist()]
+            return [columns[0], _sigmoid(z).tolist()]
 
         return step
 
