@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, decontam, toxicity
+from tidewell.llm import bpe, decontam, linededup, simhash, toxicity
 from tidewell.llm.common import fold
 from tidewell.sources.tables import read_table
 
@@ -18,6 +18,18 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later occurrences of three-line windows."""
+    found = linededup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", F.col("n_lines_").alias("n_lines"), F.col("n_removed_").alias("n_removed"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontam.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -34,9 +46,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_byte_bpe": op1_byte_bpe, "op8_decontamination": op8_decontamination, "op10_toxicity": op10_toxicity}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_simhash, op5_line_dedup, op8_decontamination, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
+    "op5_line_dedup": r"""
+        WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS x FROM documents),
+            p AS (SELECT doc_id, x, unnest(range(1, len(x) - 1)) AS i FROM l WHERE len(x) >= 3),
+            w AS (SELECT doc_id, i, x[i] AS a, x[i + 1] AS b, x[i + 2] AS c FROM p),
+            later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS k
+                FROM w WHERE trim(a) <> '' OR trim(b) <> '' OR trim(c) <> '') WHERE k > 1),
+            gone AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS p FROM later),
+            lines AS (SELECT doc_id, unnest(x) AS line, unnest(range(1, len(x) + 1)) AS p FROM l),
+            kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS text, count(*) AS n FROM lines ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT l.doc_id, CASE WHEN l.text IS NOT NULL THEN coalesce(k.text, '') END AS text, CAST(coalesce(len(x), 0) AS BIGINT) AS n_lines,
+            CAST(coalesce(len(x), 0) - coalesce(k.n, 0) AS BIGINT) AS n_removed
+        FROM l LEFT JOIN kept k ON l.doc_id = k.doc_id""",
     "op8_decontamination": r"""
         WITH low AS (SELECT doc_id, row_number() OVER () AS rid,
                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
