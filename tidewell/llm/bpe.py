@@ -133,24 +133,26 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
     return map_batches(encoded.select(id_col, ids_col), make, schema)
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Encode and decode each text: ``id_col``, ``n_tokens``, ``ids_sha256`` (ids as little-endian unsigned 32-bit
-    integers), ``decoded_sha256``. One pass; ids and bytes don't leave the worker."""
+    integers), ``decoded_sha256``, and ``ids`` if asked for. One pass; the decoded bytes don't leave the worker."""
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def make():
         codec = Codec.cached(ranks.value, pattern)
 
         def step(columns):
-            n, ids_sha, decoded_sha = [], [], []
+            n, ids_sha, decoded_sha, kept = [], [], [], []
             for text in columns[1]:
                 ids = codec.encode(text or "")
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 decoded_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-            return [columns[0], n, ids_sha, decoded_sha]
+                if with_ids:
+                    kept.append(ids.astype(np.int32))
+            return [columns[0], n, ids_sha, decoded_sha, *[kept] * with_ids]
 
         return step
 
-    schema = T.StructType([docs.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+    schema = T.StructType([docs.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()), *[T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids])
     return map_batches(docs.select(F.col(id_col), F.col(text_col).cast("string")), make, schema)

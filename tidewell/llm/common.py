@@ -44,6 +44,23 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[list[list]], list[li
     return df.mapInArrow(run, schema)
 
 
+def keep_where(df: DataFrame, column: str, make: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows, all their columns, for which a function of one column is true; no join, no shuffle.
+
+    ``make()`` runs once per task and returns a function from a list of values to a list of booleans.
+    """
+    bound_batches(df.sparkSession)
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = make()
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def fold(doc_id: Column | str, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``; 0 marks the held-out rows, null ids fall in fold 0."""
     return F.coalesce(F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % folds, F.lit(0))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import map_batches
+from tidewell.llm.common import keep_where, map_batches
 from tidewell.session import materialise
 
 #: Words per window, and bytes of benchmark text up to which its windows are broadcast.
@@ -107,12 +107,18 @@ def _schema(docs: DataFrame, id_col: str) -> T.StructType:
     return T.StructType([docs.schema[id_col], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", SPANS)])
 
 
+def _measured(benchmark: DataFrame, item_col: str, text_col: str, bound: int) -> tuple[DataFrame, bool]:
+    """The items as (item, text), and whether their texts are small enough to broadcast."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + F.count(F.lit(1))).first()[0]
+    return items, size <= bound
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """``id_col``, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings), ``spans`` (UTF-8 byte offsets of the
     runs of hit words; null on the shuffled way, which keeps word positions only), one row per document."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + F.count(F.lit(1))).first()[0]
-    if size > max_broadcast:
+    items, small = _measured(benchmark, item_col, item_text_col, max_broadcast)
+    if not small:
         return _scan_shuffled(docs, items, n, id_col, text_col)
     windows = docs.sparkSession.sparkContext.broadcast(WindowSet([tuple(r) for r in items.collect()], n))
 
@@ -154,10 +160,19 @@ def _scan_shuffled(docs: DataFrame, items: DataFrame, n: int, id_col: str, text_
     return out.select(id_col, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.lit(None).cast(SPANS).alias("spans"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Documents without a hit, all their columns; ids are unique, rows of null id are scanned in vain and stay."""
-    hit = scan(docs, benchmark, id_col=id_col, text_col=text_col, **options).filter("n_hit > 0").select(id_col)
-    return docs.join(hit, id_col, "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """Documents without a hit, all their columns. On the shuffled way documents go by id, so rows of null id stay."""
+    items, small = _measured(benchmark, item_col, item_text_col, max_broadcast)
+    if not small:
+        hit = _scan_shuffled(docs, items, n, id_col, text_col).filter("n_hit > 0").select(id_col)
+        return docs.join(hit, id_col, "left_anti")
+    windows = docs.sparkSession.sparkContext.broadcast(WindowSet([tuple(r) for r in items.collect()], n))
+
+    def make():
+        own = windows.value
+        return lambda texts: [own.scan(x)[1] == 0 for x in texts]
+
+    return keep_where(docs, text_col, make)
 
 
 def cut_spans(text: str, spans: list) -> str:

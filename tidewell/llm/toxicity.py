@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import fold, map_batches
+from tidewell.llm.common import fold, keep_where, map_batches
 
 #: Hash space of the features; documents that the fit takes; toxic documents and standard deviations that a feature needs; lengths (bytes) of beginnings.
 BITS, MAX_POSITIVE, MAX_UNLABELLED, MIN_POSITIVE, MIN_LIFT, BEGINNINGS = 18, 3000, 6000, 5, 8.0, (5, 6, 7, 8, 9)
@@ -135,19 +135,27 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit_nnpu(positive, unlabelled, min(0.9, max(0.001, toxic / n)))
 
 
+def scores(texts: list[str | None], model: tuple[np.ndarray, float] | None) -> np.ndarray:
+    """Score of each text, 0 to 1."""
+    return np.zeros(len(texts)) if model is None else _sigmoid(model[1] + _sums(model[0], *features(texts)))
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``score double``; the weights (2**BITS floats, 1 MB) are broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        def step(columns):
-            if shared.value is None:
-                return [columns[0], [0.0] * len(columns[0])]
-            weights, bias = shared.value
-            z = bias + _sums(weights, *features(columns[1]))
-            return [columns[0], _sigmoid(z).tolist()]
-
-        return step
+        return lambda c: [c[0], scores(c[1], shared.value).tolist()]
 
     schema = T.StructType([docs.schema[id_col], T.StructField("score", T.DoubleType())])
     return map_batches(docs.select(F.col(id_col), F.col(text_col).cast("string")), make, schema)
+
+
+def drop_toxic(docs: DataFrame, model: tuple[np.ndarray, float] | None, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The documents that score below ``threshold``, all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        return lambda texts: (scores(texts, shared.value) < threshold).tolist()
+
+    return keep_where(docs, text_col, make)
