@@ -64,3 +64,13 @@ def keep_where(df: DataFrame, column: str, make: Callable[[], Callable[[list], l
 def fold(doc_id: Column | str, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``; 0 marks the held-out rows, null ids fall in fold 0."""
     return F.coalesce(F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % folds, F.lit(0))
+
+
+def lowest_hashes(df: DataFrame, id_col: str, limit: int) -> DataFrame:
+    """The rows whose ids hash lowest, about ``limit`` of them: a bounded, repeatable sample of whole rows.
+
+    Only hashes are ordered (``limit`` per task); the rows are then filtered by the largest hash that is kept.
+    """
+    h = F.xxhash64(id_col)
+    at = df.select(h.alias("h")).orderBy("h").limit(limit).agg(F.max("h")).first()[0]
+    return df.limit(0) if at is None else df.filter(h <= at)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, decontam, linededup, simhash, toxicity
+from tidewell.llm import bpe, decontam, langid, linededup, simhash, toxicity
 from tidewell.llm.common import fold
 from tidewell.sources.tables import read_table
 
@@ -24,6 +24,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four folds in five."""
+    docs = read_table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs)).select("doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later occurrences of three-line windows."""
     found = linededup.dedup_lines(read_table(spark, sf_dir, "documents"))
@@ -46,7 +52,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_simhash, op5_line_dedup, op8_decontamination, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_simhash, op4_language_id, op5_line_dedup, op8_decontamination, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op5_line_dedup": r"""

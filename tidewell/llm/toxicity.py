@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import fold, keep_where, map_batches
+from tidewell.llm.common import fold, keep_where, lowest_hashes, map_batches
 
 #: Hash space of the features; documents that the fit takes; toxic documents and standard deviations that a feature needs; lengths (bytes) of beginnings.
 BITS, MAX_POSITIVE, MAX_UNLABELLED, MIN_POSITIVE, MIN_LIFT, BEGINNINGS = 18, 3000, 6000, 5, 8.0, (5, 6, 7, 8, 9)
@@ -104,10 +104,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
 
 
 def _sample(docs: DataFrame, limit: int) -> list[np.ndarray]:
-    """Features of the ``limit`` documents whose ids hash lowest: a threshold first, so that no text is sorted."""
-    at = docs.select(F.xxhash64("id").alias("h")).orderBy("h").limit(limit).agg(F.max("h")).first()[0]
-    if at is None:
-        return []
+    """Features of the ``limit`` documents whose ids hash lowest."""
 
     def make():
         def step(columns):
@@ -117,7 +114,7 @@ def _sample(docs: DataFrame, limit: int) -> list[np.ndarray]:
         return step
 
     schema = T.StructType([T.StructField("f", T.ArrayType(T.IntegerType()))])
-    rows = map_batches(docs.filter(F.xxhash64("id") <= at).select("text"), make, schema).toLocalIterator()
+    rows = map_batches(lowest_hashes(docs, "id", limit).select("text"), make, schema).toLocalIterator()
     return [np.asarray(r[0], np.int64) for _, r in zip(range(2 * limit), rows)]
 
 
