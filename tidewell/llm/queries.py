@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, decontam, langid, linededup, simhash, toxicity
+from tidewell.llm import ann, bpe, decontam, langid, linededup, simhash, toxicity
 from tidewell.llm.common import fold
 from tidewell.sources.tables import read_table
 
@@ -45,6 +45,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every hundredth vector among all others."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels of four folds in five."""
     docs = read_table(spark, sf_dir, "documents")
@@ -52,7 +58,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_simhash, op4_language_id, op5_line_dedup, op8_decontamination, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_simhash, op4_language_id, op5_line_dedup, op8_decontamination, op9_nearest_neighbours, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op5_line_dedup": r"""
