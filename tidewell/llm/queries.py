@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import ann, bpe, decontam, langid, linededup, simhash, toxicity
+from tidewell.llm import ann, bpe, decontam, langid, linededup, simhash, substrdedup, tokencounts, toxicity, urlfilter
 from tidewell.llm.common import fold
 from tidewell.sources.tables import read_table
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -18,6 +19,26 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dated list by rule: a third of the hosts come, go and come again; some paths and a domain are listed too."""
+    hosts = read_table(spark, sf_dir, "pages").select(urlfilter.host_of(F.col("url")).alias("h")).dropna().distinct()
+    n = F.pmod(F.length("h") * 37 + F.ascii("h"), F.lit(90))
+    day = lambda k: F.expr("timestamp'2024-01-01 00:00:00'") + F.make_dt_interval(days=(n + k).cast("int"))
+    entry = lambda kind, key, action, since: F.struct(F.lit(kind).alias("kind"), key.alias("key"), F.lit(action).alias("action"), since.alias("since"))
+    third = F.filter(F.array(entry("host", F.col("h"), "add", day(0)), entry("host", F.col("h"), "remove", day(60)), entry("host", F.col("h"), "add", day(120))), lambda _: F.pmod(F.length("h") + F.ascii("h"), F.lit(3)) == 0)
+    paths = F.filter(F.array(entry("path", F.concat("h", F.lit("/en")), "add", F.expr("timestamp'2024-04-01 00:00:00'"))), lambda _: F.pmod(F.length("h"), F.lit(5)) == 0)
+    fixed = "VALUES ('host', 'example.org', 'add', timestamp'2024-06-01'), ('host', 'example.org', 'remove', timestamp'2024-07-01'), ('host', 'spam-farm.example.org', 'add', timestamp'2024-02-01') AS t(kind, key, action, since)"
+    return hosts.select(F.inline(F.concat(third, paths))).union(spark.sql(f"SELECT * FROM {fixed}"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the list entries active when it was fetched (a time by rule from the id)."""
+    pages = read_table(spark, sf_dir, "pages")
+    at = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(cast(page_id * 37 % 366 as int), cast(page_id % 24 as int))")
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return urlfilter.evaluate(pages.withColumn("fetched", at), url_list(spark, sf_dir)).select("page_id", "url", text("fetched"), "blocked", "kind", "key", text("since"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -36,6 +57,16 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.col("n_lines_").alias("n_lines"), F.col("n_removed_").alias("n_removed"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages that occur earlier; spans in characters of the original."""
+    return substrdedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every document."""
+    return tokencounts.count_tokens(read_table(spark, sf_dir, "documents"), PIECES)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontam.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -58,9 +89,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_simhash, op4_language_id, op5_line_dedup, op8_decontamination, op9_nearest_neighbours, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_url_filter, op3_simhash, op4_language_id, op5_line_dedup, op6_substring_dedup, op7_token_counts, op8_decontamination, op9_nearest_neighbours, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
+    "op2_url_filter": r"""
+        WITH u AS (SELECT page_id, url, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(page_id * 37 % 366 AS INTEGER)) + to_hours(CAST(page_id % 24 AS INTEGER)) AS fetched,
+                nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.+$', ''), '') AS h,
+                list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS seg FROM pages),
+            hosts AS (SELECT DISTINCT h, (length(h) * 37 + ascii(h)) % 90 AS n FROM u WHERE h IS NOT NULL),
+            entries AS (
+                SELECT 'host' AS kind, h AS key, a AS action, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(n + k AS INTEGER)) AS since
+                    FROM hosts, (VALUES ('add', 0), ('remove', 60), ('add', 120)) v(a, k) WHERE (length(h) + ascii(h)) % 3 = 0
+                UNION ALL SELECT 'path', h || '/en', 'add', TIMESTAMP '2024-04-01 00:00:00' FROM hosts WHERE length(h) % 5 = 0
+                UNION ALL VALUES ('host', 'example.org', 'add', TIMESTAMP '2024-06-01 00:00:00'), ('host', 'example.org', 'remove', TIMESTAMP '2024-07-01 00:00:00'), ('host', 'spam-farm.example.org', 'add', TIMESTAMP '2024-02-01 00:00:00')),
+            spans AS (SELECT kind, key, action, since, lead(since) OVER (PARTITION BY kind, key ORDER BY since, action) AS until FROM (SELECT DISTINCT * FROM entries)),
+            met AS (SELECT u.page_id, s.kind, s.key, s.since, row_number() OVER (PARTITION BY u.page_id ORDER BY s.kind DESC, length(s.key) DESC) AS k
+                FROM u JOIN spans s ON s.action = 'add' AND u.fetched >= s.since AND (s.until IS NULL OR u.fetched < s.until)
+                    AND ((s.kind = 'host' AND (u.h = s.key OR ends_with(u.h, '.' || s.key)))
+                      OR (s.kind = 'path' AND starts_with(u.h || '/' || array_to_string(u.seg, '/') || '/', s.key || '/'))))
+        SELECT page_id, url, strftime(fetched, '%Y-%m-%d %H:%M:%S') AS fetched, m.key IS NOT NULL AS blocked, m.kind AS kind, m.key AS key, strftime(m.since, '%Y-%m-%d %H:%M:%S') AS since
+        FROM u LEFT JOIN (SELECT * FROM met WHERE k = 1) m USING (page_id)""",
     "op5_line_dedup": r"""
         WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS x FROM documents),
             p AS (SELECT doc_id, x, unnest(range(1, len(x) - 1)) AS i FROM l WHERE len(x) >= 3),
