@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from tests.llm.oracle import same
+from tests.oracle import same
 from tidewell.llm import decontam, queries
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")

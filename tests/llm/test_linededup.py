@@ -1,6 +1,6 @@
 import pytest
 
-from tests.llm.oracle import same
+from tests.oracle import same
 from tidewell.llm import linededup, queries
 
 

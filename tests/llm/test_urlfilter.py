@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from tests.llm.oracle import same
+from tests.oracle import same
 from tidewell.llm import queries, urlfilter
 
 ENTRIES = [

@@ -12,9 +12,6 @@ blocks of the bits themselves), and where that is crowded, to 13 of 16 blocks, w
 by construction. No link is lost. Within a cell only the edges of a spanning forest are emitted, since components are
 asked for, and exact copies are one fingerprint from the start.
 
-Components: each node takes its least neighbour as parent, the graph is contracted along the parents until no edge
-is left, and labels are the composed parents. All of it is joins and aggregations.
-
 Edge cases: null and empty texts and texts without words have fingerprint 0, which links as any other; repeated rows
 give repeated results; a null id never becomes a component's id unless all its ids are null; other columns are
 ignored; an empty table gives an empty one.
@@ -31,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.llm.common import bound_batches, map_batches
-from tidewell.session import discard, materialise
+from tidewell.operators.graph import components
+from tidewell.session import materialise
 
 #: Words of a shingle, seed of their hash, differing bits of a link, and distinct fingerprints a cell may pair.
 SHINGLE, SEED, DISTANCE, HOT = 3, 42, 3, 512
@@ -137,28 +135,6 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
     return out.distinct() if len(found) > 1 else out
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node``, ``label`` (least node of its component) of every node that has an edge ``u < v``."""
-    edges, parents = materialise(edges, "components-edges"), []
-    while not edges.isEmpty():
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        parent = materialise(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("up")), "components-parents")
-        parents.append(parent)
-        a, b = parent.select(F.col("node").alias("u"), F.col("up").alias("a")), parent.select(F.col("node").alias("v"), F.col("up").alias("b"))
-        moved = edges.join(a, "u").join(b, "v").filter("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
-        contracted = materialise(moved, "components-edges")
-        discard(edges)
-        edges = contracted
-    spark = edges.sparkSession
-    if not parents:
-        return spark.createDataFrame([], "node long, label long")
-    labels = parents[0].select("node", F.col("up").alias("label"))
-    for parent in parents[1:]:
-        step = parent.select(F.col("node").alias("label"), "up")
-        labels = labels.join(step, "label", "left").select("node", F.coalesce("up", "label").alias("label"))
-    return labels
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, hot: int = HOT) -> DataFrame:
     """``id_col``, ``fp``, ``component_id``: the smallest id that links reach from the row's fingerprint."""
     rows = materialise(fingerprints(docs, id_col, text_col, size), "simhash-rows")
