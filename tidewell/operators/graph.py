@@ -7,29 +7,47 @@ from pyspark.sql import functions as F
 
 from tidewell.session import discard, materialise
 
+#: Rounds after which the composed labels are written, so that no plan grows with their number.
+COMPOSE = 4
+
+
+def _composed(labels: DataFrame | None, parents: list[DataFrame]) -> DataFrame:
+    """``node``, ``label``: the labels so far, led on through the parents of later rounds."""
+    for parent in parents:
+        step = parent.select(F.col("node").alias("label"), "up")
+        labels = parent.select("node", F.col("up").alias("label")) if labels is None else labels.join(step, "label", "left").select("node", F.coalesce("up", "label").alias("label"))
+    return labels
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``node``, ``label`` (least node of its component) of every node that has an edge ``u < v``.
 
-    Each node takes its least neighbour as parent, the graph is contracted along the parents until no edge is left,
-    and labels are the composed parents. Every round is joins and aggregations over written tables, so a lost
-    executor costs one stage; edges shrink from round to round.
+    Nodes have a random priority (a hash). In each round a node takes the neighbour of least priority as parent, or
+    stays a root; parents are doubled twice, which leads nearly every node to its root, and the graph is contracted
+    along them. On a chain two nodes of three go in a round, so rounds grow with the logarithm of the longest one.
+    Every round is joins and aggregations over written tables: a lost executor costs one stage.
     """
     kind = edges.schema["u"].dataType.simpleString()
-    edges, parents = materialise(edges.select("u", "v"), "components-edges"), []
+    edges, parents, labels = materialise(edges.select("u", "v"), "components-edges"), [], None
+    spark = edges.sparkSession
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        parent = materialise(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("up")), "components-parents")
+        rank = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("x"))
+        up = both.groupBy("u").agg(F.min(rank("v")).alias("m")).select(F.col("u").alias("node"), F.least(F.col("m"), rank("u"))["x"].alias("up"))
+        for _ in range(2):
+            up = materialise(up, "components-parents")
+            up = up.join(up.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up"))
+        parent = materialise(up, "components-parents")
         parents.append(parent)
         a, b = parent.select(F.col("node").alias("u"), F.col("up").alias("a")), parent.select(F.col("node").alias("v"), F.col("up").alias("b"))
         moved = edges.join(a, "u").join(b, "v").filter("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
         contracted = materialise(moved, "components-edges")
         discard(edges)
         edges = contracted
-    if not parents:
-        return edges.sparkSession.createDataFrame([], f"node {kind}, label {kind}")
-    labels = parents[0].select("node", F.col("up").alias("label"))
-    for parent in parents[1:]:
-        step = parent.select(F.col("node").alias("label"), "up")
-        labels = labels.join(step, "label", "left").select("node", F.coalesce("up", "label").alias("label"))
-    return labels
+        if len(parents) == COMPOSE:
+            labels, parents = materialise(_composed(labels, parents), "components-labels"), []
+    labels = _composed(labels, parents)
+    if labels is None:
+        return spark.createDataFrame([], f"node {kind}, label {kind}")
+    least = labels.groupBy("label").agg(F.min("node").alias("least"))
+    return labels.join(least, "label").select("node", F.col("least").alias("label"))
