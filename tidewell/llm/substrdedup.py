@@ -1,11 +1,11 @@
 """Substring dedup by hashing units of lines.
 
 A text is cut into contiguous units: after each line end, and within a line after sentence marks that white space
-follows. A unit is normalised (lower case, white space collapsed) and hashed. Digests are grouped globally by one
+follows once a unit has ``UNIT_WORDS`` words. A unit is normalised (lower case, white space collapsed) and hashed. Digests are grouped globally by one
 aggregation; the earliest occurrence in the order of (id, hash of the text, position) is kept and all others are
 marked. In each document, runs of marked units are removed if they hold at least ``MIN_WORDS`` words: so a repeated
 passage goes wherever in a line it stands, and short sentences that happen to repeat stay. Units of fewer than
-``UNIT_WORDS`` words aren't hashed; they go with a run that has marked units on both sides.
+``UNIT_WORDS`` words aren't hashed; a few of them, not as many words together, go with a run on both sides of them.
 
 Offsets of what is removed refer to the original text (characters). Digests are 96 bits.
 
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from tidewell.llm.common import map_batches
 
 #: Words that a removed run has at least, and words that a unit needs to be hashed.
-MIN_WORDS, UNIT_WORDS = 25, 4
+MIN_WORDS, UNIT_WORDS = 20, 4
 _END = re.compile(r"[.!?]+\s+|\n+")
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
@@ -34,7 +34,10 @@ def units(text: str | None) -> list[tuple[int, int]]:
     """Start and end of each unit; together they cover the text."""
     if not text:
         return []
-    cuts = [0, *(m.end() for m in _END.finditer(text))]
+    cuts = [0]
+    for m in _END.finditer(text):
+        if "\n" in m[0] or len(text[cuts[-1] : m.end()].split(None, UNIT_WORDS)) >= UNIT_WORDS:
+            cuts.append(m.end())
     if cuts[-1] < len(text):
         cuts.append(len(text))
     return list(zip(cuts, cuts[1:]))
@@ -53,11 +56,14 @@ def removed(text: str | None, marked: list[int] | None, min_words: int = MIN_WOR
     """Spans to remove, given which units are later occurrences."""
     if not marked:
         return []
-    cuts, marks, out, run = units(text), set(marked), [], []
+    cuts, marks, out, run, gap = units(text), set(marked), [], [], 0
     for k, (a, b) in enumerate([*cuts, (len(text), len(text))]):
         if k in marks:
             run.append(k)
-        elif run and (k == len(cuts) or len(text[a:b].split()) >= UNIT_WORDS):
+            gap = 0
+            continue
+        gap += len(text[a:b].split())
+        if run and (k == len(cuts) or gap >= UNIT_WORDS):
             first, last = cuts[run[0]][0], cuts[run[-1]][1]
             if len(text[first:last].split()) >= min_words:
                 out.append((first, last))
