@@ -103,8 +103,8 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     return full, float(-cut)
 
 
-def _sample(docs: DataFrame, limit: int) -> list[np.ndarray]:
-    """Features of the ``limit`` documents whose ids hash lowest."""
+def _features_of(docs: DataFrame, limit: int) -> list[np.ndarray]:
+    """Features of a bounded frame of documents, on the driver."""
 
     def make():
         def step(columns):
@@ -114,7 +114,7 @@ def _sample(docs: DataFrame, limit: int) -> list[np.ndarray]:
         return step
 
     schema = T.StructType([T.StructField("f", T.ArrayType(T.IntegerType()))])
-    rows = map_batches(lowest_hashes(docs, "id", limit).select("text"), make, schema).toLocalIterator()
+    rows = map_batches(docs.select("text"), make, schema).toLocalIterator()
     return [np.asarray(r[0], np.int64) for _, r in zip(range(2 * limit), rows)]
 
 
@@ -125,8 +125,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n, toxic = marks.agg(F.count("y"), F.count(F.when(F.col("y") == 1, 1))).first()
     if not toxic:
         return None
-    positive = _sample(rows.join(marks.filter("y = 1").select("id"), "id", "left_semi"), MAX_POSITIVE)
-    unlabelled = _sample(rows, MAX_UNLABELLED)
+    chosen = lowest_hashes(marks.filter("y = 1"), "id", MAX_POSITIVE).select("id")  # so few ids are broadcast
+    positive = _features_of(rows.join(F.broadcast(chosen), "id", "left_semi"), MAX_POSITIVE)
+    unlabelled = _features_of(lowest_hashes(rows, "id", MAX_UNLABELLED), MAX_UNLABELLED)
     if not positive or not unlabelled:
         return None
     return fit_nnpu(positive, unlabelled, min(0.9, max(0.001, toxic / n)))
