@@ -1,0 +1,41 @@
+import numpy as np
+
+from tidewell.operators import volumes as v
+from tidewell.operators.arrays import fourier_shift
+
+
+def blob(centre, n=16, s=2.0):
+    g = np.stack(np.meshgrid(*(np.arange(n),) * len(centre), indexing="ij"), -1) - centre
+    return np.exp(-(g**2).sum(-1) / (2 * s * s))
+
+
+def test_registration_and_mask():
+    a = blob((8, 8, 8))
+    shift = v.register(fourier_shift(a, (0.4, -1.3, 2.0)), a)
+    assert np.allclose(shift, (-0.4, 1.3, -2.0), atol=0.1)
+    crops = v.align_to_median([a, fourier_shift(a, (1, 0, 0)), fourier_shift(a, (-1, 0, 0))])
+    assert max(np.abs(c - crops[0]).max() for c in crops) < 0.15 and len(v.align_to_median([a])) == 1
+    m = v.soft_ellipsoid((9, 9), np.array([4, 4]), np.zeros((2, 2)), 1.0, 3.0)
+    assert m[4, 4] == 1 and m[0, 0] == 0 and 0 < m[4, 6] < 1
+
+
+def test_fit(spark):
+    x = np.arange(40)
+    rows = [(i, (2.5 * np.exp(-((x - c) ** 2) / (2 * s * s)) + 0.3).tolist()) for i, (c, s) in enumerate([(12.3, 2.0), (30.1, 4.5)])]
+    got = v.fit_gaussians(spark.createDataFrame(rows, "k int, y array<double>"), "k", "y").orderBy("k").collect()
+    assert np.allclose([(r.amplitude, r.centre, r.sigma, r.offset) for r in got], [(2.5, 12.3, 2.0, 0.3), (2.5, 30.1, 4.5, 0.3)], atol=1e-3)
+
+
+def test_phase_retrieval_and_zernike():
+    n, na, lam, idx, px = 32, 1.2, 0.5, 1.33, 0.1
+    rho, theta, inside = v.pupil_grid(n, na, lam, px)
+    want = np.array([0, 0, 0, 0, 0.3, 0, 0, 0.2])
+    from tidewell.operators.arrays import zernike
+
+    phase = sum(c * zernike(j, rho, theta) for j, c in enumerate(want, 1))
+    assert np.allclose(v.zernike_fit(phase, rho, theta, 8), want, atol=1e-9)
+    z = np.linspace(-1, 1, 9)
+    kz = 2 * np.pi * np.sqrt(np.maximum((idx / lam) ** 2 - (np.minimum(rho, 1) * na / lam) ** 2, 0))
+    stack = np.abs(np.fft.ifft2(inside * np.exp(1j * phase) * np.exp(1j * kz * z[:, None, None]))) ** 2
+    _, residuals = v.retrieve_phase(stack, z, na, lam, idx, px, 60)
+    assert residuals[-1] < 0.1 * residuals[0] and residuals[-1] < residuals[5]
