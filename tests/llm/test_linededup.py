@@ -24,7 +24,7 @@ def docs():
 
 
 def test_equals_brute_force(spark, docs):
-    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as id", "2 as th", "3 as pos", "4 as starts", "5 as n")
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as id", "2 as th", "3 as pos", "4 as starts", "5 as n", "6 as row", "7 as kept", "8 as n_lines_", "9 as l", "10 as h", "11 as i", "12 as t")
     got = linededup.dedup_lines(df).collect()
     assert {r.doc_id: r.text for r in got} == plain(docs)
     assert all((r.n_lines_ - r.n_removed_) == (0 if not r.text and r.n_removed_ else len(r.text.split("\n"))) for r in got if r.text is not None)

@@ -50,14 +50,15 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
-    """All columns of ``docs`` with ``text_col`` cleaned, and ``n_lines_``, ``n_removed_`` (lines before, lines gone)."""
-    found = repeated(docs, id_col, text_col, size).withColumnsRenamed({"id": "id_", "th": "th_", "starts": "starts_"})
-    joined = docs.withColumn("own_", F.xxhash64(text_col)).join(found, F.col(id_col).eqNullSafe(F.col("id_")) & (F.col("own_") == F.col("th_")), "left")
-    lines = F.split(F.col(text_col), "\n")
-    covered = F.flatten(F.transform("starts_", lambda p: F.sequence(p, p + (size - 1))))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
-    joined = joined.withColumn("lines_", lines).withColumn("kept_", F.when(F.col("starts_").isNotNull(), kept))
-    clean = F.when(F.col("kept_").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform("kept_", lambda i: F.get("lines_", i)), "\n"))
-    total = F.when(F.col(text_col).isNull(), 0).otherwise(F.size("lines_"))
-    gone = F.when(F.col("kept_").isNull(), 0).otherwise(F.size("lines_") - F.size("kept_"))
-    return joined.select(*(clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns), total.cast("long").alias("n_lines_"), gone.cast("long").alias("n_removed_"))
+    """All columns of ``docs`` with ``text_col`` cleaned, and ``n_lines_``, ``n_removed_`` (lines before, lines gone),
+    which replace columns of these names."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h"))
+    rows = rows.join(repeated(docs, id_col, text_col, size), F.col("i").eqNullSafe(F.col("id")) & (F.col("h") == F.col("th")), "left")
+    covered = F.flatten(F.transform("starts", lambda p: F.sequence(p, p + (size - 1))))
+    rows = rows.withColumn("l", F.split("t", "\n"))
+    rows = rows.withColumn("kept", F.when(F.col("starts").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("l") - 1), covered)))
+    clean = F.when(F.col("kept").isNull(), F.col("t")).otherwise(F.array_join(F.transform("kept", lambda i: F.get("l", i)), "\n"))
+    total = F.when(F.col("t").isNull(), 0).otherwise(F.size("l")).cast("long")
+    gone = F.when(F.col("kept").isNull(), 0).otherwise(F.size("l") - F.size("kept")).cast("long")
+    columns = [clean.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns if c not in ("n_lines_", "n_removed_")]
+    return rows.select(*columns, total.alias("n_lines_"), gone.alias("n_removed_"))
