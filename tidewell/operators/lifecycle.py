@@ -67,3 +67,22 @@ def idle_sessions(events: DataFrame, key: str, ts: str, gap_s: int) -> DataFrame
     fresh = F.coalesce((F.unix_micros(F.col(ts).cast("timestamp")) - F.lag(F.unix_micros(F.col(ts).cast("timestamp"))).over(w) > gap_s * 1_000_000).cast("int"), F.lit(1))
     rows = events.withColumn("_n", fresh).withColumn("session", F.sum("_n").over(w.rangeBetween(Window.unboundedPreceding, 0)))
     return rows.groupBy(key, "session").agg(F.min(ts).alias("started"), F.max(ts).alias("ended"), F.count(F.lit(1)).alias("n"))
+
+
+def in_flight(stages: DataFrame, ours: DataFrame, key: str, stage: str, ticket: str) -> DataFrame:
+    """Pending rows of a stage, with a ticket, whose datasets belong to this pass."""
+    rows = stages.filter((F.col("stage") == stage) & (F.col("status") == "pending") & F.col(ticket).isNotNull())
+    return rows.join(ours.select(key).distinct(), key, "left_semi")
+
+
+def needs_stage(datasets: DataFrame, stages: DataFrame, key: str, stage: str) -> DataFrame:
+    """Datasets whose stage isn't done."""
+    done = stages.filter((F.col("stage") == stage) & (F.col("status") == "done")).select(key).distinct()
+    return datasets.join(done, key, "left_anti")
+
+
+def build_and_prune(wanted: DataFrame, present: DataFrame, cells: list[str], newest: str, built: str) -> DataFrame:
+    """What to do with each cell: ``build`` what is missing or older than its source, ``prune`` what nobody wants."""
+    both = wanted.select(*cells, F.col(newest).alias("_n"), F.lit(1).alias("_w")).join(present.select(*cells, F.col(built).alias("_b"), F.lit(1).alias("_p")), cells, "full")
+    what = F.when(F.col("_w").isNull(), "prune").when(F.col("_p").isNull() | (F.col("_b") < F.col("_n")), "build").otherwise("keep")
+    return both.select(*cells, what.alias("what"))

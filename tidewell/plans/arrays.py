@@ -153,3 +153,21 @@ def mean_shift_centres(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", F.array(F.lit(4), F.lit(4), F.lit(4)).alias("shape"), F.transform("embedding", lambda x: F.abs(x.cast("double"))).alias("v"))
     return arrays.mean_shift(e, "vec_id", "shape", "v").select("vec_id", *(F.round(c, 6).alias(c) for c in ("z", "y", "x", "residual")))
 
+
+
+@query(f"WITH {DIMS_SQL}, c AS (SELECT vec_id, sum(dim * abs(v)) / sum(abs(v)) AS c FROM d GROUP BY 1) SELECT vec_id, round(sum(abs(v) * (dim - c) ** 2) FILTER (WHERE abs(dim - c) <= 20) / sum(abs(v)) FILTER (WHERE abs(dim - c) <= 20), 6) AS var FROM d JOIN c USING (vec_id) GROUP BY vec_id")
+def windowed_covariance(spark, sf_dir):
+    """Weighted second moment in a window around the centre."""
+    d = dims(spark, sf_dir).withColumn("w", F.abs("v"))
+    c = d.groupBy("vec_id").agg((F.sum(F.col("dim") * F.col("w")) / F.sum("w")).alias("c"))
+    near = d.join(c, "vec_id").filter(F.abs(F.col("dim") - F.col("c")) <= 20)
+    return near.groupBy("vec_id").agg(F.round(F.sum(F.col("w") * F.pow(F.col("dim") - F.col("c"), 2)) / F.sum("w"), 6).alias("var"))
+
+
+@query(f"WITH {DIMS_SQL} SELECT a.vec_id, round(sqrt(avg((ln(abs(a.v) + 0.01) - ln(abs(b.v) + 0.01)) ** 2)), 6) AS log_rms, CAST(count(*) FILTER (WHERE abs(a.v) > 0.1) AS BIGINT) AS core FROM d a JOIN d b ON a.vec_id + 1 = b.vec_id AND a.dim = b.dim GROUP BY a.vec_id")
+def fit_diagnostics(spark, sf_dir):
+    """Log residual and core size of a model against a measurement."""
+    d = dims(spark, sf_dir)
+    other = d.select((F.col("vec_id") - 1).alias("vec_id"), "dim", F.col("v").alias("u"))
+    res = F.pow(F.log(F.abs("v") + 0.01) - F.log(F.abs("u") + 0.01), 2)
+    return d.join(other, ["vec_id", "dim"]).groupBy("vec_id").agg(F.round(F.sqrt(F.avg(res)), 6).alias("log_rms"), F.count_if(F.abs("v") > 0.1).alias("core"))

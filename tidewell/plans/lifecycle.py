@@ -144,3 +144,55 @@ def hash_order(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer")
     totals = c.groupBy("c_mktsegment").agg(F.round(F.sum("c_acctbal"), 2).alias("total"))
     return c.filter("c_custkey % 10 = 0").join(totals, "c_mktsegment").select("c_mktsegment", "c_custkey", "total")
+
+
+def stages(spark, sf_dir):
+    """Orders as stage rows: key, stage, status, ticket."""
+    k = F.col("o_orderkey")
+    status = F.when(F.col("o_orderstatus") == "F", "done").when(F.col("o_orderstatus") == "O", "pending").otherwise("failed")
+    stage = F.when(k % 3 == 0, "deskew").otherwise("roi_detect")
+    return read_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), stage.alias("stage"), status.alias("status"), F.when(k % 4 != 0, k).alias("ticket"))
+
+
+@query("SELECT o_custkey AS key, o_orderkey AS ticket FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 3 = 0 AND o_orderkey % 4 <> 0 AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey < 10)")
+def tickets_in_flight(spark, sf_dir):
+    """J18, ST4: this pass's pending tickets."""
+    ours = read_table(spark, sf_dir, "customer").filter("c_nationkey < 10").select(F.col("c_custkey").alias("key"))
+    return lifecycle.in_flight(stages(spark, sf_dir), ours, "key", "deskew", "ticket").select("key", "ticket")
+
+
+@query("SELECT c_custkey AS key FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 <> 0)")
+def needs_triage(spark, sf_dir):
+    """Datasets whose stage isn't done."""
+    d = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
+    return lifecycle.needs_stage(d, stages(spark, sf_dir), "key", "roi_detect")
+
+
+@query("WITH w AS (SELECT conv_id, turn, max(length(text)) AS n FROM conversations WHERE role <> 'system' GROUP BY ALL), p AS (SELECT conv_id, turn, 200 AS b FROM conversations WHERE conv_id % 3 <> 0 GROUP BY ALL) SELECT conv_id, turn, CASE WHEN n IS NULL THEN 'prune' WHEN b IS NULL OR b < n THEN 'build' ELSE 'keep' END AS what FROM w FULL JOIN p USING (conv_id, turn)")
+def build_and_prune(spark, sf_dir):
+    """SNK17, T10, R3, R6: what is missing, what is stale and what nobody wants."""
+    c = read_table(spark, sf_dir, "conversations")
+    want = c.filter("role <> 'system'").groupBy("conv_id", "turn").agg(F.max(F.length("text")).alias("n"))
+    have = c.filter("conv_id % 3 <> 0").select("conv_id", "turn").distinct().withColumn("b", F.lit(200))
+    return lifecycle.build_and_prune(want, have, ["conv_id", "turn"], "n", "b")
+
+
+@query("SELECT event_type, 'k' AS name, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY event_type")
+def json_map_sums(spark, sf_dir):
+    """Sums over the entries of a JSON map column."""
+    e = read_table(spark, sf_dir, "events").select("event_type", F.explode(F.from_json("props", "map<string,bigint>")).alias("name", "v"))
+    return e.groupBy("event_type", "name").agg(F.sum("v").alias("total"))
+
+
+@query("SELECT doc_id, left(text, 2) IN ('II', 'MM', 'Th', 'De') AS valid FROM documents")
+def header_check(spark, sf_dir):
+    """A magic number at the start of the content."""
+    return read_table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 2).isin("II", "MM", "Th", "De").alias("valid"))
+
+
+@query("SELECT user_id, string_agg('open #' || lpad(CAST(c AS VARCHAR), 3, '0'), chr(10) ORDER BY c) AS script FROM (SELECT DISTINCT user_id, event_id % 4 AS c FROM events) GROUP BY user_id")
+def open_script(spark, sf_dir):
+    """SNK10, SNK7, F6: a text made from distinct channels."""
+    e = read_table(spark, sf_dir, "events").select("user_id", (F.col("event_id") % 4).alias("c")).distinct()
+    lines = F.transform(F.sort_array(F.collect_list("c")), lambda c: F.concat(F.lit("open #"), F.lpad(c.cast("string"), 3, "0")))
+    return e.groupBy("user_id").agg(F.array_join(lines, "\n").alias("script"))
