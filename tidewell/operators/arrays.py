@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.session import ship_code
+
 
 def percentile_stretch(rows: DataFrame, group: list[str], value: str, low: float, high: float, name: str = "level") -> DataFrame:
     """Values scaled so that the group's low and high percentile become 0 and 255, clipped and truncated; 0 where the
@@ -159,6 +161,7 @@ def mean_shift(crops: DataFrame, key: str, shape: str, values: str, rounds: int
                 out.append((k, *c, move))
             yield pd.DataFrame(out, columns=[key, "z", "y", "x", "residual"])
 
+    ship_code(crops.sparkSession)
     kind = crops.schema[key].dataType.simpleString()
     return crops.select(key, shape, values).mapInPandas(step, f"{key} {kind}, z double, y double, x double, residual double")
 

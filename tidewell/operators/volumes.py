@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.arrays import fourier_shift, zernike
+from tidewell.session import ship_code
 
 
 def subtract_bias(rows: DataFrame, pixel: list[str], value: str, offset: float, dark: DataFrame | None = None) -> DataFrame:
@@ -110,6 +111,7 @@ def fit_gaussians(profiles: DataFrame, key: str, values: str, starts: int = 4, r
         for pdf in batches:
             yield pd.DataFrame([(k, *one(np.asarray(v, float))) for k, v in zip(pdf[key], pdf[values])], columns=[key, "amplitude", "centre", "sigma", "offset", "cost"])
 
+    ship_code(profiles.sparkSession)
     kind = profiles.schema[key].dataType.simpleString()
     return profiles.select(key, values).mapInPandas(step, f"{key} {kind}, amplitude double, centre double, sigma double, offset double, cost double")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +63,20 @@ def discard(df: DataFrame) -> None:
         spark = df.sparkSession
         where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: executors have no copy of their own."""
+    context = spark.sparkContext
+    if getattr(context, "_tidewell_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidewell-"), "tidewell-code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.join("tidewell", os.path.relpath(full, top)))
+    context.addPyFile(path)
+    context._tidewell_shipped = True

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidewell.session import shared_dir
+from tidewell.session import shared_dir, ship_code
 
 #: A session is forgotten that long after it was first seen.
 FORGET_MS = 3_600_000
@@ -42,6 +42,7 @@ def track(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
 
 def session_states(beats: DataFrame) -> DataFrame:
     """``beats``: a stream with ``key long, ms long, kind string, value double``. Emits a key's state on change."""
+    ship_code(beats.sparkSession)
     return beats.groupBy("key").applyInPandasWithState(track, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
 
 
