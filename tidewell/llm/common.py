@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tidewell.session import ship_code
+
 #: Rows and bytes that one Arrow batch holds at most, so that a worker's memory doesn't follow text length.
 BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 
 def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the session's Arrow batches; a smaller bound that the session already has stays."""
+    """Bound the session's Arrow batches (a smaller bound that it already has stays) and send workers the code."""
+    ship_code(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
