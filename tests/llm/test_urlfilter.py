@@ -7,8 +7,8 @@ from tidewell.llm import queries, urlfilter
 
 ENTRIES = [
     ("host", "b.com", "add", "2024-01-10"), ("host", "b.com", "remove", "2024-02-01"), ("host", "b.com", "add", "2024-03-01"), ("host", "b.com", "add", "2024-03-01"),
-    ("host", "a.b.com", "add", "2024-01-15"), ("path", "c.org/x/y", "add", "2024-01-01"), ("host", "same.net", "add", "2024-01-01"), ("host", "same.net", "remove", "2024-01-01"),
-    ("host", None, "add", "2024-01-01"), ("host", "UP.com", "add", "2024-01-01"),
+    ("host", "a.b.com", "add", "2024-01-15"), ("path", "c.org/x/y", "add", "2024-01-01"), ("path", "C.org/Up", "add", "2024-01-01"), ("host", "same.net", "add", "2024-01-01"), ("host", "same.net", "remove", "2024-01-01"),
+    ("host", None, "add", "2024-01-01"), ("host", "UP.com", "add", "2024-01-01"), ("path", "deep.net/" + "/".join("q" * 90), "add", "2024-01-01"),
 ]
 
 
@@ -17,8 +17,9 @@ ENTRIES = [
     [
         ("http://b.com/", "2024-01-09", None), ("http://b.com/", "2024-01-10", "b.com"), ("https://u@Z.B.com:80/q", "2024-01-31", "b.com"), ("http://b.com", "2024-02-01", None),
         ("http://b.com?x", "2024-05-01", "b.com"), ("http://a.b.com./", "2024-01-20", "a.b.com"), ("http://xb.com/", "2024-01-20", None), ("http://c.org/x/y/z?q#f", "2024-06-01", "c.org/x/y"),
-        ("http://c.org/x", "2024-06-01", None), ("http://c.org/x/yy", "2024-06-01", None), ("http://same.net", "2024-06-01", None), (None, "2024-06-01", None), ("", "2024-06-01", None), ("not a url", "2024-06-01", None),
+        ("http://c.org/x", "2024-06-01", None), ("http://c.org/Up/z", "2024-06-01", "c.org/Up"), ("http://c.org/up/z", "2024-06-01", None), ("http://c.org/x/yy", "2024-06-01", None), ("http://same.net", "2024-06-01", None), (None, "2024-06-01", None), ("", "2024-06-01", None), ("not a url", "2024-06-01", None),
         ("http://b.com/", None, None), ("http://up.com/" + "p/" * 3000, "2024-06-01", "up.com"),
+        ("http://deep.net/" + "q/" * 95, "2024-06-01", "deep.net/" + "/".join("q" * 90)), ("http://deep.net/" + "q/" * 89, "2024-06-01", None),
     ],
 )
 def test_as_of(spark, url, day, want):

@@ -46,7 +46,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     place = F.struct("id", "th", "pos")
     first = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
     later = windows.join(first, ["w1", "w2"]).filter(place > F.col("first"))
-    return later.groupBy("id", "th").agg(F.collect_list("pos").alias("starts"))
+    return later.groupBy("id", "th").agg(F.collect_set("pos").alias("starts"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
