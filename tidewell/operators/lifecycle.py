@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.session import materialise
+
 
 def provenance_matches(psf: Column, want_psf: Column, params: Column, want_params: Column, strict: bool = False) -> Column:
     """Equal PSF (null matches null); without a PSF nothing more is asked; null parameters are accepted unless ``strict``."""
@@ -21,14 +23,13 @@ def priority(flag: Column, ranks: dict[str, int], default: int = 1) -> Column:
 
 
 def queue_position(rows: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
-    """Position of every row in one total order, without drawing all rows into one task: rows are counted per rank
-    first, then numbered inside each rank."""
-    rank, *rest = order
-    ranked = rows.withColumn("_rank", rank)
-    sizes = ranked.groupBy("_rank").agg(F.count(F.lit(1)).alias("_n"))  # a row per rank
-    before = sizes.alias("x").join(sizes.alias("y"), F.col("x._rank") > F.col("y._rank"), "left").groupBy(F.col("x._rank").alias("_rank")).agg(F.coalesce(F.sum("y._n"), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_rank").orderBy(*rest))
-    return ranked.withColumn("_in", inside).join(before, "_rank").withColumn(name, F.col("_before") + F.col("_in")).drop("_rank", "_in", "_before")
+    """Position of every row in one total order, without drawing all rows into one task: rows are dealt into ranges of
+    the order, counted per range, and numbered inside a range from where the ranges before it end."""
+    ranged = materialise(rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "queue")
+    sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))  # a row per range
+    before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
+    return ranged.withColumn("_in", inside).join(before, "_p").withColumn(name, F.col("_before") + F.col("_in")).drop("_p", "_in", "_before")
 
 
 def longest_failure_run(events: DataFrame, key: str, order: list[str], failed: Column) -> DataFrame:
