@@ -7,15 +7,23 @@ from pyspark.sql import functions as F
 
 from tidewell.session import discard, materialise
 
-#: Rounds after which the composed labels are written, so that no plan grows with their number.
-COMPOSE = 4
+#: Rounds after which the composed labels are written, so that no plan grows with their number; parts of a hot label.
+COMPOSE, SALTS = 4, 16
+
+
+def salted_join(rows: DataFrame, few: DataFrame, key: str, spread_by: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
+    """``rows`` joined to ``few`` on ``key``, where one key may hold most rows: each key's rows are dealt into
+    ``salts`` parts by a hash of ``spread_by``, and the other side is repeated as often."""
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    repeated = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
 def _composed(labels: DataFrame | None, parents: list[DataFrame]) -> DataFrame:
     """``node``, ``label``: the labels so far, led on through the parents of later rounds."""
     for parent in parents:
         step = parent.select(F.col("node").alias("label"), "up")
-        labels = parent.select("node", F.col("up").alias("label")) if labels is None else labels.join(step, "label", "left").select("node", F.coalesce("up", "label").alias("label"))
+        labels = parent.select("node", F.col("up").alias("label")) if labels is None else salted_join(labels, step, "label", "node", "left").select("node", F.coalesce("up", "label").alias("label"))
     return labels
 
 
@@ -50,4 +58,4 @@ def components(edges: DataFrame) -> DataFrame:
     if labels is None:
         return spark.createDataFrame([], f"node {kind}, label {kind}")
     least = labels.groupBy("label").agg(F.min("node").alias("least"))
-    return labels.join(least, "label").select("node", F.col("least").alias("label"))
+    return salted_join(labels, least, "label", "node").select("node", F.col("least").alias("label"))
