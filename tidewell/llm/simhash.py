@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.llm.common import bound_batches, map_batches
-from tidewell.operators.graph import components
+from tidewell.operators.graph import components, salted_join
 from tidewell.session import materialise
 
 #: Words of a shingle, seed of their hash, differing bits of a link, and distinct fingerprints a cell may pair.
@@ -139,10 +139,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``id_col``, ``fp``, ``component_id``: the smallest id that links reach from the row's fingerprint."""
     rows = materialise(fingerprints(docs, id_col, text_col, size), "simhash-rows")
     distinct = materialise(rows.groupBy("fp").agg(F.min(id_col).alias("first")), "simhash-distinct")
-    labels = components(links(distinct, hot)).withColumnRenamed("node", "fp")
-    labelled = distinct.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    least = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    return rows.join(labelled.join(least, "label").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
+    linked = materialise(components(links(distinct, hot)).withColumnRenamed("node", "fp").join(distinct, "fp"), "simhash-linked")
+    least = linked.groupBy("label").agg(F.min("first").alias("component_id"))
+    of = salted_join(linked.select("fp", "label"), least, "label", "fp").select("fp", "component_id")
+    every = distinct.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    return rows.join(every, "fp").select(id_col, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
