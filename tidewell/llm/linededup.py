@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.session import materialise
+
 #: Lines of a window.
 WINDOW = 3
 
@@ -45,6 +47,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     windows = _windows(docs, id_col, text_col, size)
     place = F.struct("id", "th", "pos")
     first = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
+    first = materialise(first, "linededup-first")  # apart from the join, so that a hot key of the join can be split
     later = windows.join(first, ["w1", "w2"]).filter(place > F.col("first"))
     return later.groupBy("id", "th").agg(F.collect_set("pos").alias("starts"))
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.llm.common import map_batches
+from tidewell.session import materialise
 
 #: Words that a removed run has at least, and words that a unit needs to be hashed.
 MIN_WORDS, UNIT_WORDS = 20, 4
@@ -90,6 +91,7 @@ def marked_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = map_batches(docs.select(id_col, F.xxhash64(text_col), F.col(text_col).cast("string")), make, schema)
     place = F.struct("id", "th", "pos")
     first = found.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
+    first = materialise(first, "substrdedup-first")  # apart from the join, so that a hot key of the join can be split
     return found.join(first, ["d1", "d2"]).filter(place > F.col("first")).groupBy("id", "th").agg(F.collect_set("pos").alias("marked"))
 
 
