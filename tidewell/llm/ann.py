@@ -19,11 +19,12 @@ empty table gives an empty one.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import bound_batches, lowest_hashes, map_batches
+from tidewell.llm.common import bound_batches, lowest_hashes
 from tidewell.session import materialise
 
 #: Sample size and components it may hold in all; vectors per part aimed at, and the most parts; vectors of a pack; queries of a pack; graph degree; sought recall on the sample.
@@ -151,36 +152,35 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     shared = spark.sparkContext.broadcast(router)
 
     def route(count):
-        def make():
-            def step(columns):
-                ids, vecs = columns
-                if shared.value is None:
-                    return [ids, vecs, [[0]] * len(ids)]
-                z = shared.value.logits(np.array(vecs, np.float64))
-                return [ids, vecs, np.argsort(-z, axis=1, kind="stable")[:, :count].tolist()]
+        def run(batches):
+            for batch in batches:
+                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+                near = np.zeros((len(x), 1), np.int32) if shared.value is None else np.argsort(-shared.value.logits(x), axis=1, kind="stable")[:, :count].astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32)), pa.array(near.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["id", "v", "parts"])
 
-            return step
-
-        return make
+        return run
 
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("parts", T.ArrayType(T.IntegerType()))])
-    index = materialise(map_batches(rows, route(1), schema).select("id", "v", F.get("parts", 0).alias("part")), "ann-index")
+    bound_batches(spark, 4096)
+    index = materialise(rows.mapInArrow(route(1), schema).select("id", "v", F.get("parts", 0).alias("part")), "ann-index")
     dealt = index.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row per part
     packs = {r["part"]: -(-r["n"] // PACK) for r in dealt.collect()}
     packs_of = F.coalesce(F.get(F.array(*(F.lit(packs.get(p, 1)) for p in range(max(packs, default=0) + 1))), F.col("part")), F.lit(1))
     held = index.groupBy("part", F.pmod(F.xxhash64("id"), packs_of).cast("int").alias("pack")).agg(F.collect_set(F.struct("id", "v")).alias("c"))
-    routed = map_batches(asked, route(probes), schema).select("id", "v", F.explode("parts").alias("part"))
+    routed = asked.mapInArrow(route(probes), schema).select("id", "v", F.explode("parts").alias("part"))
     n_asked = max(1, -(-queries.count() // QUERY_PACK))
     sent = routed.groupBy("part", F.pmod(F.xxhash64("id"), F.lit(n_asked)).alias("q")).agg(F.collect_set(F.struct("id", "v")).alias("asked"))
     sent = sent.select("part", "asked", F.explode(F.sequence(F.lit(0), packs_of - 1)).alias("pack"))
     met = held.join(sent, ["part", "pack"]).select(F.col("c.id").alias("i"), F.col("c.v").alias("v"), F.col("asked.id").alias("qi"), F.col("asked.v").alias("qv"))
 
-    def compare():
-        def step(columns):
+    def compare(batches):
+        for batch in batches:
             out = [[], [], []]
-            for ids, vecs, query_ids, query_vecs in zip(*columns):
-                ids, vecs = np.array(ids), np.array(vecs)
-                for query, vector in zip(query_ids, np.array(query_vecs)):
+            for ids, vecs, query_ids, query_vecs in zip(*batch.columns):  # a pack and a block of queries
+                ids, query_ids = (c.values.to_numpy() for c in (ids, query_ids))
+                vecs, query_vecs = (c.values.flatten().to_numpy().reshape(-1, dims) for c in (vecs, query_vecs))
+                for query, vector in zip(query_ids, query_vecs):
                     d = vecs - vector
                     d = np.sqrt(np.einsum("ij,ij->i", d, d))
                     d[ids == query] = np.inf
@@ -188,15 +188,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
                     near = near[np.isfinite(d[near])]
                     near = near[np.lexsort((ids[near], d[near]))]
                     near = near[np.sort(np.unique(ids[near], return_index=True)[1])][:k]
-                    out[0] += [query] * near.size
-                    out[1] += ids[near].tolist()
-                    out[2] += d[near].tolist()
-            return out
-
-        return step
+                    for column, values in zip(out, (np.full(near.size, query), ids[near], d[near])):
+                        column.append(values)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
 
     bound_batches(spark)
     found = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
-    best = map_batches(met, compare, found).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    best = met.mapInArrow(compare, found).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
