@@ -118,6 +118,7 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
         counts = keyed.groupBy("p", "cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         counts = materialise(counts, f"simhash-cells{level}")
         paired = keyed.join(counts.filter(F.lit(True) if bounded else F.col("n") <= hot).drop("n"), ["p", "cell"])
+        paired = materialise(paired, f"simhash-paired{level}")  # apart from the grouping, so that AQE can split crowded cells in the join
         lists = paired.groupBy("p", "cell").agg(F.collect_list("fp").alias("fps")).select("fps")
 
         def make():
