@@ -144,6 +144,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = linked.groupBy("label").agg(F.min("first").alias("component_id"))
     of = salted_join(linked.select("fp", "label"), least, "label", "fp").select("fp", "component_id")
     every = distinct.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    every = materialise(every, "simhash-every")  # apart from the join, so that AQE can split a fingerprint of many copies
     return rows.join(every, "fp").select(id_col, "fp", "component_id")
 
 
