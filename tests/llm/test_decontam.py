@@ -63,5 +63,25 @@ def test_spans_and_drop(spark):
     assert sorted(r.doc_id for r in decontam.drop_contaminated(d, b, n=4).collect()) == [2, 3]
 
 
+def test_shuffled_way_gives_the_same_spans(tables):
+    _, _, d, b = tables
+    got = [[(r.doc_id, r.n_words, r.n_hit, list(r["items"]), [tuple(s) for s in r.spans]) for r in decontam.scan(d, b, n=4, max_broadcast=k).collect()] for k in (decontam.MAX_BROADCAST, 0)]
+    assert any(x[4] for x in got[0])
+    assert sorted(map(repr, got[0])) == sorted(map(repr, got[1]))
+
+
+@pytest.mark.parametrize("bound", [decontam.MAX_BROADCAST, 0])
+def test_rows_are_dropped_for_themselves(spark, bound):
+    text = "start É one two. THREE four five tail"
+    rows = [(1, text), (1, "clean"), (2, "clean"), (2, "clean"), (None, text), (None, "clean"), (None, None), (3, text)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as row", "2 as doc")
+    b = spark.createDataFrame([(9, "one two three four five")], "item_id long, text string")
+    out = decontam.drop_contaminated(d, b, n=4, max_broadcast=bound)
+    assert out.columns == d.columns
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(repr((*r, 1, 2)) for r in rows if r[1] != text)
+    spans = decontam.scan(d, b, n=4, max_broadcast=bound).filter("doc_id = 3").first().spans
+    assert decontam.cut_spans(text, [tuple(s) for s in spans]) == "start É  tail"
+
+
 def test_oracle(spark, sf):
     same(queries.QUERIES["op8_decontamination"](spark, sf), queries.ORACLES["op8_decontamination"], sf)

@@ -95,12 +95,29 @@ class WindowSet:
                 items.update(owners[s])
         if edges is None:
             return total, 0, [], []
-        hit = np.cumsum(edges[:-1]) > 0
-        letters = np.concatenate(([False], np.frombuffer(raw, np.uint8) != _SPACE, [False]))
-        starts, ends = np.flatnonzero(letters[1:] & ~letters[:-1]), np.flatnonzero(~letters[1:] & letters[:-1])
-        turn = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
-        spans = list(zip(starts[np.flatnonzero(turn == 1)].tolist(), ends[np.flatnonzero(turn == -1) - 1].tolist()))
-        return total, int(hit.sum()), sorted(items), spans
+        return total, *_covered(raw, np.cumsum(edges[:-1]) > 0, sorted(items))
+
+
+def _covered(raw: bytes, hit: np.ndarray, items: list[str]) -> tuple[int, list[str], list[tuple[int, int]]]:
+    """Hit words, items, byte spans of the runs of hit words; ``hit`` has a mark for each word of ``raw``."""
+    letters = np.concatenate(([False], np.frombuffer(raw, np.uint8) != _SPACE, [False]))
+    starts, ends = np.flatnonzero(letters[1:] & ~letters[:-1]), np.flatnonzero(~letters[1:] & letters[:-1])
+    turn = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
+    spans = list(zip(starts[np.flatnonzero(turn == 1)].tolist(), ends[np.flatnonzero(turn == -1) - 1].tolist()))
+    return int(hit.sum()), items, spans
+
+
+def _spread(text: str | None, found: list | None, items: list[str] | None) -> tuple[int, int, list[str], list[tuple[int, int]]]:
+    """What ``WindowSet.scan`` gives, from the windows found: (first word from 1, length)."""
+    raw = text.encode().translate(_TO_WORDS) if text else b""
+    total = len(raw.split())
+    if not found:
+        return total, 0, [], []
+    edges = np.zeros(total + 1, np.int64)
+    at, length = (np.array([x[k] for x in found], np.int64) for k in ("at", "length"))
+    np.add.at(edges, at - 1, 1)
+    np.add.at(edges, at - 1 + length, -1)
+    return total, *_covered(raw, np.cumsum(edges[:-1]) > 0, list(items or []))
 
 
 def _schema(docs: DataFrame, id_col: str) -> T.StructType:
@@ -116,7 +133,7 @@ def _measured(benchmark: DataFrame, item_col: str, text_col: str, bound: int) ->
 
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """``id_col``, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings), ``spans`` (UTF-8 byte offsets of the
-    runs of hit words; null on the shuffled way, which keeps word positions only), one row per document."""
+    runs of hit words), one row per document."""
     items, small = _measured(benchmark, item_col, item_text_col, max_broadcast)
     if not small:
         return _scan_shuffled(docs, items, n, id_col, text_col)
@@ -141,31 +158,38 @@ def _windows_of(length: int) -> Column:
     return F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(length).alias("length"), F.array_join(F.slice("w", i, length), " ").alias("window")))
 
 
-def _scan_shuffled(docs: DataFrame, items: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """The same by joins: document windows meet distinct benchmark windows, each by its words."""
+def _hits(texts: DataFrame, items: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """Windows of ``texts`` (``row``, ``text``; a written table) in the benchmark, as (row, at, length, window), and
+    the benchmark's windows, as (item, window)."""
     spread = items.select("item", _words(F.col("text")).alias("w")).filter(F.size("w") > 0)
     spread = spread.select("item", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1))), lambda i: F.array_join(F.slice("w", i, n), " "))).alias("window")).distinct()
     spread = spread.withColumn("length", F.size(F.split("window", " ")))
     lengths = [r[0] for r in spread.select("length").distinct().collect()]  # n values at most
-    rows = docs.select(F.col(id_col), F.monotonically_increasing_id().alias("row"), _words(F.col(text_col)).alias("w"))
-    rows = materialise(rows, "decontam-words")
     at = [_windows_of(k) for k in lengths]
     empty = F.array().cast("array<struct<at:int,length:int,window:string>>")
-    hits = rows.select("row", F.explode(F.concat(empty, *at)).alias("x")).select("row", "x.*")
-    hits = hits.join(spread.select("window").distinct(), "window")
-    hits = materialise(hits, "decontam-hits")
-    covered = hits.select("row", F.explode(F.sequence("at", F.col("at") + F.col("length") - 1)).alias("p")).distinct().groupBy("row").agg(F.count("p").alias("n_hit"))
-    owners = hits.select("row", "window").distinct().join(spread.filter("item is not null").select("window", "item"), "window").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    out = rows.select(id_col, "row", F.size("w").cast("long").alias("n_words")).join(covered, "row", "left").join(owners, "row", "left")
-    return out.select(id_col, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.lit(None).cast(SPANS).alias("spans"))
+    hits = texts.select("row", _words(F.col("text")).alias("w")).select("row", F.explode(F.concat(empty, *at)).alias("x")).select("row", "x.*")
+    hits = hits.join(spread.select("window").distinct(), "window").select("row", "at", "length", "window")
+    return materialise(hits, "decontam-hits"), spread.select("item", "window")
+
+
+def _scan_shuffled(docs: DataFrame, items: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    """The same by joins: document windows meet distinct benchmark windows, each by its words."""
+    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
+    rows = materialise(rows, "decontam-texts")
+    hits, spread = _hits(rows, items, n)
+    found = hits.groupBy("row").agg(F.collect_list(F.struct("at", "length")).alias("found"))
+    owners = hits.select("row", "window").distinct().join(spread.filter("item is not null"), "window").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    out = rows.join(found, "row", "left").join(owners, "row", "left").select("id", "text", "found", "items")
+    return map_batches(out, lambda: lambda c: [c[0], *map(list, zip(*map(_spread, *c[1:])))], _schema(docs, id_col))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
-    """Documents without a hit, all their columns. On the shuffled way documents go by id, so rows of null id stay."""
+    """Documents without a hit, all their columns; each row for itself, whatever its id."""
     items, small = _measured(benchmark, item_col, item_text_col, max_broadcast)
     if not small:
-        hit = _scan_shuffled(docs, items, n, id_col, text_col).filter("n_hit > 0").select(id_col)
-        return docs.join(hit, id_col, "left_anti")
+        rows = materialise(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "decontam-rows")
+        hits, _ = _hits(rows.select("row", F.col("doc").getField(text_col).cast("string").alias("text")), items, n)
+        return rows.join(hits.select("row").distinct(), "row", "left_anti").select("doc.*")
     windows = docs.sparkSession.sparkContext.broadcast(WindowSet([tuple(r) for r in items.collect()], n))
 
     def make():
