@@ -26,7 +26,7 @@ def event_stream(spark, sf_dir):
 def live_session_state(spark, sf_dir):
     """ST6 to ST10: the state of each session after all its heartbeats, kept by a stateful stream operator."""
     kind = F.when((F.col("event_type") == "error") & (F.col("value") > 90), "fail").otherwise("beat")
-    beats = event_stream(spark, sf_dir).select(F.col("user_id").alias("key"), F.unix_millis("ts").alias("ms"), kind.alias("kind"), "value")
+    beats = event_stream(spark, sf_dir).select(F.col("user_id").alias("key"), F.unix_millis("ts").alias("ms"), kind.alias("kind"), "value", F.col("event_id").alias("seq"))
     out = sessions.run_available(spark, sessions.session_states(beats), f"live-{uuid.uuid4().hex}")
     last = out.groupBy("key").agg(F.max(F.struct("epoch", "count", "status")).alias("s"))
     return last.select("key", F.col("s.count").alias("n"), F.col("s.status").alias("status"))

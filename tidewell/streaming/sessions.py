@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,48 +13,90 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewell.session import shared_dir, ship_code
 
-#: A session is forgotten that long after it was first seen.
+#: A session is forgotten that long after it was first seen, by the clock of the workers.
 FORGET_MS = 3_600_000
-STATE = "first_seen long, last_seen long, count long, total double, status string"
+STATE = "first_seen long, last_seen long, count long, total double, status string, seen_at long"
 OUTPUT = "key long, first_seen long, last_seen long, count long, status string"
 
 
+def _until_end(batches: Iterator[pd.DataFrame]) -> tuple[int | None, int | None, int, float, str | None]:
+    """First and last time of one key's rows, how many rows come up to its first ending event and their sum, and that
+    event's kind. Rows come in chunks of any order, so the end is known after the last one; until then each chunk
+    leaves 24 bytes for a row that isn't yet known to follow an end."""
+    first = last = end = kind_at_end = None
+    kept: list[np.ndarray] = []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        ms = pdf["ms"].to_numpy(np.int64)
+        seq = pdf["seq"].to_numpy(np.int64)
+        first, last = int(ms.min()) if first is None else min(first, int(ms.min())), int(ms.max()) if last is None else max(last, int(ms.max()))
+        rows = np.empty(len(pdf), [("ms", np.int64), ("seq", np.int64), ("value", np.float64)])
+        rows["ms"], rows["seq"], rows["value"] = ms, seq, np.nan_to_num(pdf["value"].to_numpy(np.float64, na_value=np.nan))
+        kept.append(rows)
+        ends = pdf["kind"].isin(["finish", "fail"]).to_numpy()
+        for at, kind in sorted(zip(zip(ms[ends].tolist(), seq[ends].tolist()), pdf["kind"].to_numpy()[ends]))[:1]:
+            if end is None or (at, kind) < (end, kind_at_end):
+                end, kind_at_end = at, kind
+                kept = [x[(x["ms"] < at[0]) | ((x["ms"] == at[0]) & (x["seq"] <= at[1]))] for x in kept]
+        if end is not None:
+            x = kept[-1]
+            kept[-1] = x[(x["ms"] < end[0]) | ((x["ms"] == end[0]) & (x["seq"] <= end[1]))]
+    return first, last, sum(map(len, kept)), float(sum(x["value"].sum() for x in kept)), kind_at_end
+
+
 def track(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """One key's heartbeats: counts are emitted when they change; ``finish`` events end a session, ``fail`` events end
-    it as failed; after the end nothing re-opens it in this state. A timeout forgets the key."""
-    if state.hasTimedOut:
-        first, last, count, _, status = state.get
-        state.remove()
-        yield pd.DataFrame([(key[0], first, last, count, "forgotten" if status == "running" else status)], columns=["key", "first_seen", "last_seen", "count", "status"])
-        return
-    first, last, count, total, status = state.get if state.exists else (None, None, 0, 0.0, "running")
+    it as failed. A session that still runs ``FORGET_MS`` after it was first seen is forgotten, whatever came since.
+    After either nothing re-opens it in this state, so its row stays there."""
+    first, last, count, total, status, seen_at = state.get if state.exists else (None, None, 0, 0.0, "running", None)
     before = count, status
-    for pdf in batches:
-        pdf = pdf.sort_values("ms")
-        for ms, kind, value in zip(pdf["ms"], pdf["kind"], pdf["value"]):
-            first, last = ms if first is None else min(first, ms), ms if last is None else max(last, ms)
-            if status == "running":
-                count, total = count + 1, total + (0.0 if pd.isna(value) else float(value))
-                status = {"finish": "complete", "fail": "failed"}.get(kind, status)
-    state.update((int(first), int(last), int(count), float(total), status))
+    if state.hasTimedOut:
+        status = "forgotten"
+    else:
+        now = state.getCurrentProcessingTimeMs()
+        seen_at = now if seen_at is None else seen_at
+        if status == "running" and now - seen_at > FORGET_MS:
+            status = "forgotten"
+        low, high, n, value, kind = _until_end(batches)
+        if low is not None:
+            first, last = low if first is None else min(first, low), high if last is None else max(last, high)
+        if status == "running":
+            count, total, status = count + n, total + value, {"finish": "complete", "fail": "failed"}.get(kind, status)
+    state.update((int(first), int(last), int(count), float(total), status, int(seen_at)))
+    if status == "running":
+        state.setTimeoutDuration(max(1, int(seen_at) + FORGET_MS + 1 - now))
     if (count, status) != before:
         yield pd.DataFrame([(key[0], int(first), int(last), int(count), status)], columns=["key", "first_seen", "last_seen", "count", "status"])
 
 
 def session_states(beats: DataFrame) -> DataFrame:
-    """``beats``: a stream with ``key long, ms long, kind string, value double``. Emits a key's state on change."""
+    """``beats``: a stream with ``key long, ms long, kind string, value double`` and, where times can tie, ``seq long``
+    that orders beats of one time. Emits a key's state on change."""
     ship_code(beats.sparkSession)
-    return beats.groupBy("key").applyInPandasWithState(track, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
+    seq = F.col("seq").cast("long") if "seq" in beats.columns else F.lit(0).cast("long")
+    rows = beats.withColumn("seq", F.coalesce(seq, F.lit(0).cast("long")))
+    return rows.groupBy("key").applyInPandasWithState(track, OUTPUT, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def run_available(spark: SparkSession, stream: DataFrame, name: str, mode: str = "update") -> DataFrame:
-    """Drain what is there now (a restart goes on from the checkpoint) and return all that was emitted, by batch."""
+    """Drain what is there now (a restart goes on from the checkpoint) and return all that was emitted, by batch.
+
+    In update mode there are no batches without data: with processing-time timers they would never end. Timers that
+    are due then fire along with the next data."""
     base = f"{shared_dir(spark)}/tidewell/stream-{name}"
 
     def sink(df: DataFrame, epoch: int) -> None:
         df.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{base}/out/epoch={epoch:09d}")
 
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(sink).start()
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(sink)
+    idle = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(idle)
+    spark.conf.set(idle, str(mode != "update").lower())
+    try:
+        query = writer.start()  # takes a copy of the session's settings
+    finally:
+        spark.conf.set(idle, before)
     query.awaitTermination()
     schema = T.StructType([*stream.schema.fields, T.StructField("epoch", T.IntegerType())])
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/out")
