@@ -39,6 +39,41 @@ def test_learns_from_positive_and_unlabelled(spark):
     assert {r.score for r in toxicity.score(d, None).collect()} == {0.0}
 
 
+def _of(text):
+    return set(toxicity.features([text])[1].tolist())
+
+
+def test_words_count_to_their_end():
+    a, b = "incomprehensibilities", "incomprehensibilityxx"
+    assert a[:16] == b[:16] and _of(a) != _of(b)
+    assert len({frozenset(_of("x" * 40 + c)) for c in "abcdefg"}) == 7
+    assert _of("clean\u00a0vilebad\u3002Grimtext") == _of("clean vilebad grimtext")
+    assert _of("a\u200cb") != _of("a b")
+
+
+def test_parts_of_runs_without_spaces_count():
+    han = "".join(chr(0x4E00 + k) for k in range(3000))
+    full = _of(han)
+    for k in (0, 7, 1500, 2990):
+        assert _of(han[k : k + 3]) & full, k
+        assert full - _of(han[:k] + "\u9f8d" + han[k + 1 :]), k
+    tail = "donaudampfschifffahrtsgesellschafts"
+    assert len((_of(tail + "grimtext") & _of("hauptverwaltungsrats" + "grimtext")) - _of(tail)) >= 10
+    texts = [han, None, "a b", "wörld" * 9, "", "x" * 17, "x" * 16]
+    off, idx = toxicity.features(texts)
+    assert all(set(idx[off[i] : off[i + 1]].tolist()) == (_of(t) if t else set()) for i, t in enumerate(texts))
+
+
+def test_learns_without_spaces(spark):
+    rng = np.random.default_rng(1)
+    run = lambda n: "".join(chr(0x4E00 + c) for c in rng.integers(0, 400, n))
+    rows = [(i, run(40) + ("\u9f8d\u9f9c\u9f9f" if i % 6 == 0 else "") + run(40)) for i in range(900)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    l = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(0, 900, 2)], "doc_id long, toxic int")
+    got = toxicity.score(d, toxicity.train(d, l)).collect()
+    assert sum((r.score >= 0.5) != (r.doc_id % 6 == 0) for r in got) < 15
+
+
 def test_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op10_toxicity(spark, sf)

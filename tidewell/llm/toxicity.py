@@ -6,7 +6,9 @@ term falls below zero its gradient is turned round, as the non-negative estimato
 that the share of U above one half is the prior.
 
 A text's features are the presence of hashed words and of hashed word beginnings, so inflected and compound forms
-share weight with their stems. Only features that stand out in P against U weigh anything (``MIN_POSITIVE``
+share weight with their stems. Words end at ASCII other than letters and digits, and at spaces and punctuation beyond
+ASCII. Runs that may hold several words, those of over ``REACH`` bytes and those with letters beyond ASCII (scripts
+without spaces among them), give their ``GRAMS`` too, so that any part of a text can weigh. Only features that stand out in P against U weigh anything (``MIN_POSITIVE``
 documents of P and ``MIN_LIFT`` standard deviations), which keeps long clean texts from collecting weight by chance.
 
 The fit takes a bounded sample (``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents, those whose ids hash lowest); the
@@ -19,6 +21,8 @@ repeated rows give repeated results; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,35 +32,82 @@ from tidewell.llm.common import fold, keep_where, lowest_hashes, map_batches
 
 #: Hash space of the features; documents that the fit takes; toxic documents and standard deviations that a feature needs; lengths (bytes) of beginnings.
 BITS, MAX_POSITIVE, MAX_UNLABELLED, MIN_POSITIVE, MIN_LIFT, BEGINNINGS = 18, 3000, 6000, 5, 8.0, (5, 6, 7, 8, 9)
-#: Bytes of a word that its hash takes; longer words with the same start are one word.
-REACH = 16
+#: Bytes of a word hashed one by one (longer words are hashed by segment); letters of the n-grams; size of the feature space, words before n-grams.
+REACH, GRAMS, SPACE = 16, (2, 3, 4, 6), 2 << BITS
 _WORD = np.array([48 <= c <= 57 or 97 <= c <= 122 or c >= 128 for c in range(256)])
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX, _FNV, _BASIS = np.uint64(0x9E3779B97F4A7C15), np.uint64(1099511628211), np.uint64(14695981039346656037)
+#: Spaces, punctuation and controls beyond ASCII (joiners inside words are none).
+_GAPS = re.compile("[\x80-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf\xd7\xf7\u1680\u2000-\u200b\u200e-\u2069\u2e00-\u2e5d\u3000-\u3004\u3008-\u3020\u3030\u30fb\ufe30-\ufe4f\ufeff\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+
+
+def _bytes(text: str | None) -> bytes:
+    if not text:
+        return b""
+    return (text if text.isascii() else _GAPS.sub(" ", text)).lower().encode()
+
+
+def _long_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Hashes of whole runs of bytes, and (run, hash) of their n-grams of letters."""
+    size = end - start
+    run = np.repeat(np.arange(start.size), size)
+    data = data[np.arange(run.size) + np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size)]
+    first = np.flatnonzero((data & 0xC0) != 0x80)
+    run, length = run[first], np.diff(np.append(first, data.size))
+    letter = data[first].astype(np.uint64)
+    for j in (1, 2, 3):
+        more = np.flatnonzero(length > j)
+        letter[more] = letter[more] << np.uint64(8) | data[first[more] + j]
+    letter = (letter + np.uint64(1)) * _MIX
+    at = np.flatnonzero(np.diff(run, prepend=-1))
+    place = np.arange(run.size) - at[run]
+    power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(int(place.max()), _FNV))))
+    whole = np.add.reduceat((letter ^ letter >> np.uint64(29)) * power[place], at)
+    grams, key = [], np.full(run.size, _BASIS)
+    for n in range(max(GRAMS)):
+        live = run.size - n
+        if live <= 0:
+            break
+        key = (key[:live] ^ letter[n:]) * _FNV
+        key ^= key >> np.uint64(31)
+        if n + 1 in GRAMS:
+            inside = run[:live] == run[n:]
+            grams.append((run[:live][inside], key[inside] ^ np.uint64(n)))
+    return whole, grams
 
 
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features of each text as (offsets, indices), whole texts at a time, vectorised."""
     if not texts:
         return np.zeros(1, np.int64), np.zeros(0, np.int32)
-    raws = [x.lower().encode() if x else b"" for x in texts]
+    raws = [_bytes(x) for x in texts]
     ends = np.cumsum([len(r) + 1 for r in raws])
     data = np.frombuffer(b" ".join(raws) + b" " * (REACH + 1), np.uint8)
     word = _WORD[data]
     start = np.flatnonzero(word[: ends[-1]] & ~np.concatenate(([False], word[: ends[-1] - 1])))
     doc = np.searchsorted(ends, start, side="right")
-    parts, key, live = [], np.full(start.size, 14695981039346656037, np.uint64), np.arange(start.size)
+    parts, key, live = [], np.full(start.size, _BASIS), np.arange(start.size)
     for j in range(REACH + 1):
-        inside = word[start[live] + j] if j < REACH else np.zeros(live.size, bool)
+        inside = word[start[live] + j]
         over = live[~inside]
         parts.append((doc[over], key[over] * _MIX ^ np.uint64(1)))  # a whole word
         live = live[inside]
-        if not live.size:
+        if not live.size or j == REACH:
             break
-        key[live] = (key[live] ^ data[start[live] + j]) * np.uint64(1099511628211)
+        key[live] = (key[live] ^ data[start[live] + j]) * _FNV
         if j + 1 in BEGINNINGS:
             parts.append((doc[live], key[live] * _MIX ^ np.uint64(2)))
+    end = np.flatnonzero(word[: ends[-1]] & ~word[1 : ends[-1] + 1]) + 1
+    beyond = np.concatenate(([0], np.cumsum(data >= 128)))
+    long = np.flatnonzero((end - start > REACH) | (beyond[end] > beyond[start]))
+    grams = []
+    if long.size:
+        whole, found = _long_runs(data, start[long], end[long])
+        parts.append((doc[live], whole[np.searchsorted(long, live)] * _MIX ^ np.uint64(1)))
+        grams = [(doc[long[run]], key * _MIX) for run, key in found]
     docs, keys = (np.concatenate(x) for x in zip(*parts))
-    both = np.unique(docs.astype(np.uint64) << np.uint64(32) | (keys * _MIX) >> np.uint64(64 - BITS))
+    both = docs.astype(np.uint64) << np.uint64(32) | (keys * _MIX) >> np.uint64(64 - BITS)
+    grams = [at.astype(np.uint64) << np.uint64(32) | (key * _MIX) >> np.uint64(64 - BITS) | np.uint64(1 << BITS) for at, key in grams]
+    both = np.unique(np.concatenate([both, *grams]))
     return np.searchsorted(both, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(32)), (both & np.uint64(2**32 - 1)).astype(np.int32)
 
 
@@ -77,11 +128,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.05, decay: float = 5e-5) -> tuple[np.ndarray, float]:
     """Weights and bias of the logistic model under the non-negative PU risk; Adam over the whole sample."""
-    seen = [np.bincount(np.concatenate(x), minlength=1 << BITS) for x in (positive, unlabelled)]
+    seen = [np.bincount(np.concatenate(x), minlength=SPACE) for x in (positive, unlabelled)]
     share = (seen[1] + 0.5) / (len(unlabelled) + 1)
     lift = (seen[0] - len(positive) * share) / np.sqrt(len(positive) * share * (1 - share))
     used = np.flatnonzero((seen[0] >= min(MIN_POSITIVE, max(1, len(positive) // 2))) & (lift >= min(MIN_LIFT, len(positive) ** 0.5 / 2)))
-    slot = np.full(1 << BITS, -1, np.int64)
+    slot = np.full(SPACE, -1, np.int64)
     slot[used] = np.arange(used.size)
     (p_at, p_index), (u_at, u_index) = _pack(positive, slot), _pack(unlabelled, slot)
     w, bias = np.zeros(used.size), np.log(prior / (1 - prior))
@@ -98,7 +149,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, bias = (w - step[:-1]) * (1 - rate * decay * 100), bias - step[-1]
     cut = max(np.quantile(_sums(w, u_at, u_index), 1 - prior), 1e-3)
-    full = np.zeros(1 << BITS, np.float32)
+    full = np.zeros(SPACE, np.float32)
     full[used] = w
     return full, float(-cut)
 
@@ -115,7 +166,7 @@ def _features_of(docs: DataFrame, limit: int) -> list[np.ndarray]:
 
     schema = T.StructType([T.StructField("f", T.ArrayType(T.IntegerType()))])
     rows = map_batches(docs.select("text"), make, schema).toLocalIterator()
-    return [np.asarray(r[0], np.int64) for _, r in zip(range(2 * limit), rows)]
+    return [np.asarray(r[0], np.int32) for _, r in zip(range(2 * limit), rows)]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark_col: str = "toxic", folds: int = 5) -> tuple[np.ndarray, float] | None:
@@ -139,7 +190,7 @@ def scores(texts: list[str | None], model: tuple[np.ndarray, float] | None) -> n
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``score double``; the weights (2**BITS floats, 1 MB) are broadcast."""
+    """``id_col``, ``score double``; the weights (``SPACE`` floats, 2 MB) are broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
