@@ -36,11 +36,22 @@ def content_sharing_pairs(spark, sf_dir):
     bl AS (SELECT a, b, sum(greatest(x.n - coalesce(y.n, 0), 0)) AS lacks FROM pairs JOIN f x ON x.doc_id = b LEFT JOIN f y ON y.doc_id = a AND y.line = x.line GROUP BY a, b)
     SELECT a, b, al.lacks = 0 AS a_in_b, bl.lacks = 0 AS b_in_a, CAST(bl.lacks AS BIGINT) AS unmatched FROM al JOIN bl USING (a, b)""")
 def multiset_containment(spark, sf_dir):
-    """Which of two datasets contains the other, as multisets of files."""
+    """Which of two datasets contains the other, as multisets of files of size 20 and more (all: ``multiset_containment_all``)."""
     f = lines(spark, sf_dir).filter("size >= 20").select("doc_id", F.sha2(F.col("line").cast("binary"), 256).alias("sha"))
     return dedup.containment(dedup.sharing_pairs(f, "doc_id", ["sha"]), f, "doc_id", ["sha"])
 
 
+@query(f"""WITH {LINES_SQL}, f AS (SELECT doc_id, line, any_value(size) AS size, count(*) AS n FROM lines GROUP BY doc_id, line),
+    pairs AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM f a JOIN f b ON a.line = b.line AND a.doc_id < b.doc_id WHERE a.size >= 20),
+    al AS (SELECT a, b, sum(greatest(x.n - coalesce(y.n, 0), 0)) AS lacks FROM pairs JOIN f x ON x.doc_id = a LEFT JOIN f y ON y.doc_id = b AND y.line = x.line GROUP BY a, b),
+    bl AS (SELECT a, b, sum(greatest(x.n - coalesce(y.n, 0), 0)) AS lacks FROM pairs JOIN f x ON x.doc_id = b LEFT JOIN f y ON y.doc_id = a AND y.line = x.line GROUP BY a, b)
+    SELECT a, b, al.lacks = 0 AS a_in_b, bl.lacks = 0 AS b_in_a, CAST(bl.lacks AS BIGINT) AS unmatched FROM al JOIN bl USING (a, b)""")
+def multiset_containment_all(spark, sf_dir):
+    """J6 over all files: the least size holds for the search of pairs only."""
+    f = lines(spark, sf_dir).select("doc_id", "size", F.sha2(F.col("line").cast("binary"), 256).alias("sha"))
+    return dedup.containment(dedup.sharing_pairs(f.filter("size >= 20"), "doc_id", ["sha"]), f, "doc_id", ["sha"])
+
+
 @query("WITH RECURSIVE d AS (SELECT doc_id, sha256(text) AS sha FROM documents), g AS (SELECT sha, min(doc_id) AS label, count(*) AS n FROM d GROUP BY sha) SELECT doc_id AS node, label FROM d JOIN g USING (sha) WHERE n > 1")
 def dup_components(spark, sf_dir):
     """G1: components of documents linked by equal digests."""
