@@ -63,11 +63,22 @@ def dup_components(spark, sf_dir):
     e AS (SELECT DISTINCT a.k AS u, b.k AS v FROM f a JOIN f b ON a.s = b.s AND a.k <> b.k), r(node, seen) AS (SELECT k, k FROM (SELECT DISTINCT u AS k FROM e) UNION SELECT r.node, e.v FROM r JOIN e ON e.u = r.seen)
     SELECT node, min(seen) AS label FROM r GROUP BY node""")
 def chained_components(spark, sf_dir):
-    """Components over chains of different links."""
-    d = read_table(spark, sf_dir, "documents").filter("doc_id % 2 = 1 and n_chars > 2500")
+    """G1: components over chains of different links, by odd ids of long documents (all: ``chained_components_all``)."""
+    return _chained(read_table(spark, sf_dir, "documents").filter("doc_id % 2 = 1 and n_chars > 2500"))
+
+
+def _chained(d):
     return dedup.content_groups(d.select("source", F.concat_ws(":", "lang", F.col("n_chars") % 400).alias("s")), "source", ["s"])
 
 
+@query("""WITH RECURSIVE f AS (SELECT DISTINCT source AS k, concat_ws(':', lang, n_chars % 400) AS s FROM documents WHERE source IS NOT NULL),
+    e AS (SELECT DISTINCT a.k AS u, b.k AS v FROM f a JOIN f b ON a.s = b.s AND a.k <> b.k), r(node, seen) AS (SELECT k, k FROM (SELECT DISTINCT u AS k FROM e) UNION SELECT r.node, e.v FROM r JOIN e ON e.u = r.seen)
+    SELECT node, min(seen) AS label FROM r GROUP BY node""")
+def chained_components_all(spark, sf_dir):
+    """G1 over all documents."""
+    return _chained(read_table(spark, sf_dir, "documents"))
+
+
 @query("WITH d AS (SELECT doc_id, n_chars, sha256(text) AS sha FROM documents), k AS (SELECT *, first_value(doc_id) OVER (PARTITION BY sha ORDER BY n_chars DESC, doc_id) AS keeper FROM d) SELECT doc_id, keeper, n_chars AS bytes, 'A1' AS tier, 'identical to ' || keeper AS evidence FROM k WHERE doc_id <> keeper")
 def dup_suggestions(spark, sf_dir):
     """Flagship (rule DUP1): copies identical to a kept copy and the bytes they take."""
@@ -176,6 +187,16 @@ def twin_files(spark, sf_dir):
 
 @query("WITH s AS (SELECT lang, source, doc_id % 10 AS m, string_agg(doc_id % 3 || ':' || n_chars % 7, ',' ORDER BY doc_id % 3, n_chars % 7) AS sig FROM documents WHERE doc_id % 5 = 0 GROUP BY ALL) SELECT lang, source FROM s GROUP BY ALL HAVING count(DISTINCT sig) > 1")
 def differing_groups(spark, sf_dir):
-    """Reported groups whose members no longer agree."""
-    d = read_table(spark, sf_dir, "documents").filter("doc_id % 5 = 0").select("lang", "source", (F.col("doc_id") % 10).alias("m"), (F.col("doc_id") % 3).alias("a"), (F.col("n_chars") % 7).alias("b"))
+    """Reported groups whose members no longer agree, by every fifth id (all: ``differing_groups_all``)."""
+    return _differing(read_table(spark, sf_dir, "documents").filter("doc_id % 5 = 0"))
+
+
+def _differing(d):
+    d = d.select("lang", "source", (F.col("doc_id") % 10).alias("m"), (F.col("doc_id") % 3).alias("a"), (F.col("n_chars") % 7).alias("b"))
     return dedup.differing_groups(d, ["lang", "source"], "m", ["a", "b"])
+
+
+@query("WITH s AS (SELECT lang, source, doc_id % 10 AS m, string_agg(doc_id % 3 || ':' || n_chars % 7, ',' ORDER BY doc_id % 3, n_chars % 7) AS sig FROM documents GROUP BY ALL) SELECT lang, source FROM s GROUP BY ALL HAVING count(DISTINCT sig) > 1")
+def differing_groups_all(spark, sf_dir):
+    """J26 over all documents."""
+    return _differing(read_table(spark, sf_dir, "documents"))
