@@ -23,3 +23,12 @@ def test_components_and_groups_see_every_document(spark, tmp_path):
     rows = [(1, "a", "en", 10), (2, "a", "en", 11), (3, "b", "en", 10), (33, "b", "en", 10)]
     got = run(spark, tmp_path / "d", "differing_groups_all", "documents", rows, schema).collect()
     assert sorted(map(tuple, got)) == [("en", "a")]
+
+
+def test_aliases_order_and_comparison_see_every_row(spark, tmp_path, sf):
+    rows = [(201, 7), (204, 7), (205, 7), (301, 8), (341, 9)]
+    got = run(spark, tmp_path, "alias_pairs_all", "supplier", rows, "s_suppkey long, s_nationkey long").collect()
+    assert sorted(map(tuple, got)) == [(201, 204, "path"), (201, 205, "path"), (204, 205, "path"), (301, 341, "inode")]
+    count = lambda name: spark.read.parquet(f"{sf}/{name}.parquet").count()
+    assert registry.QUERIES["hash_order_all"](spark, sf).count() == count("customer")
+    assert registry.QUERIES["volume_compare_all"](spark, sf).count() == count("embeddings") - 1

@@ -87,13 +87,23 @@ def final_tree(spark, sf_dir):
 
 @query("WITH r AS (SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN 'n' || s_nationkey WHEN 1 THEN 'n' || s_nationkey || '/x' ELSE 'm/' || s_suppkey END AS p, s_suppkey % 40 AS i FROM supplier WHERE s_suppkey <= 200), e AS (SELECT least(a.k, b.k) AS a, greatest(a.k, b.k) AS b, 0 AS r FROM r a JOIN r b ON a.k <> b.k AND (a.p = b.p OR starts_with(b.p, a.p || '/')) UNION ALL SELECT least(a.k, b.k), greatest(a.k, b.k), 1 FROM r a JOIN r b ON a.k <> b.k AND a.i = b.i) SELECT a, b, CASE WHEN min(r) = 0 THEN 'path' ELSE 'inode' END AS why FROM e GROUP BY a, b")
 def alias_pairs(spark, sf_dir):
-    """Roots that are one another under another name."""
+    """Roots that are one another under another name, keys up to 200 (all: ``alias_pairs_all``)."""
+    return _aliases(read_table(spark, sf_dir, "supplier").filter("s_suppkey <= 200"))
+
+
+def _aliases(suppliers):
     k = F.col("s_suppkey")
     path = F.when(k % 3 == 0, F.concat(F.lit("n"), F.col("s_nationkey").cast("string"))).when(k % 3 == 1, F.concat(F.lit("n"), F.col("s_nationkey").cast("string"), F.lit("/x"))).otherwise(F.concat(F.lit("m/"), k.cast("string")))
-    r = read_table(spark, sf_dir, "supplier").filter("s_suppkey <= 200").select(k.alias("k"), path.alias("p"), (k % 40).alias("i"))
+    r = suppliers.select(k.alias("k"), path.alias("p"), (k % 40).alias("i"))
     return exports.aliases(r, "k", "p", "i")
 
 
+@query("WITH r AS (SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN 'n' || s_nationkey WHEN 1 THEN 'n' || s_nationkey || '/x' ELSE 'm/' || s_suppkey END AS p, s_suppkey % 40 AS i FROM supplier), e AS (SELECT least(a.k, b.k) AS a, greatest(a.k, b.k) AS b, 0 AS r FROM r a JOIN r b ON a.k <> b.k AND (a.p = b.p OR starts_with(b.p, a.p || '/')) UNION ALL SELECT least(a.k, b.k), greatest(a.k, b.k), 1 FROM r a JOIN r b ON a.k <> b.k AND a.i = b.i) SELECT a, b, CASE WHEN min(r) = 0 THEN 'path' ELSE 'inode' END AS why FROM e GROUP BY a, b")
+def alias_pairs_all(spark, sf_dir):
+    """J9, P4 over all suppliers."""
+    return _aliases(read_table(spark, sf_dir, "supplier"))
+
+
 @query("WITH s AS (SELECT o_orderkey AS k, v.stage, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'failed' END AS status FROM orders, (VALUES ('crop'), ('deskew'), ('mip_encode')) v(stage)) SELECT k, stage, CASE WHEN k % 5 = 0 AND stage = 'deskew' THEN 'pending' WHEN k % 5 = 0 AND stage = 'mip_encode' THEN 'reset' ELSE status END AS status FROM s")
 def resubmission(spark, sf_dir):
     """ST17, SNK1, SNK2: a resubmitted stage resets the one after it."""
