@@ -32,3 +32,11 @@ def test_aliases_order_and_comparison_see_every_row(spark, tmp_path, sf):
     count = lambda name: spark.read.parquet(f"{sf}/{name}.parquet").count()
     assert registry.QUERIES["hash_order_all"](spark, sf).count() == count("customer")
     assert registry.QUERIES["volume_compare_all"](spark, sf).count() == count("embeddings") - 1
+
+
+def test_touched_components_come_whole(spark):
+    from tidewell.operators import graph
+
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6), (7, 6)], "node long, label long")
+    touched = spark.createDataFrame([(2,), (3,), (7,), (99,), (None,)], "k long")
+    assert sorted(map(tuple, graph.touched_components(labels, touched, "k").collect())) == [(1, 1), (2, 1), (3, 1), (6, 6), (7, 6)]

@@ -59,3 +59,10 @@ def components(edges: DataFrame) -> DataFrame:
         return spark.createDataFrame([], f"node {kind}, label {kind}")
     least = labels.groupBy("label").agg(F.min("node").alias("least"))
     return salted_join(labels, least, "label", "node").select("node", F.col("least").alias("label"))
+
+
+def touched_components(labels: DataFrame, touched: DataFrame, key: str) -> DataFrame:
+    """``node``, ``label`` of all members of the components that hold a key of ``touched``; keys without a component
+    add nothing."""
+    hit = labels.join(touched.select(F.col(key).alias("node")), "node", "left_semi").select("label").distinct()
+    return labels.join(hit, "label", "left_semi").select("node", "label")
