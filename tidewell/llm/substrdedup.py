@@ -1,38 +1,46 @@
 """Substring dedup by hashing units of lines.
 
 A text is cut into contiguous units: after each line end, and within a line after sentence marks that white space
-follows once a unit has ``UNIT_WORDS`` words. A unit is normalised (lower case, white space collapsed) and hashed. Digests are grouped globally by one
-aggregation; the earliest occurrence in the order of (id, hash of the text, position) is kept and all others are
-marked. In each document, runs of marked units are removed if they hold at least ``MIN_WORDS`` words: so a repeated
-passage goes wherever in a line it stands, and short sentences that happen to repeat stay. Units of fewer than
-``UNIT_WORDS`` words aren't hashed; a few of them, not as many words together, go with a run on both sides of them.
+follows once a unit has ``UNIT_WORDS`` words. A unit with words is normalised (lower case, white space collapsed) and
+hashed (128 bits). Digests are grouped globally by one aggregation; the earliest occurrence in the order of (id, hash
+of the text, position) is kept and all others are marked. Marked units of a document form a run while fewer than
+``UNIT_WORDS`` words stand between two of them; the marked units of a run go if they hold ``min_words`` words
+together, and nothing else goes. So every character that is removed stands in a unit that occurs earlier.
 
-Offsets of what is removed refer to the original text (characters). Digests are 96 bits.
+``min_words`` = 1 removes every repeated unit. The default, ``MIN_WORDS``, leaves short lines and sentences that
+happen to repeat (headings, license lines) where they are.
 
-Edge cases: null texts stay null and have no units; empty texts have none; rows that repeat as a whole are one place,
-so both keep or lose the same; a text of which all goes becomes empty, its row stays; other columns are ignored.
+Texts are cut and hashed once, in a stage of its own whose result is a table; the joins work on digests and positions.
+Offsets of what is removed refer to the original text (characters).
+
+Edge cases: null texts stay null and have no units; empty texts have none; units of white space are never marked; rows
+that repeat as a whole are one place, so both keep or lose the same; a text of which all goes becomes empty, its row
+stays; other columns are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import re
 
+import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import map_batches
-from tidewell.session import materialise
+from tidewell.llm.common import bound_batches, map_batches
+from tidewell.session import discard, materialise
 
-#: Words that a removed run has at least, and words that a unit needs to be hashed.
+#: Words that the marked units of a run hold at least, and words of a sentence that ends a unit (also: of a gap that ends a run).
 MIN_WORDS, UNIT_WORDS = 20, 4
 _END = re.compile(r"[.!?]+\s+|\n+")
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+_KEY = ["none", "id", "th"]
 
 
-def units(text: str | None) -> list[tuple[int, int]]:
-    """Start and end of each unit; together they cover the text."""
+def cut(text: str | None) -> list[int]:
+    """Where units begin, and the end of the text; empty for an empty text."""
     if not text:
         return []
     cuts = [0]
@@ -41,76 +49,99 @@ def units(text: str | None) -> list[tuple[int, int]]:
             cuts.append(m.end())
     if cuts[-1] < len(text):
         cuts.append(len(text))
-    return list(zip(cuts, cuts[1:]))
-
-
-def digest(unit: str) -> tuple[int, int] | None:
-    """96 bits of the normalised unit; None if it has too few words."""
-    words = unit.lower().split()
-    if len(words) < UNIT_WORDS:
-        return None
-    data = " ".join(words).encode()
-    return xxhash.xxh64_intdigest(data) - (1 << 63), xxhash.xxh32_intdigest(data, 7) - (1 << 31)
-
-
-def removed(text: str | None, marked: list[int] | None, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Spans to remove, given which units are later occurrences."""
-    if not marked:
-        return []
-    cuts, marks, out, run, gap = units(text), set(marked), [], [], 0
-    for k, (a, b) in enumerate([*cuts, (len(text), len(text))]):
-        if k in marks:
-            run.append(k)
-            gap = 0
-            continue
-        gap += len(text[a:b].split())
-        if run and (k == len(cuts) or gap >= UNIT_WORDS):
-            first, last = cuts[run[0]][0], cuts[run[-1]][1]
-            if len(text[first:last].split()) >= min_words:
-                out.append((first, last))
-            run = []
-    return out
-
-
-def marked_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``th`` (hash of the text), ``marked array<int>``: units that occur earlier elsewhere."""
-
-    def make():
-        def step(columns):
-            out = [[], [], [], [], []]
-            for doc, th, text in zip(*columns):
-                for k, (a, b) in enumerate(units(text)):
-                    if d := digest(text[a:b]):
-                        for column, value in zip(out, (doc, th, k, *d)):
-                            column.append(value)
-            return out
-
-        return step
-
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("th", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("d1", T.LongType()), T.StructField("d2", T.IntegerType())])
-    found = map_batches(docs.select(id_col, F.xxhash64(text_col), F.col(text_col).cast("string")), make, schema)
+    return cuts
+
+
+def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per text: ``none`` (id is null), ``id``, ``th`` (hash of the text), ``cuts`` (where units begin, and
+    the end), ``words`` (in front of each cut), ``digests`` (null for a unit without words)."""
+    spark = docs.sparkSession
+    bound_batches(spark)
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            cuts, words, raw, sizes = [], [], [], []
+            for text in batch.column(2).to_pylist():
+                own = cut(text)
+                cuts += own
+                total = 0
+                words += [0] * bool(own)
+                for a, b in zip(own, own[1:]):
+                    unit = text[a:b].lower().split()
+                    total += len(unit)
+                    words.append(total)
+                    raw.append(xxhash.xxh3_128_digest(" ".join(unit).encode()))
+                sizes.append(len(own))
+            sizes = np.array(sizes, np.int64)
+            at = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+            unit_at = pa.array(np.concatenate(([0], np.cumsum(np.maximum(sizes - 1, 0)))), pa.int32())
+            words = np.array(words, np.int32)
+            starts = np.ones(words.size, bool)
+            starts[np.cumsum(sizes)[sizes > 0] - 1] = False
+            empty = np.diff(words, append=0)[starts] == 0
+            halves = np.frombuffer(b"".join(raw), "<i8").reshape(-1, 2)
+            digests = pa.StructArray.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=["d1", "d2"], mask=pa.array(empty))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(at, pa.array(np.array(cuts, np.int32))), pa.ListArray.from_arrays(at, pa.array(words)), pa.ListArray.from_arrays(unit_at, digests)],
+                names=["id", "th", "cuts", "words", "digests"],
+            )
+
+    digest = T.StructType([T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType())])
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("th", T.LongType()), T.StructField("cuts", T.ArrayType(T.IntegerType())), T.StructField("words", T.ArrayType(T.IntegerType())), T.StructField("digests", T.ArrayType(digest))])
+    return rows.mapInArrow(run, schema).withColumn("none", F.col("id").isNull())
+
+
+def _stretches(items: Column, new: callable) -> Column:
+    """``items`` in slices; ``new(a, b)`` tells whether a slice ends between two neighbours."""
+    first = F.filter(F.sequence(F.lit(0), F.size(items) - 1), lambda k: (k == 0) | new(F.get(items, k - 1), F.get(items, k)))
+    return F.transform(first, lambda lo, j: F.slice(items, lo + 1, F.coalesce(F.get(first, j + 1), F.size(items)) - lo))
+
+
+def removed(cut_texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``none``, ``id``, ``th``, ``spans`` of the texts that lose something; ``cut_texts`` is the written table of
+    :func:`units`."""
+    found = cut_texts.select(*_KEY, F.posexplode("digests").alias("pos", "d")).filter("d is not null").select(*_KEY, "pos", "d.*")
     place = F.struct("id", "th", "pos")
     first = found.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
     first = materialise(first, "substrdedup-first")  # apart from the join, so that a hot key of the join can be split
-    return found.join(first, ["d1", "d2"]).filter(place > F.col("first")).groupBy("id", "th").agg(F.collect_set("pos").alias("marked"))
+    later = found.join(first, ["d1", "d2"]).filter(place > F.col("first")).drop("d1", "d2", "first")
+    marks = later.withColumn("id", F.coalesce("id", _zero(cut_texts.schema["id"].dataType))).groupBy(*_KEY).agg(F.sort_array(F.collect_set("pos")).alias("m"))
+    texts = cut_texts.select("none", F.coalesce("id", _zero(cut_texts.schema["id"].dataType)).alias("id"), "th", "cuts", "words")
+    before = lambda k: F.get("words", k)
+    runs = _stretches(F.col("m"), lambda a, b: before(b) - before(a + 1) >= UNIT_WORDS)
+    enough = lambda run: F.aggregate(run, F.lit(0), lambda n, k: n + before(k + 1) - before(k)) >= min_words
+    rows = marks.join(texts, _KEY).withColumn("runs", runs).select(*_KEY, "cuts", F.flatten(F.filter("runs", enough)).alias("m")).filter(F.size("m") > 0)
+    rows = rows.withColumn("s", _stretches(F.col("m"), lambda a, b: b != a + 1))
+    span = lambda s: F.struct(F.get("cuts", F.get(s, F.lit(0))).alias("start"), F.get("cuts", F.element_at(s, -1) + 1).alias("end"))
+    rows = rows.select(*_KEY, F.transform("s", span).alias("spans")).groupBy(*_KEY).agg(F.any_value("spans").alias("spans"))  # rows that repeat
+    spans = materialise(rows, "substrdedup-spans")
+    discard(first)
+    return spans
+
+
+def _zero(kind: T.DataType) -> Column:
+    """Stands for a null id, beside ``none``, so that keys can be compared plainly."""
+    return F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``id_col``, ``text_col`` cleaned, ``spans`` (characters of the original that go), ``n_removed`` (characters)."""
-    found = marked_units(docs, id_col, text_col).withColumnsRenamed({"id": "id_", "th": "th_"})
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text_"), F.xxhash64(text_col).alias("own_"))
-    rows = rows.join(found, F.col(id_col).eqNullSafe(F.col("id_")) & (F.col("own_") == F.col("th_")), "left").select(id_col, "text_", "marked")
+    cut_texts = materialise(units(docs, id_col, text_col), "substrdedup-units")
+    spans = removed(cut_texts, min_words)
+    discard(cut_texts)
+    kind = docs.schema[id_col].dataType
+    rows = docs.select(F.col(id_col).alias("own"), F.col(text_col).cast("string").alias("text"), F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col), _zero(kind)).alias("id"), F.xxhash64(text_col).alias("th"))
+    rows = rows.join(spans, _KEY, "left").select("own", "text", "spans")
 
     def make():
         def step(columns):
-            texts, spans, gone = [], [], []
-            for text, marked in zip(columns[1], columns[2]):
-                cut = removed(text, marked, min_words)
-                edges = [0, *(x for s in cut for x in s), len(text or "")]
-                texts.append(text if not cut else "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
-                spans.append([{"start": a, "end": b} for a, b in cut])
-                gone.append(sum(b - a for a, b in cut))
-            return [columns[0], texts, spans, gone]
+            texts, gone = [], []
+            for text, spans in zip(columns[1], columns[2]):
+                edges = [0, *(x for s in spans or () for x in (s["start"], s["end"])), len(text or "")]
+                texts.append("".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])) if spans else text)
+                gone.append(sum(s["end"] - s["start"] for s in spans or ()))
+            return [columns[0], texts, [s or [] for s in columns[2]], gone]
 
         return step
 
