@@ -11,27 +11,27 @@ def run(spark, path, name, table, rows, schema):
 def test_containment_sees_short_lines(spark, tmp_path):
     long = "a line of more than twenty characters"
     rows = [(1, f"{long}\nshort"), (2, f"{long}\nother\nother"), (3, f"{long}\nshort\n"), (4, "short")]
-    got = run(spark, tmp_path, "multiset_containment_all", "documents", rows, "doc_id long, text string").collect()
+    got = run(spark, tmp_path, "multiset_containment", "documents", rows, "doc_id long, text string").collect()
     assert sorted((r.a, r.b, r.a_in_b, r.b_in_a, r.unmatched) for r in got) == [(1, 2, False, False, 2), (1, 3, True, False, 1), (2, 3, False, False, 2)]
 
 
 def test_components_and_groups_see_every_document(spark, tmp_path):
     schema = "doc_id long, source string, lang string, n_chars long"
     rows = [(2, "a", "en", 10), (4, "b", "en", 410), (1, "b", "de", 20), (6, "c", "de", 420), (3, "d", "fr", 30)]
-    got = run(spark, tmp_path / "c", "chained_components_all", "documents", rows, schema).collect()
+    got = run(spark, tmp_path / "c", "chained_components", "documents", rows, schema).collect()
     assert sorted(map(tuple, got)) == [("a", "a"), ("b", "a"), ("c", "a")]
     rows = [(1, "a", "en", 10), (2, "a", "en", 11), (3, "b", "en", 10), (33, "b", "en", 10)]
-    got = run(spark, tmp_path / "d", "differing_groups_all", "documents", rows, schema).collect()
+    got = run(spark, tmp_path / "d", "differing_groups", "documents", rows, schema).collect()
     assert sorted(map(tuple, got)) == [("en", "a")]
 
 
 def test_aliases_order_and_comparison_see_every_row(spark, tmp_path, sf):
     rows = [(201, 7), (204, 7), (205, 7), (301, 8), (341, 9)]
-    got = run(spark, tmp_path, "alias_pairs_all", "supplier", rows, "s_suppkey long, s_nationkey long").collect()
+    got = run(spark, tmp_path, "alias_pairs", "supplier", rows, "s_suppkey long, s_nationkey long").collect()
     assert sorted(map(tuple, got)) == [(201, 204, "path"), (201, 205, "path"), (204, 205, "path"), (301, 341, "inode")]
     count = lambda name: spark.read.parquet(f"{sf}/{name}.parquet").count()
-    assert registry.QUERIES["hash_order_all"](spark, sf).count() == count("customer")
-    assert registry.QUERIES["volume_compare_all"](spark, sf).count() == count("embeddings") - 1
+    assert registry.QUERIES["hash_order"](spark, sf).count() == count("customer")
+    assert registry.QUERIES["volume_compare"](spark, sf).count() == count("embeddings") - 1
 
 
 def test_touched_components_come_whole(spark):

@@ -90,26 +90,15 @@ def mirror_symmetry(spark, sf_dir):
     return read_table(spark, sf_dir, "embeddings").select("vec_id", F.round(arrays.mirror_symmetry(F.col("embedding")), 6).alias("r"))
 
 
-@query(f"WITH {DIMS_SQL} SELECT a.vec_id, bool_and(a.v = b.v) AS identical, round(corr(a.v, b.v), 6) AS r, round(max(abs(a.v - b.v)), 6) AS max_abs, round(quantile_cont(abs(a.v - b.v), 0.5), 6) AS median_abs FROM d a JOIN d b ON a.vec_id + 1 = b.vec_id AND a.dim = b.dim WHERE a.vec_id % 2 = 0 GROUP BY a.vec_id")
+@query(f"WITH {DIMS_SQL} SELECT a.vec_id, bool_and(a.v = b.v) AS identical, round(corr(a.v, b.v), 6) AS r, round(max(abs(a.v - b.v)), 6) AS max_abs, round(quantile_cont(abs(a.v - b.v), 0.5), 6) AS median_abs FROM d a JOIN d b ON a.vec_id + 1 = b.vec_id AND a.dim = b.dim GROUP BY a.vec_id")
 def volume_compare(spark, sf_dir):
-    """How alike two volumes are, the first of even id (all: ``volume_compare_all``)."""
+    """How alike two neighbouring volumes are."""
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return _compared(e.filter("vec_id % 2 = 0"), e)
-
-
-def _compared(one, e):
-    pair = one.join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other")), "vec_id")
+    pair = e.join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other")), "vec_id")
     c = pair.select("vec_id", arrays.compare(F.col("embedding"), F.col("other")).alias("c")).select("vec_id", "c.*")
     return c.select("vec_id", "identical", *(F.round(k, 6).alias(k) for k in ("r", "max_abs", "median_abs")))
 
 
-@query(f"WITH {DIMS_SQL} SELECT a.vec_id, bool_and(a.v = b.v) AS identical, round(corr(a.v, b.v), 6) AS r, round(max(abs(a.v - b.v)), 6) AS max_abs, round(quantile_cont(abs(a.v - b.v), 0.5), 6) AS median_abs FROM d a JOIN d b ON a.vec_id + 1 = b.vec_id AND a.dim = b.dim GROUP BY a.vec_id")
-def volume_compare_all(spark, sf_dir):
-    """J23, J24 over all neighbouring pairs."""
-    e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return _compared(e, e)
-
-
 @query("WITH p AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z FROM embeddings) SELECT a.vec_id, round(min(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2)) FILTER (WHERE sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) <= 0.1), 6) AS nearest FROM p a LEFT JOIN p b ON a.label = b.label AND a.vec_id <> b.vec_id GROUP BY a.vec_id")
 def nearest_neighbour(spark, sf_dir):
     """Nearest other point within reach, over a grid of cells."""

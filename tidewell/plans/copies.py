@@ -30,24 +30,13 @@ def content_sharing_pairs(spark, sf_dir):
     return dedup.sharing_pairs(d, "source", ["sha"])
 
 
-@query(f"""WITH {LINES_SQL}, f AS (SELECT doc_id, line, count(*) AS n FROM lines WHERE size >= 20 GROUP BY ALL),
-    pairs AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM f a JOIN f b ON a.line = b.line AND a.doc_id < b.doc_id),
-    al AS (SELECT a, b, sum(greatest(x.n - coalesce(y.n, 0), 0)) AS lacks FROM pairs JOIN f x ON x.doc_id = a LEFT JOIN f y ON y.doc_id = b AND y.line = x.line GROUP BY a, b),
-    bl AS (SELECT a, b, sum(greatest(x.n - coalesce(y.n, 0), 0)) AS lacks FROM pairs JOIN f x ON x.doc_id = b LEFT JOIN f y ON y.doc_id = a AND y.line = x.line GROUP BY a, b)
-    SELECT a, b, al.lacks = 0 AS a_in_b, bl.lacks = 0 AS b_in_a, CAST(bl.lacks AS BIGINT) AS unmatched FROM al JOIN bl USING (a, b)""")
-def multiset_containment(spark, sf_dir):
-    """Which of two datasets contains the other, as multisets of files of size 20 and more (all: ``multiset_containment_all``)."""
-    f = lines(spark, sf_dir).filter("size >= 20").select("doc_id", F.sha2(F.col("line").cast("binary"), 256).alias("sha"))
-    return dedup.containment(dedup.sharing_pairs(f, "doc_id", ["sha"]), f, "doc_id", ["sha"])
-
-
 @query(f"""WITH {LINES_SQL}, f AS (SELECT doc_id, line, any_value(size) AS size, count(*) AS n FROM lines GROUP BY doc_id, line),
     pairs AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM f a JOIN f b ON a.line = b.line AND a.doc_id < b.doc_id WHERE a.size >= 20),
     al AS (SELECT a, b, sum(greatest(x.n - coalesce(y.n, 0), 0)) AS lacks FROM pairs JOIN f x ON x.doc_id = a LEFT JOIN f y ON y.doc_id = b AND y.line = x.line GROUP BY a, b),
     bl AS (SELECT a, b, sum(greatest(x.n - coalesce(y.n, 0), 0)) AS lacks FROM pairs JOIN f x ON x.doc_id = b LEFT JOIN f y ON y.doc_id = a AND y.line = x.line GROUP BY a, b)
     SELECT a, b, al.lacks = 0 AS a_in_b, bl.lacks = 0 AS b_in_a, CAST(bl.lacks AS BIGINT) AS unmatched FROM al JOIN bl USING (a, b)""")
-def multiset_containment_all(spark, sf_dir):
-    """J6 over all files: the least size holds for the search of pairs only."""
+def multiset_containment(spark, sf_dir):
+    """Which of two datasets contains the other, as multisets of all files; a least size holds for the search of pairs only."""
     f = lines(spark, sf_dir).select("doc_id", "size", F.sha2(F.col("line").cast("binary"), 256).alias("sha"))
     return dedup.containment(dedup.sharing_pairs(f.filter("size >= 20"), "doc_id", ["sha"]), f, "doc_id", ["sha"])
 
@@ -59,26 +48,15 @@ def dup_components(spark, sf_dir):
     return dedup.content_groups(d, "doc_id", ["sha"])
 
 
-@query("""WITH RECURSIVE f AS (SELECT DISTINCT source AS k, lang || ':' || (n_chars % 400) AS s FROM documents WHERE doc_id % 2 = 1 AND n_chars > 2500),
+@query("""WITH RECURSIVE f AS (SELECT DISTINCT source AS k, concat_ws(':', lang, n_chars % 400) AS s FROM documents WHERE source IS NOT NULL),
     e AS (SELECT DISTINCT a.k AS u, b.k AS v FROM f a JOIN f b ON a.s = b.s AND a.k <> b.k), r(node, seen) AS (SELECT k, k FROM (SELECT DISTINCT u AS k FROM e) UNION SELECT r.node, e.v FROM r JOIN e ON e.u = r.seen)
     SELECT node, min(seen) AS label FROM r GROUP BY node""")
 def chained_components(spark, sf_dir):
-    """G1: components over chains of different links, by odd ids of long documents (all: ``chained_components_all``)."""
-    return _chained(read_table(spark, sf_dir, "documents").filter("doc_id % 2 = 1 and n_chars > 2500"))
-
-
-def _chained(d):
+    """G1: components over chains of different links."""
+    d = read_table(spark, sf_dir, "documents")
     return dedup.content_groups(d.select("source", F.concat_ws(":", "lang", F.col("n_chars") % 400).alias("s")), "source", ["s"])
 
 
-@query("""WITH RECURSIVE f AS (SELECT DISTINCT source AS k, concat_ws(':', lang, n_chars % 400) AS s FROM documents WHERE source IS NOT NULL),
-    e AS (SELECT DISTINCT a.k AS u, b.k AS v FROM f a JOIN f b ON a.s = b.s AND a.k <> b.k), r(node, seen) AS (SELECT k, k FROM (SELECT DISTINCT u AS k FROM e) UNION SELECT r.node, e.v FROM r JOIN e ON e.u = r.seen)
-    SELECT node, min(seen) AS label FROM r GROUP BY node""")
-def chained_components_all(spark, sf_dir):
-    """G1 over all documents."""
-    return _chained(read_table(spark, sf_dir, "documents"))
-
-
 @query("WITH d AS (SELECT doc_id, n_chars, sha256(text) AS sha FROM documents), k AS (SELECT *, first_value(doc_id) OVER (PARTITION BY sha ORDER BY n_chars DESC, doc_id) AS keeper FROM d) SELECT doc_id, keeper, n_chars AS bytes, 'A1' AS tier, 'identical to ' || keeper AS evidence FROM k WHERE doc_id <> keeper")
 def dup_suggestions(spark, sf_dir):
     """Flagship (rule DUP1): copies identical to a kept copy and the bytes they take."""
@@ -102,12 +80,13 @@ def keeper_file_problems(spark, sf_dir):
     return dedup.file_problems(c, now, "c_custkey", "size", "stamp").select("c_custkey", "problem")
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'missing' WHEN c_custkey % 4 = 0 THEN 'changed' WHEN c_custkey % 9 = 0 THEN 'other keeper' ELSE 'same' END AS outcome FROM customer WHERE c_custkey % 2 = 0")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'missing' WHEN c_custkey % 4 = 0 THEN 'changed' WHEN c_custkey % 9 = 0 THEN 'other keeper' ELSE 'same' END AS outcome FROM customer")
 def verify_diff(spark, sf_dir):
     """What became of each row of an older report."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("stamp"), F.col("c_nationkey").alias("kept"))
     new = c.filter("c_custkey % 11 <> 0").withColumn("stamp", F.when(F.col("c_custkey") % 4 == 0, -F.col("stamp") - 1).otherwise(F.col("stamp"))).withColumn("kept", F.when(F.col("c_custkey") % 9 == 0, F.col("kept") + 1).otherwise(F.col("kept")))
-    return rules.report_diff(c.filter("c_custkey % 2 = 0"), new, ["c_custkey"], "stamp", "kept").select("c_custkey", "outcome")
+    new = new.union(c.withColumn("c_custkey", -F.col("c_custkey")))  # rows that only the newer report has
+    return rules.report_diff(c, new, ["c_custkey"], "stamp", "kept").select("c_custkey", "outcome")
 
 
 FACTS_SQL = """facts AS (SELECT d.doc_id, CASE d.doc_id % 17 WHEN 0 THEN 'running' WHEN 1 THEN 'pending' ELSE 'done' END AS status,
@@ -185,18 +164,9 @@ def twin_files(spark, sf_dir):
     return dedup.twins(li.filter("l_linenumber = 1"), li.filter("l_linenumber = 2"), ["l_orderkey", "sha"]).select("l_orderkey", "l_partkey")
 
 
-@query("WITH s AS (SELECT lang, source, doc_id % 10 AS m, string_agg(doc_id % 3 || ':' || n_chars % 7, ',' ORDER BY doc_id % 3, n_chars % 7) AS sig FROM documents WHERE doc_id % 5 = 0 GROUP BY ALL) SELECT lang, source FROM s GROUP BY ALL HAVING count(DISTINCT sig) > 1")
+@query("WITH s AS (SELECT lang, source, doc_id % 10 AS m, string_agg(doc_id % 3 || ':' || n_chars % 7, ',' ORDER BY doc_id % 3, n_chars % 7) AS sig FROM documents GROUP BY ALL) SELECT lang, source FROM s GROUP BY ALL HAVING count(DISTINCT sig) > 1")
 def differing_groups(spark, sf_dir):
-    """Reported groups whose members no longer agree, by every fifth id (all: ``differing_groups_all``)."""
-    return _differing(read_table(spark, sf_dir, "documents").filter("doc_id % 5 = 0"))
-
-
-def _differing(d):
+    """Reported groups whose members no longer agree."""
+    d = read_table(spark, sf_dir, "documents")
     d = d.select("lang", "source", (F.col("doc_id") % 10).alias("m"), (F.col("doc_id") % 3).alias("a"), (F.col("n_chars") % 7).alias("b"))
     return dedup.differing_groups(d, ["lang", "source"], "m", ["a", "b"])
-
-
-@query("WITH s AS (SELECT lang, source, doc_id % 10 AS m, string_agg(doc_id % 3 || ':' || n_chars % 7, ',' ORDER BY doc_id % 3, n_chars % 7) AS sig FROM documents GROUP BY ALL) SELECT lang, source FROM s GROUP BY ALL HAVING count(DISTINCT sig) > 1")
-def differing_groups_all(spark, sf_dir):
-    """J26 over all documents."""
-    return _differing(read_table(spark, sf_dir, "documents"))

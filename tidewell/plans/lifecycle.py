@@ -138,23 +138,14 @@ def top_lines(spark, sf_dir):
     return read_table(spark, sf_dir, "lineitem").withColumn("k", F.row_number().over(w)).filter("k <= 2").select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("WITH o AS (SELECT c_custkey, c_mktsegment, sum(c_acctbal) OVER (PARTITION BY c_mktsegment) AS total FROM customer) SELECT c_mktsegment, c_custkey, round(total, 2) AS total FROM o WHERE c_custkey % 10 = 0")
+@query("SELECT c_mktsegment, c_custkey, round(sum(c_acctbal) OVER (PARTITION BY c_mktsegment), 2) AS total FROM customer")
 def hash_order(spark, sf_dir):
-    """Every tenth member with its component's total, by which work is ordered (all: ``hash_order_all``)."""
-    return _with_totals(read_table(spark, sf_dir, "customer")).filter("c_custkey % 10 = 0")
-
-
-def _with_totals(c):
+    """Every member with its component's total, by which work is ordered."""
+    c = read_table(spark, sf_dir, "customer")
     totals = c.groupBy("c_mktsegment").agg(F.round(F.sum("c_acctbal"), 2).alias("total"))
     return c.join(totals, "c_mktsegment").select("c_mktsegment", "c_custkey", "total")
 
 
-@query("SELECT c_mktsegment, c_custkey, round(sum(c_acctbal) OVER (PARTITION BY c_mktsegment), 2) AS total FROM customer")
-def hash_order_all(spark, sf_dir):
-    """G2, S4 over all members."""
-    return _with_totals(read_table(spark, sf_dir, "customer"))
-
-
 def stages(spark, sf_dir):
     """Orders as stage rows: key, stage, status, ticket."""
     k = F.col("o_orderkey")
