@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.session import discard, materialise
+from tidewell.session import discard, materialise, scratch
 
 #: Rounds after which the composed labels are written, so that no plan grows with their number; parts of a hot label.
 COMPOSE, SALTS = 4, 16
@@ -35,6 +35,12 @@ def components(edges: DataFrame) -> DataFrame:
     along them. On a chain two nodes of three go in a round, so rounds grow with the logarithm of the longest one.
     Every round is joins and aggregations over written tables: a lost executor costs one stage.
     """
+    with scratch() as kept:
+        kept.append(materialise(_contracted(edges), "components"))
+    return kept[0]
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
     kind = edges.schema["u"].dataType.simpleString()
     edges, parents, labels = materialise(edges.select("u", "v"), "components-edges"), [], None
     spark = edges.sparkSession

@@ -85,7 +85,7 @@ def verify_diff(spark, sf_dir):
     """What became of each row of an older report."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("stamp"), F.col("c_nationkey").alias("kept"))
     new = c.filter("c_custkey % 11 <> 0").withColumn("stamp", F.when(F.col("c_custkey") % 4 == 0, -F.col("stamp") - 1).otherwise(F.col("stamp"))).withColumn("kept", F.when(F.col("c_custkey") % 9 == 0, F.col("kept") + 1).otherwise(F.col("kept")))
-    new = new.union(c.withColumn("c_custkey", -F.col("c_custkey")))  # rows that only the newer report has
+    new = new.union(c.withColumn("c_custkey", -F.col("c_custkey") - 1))  # rows that only the newer report has
     return rules.report_diff(c, new, ["c_custkey"], "stamp", "kept").select("c_custkey", "outcome")
 
 

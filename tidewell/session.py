@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,17 +46,22 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_SCRATCH: list[list[DataFrame]] = []
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: the lineage is cut, and a lost
-    executor costs no recomputation. The table is deleted when the driver's JVM ends (see :func:`discard`)."""
+    executor costs no recomputation. The table is deleted when the driver's JVM ends, or before by :func:`discard`
+    or :func:`scratch`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidewell/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidewell_path = path
+    if _SCRATCH:
+        _SCRATCH[-1].append(out)
     return out
 
 
@@ -65,18 +74,39 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Tables made inside are deleted at its end, but for those put in the list it gives; these belong to the block
+    around, if there is one."""
+    kept: list[DataFrame] = []
+    _SCRATCH.append([])
+    try:
+        yield kept
+    finally:
+        made = _SCRATCH.pop()
+        paths = {getattr(df, "_tidewell_path", None) for df in kept}
+        for df in made:
+            if df._tidewell_path in paths:
+                if _SCRATCH:
+                    _SCRATCH[-1].append(df)
+            else:
+                discard(df)
+
+
 def ship_code(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application: executors have no copy of their own."""
     context = spark.sparkContext
     if getattr(context, "_tidewell_shipped", False):
         return
     top = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="tidewell-"), "tidewell-code.zip")
+    folder = tempfile.mkdtemp(prefix="tidewell-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "tidewell-code.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
-        for folder, _, names in os.walk(top):
+        for inside, _, names in os.walk(top):
             for name in sorted(names):
                 if name.endswith(".py"):
-                    full = os.path.join(folder, name)
+                    full = os.path.join(inside, name)
                     out.write(full, os.path.join("tidewell", os.path.relpath(full, top)))
     context.addPyFile(path)
     context._tidewell_shipped = True
