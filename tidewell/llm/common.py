@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StringType, StructType
 
 from tidewell.session import ship_code
 
@@ -64,6 +64,20 @@ def keep_where(df: DataFrame, column: str, make: Callable[[], Callable[[list], l
     return df.mapInArrow(run, df.schema)
 
 
+#: Columns that tell rows apart by id and text and can be compared plainly: id is null, id (or a stand-in), hash of the text.
+ROW_KEY = ["none", "id", "th"]
+
+
+def stand_in(column: Column | str, kind: DataType) -> Column:
+    """The column, with a value in place of null; :data:`ROW_KEY` has a mark beside it."""
+    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("" if isinstance(kind, StringType) else 0).cast(kind))
+
+
+def row_key(df: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """The columns of :data:`ROW_KEY` for the rows of ``df``."""
+    return [F.col(id_col).isNull().alias("none"), stand_in(id_col, df.schema[id_col].dataType).alias("id"), F.xxhash64(text_col).alias("th")]
+
+
 def fold(doc_id: Column | str, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``; 0 marks the held-out rows, null ids fall in fold 0."""
     return F.coalesce(F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % folds, F.lit(0))

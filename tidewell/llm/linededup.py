@@ -6,7 +6,8 @@ in the order of (id, hash of the text, position), is later. Later occurrences co
 positions of a document are merged and those lines go. A covered line always has an earlier copy, so at least one
 copy of every line stays.
 
-Windows of blank lines only don't count. Window identity is 96 bits (xxHash64 and Murmur3 of the line hashes).
+Windows of blank lines only don't count. Window identity is 96 bits: each line is hashed by xxHash64 and by Murmur3, and
+a window by both again, each over its own line hashes.
 
 Edge cases: null texts stay null; texts of fewer than three lines stay as they are; a text whose lines all go becomes
 the empty text, its row stays; rows that repeat as a whole are one place, so both keep or lose the same lines; other
@@ -28,7 +29,7 @@ def _windows(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
     lines = F.split(F.col(text_col), "\n")
     hashed = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
-        F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), (F.trim(x) != "").alias("full"))).alias("l"),
+        F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), F.hash(x).alias("g"), (F.trim(x) != "").alias("full"))).alias("l"),
     ).filter(F.size("l") >= size)
 
     def window(i):
@@ -36,7 +37,7 @@ def _windows(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
         full = part[0]["full"]
         for x in part[1:]:
             full = full | x["full"]
-        return F.struct(i.alias("pos"), F.xxhash64(*(x["h"] for x in part)).alias("w1"), F.hash(*(x["h"] for x in part)).alias("w2"), full.alias("full"))
+        return F.struct(i.alias("pos"), F.xxhash64(*(x["h"] for x in part)).alias("w1"), F.hash(*(x["g"] for x in part)).alias("w2"), full.alias("full"))
 
     at = F.sequence(F.lit(0), F.size("l") - size)
     return hashed.select("id", "th", F.inline(F.filter(F.transform(at, window), lambda w: w["full"]))).drop("full")

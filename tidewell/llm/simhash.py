@@ -27,9 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import bound_batches, map_batches
+from tidewell.llm.common import ROW_KEY, bound_batches, map_batches, row_key, stand_in
 from tidewell.operators.graph import components, salted_join
-from tidewell.session import materialise
+from tidewell.session import materialise, scratch
 
 #: Words of a shingle, seed of their hash, differing bits of a link, and distinct fingerprints a cell may pair.
 SHINGLE, SEED, DISTANCE, HOT = 3, 42, 3, 512
@@ -50,16 +50,6 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(votes * 2 > hashes.size, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """``id_col``, ``fp long`` (the 64 bits as a signed number)."""
-
-    def make():
-        return lambda c: [c[0], [(x ^ (1 << 63)) - (1 << 63) for x in (fingerprint(t, size) for t in c[1])]]
-
-    schema = T.StructType([docs.schema[id_col], T.StructField("fp", T.LongType())])
-    return map_batches(docs.select(F.col(id_col), F.col(text_col).cast("string")), make, schema)
-
-
 def thermometer(fp: Column) -> Column:
     """The embedding: bit counts of the 32 segments, 0 as 00, 1 as 01, 2 as 11."""
     low, high = fp.bitwiseAND(F.lit(_EVEN)), F.shiftrightunsigned(fp, 1).bitwiseAND(F.lit(_EVEN))
@@ -136,19 +126,40 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
     return out.distinct() if len(found) > 1 else out
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, hot: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (``id_col``, ``fp``), and for each fingerprint ``best``, the key of the row that its component keeps: the
+    least id (null after all others), then the least hash of the text. Two written tables."""
+
+    def make():
+        return lambda c: [c[0], c[1], [(x ^ (1 << 63)) - (1 << 63) for x in (fingerprint(t, size) for t in c[2])]]
+
+    kind = docs.schema[id_col].dataType
+    schema = T.StructType([docs.schema[id_col], T.StructField("th", T.LongType()), T.StructField("fp", T.LongType())])
+    rows = map_batches(docs.select(F.col(id_col), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string")), make, schema)
+    with scratch() as kept:
+        rows = materialise(rows, "simhash-rows")
+        place = F.struct(F.col(id_col).isNull().alias("none"), stand_in(id_col, kind).alias("id"), "th")
+        distinct = materialise(rows.groupBy("fp").agg(F.min(place).alias("first")), "simhash-distinct")
+        linked = materialise(components(links(distinct, hot)).withColumnRenamed("node", "fp").join(distinct, "fp"), "simhash-linked")
+        least = linked.groupBy("label").agg(F.min("first").alias("best"))
+        of = salted_join(linked.select("fp", "label"), least, "label", "fp").select("fp", "best")
+        every = distinct.join(of, "fp", "left").select("fp", F.coalesce("best", "first").alias("best"))
+        every = materialise(every, "simhash-every")  # apart from the join, so that AQE can split a fingerprint of many copies
+        kept += [rows, every]
+    return rows, every
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, hot: int = HOT) -> DataFrame:
     """``id_col``, ``fp``, ``component_id``: the smallest id that links reach from the row's fingerprint."""
-    rows = materialise(fingerprints(docs, id_col, text_col, size), "simhash-rows")
-    distinct = materialise(rows.groupBy("fp").agg(F.min(id_col).alias("first")), "simhash-distinct")
-    linked = materialise(components(links(distinct, hot)).withColumnRenamed("node", "fp").join(distinct, "fp"), "simhash-linked")
-    least = linked.groupBy("label").agg(F.min("first").alias("component_id"))
-    of = salted_join(linked.select("fp", "label"), least, "label", "fp").select("fp", "component_id")
-    every = distinct.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    every = materialise(every, "simhash-every")  # apart from the join, so that AQE can split a fingerprint of many copies
-    return rows.join(every, "fp").select(id_col, "fp", "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The document of the smallest id of each component, all its columns; rows of null id stay."""
-    gone = near_duplicates(docs, id_col, text_col, **options).filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    rows, every = _grouped(docs, id_col, text_col, size, hot)
+    return rows.join(every, "fp").select(id_col, "fp", F.when(~F.col("best.none"), F.col("best.id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, hot: int = HOT) -> DataFrame:
+    """One row of each component, all its columns: the least id (null after all others), then the least hash of the
+    text. What is decided is decided for the row, so a row stays if another text of its id goes. Of rows that repeat
+    both id and text one stays; if they differ in other columns, which one is open."""
+    _, every = _grouped(docs, id_col, text_col, size, hot)
+    keys = [f"_{k}_" for k in ROW_KEY]
+    whole = docs.select(F.struct("*").alias("row"), *(c.alias(k) for c, k in zip(row_key(docs, id_col, text_col), keys)))
+    return whole.join(every.select("best.*").distinct().toDF(*keys), keys, "left_semi").dropDuplicates(keys).select("row.*")

@@ -29,14 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import bound_batches, map_batches
+from tidewell.llm.common import ROW_KEY, bound_batches, map_batches, row_key, stand_in
 from tidewell.session import discard, materialise
 
 #: Words that the marked units of a run hold at least, and words of a sentence that ends a unit (also: of a gap that ends a run).
 MIN_WORDS, UNIT_WORDS = 20, 4
 _END = re.compile(r"[.!?]+\s+|\n+")
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-_KEY = ["none", "id", "th"]
 
 
 def cut(text: str | None) -> list[int]:
@@ -101,38 +100,33 @@ def _stretches(items: Column, new: callable) -> Column:
 def removed(cut_texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``none``, ``id``, ``th``, ``spans`` of the texts that lose something; ``cut_texts`` is the written table of
     :func:`units`."""
-    found = cut_texts.select(*_KEY, F.posexplode("digests").alias("pos", "d")).filter("d is not null").select(*_KEY, "pos", "d.*")
+    kind = cut_texts.schema["id"].dataType
+    found = cut_texts.select(*ROW_KEY, F.posexplode("digests").alias("pos", "d")).filter("d is not null").select(*ROW_KEY, "pos", "d.*")
     place = F.struct("id", "th", "pos")
     first = found.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
     first = materialise(first, "substrdedup-first")  # apart from the join, so that a hot key of the join can be split
     later = found.join(first, ["d1", "d2"]).filter(place > F.col("first")).drop("d1", "d2", "first")
-    marks = later.withColumn("id", F.coalesce("id", _zero(cut_texts.schema["id"].dataType))).groupBy(*_KEY).agg(F.sort_array(F.collect_set("pos")).alias("m"))
-    texts = cut_texts.select("none", F.coalesce("id", _zero(cut_texts.schema["id"].dataType)).alias("id"), "th", "cuts", "words")
+    marks = later.withColumn("id", stand_in("id", kind)).groupBy(*ROW_KEY).agg(F.sort_array(F.collect_set("pos")).alias("m"))
+    texts = cut_texts.select("none", stand_in("id", kind).alias("id"), "th", "cuts", "words")
     before = lambda k: F.get("words", k)
     runs = _stretches(F.col("m"), lambda a, b: before(b) - before(a + 1) >= UNIT_WORDS)
     enough = lambda run: F.aggregate(run, F.lit(0), lambda n, k: n + before(k + 1) - before(k)) >= min_words
-    rows = marks.join(texts, _KEY).withColumn("runs", runs).select(*_KEY, "cuts", F.flatten(F.filter("runs", enough)).alias("m")).filter(F.size("m") > 0)
+    rows = marks.join(texts, ROW_KEY).withColumn("runs", runs).select(*ROW_KEY, "cuts", F.flatten(F.filter("runs", enough)).alias("m")).filter(F.size("m") > 0)
     rows = rows.withColumn("s", _stretches(F.col("m"), lambda a, b: b != a + 1))
     span = lambda s: F.struct(F.get("cuts", F.get(s, F.lit(0))).alias("start"), F.get("cuts", F.element_at(s, -1) + 1).alias("end"))
-    rows = rows.select(*_KEY, F.transform("s", span).alias("spans")).groupBy(*_KEY).agg(F.any_value("spans").alias("spans"))  # rows that repeat
+    rows = rows.select(*ROW_KEY, F.transform("s", span).alias("spans")).groupBy(*ROW_KEY).agg(F.any_value("spans").alias("spans"))  # rows that repeat
     spans = materialise(rows, "substrdedup-spans")
     discard(first)
     return spans
 
 
-def _zero(kind: T.DataType) -> Column:
-    """Stands for a null id, beside ``none``, so that keys can be compared plainly."""
-    return F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
-
-
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``id_col``, ``text_col`` cleaned, ``spans`` (characters of the original that go), ``n_removed`` (characters)."""
     cut_texts = materialise(units(docs, id_col, text_col), "substrdedup-units")
     spans = removed(cut_texts, min_words)
     discard(cut_texts)
-    kind = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("own"), F.col(text_col).cast("string").alias("text"), F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col), _zero(kind)).alias("id"), F.xxhash64(text_col).alias("th"))
-    rows = rows.join(spans, _KEY, "left").select("own", "text", "spans")
+    rows = docs.select(F.col(id_col).alias("own"), F.col(text_col).cast("string").alias("text"), *row_key(docs, id_col, text_col))
+    rows = rows.join(spans, ROW_KEY, "left").select("own", "text", "spans")
 
     def make():
         def step(columns):
