@@ -1,4 +1,7 @@
+import collections
 import math
+import random
+import zlib
 
 import numpy as np
 
@@ -33,6 +36,57 @@ def test_posterior_is_plain_naive_bayes(spark):
     assert {r.lang_pred for r in langid.identify(df, none).collect()} == {"und"}
 
 
+def plain_grams(text):
+    """Character n-grams of the lower-cased text, letters kept, all else a space; blank ones don't count."""
+    low = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+    return [low[i : i + n] for n in (1, 2, 3) for i in range(len(low) - n + 1) if low[i : i + n].strip()]
+
+
+def test_training_counts_are_those_of_the_texts(spark):
+    rows = [(i, f"{'the cat; thé' if i % 2 else 'der hund'} {'ab'[i % 2] * (i % 5)}", "en" if i % 2 else "de") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, prior, matrix = langid.train(df)
+    kept = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    for k, lang in enumerate(langs):
+        texts = [t for _, t, l in kept if l == lang]
+        assert math.isclose(prior[k], math.log(len(texts) / len(kept)))
+        count = collections.Counter(g for t in texts for g in plain_grams(t))
+        bucket = {}
+        for t in texts:  # n-grams in the order of size, then place: the same in both
+            for g, b in zip(plain_grams(t), langid.grams(t).tolist()):
+                assert bucket.setdefault(g, b) == b
+        by_bucket = collections.Counter()
+        for g, n in count.items():
+            by_bucket[bucket[g]] += n
+        total = sum(by_bucket.values()) + langid.ALPHA * (1 << langid.BITS)
+        for b, n in by_bucket.items():
+            assert math.isclose(matrix[b, k], math.log((n + langid.ALPHA) / total), rel_tol=1e-5)
+
+
+def test_pieces_and_batches_change_nothing(monkeypatch):
+    texts = ["The cat Σas; ΑΣ.", None, "", "123", "x" * 100, "Ünï cödé " * 30, "a"]
+    want = [sorted(langid.grams(t).tolist()) for t in texts]
+    for block in (1, 2, 3, 7, 50):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        got = [[] for _ in texts]
+        for text, bucket in langid.batch_grams(texts):
+            for k, b in zip(text.tolist(), bucket.tolist()):
+                got[k].append(b)
+        assert [sorted(g) for g in got] == want
+    assert [len(w) for w in want] == [len(plain_grams(t)) for t in texts]
+
+
+def test_no_language_is_left_out(spark, monkeypatch):
+    r = random.Random(3)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(40)]
+    df = spark.createDataFrame([(i, f"{words[i % 40]} " * 5, f"l{i % 40}") for i in range(400)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "MAX_CELLS", 40 << 12)
+    model = langid.train(df)
+    assert len(model[0]) == 40 and model[2].shape == (1 << 12, 40)
+    names, _ = langid.predict([f"{w} {w}" for w in words], model)
+    assert names == [f"l{k}" for k in range(40)]
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op4_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")

@@ -43,6 +43,21 @@ def test_counts_equal_plain_search():
     assert c.known == {w: brute(w, small, -3.0) for w in ("aa", "aab", "ab", "c")}
 
 
+def test_long_pretokens_and_memory(monkeypatch):
+    r = random.Random(6)
+    lowest = min(SCORES.values())
+    words = ["".join(r.choice("theangoré漢😀x") for _ in range(n)) for n in (70, 150, 400, 61, 60, 59)] + ["a" * 300]
+    want = [brute(w, SCORES, lowest) for w in words]
+    monkeypatch.setattr(t, "LONG", 60)
+    c = t.Counter(SCORES)
+    assert c.count(words) == ([1] * 7, want) and max(map(len, c.known)) == 60
+    monkeypatch.setattr(t, "LONG", 1)
+    monkeypatch.setattr(t, "REMEMBER", 0)
+    c = t.Counter(SCORES)
+    assert [c.count([f"{w} b {w}"])[1][0] for w in words] == [2 * n + brute("b", SCORES, lowest) for n in want] and len(c.known) <= 1
+    assert t.Counter({}).count(["é b"]) == ([2], [sum(len((t.MARK + w).encode()) for w in "éb")])
+
+
 def test_frame(spark, monkeypatch):
     rows = [(1, "the cat  the\nhat"), (2, None), (3, " \t"), (1, "the cat  the\nhat"), (None, "x" * 5000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n_tokens")
@@ -51,6 +66,7 @@ def test_frame(spark, monkeypatch):
     want = [(i, len((x or "").split()), sum(brute(w, SCORES, lowest) for w in (x or "").split() if len(w) < 100)) for i, x in rows]
     assert got[:4] == want[:4] and got[4][1] == 1 and got[4][2] > 0
     assert t.count_tokens(df.limit(0), P.path("piece_bpe_32k.model")).count() == 0
-    monkeypatch.setattr(t, "REMEMBER", 2)
+    monkeypatch.setattr(t, "REMEMBER", 200)
+    monkeypatch.setattr(t, "LONG", 60)
     c = t.Counter(SCORES)
     assert [c.count([x])[1][0] for x in ("the cat", "the hat", "a b c")] == [sum(brute(w, SCORES, lowest) for w in x.split()) for x in ("the cat", "the hat", "a b c")]

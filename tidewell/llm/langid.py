@@ -2,9 +2,10 @@
 
 A text is lower-cased, everything but letters becomes a space, and its runs of one to ``ORDER`` characters are hashed
 to ``2**BITS`` buckets (runs of spaces only don't count). Training counts buckets by language over a bounded sample
-(``MAX_TRAIN`` documents, those whose ids hash lowest); the matrix of log probabilities, at most ``MAX_LANGS`` columns
-of 256 KB, is broadcast. Scoring gathers the rows of a batch's n-grams and sums them by document, whole texts, in
-blocks of bounded size. The score is the posterior probability of the predicted language.
+(``MAX_TRAIN`` documents, those whose ids hash lowest); the matrix of log probabilities, a column for every language
+of the sample, is broadcast. It holds ``MAX_CELLS`` numbers at most: with more than 512 languages neighbouring buckets
+are merged, no language is left out. Scoring takes a batch's n-grams, whole texts in pieces of bounded size, as a
+sparse matrix (document x bucket) times that matrix. The score is the posterior probability of the predicted language.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0, and so are all without training rows;
 rows of null id count as held out; null languages aren't learned from; repeated rows give repeated results; other
@@ -13,15 +14,18 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.llm.common import fold, lowest_hashes, map_batches
+from tidewell.session import materialise, scratch
 
-#: Longest n-gram, hash bits, documents of the training sample, languages, n-grams scored at a time, smoothing.
-ORDER, BITS, MAX_TRAIN, MAX_LANGS, BLOCK, ALPHA = 3, 16, 20000, 500, 1 << 18, 0.5
+#: Longest n-gram, hash bits, documents of the training sample, cells of the matrix, characters taken at a time, smoothing.
+ORDER, BITS, MAX_TRAIN, MAX_CELLS, BLOCK, ALPHA = 3, 16, 20000, 1 << 25, 1 << 18, 0.5
 UNKNOWN = "und"
 
 _LETTER: list[np.ndarray] = []
@@ -34,23 +38,51 @@ def _letters() -> np.ndarray:
     return _LETTER[0]
 
 
-def grams(text: str | None, bits: int = BITS, order: int = ORDER) -> np.ndarray:
+def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Lower-cased texts with a space at either end, ``BLOCK`` characters at a time and long ones in pieces: code
+    points, the text that each belongs to, and how many n-grams' beginnings still follow in its piece."""
+    held, room = [], BLOCK
+    for k, text in enumerate(texts):
+        full = f" {text.lower()} " if text else ""
+        for at in range(0, len(full), BLOCK):
+            own = min(BLOCK, len(full) - at)
+            if own > room:
+                yield _joined(held)
+                held, room = [], BLOCK
+            held.append((k, full[at : at + own + ORDER - 1], own))
+            room -= own
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[tuple[int, str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    points = np.frombuffer("".join(x for _, x, _ in held).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = [len(x) for _, x, _ in held]
+    left = np.concatenate([np.arange(own, own - size, -1) for size, (_, _, own) in zip(sizes, held)])
+    return points, np.repeat([k for k, _, _ in held], sizes), left
+
+
+def batch_grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, bucket) of every n-gram, in parts that are ordered by text."""
+    for points, text, left in _pieces(texts):
+        full = _letters()[points]
+        points = np.where(full, points, 32).astype(np.uint64)
+        key, some = np.zeros(points.size, np.uint64), np.zeros(points.size, bool)
+        piece = np.cumsum(np.diff(left, prepend=left[0] + 1) != -1)
+        for n in range(1, ORDER + 1):
+            size = points.size - n + 1
+            if size <= 0:
+                break
+            key = key[:size] * np.uint64(0x100000001B3) + points[n - 1 :] + np.uint64(n)
+            some = some[:size] | full[n - 1 :]
+            mixed = (key ^ key >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15)
+            use = np.flatnonzero(some & (left[:size] > 0) & (piece[:size] == piece[n - 1 :]))
+            yield text[use], (mixed[use] >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def grams(text: str | None) -> np.ndarray:
     """Bucket of each n-gram of the text; empty where it has no letter."""
-    points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _letters()[points]
-    if not letter.any():
-        return np.zeros(0, np.int64)
-    space = np.uint64(32)
-    points = np.concatenate(([space], np.where(letter, points, space).astype(np.uint64), [space]))
-    full = points != space
-    out, key, some = [], np.zeros(points.size, np.uint64), np.zeros(points.size, bool)
-    for n in range(1, order + 1):
-        size = points.size - n + 1
-        key = key[:size] * np.uint64(0x100000001B3) + points[n - 1 :] + np.uint64(n)
-        some = some[:size] | full[n - 1 :]
-        mixed = (key ^ key >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15)
-        out.append((mixed[some] >> np.uint64(64 - bits)).astype(np.int64))
-    return np.concatenate(out)
+    return np.concatenate([np.zeros(0, np.int64), *(b for _, b in batch_grams([text]))])
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -78,13 +110,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType())])
     counts = map_batches(rows.select("lang", "text"), make, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c")).select("lang", F.col("c.bucket").alias("b"), F.col("c.n").alias("n"))
-    learned = []  # a row per language, each of 2**BITS entries at most
-    for r in table.toLocalIterator():
-        full = np.zeros((1 << BITS) + 1, np.float64)
-        full[np.asarray(r["b"]) + 1] = r["n"]
-        learned.append((full[0], r["lang"], full[1:]))
-    learned = sorted(sorted(learned, key=lambda x: (-x[0], x[1]))[:MAX_LANGS], key=lambda x: x[1])
+    with scratch():
+        table = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c")).select("lang", F.col("c.bucket").alias("b"), F.col("c.n").alias("n"))
+        table = materialise(table, "langid-counts")  # a row per language, each of 2**BITS entries at most
+        n_langs, bits = table.count(), BITS
+        while bits > 1 and n_langs << bits > MAX_CELLS:
+            bits -= 1
+        learned = []
+        for r in table.toLocalIterator():
+            at = np.asarray(r["b"])
+            full = np.bincount(np.where(at < 0, 0, (at >> (BITS - bits)) + 1), r["n"], (1 << bits) + 1)
+            learned.append((full[0], r["lang"], full[1:].astype(np.float32 if n_langs > 512 else np.float64)))
+    learned.sort(key=lambda x: x[1])
     if not learned:
         return [], np.zeros(0), np.zeros((1 << BITS, 0), np.float32)
     matrix = np.stack([c + ALPHA for _, _, c in learned], axis=1)
@@ -95,23 +132,20 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def predict(texts: list[str | None], model: tuple[list[str], np.ndarray, np.ndarray]) -> tuple[list[str], list[float]]:
     """Language and posterior probability of each text."""
     langs, prior, matrix = model
-    block = max(1024, BLOCK * 4 // max(4, len(langs)))
-    names, scores = [], []
-    for text in texts:
-        found = grams(text)
-        if not found.size or not langs:
-            names.append(UNKNOWN)
-            scores.append(0.0)
-            continue
-        if found.size > 1 << BITS:  # a long text has each bucket many times
-            count = np.bincount(found, minlength=1 << BITS)
-            total = prior + count.astype(np.float64) @ matrix
-        else:
-            total = prior + sum(matrix[found[a : a + block]].sum(axis=0, dtype=np.float64) for a in range(0, found.size, block))
-        best = int(total.argmax())
-        names.append(langs[best])
-        scores.append(float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum()))
-    return names, scores
+    if not langs:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts)
+    total, seen = np.zeros((len(texts), len(langs))), np.zeros(len(texts), bool)
+    shift, step = BITS - matrix.shape[0].bit_length() + 1, max(1024, (1 << 20) // len(langs))
+    for text, bucket in batch_grams(texts):
+        for at in range(0, text.size, step):
+            own = text[at : at + step]
+            first = np.flatnonzero(np.diff(own, prepend=-1))
+            total[own[first]] += np.add.reduceat(matrix[bucket[at : at + step] >> shift], first, axis=0, dtype=np.float64)
+            seen[own[first]] = True
+    total += prior
+    best = total.argmax(axis=1)
+    score = 1 / np.exp(np.clip(total - total[np.arange(len(texts)), best][:, None], -700, 0)).sum(axis=1)
+    return [langs[k] if s else UNKNOWN for k, s in zip(best, seen)], np.where(seen, score, 0.0).tolist()
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,7 +9,9 @@ The vocabulary is a public one. Its file ranks pieces but has no unigram probabi
 logarithm of a Zipf probability of its rank. Characters without a piece count as their UTF-8 bytes, at the score of
 the last rank each. Ties go to the segmentation with fewer pieces.
 
-Counts of pre-tokens are remembered by a worker up to ``REMEMBER`` entries, then forgotten together.
+A worker process remembers the counts of pre-tokens from task to task, up to ``REMEMBER`` bytes, then forgets them
+together. Pieces are matched by an automaton over the whole vocabulary. Pre-tokens of over ``LONG`` characters aren't
+remembered and keep only as many scores as a piece can reach back.
 
 Edge cases: null and empty texts and texts of white space count 0; repeated rows give repeated results; other columns
 are ignored.
@@ -17,16 +19,21 @@ are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections.abc import Iterator
 
+import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.llm.common import map_batches
 
-#: Word mark, and pre-tokens that a worker remembers.
-MARK, REMEMBER = "▁", 400_000
+#: Word mark; bytes of the pre-tokens that a worker remembers; characters of a long pre-token.
+MARK, REMEMBER, LONG = "▁", 64 << 20, 4096
+
+_COUNTERS: dict[str, "Counter"] = {}
 
 
 def read_scores(path: str) -> dict[str, float]:
@@ -43,13 +50,50 @@ class Counter:
     """Piece counts of pre-tokens."""
 
     def __init__(self, scores: dict[str, float]):
-        self.scores, self.longest = scores, max(map(len, scores), default=1)
-        self.lowest = min(scores.values(), default=-1.0)
+        self.longest, self.lowest = max(map(len, scores), default=1), min(scores.values(), default=-1.0)
+        self.pieces = ahocorasick.Automaton()
+        for piece, score in scores.items():
+            self.pieces.add_word(piece, (len(piece), score))
+        if scores:
+            self.pieces.make_automaton()
         self.known: dict[str, int] = {}
+        self.held = 0
+
+    def _matches(self, marked: str, start: int) -> Iterator[tuple[int, tuple[int, float]]]:
+        return self.pieces.iter(marked, start) if len(self.pieces) else iter(())
+
+    def _extend(self, marked: str, best: list[float], pieces: list[int], trim: bool = False) -> None:
+        """Forward scores and piece counts of the prefixes of ``marked`` that are still missing."""
+        base, lowest = 0, self.lowest
+
+        def bytes_up_to(end: int) -> None:
+            for c in marked[base + len(best) - 1 : end]:
+                n = 1 if c < "\x80" else len(c.encode())
+                best.append(best[-1] + n * lowest)
+                pieces.append(pieces[-1] + n)
+
+        for last, (n, score) in self._matches(marked, max(0, len(best) - self.longest)):
+            end = last + 1
+            if end - base >= len(best):
+                if trim and len(best) > LONG:
+                    base += len(best) - self.longest - 1
+                    del best[: -self.longest - 1], pieces[: -self.longest - 1]
+                bytes_up_to(end)
+            elif end <= self.shared:
+                continue
+            k = end - base
+            z, count = best[k - n] + score, pieces[k - n] + 1
+            if z > best[k] or z == best[k] and count < pieces[k]:
+                best[k], pieces[k] = z, count
+        bytes_up_to(len(marked))
+
+    def _count_long(self, token: str) -> int:
+        best, pieces, self.shared = [0.0], [0], 0
+        self._extend(MARK + token, best, pieces, trim=True)
+        return pieces[-1]
 
     def add(self, tokens: set[str]) -> None:
         """Store the counts of new pre-tokens."""
-        get, longest = self.scores.get, self.longest
         best, pieces, before = [0.0], [0], ""
         for token in sorted(tokens):
             marked = MARK + token
@@ -59,35 +103,34 @@ class Counter:
                     break
                 shared += 1
             del best[shared + 1 :], pieces[shared + 1 :]
-            for end in range(shared + 1, len(marked) + 1):
-                n_bytes = len(marked[end - 1].encode())
-                top, least = best[end - 1] + n_bytes * self.lowest, pieces[end - 1] + n_bytes
-                for start in range(max(0, end - longest), end):
-                    s = get(marked[start:end])
-                    if s is not None and ((z := best[start] + s) > top or z == top and pieces[start] + 1 < least):
-                        top, least = z, pieces[start] + 1
-                best.append(top)
-                pieces.append(least)
+            self.shared = shared
+            self._extend(marked, best, pieces)
             self.known[token] = pieces[-1]
+            self.held += 120 + 4 * len(token)
             before = marked
 
     def count(self, texts: list[str | None]) -> tuple[list[int], list[int]]:
         """Pre-tokens and tokens of each text."""
         words = [(t or "").split() for t in texts]
-        new = {w for x in words for w in x} - self.known.keys()
-        if len(self.known) + len(new) > REMEMBER:
+        distinct = {w for x in words for w in x}
+        long = {w: self._count_long(w) for w in distinct if len(w) > LONG}
+        if self.held > REMEMBER:
             self.known.clear()
-            new = {w for x in words for w in x}
-        self.add(new)
-        return [len(x) for x in words], [sum(map(self.known.__getitem__, x)) for x in words]
+            self.held = 0
+        self.add({w for w in distinct if w not in self.known and w not in long})
+        known = self.known if not long else self.known | long
+        return [len(x) for x in words], [sum(map(known.__getitem__, x)) for x in words]
 
 
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_pretokens``, ``n_tokens``; the vocabulary (a fixed file) is broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_scores(model_path))
+    scores = read_scores(model_path)
+    shared, key = docs.sparkSession.sparkContext.broadcast(scores), hashlib.sha256(repr(scores).encode()).hexdigest()
 
     def make():
-        counter = Counter(shared.value)
+        if key not in _COUNTERS:
+            _COUNTERS[key] = Counter(shared.value)
+        counter = _COUNTERS[key]
         return lambda c: [c[0], *counter.count(c[1])]
 
     schema = T.StructType([docs.schema[id_col], T.StructField("n_pretokens", T.LongType()), T.StructField("n_tokens", T.LongType())])
