@@ -59,42 +59,33 @@ class Counter:
         self.known: dict[str, int] = {}
         self.held = 0
 
-    def _matches(self, marked: str, start: int) -> Iterator[tuple[int, tuple[int, float]]]:
-        return self.pieces.iter(marked, start) if len(self.pieces) else iter(())
-
-    def _extend(self, marked: str, best: list[float], pieces: list[int], trim: bool = False) -> None:
-        """Forward scores and piece counts of the prefixes of ``marked`` that are still missing."""
-        base, lowest = 0, self.lowest
-
-        def bytes_up_to(end: int) -> None:
-            for c in marked[base + len(best) - 1 : end]:
-                n = 1 if c < "\x80" else len(c.encode())
-                best.append(best[-1] + n * lowest)
-                pieces.append(pieces[-1] + n)
-
-        for last, (n, score) in self._matches(marked, max(0, len(best) - self.longest)):
-            end = last + 1
-            if end - base >= len(best):
-                if trim and len(best) > LONG:
-                    base += len(best) - self.longest - 1
-                    del best[: -self.longest - 1], pieces[: -self.longest - 1]
-                bytes_up_to(end)
-            elif end <= self.shared:
-                continue
-            k = end - base
-            z, count = best[k - n] + score, pieces[k - n] + 1
-            if z > best[k] or z == best[k] and count < pieces[k]:
-                best[k], pieces[k] = z, count
-        bytes_up_to(len(marked))
-
     def _count_long(self, token: str) -> int:
-        best, pieces, self.shared = [0.0], [0], 0
-        self._extend(MARK + token, best, pieces, trim=True)
+        """Pieces of one pre-token, with scores only as far back as a piece reaches."""
+        marked, base, best, pieces = MARK + token, 0, [0.0], [0]
+        matches = self.pieces.iter(marked) if len(self.pieces) else iter(())
+        last, found = next(matches, (len(marked), None))
+        for at, c in enumerate(marked):
+            n = len(c.encode())
+            top, least = best[-1] + n * self.lowest, pieces[-1] + n
+            while last == at:
+                k = at + 1 - found[0] - base
+                z = best[k] + found[1]
+                if z > top or z == top and pieces[k] + 1 < least:
+                    top, least = z, pieces[k] + 1
+                last, found = next(matches, (len(marked), None))
+            best.append(top)
+            pieces.append(least)
+            if len(best) > 4 * self.longest:
+                gone = len(best) - self.longest
+                base += gone
+                del best[:gone], pieces[:gone]
         return pieces[-1]
 
     def add(self, tokens: set[str]) -> None:
         """Store the counts of new pre-tokens."""
         best, pieces, before = [0.0], [0], ""
+        lowest, longest, known = self.lowest, self.longest, self.known
+        matches = self.pieces.iter if len(self.pieces) else lambda *_: ()
         for token in sorted(tokens):
             marked = MARK + token
             shared = 0
@@ -103,9 +94,25 @@ class Counter:
                     break
                 shared += 1
             del best[shared + 1 :], pieces[shared + 1 :]
-            self.shared = shared
-            self._extend(marked, best, pieces)
-            self.known[token] = pieces[-1]
+            filled = shared
+            for last, (n, score) in matches(marked, max(0, shared - longest)):
+                if last < shared:
+                    continue
+                while filled <= last:
+                    size = 1 if marked[filled] < "\x80" else len(marked[filled].encode())
+                    best.append(best[filled] + size * lowest)
+                    pieces.append(pieces[filled] + size)
+                    filled += 1
+                z = best[last + 1 - n] + score
+                if z >= best[filled]:
+                    count = pieces[last + 1 - n] + 1
+                    if z > best[filled] or count < pieces[filled]:
+                        best[filled], pieces[filled] = z, count
+            for c in marked[filled:]:
+                size = len(c.encode())
+                best.append(best[-1] + size * lowest)
+                pieces.append(pieces[-1] + size)
+            known[token] = pieces[-1]
             self.held += 120 + 4 * len(token)
             before = marked
 
