@@ -40,6 +40,29 @@ def test_odd_rows(spark):
     assert ann.search(df, df.limit(0)).count() == 0
 
 
+def test_other_lengths_are_searched_too(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(1000 + i, rng.normal(size=3 + i % 2).tolist()) for i in range(80)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, df.filter("vec_id in (1000, 1001, 1050)"), k=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q in (1000, 1001, 1050):
+        same = [(i, v) for i, v in rows if len(v) == len(dict(rows)[q])]
+        ids, x = np.array([i for i, _ in same]), np.array([v for _, v in same])
+        want = brute(ids, x, q, 5)
+        assert [i for i, _ in got[q]] == [i for i, _ in want] and np.allclose([s for _, s in got[q]], [s for _, s in want])
+
+
+def test_parts_follow_the_data(monkeypatch):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(64, 16)) * 6
+    x = centres[rng.integers(64, size=4096)] + rng.normal(size=(4096, 16))
+    for parts in (16, 64):
+        router, probes = ann.fit(x, parts)
+        assert probes <= parts // 4  # with structure few parts are probed
+
+
 def test_hot_vector_is_spread(spark):
     df = spark.range(12000).selectExpr("id as vec_id", "if(id % 3 = 0, array(1D, 1D, 1D, 1D), array(cos(id), sin(id), cos(id * 7), sin(id * 3))) as embedding")
     got = ann.search(df, df.filter("vec_id = 0")).orderBy("rank").collect()

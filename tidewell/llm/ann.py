@@ -1,18 +1,20 @@
 """Approximate nearest neighbours by learned partitions.
 
-Fit, on a bounded sample (``SAMPLE`` vectors, those whose ids hash lowest): a neighbour graph, its balanced
-partitioning (principal-axis bisection, then moves of vertices to the part most of their neighbours are in, under a
-capacity), and a small network that predicts from a vector how its neighbours are spread over the parts. The number
-of parts follows the number of vectors; the number of parts that a query probes is the least that finds ``TARGET`` of
-the sample's true neighbours. Where vectors have no structure to learn that is most of the parts.
+Fit, on a bounded sample (the vectors whose ids hash lowest: ``SAMPLE`` of them, or ``PER_CELL`` for each part if
+that is more, ``SAMPLE_VALUES`` components at most): a neighbour graph, its balanced partitioning (principal-axis
+bisection, then moves of vertices to the part most of their neighbours are in, under a capacity), and a small network
+that predicts from a vector how its neighbours are spread over the parts. The number of parts follows the number of
+vectors up to ``MAX_PARTS``; the number of parts that a query probes is the least that finds ``TARGET`` of the sample's
+true neighbours. Where vectors have no structure to learn that is most of the parts.
 
 Index: every vector goes to its most probable part; a part is dealt into packs of about ``PACK`` vectors by a hash of
 the id, so no pack grows with the data or with a part. Search: a query goes to all packs of its most probable parts,
 queries meet packs by an equi-join, distances are computed exactly in double precision, and the nearest are merged.
+The fit is for vectors of the commonest length (the smaller on a tie). A distance needs equal lengths, so vectors of
+any other length are a part of their own for each length, which queries of that length search as a whole.
 
-Edge cases: vectors that are null, zero or hold null or non-finite components, and rows of null id, take no part; nor
-do vectors whose length isn't the commonest (the smaller on a tie); rows that repeat count once, different vectors of
-one id count as one candidate with its smallest distance; ties go to the smaller id; other columns are ignored; an
+Edge cases: vectors that are null, zero or hold null or non-finite components, and rows of null id, take no part; rows
+that repeat count once, different vectors of one id count as one candidate with its smallest distance; ties go to the smaller id; other columns are ignored; an
 empty table gives an empty one.
 """
 
@@ -27,8 +29,8 @@ from pyspark.sql import types as T
 from tidewell.llm.common import bound_batches, lowest_hashes
 from tidewell.session import materialise
 
-#: Sample size and components it may hold in all; vectors per part aimed at, and the most parts; vectors of a pack; queries of a pack; graph degree; sought recall on the sample.
-SAMPLE, SAMPLE_VALUES, PER_PART, MAX_PARTS, PACK, QUERY_PACK, DEGREE, TARGET = 6144, 1 << 22, 8192, 256, 4096, 256, 10, 0.92
+#: Sample size, its vectors for each part, components it may hold in all; vectors per part aimed at, and the most parts; vectors of a pack; queries of a pack; graph degree; sought recall on the sample.
+SAMPLE, PER_CELL, SAMPLE_VALUES, PER_PART, MAX_PARTS, PACK, QUERY_PACK, DEGREE, TARGET = 6144, 64, 1 << 22, 8192, 1024, 4096, 256, 10, 0.92
 
 
 def _nearest(x: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
@@ -139,14 +141,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     rows, asked = _usable(vectors, id_col, vec_col), _usable(queries, id_col, vec_col)
     sizes = sorted((-r["n"], r["d"]) for r in rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect())
     dims, total = (sizes[0][1], -sizes[0][0]) if sizes else (0, 0)
-    rows, asked = rows.filter(F.size("v") == dims), asked.filter(F.size("v") == dims)
+    plain = F.size("v") == dims
     parts = 16
     while parts < MAX_PARTS and parts * PER_PART < total:
         parts *= 2
-    limit = max(1, min(SAMPLE, SAMPLE_VALUES // max(1, dims)))
-    sample = [r["v"] for _, r in zip(range(2 * limit), lowest_hashes(rows, "id", limit).orderBy("id").select("v").toLocalIterator())]
-    x = np.unique(np.array(sample, np.float64).reshape(len(sample), dims), axis=0)
-    while parts > 1 and parts * 64 > len(x):
+    limit = max(1, min(max(SAMPLE, parts * PER_CELL), SAMPLE_VALUES // max(1, dims)))
+    sample = [np.array(r["v"], np.float64) for _, r in zip(range(2 * limit), lowest_hashes(rows.filter(plain), "id", limit).orderBy("id").select("v").toLocalIterator())]
+    x = np.unique(np.array(sample).reshape(len(sample), dims), axis=0)
+    while parts > 1 and parts * PER_CELL > len(x):
         parts //= 2
     router, probes = fit(x, parts, k)
     shared = spark.sparkContext.broadcast(router)
@@ -163,15 +165,23 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
 
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("parts", T.ArrayType(T.IntegerType()))])
     bound_batches(spark, 4096)
-    index = materialise(rows.mapInArrow(route(1), schema).select("id", "v", F.get("parts", 0).alias("part")), "ann-index")
-    dealt = index.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row per part
-    packs = {r["part"]: -(-r["n"] // PACK) for r in dealt.collect()}
-    packs_of = F.coalesce(F.get(F.array(*(F.lit(packs.get(p, 1)) for p in range(max(packs, default=0) + 1))), F.col("part")), F.lit(1))
-    held = index.groupBy("part", F.pmod(F.xxhash64("id"), packs_of).cast("int").alias("pack")).agg(F.collect_set(F.struct("id", "v")).alias("c"))
-    routed = asked.mapInArrow(route(probes), schema).select("id", "v", F.explode("parts").alias("part"))
+    own_part = F.array(-F.size("v")).alias("parts")  # of vectors of another length
+    index = rows.filter(plain).mapInArrow(route(1), schema).union(rows.filter(~plain).select("id", "v", own_part))
+    index = materialise(index.select("id", "v", F.get("parts", 0).alias("part")), "ann-index")
+    dealt = index.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / PACK).cast("int").alias("packs"))
+    packs = {r["part"]: r["packs"] for r in dealt.filter("part >= 0").collect()}  # a row per part
+    packs_of = F.coalesce(F.get(F.array(*(F.lit(packs.get(p, 1)) for p in range(max(packs, default=0) + 1))), F.greatest("part", F.lit(0))), F.lit(1))
+
+    def counted(df: DataFrame) -> DataFrame:
+        """With ``packs`` of the row's part; other lengths look it up, of which there may be any number."""
+        others = df.filter("part < 0").join(dealt.filter("part < 0"), "part").select(*df.columns, "packs")
+        return df.filter("part >= 0").withColumn("packs", packs_of).union(others)
+
+    held = counted(index).groupBy("part", F.pmod(F.xxhash64("id"), "packs").cast("int").alias("pack")).agg(F.collect_set(F.struct("id", "v")).alias("c"))
+    routed = asked.filter(plain).mapInArrow(route(probes), schema).union(asked.filter(~plain).select("id", "v", own_part)).select("id", "v", F.explode("parts").alias("part"))
     n_asked = max(1, -(-queries.count() // QUERY_PACK))
     sent = routed.groupBy("part", F.pmod(F.xxhash64("id"), F.lit(n_asked)).alias("q")).agg(F.collect_set(F.struct("id", "v")).alias("asked"))
-    sent = sent.select("part", "asked", F.explode(F.sequence(F.lit(0), packs_of - 1)).alias("pack"))
+    sent = counted(sent).select("part", "asked", F.explode(F.sequence(F.lit(0), F.col("packs") - 1)).alias("pack"))
     met = held.join(sent, ["part", "pack"]).select(F.col("c.id").alias("i"), F.col("c.v").alias("v"), F.col("asked.id").alias("qi"), F.col("asked.v").alias("qv"))
 
     def compare(batches):
@@ -179,7 +189,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
             out = [[], [], []]
             for ids, vecs, query_ids, query_vecs in zip(*batch.columns):  # a pack and a block of queries
                 ids, query_ids = (c.values.to_numpy() for c in (ids, query_ids))
-                vecs, query_vecs = (c.values.flatten().to_numpy().reshape(-1, dims) for c in (vecs, query_vecs))
+                vecs, query_vecs = (c.values.flatten().to_numpy().reshape(n, -1) for c, n in ((vecs, ids.size), (query_vecs, query_ids.size)))
                 for query, vector in zip(query_ids, query_vecs):
                     d = vecs - vector
                     d = np.sqrt(np.einsum("ij,ij->i", d, d))
