@@ -126,6 +126,14 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def slopes(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """Direction of the next step for the margins of P and U: the gradient of the risk while its second term isn't
+    negative, else that of the second term turned round."""
+    if np.logaddexp(0, zu).mean() >= prior * np.logaddexp(0, zp).mean():
+        return np.full(zp.size, -prior / zp.size), _sigmoid(zu) / zu.size
+    return prior * _sigmoid(zp) / zp.size, -_sigmoid(zu) / zu.size
+
+
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.05, decay: float = 5e-5) -> tuple[np.ndarray, float]:
     """Weights and bias of the logistic model under the non-negative PU risk; Adam over the whole sample."""
     seen = [np.bincount(np.concatenate(x), minlength=SPACE) for x in (positive, unlabelled)]
@@ -139,10 +147,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     m, v = np.zeros(used.size + 1), np.zeros(used.size + 1)
     for t in range(1, steps + 1):
         zp, zu = bias + _sums(w, p_at, p_index), bias + _sums(w, u_at, u_index)
-        if np.logaddexp(0, zu).mean() >= prior * np.logaddexp(0, zp).mean():
-            dp, du = np.full(zp.size, -prior / zp.size), _sigmoid(zu) / zu.size
-        else:
-            dp, du = prior * _sigmoid(zp) / zp.size, -_sigmoid(zu) / zu.size
+        dp, du = slopes(zp, zu, prior)
         grad = [np.bincount(i, np.repeat(d, np.diff(o)), used.size) for o, i, d in ((p_at, p_index, dp), (u_at, u_index, du))]
         grad = np.append(sum(grad)[: used.size], dp.sum() + du.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
