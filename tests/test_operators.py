@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewell import functions as fn
 from tidewell.operators import arrays, completeness, dedup, graph, inventory, lifecycle, rules
-from tidewell.sources import files, sinks
+from tidewell.sources import files, listing, sinks
 
 NOW = datetime(2026, 11, 1)
 
@@ -110,7 +110,7 @@ def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "t/sub/b.json").write_text('{"scans": ["p", "q"]}')
     (tmp_path / "t/sub/c.json").write_text("{broken")
     (tmp_path / "pins.txt").write_text("# note\n\n /a/b \n")
-    assert sorted((r.rel, r["size"]) for r in files.scan_tree(spark, str(tmp_path / "t")).collect())[0] == ("a.tif", 3)
+    assert sorted((r.rel, r["size"]) for r in listing.scan_tree(spark, str(tmp_path / "t")).collect())[0] == ("a.tif", 3)
     assert sorted(r.scan for r in files.manifests(spark, str(tmp_path / "t/sub/*.json")).collect()) == ["p", "q"]
     assert [r.pin for r in files.pins(spark, str(tmp_path / "pins.txt")).collect()] == ["/a/b"]
     assert files.empty_if_absent(spark, str(tmp_path / "none"), "a int").count() == 0

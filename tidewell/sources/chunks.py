@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
+import shutil
+import uuid
 import zlib
 
 import numpy as np
@@ -11,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.session import ship_code
+from tidewell.sources.listing import listing
 
 SCHEMA = "chunk array<int>, origin array<int>, shape array<int>, values array<double>"
 
@@ -44,19 +48,30 @@ def decoded(raw: bytes, codec: dict | None) -> bytes:
 def read_chunks(spark: SparkSession, store: str, within: dict[int, tuple[int, int]] | None = None) -> DataFrame:
     """``chunk`` (grid index), ``origin``, ``shape`` (clipped at the array's end), ``values`` (C order) of each chunk.
 
-    ``within`` keeps, per axis, only chunks that meet the range [low, high): names are filtered before contents are
-    read. Chunk names may be dotted or nested. Executors read the files through Spark, from any file system it knows.
+    ``within`` keeps, per axis, only chunks that meet the range [low, high): the store is listed first and no other file
+    is opened. Chunk names may be dotted or nested. Executors read the files through Spark, from any file system it knows.
     """
     ship_code(spark)
     meta = metadata(spark, store)
     shape, chunks, codec = meta["shape"], meta["chunks"], meta.get("compressor")
     kind, order = np.dtype(meta["dtype"]), meta.get("order", "C")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(store)
-    name = F.regexp_extract("path", r"/((?:\d+[./])*\d+)$", 1)
-    index = F.slice(F.transform(F.split(name, r"[./]"), lambda x: x.cast("int")), -len(shape), len(shape))
-    rows = files.filter(name != "").withColumn("chunk", index).filter(F.size("chunk") == len(shape))
-    for axis, (low, high) in (within or {}).items():
-        rows = rows.filter((F.get("chunk", axis) * chunks[axis] < high) & ((F.get("chunk", axis) + 1) * chunks[axis] > low))
+    name = F.regexp_extract("path", r"((?:^|/)(?:\d+[./])*\d+)$", 1)
+    index = F.slice(F.transform(F.split(F.ltrim(name, F.lit("/")), r"[./]"), lambda x: x.try_cast("int")), -len(shape), len(shape))
+
+    def chosen(files: DataFrame) -> DataFrame:
+        rows = files.filter(name != "").withColumn("chunk", index).filter(F.size("chunk") == len(shape))
+        for axis, (low, high) in (within or {}).items():
+            rows = rows.filter((F.get("chunk", axis) * chunks[axis] < high) & ((F.get("chunk", axis) + 1) * chunks[axis] > low))
+        return rows
+
+    files = spark.read.format("binaryFile")
+    if within:  # as many names as the range has chunks
+        names = [r["path"] for r in chosen(listing(spark, store).filter("not is_dir").withColumnRenamed("rel", "path")).select("path").collect()]
+        if not names:
+            return spark.createDataFrame([], SCHEMA)
+        rows = chosen(files.load([f"{store.rstrip('/')}/{n}" for n in names]))
+    else:
+        rows = chosen(files.option("recursiveFileLookup", "true").load(store))
 
     def run(batches):
         for batch in batches:
@@ -83,3 +98,72 @@ def voxels(chunks: DataFrame, axes: list[str]) -> DataFrame:
         out.append((F.get("origin", axis) + (F.floor(F.col("k") / step) % F.get("shape", axis)).cast("int")).alias(axes[axis]))
         step = step * F.get("shape", axis)
     return rows.select(*reversed(out), "v")
+
+
+def declared_and_written(spark: SparkSession, store: str) -> tuple[int, int]:
+    """Timepoints that a store declares, and those it has chunks of: numbered names at the top, at most the declared."""
+    declared = metadata(spark, store)["shape"][0]
+    top = listing(spark, store).select(F.regexp_extract("rel", r"^(\d+)(?:[./]|$)", 1).alias("t")).filter("t <> ''")
+    return declared, min(declared, top.distinct().count())
+
+
+def write_store(frames: DataFrame, path: str, shape: tuple[int, int, int], dtype: str, labels: list[str], voxel_um: float, time_interval_s: float = 1.0) -> str:
+    """Assemble frames (``t``, ``c``, ``values`` in C order) into one (t, c, z, y, x) store, one chunk for each frame.
+
+    t and c are ranks among those that occur; a missing frame stays a hole, which reads as zeros. Chunks are written by
+    the executors into a folder beside the store, which then takes its place in one step. The folder must be mounted
+    everywhere. The store's name, channels, voxel size, interval and the frames that are done are its attributes."""
+    ship_code(frames.sparkSession)
+    times, channels = ([r[0] for r in frames.select(a).distinct().orderBy(a).collect()] for a in ("t", "c"))
+    if not times:
+        raise FileNotFoundError("no frames")
+    target = path.removeprefix("file://").rstrip("/")
+    part, kind, names = f"{target}.tmp", np.dtype(dtype), [f"C{c}" for c in channels]
+    shutil.rmtree(part, ignore_errors=True)
+    os.makedirs(f"{part}/0")
+    rank_t, rank_c = {t: k for k, t in enumerate(times)}, {c: k for k, c in enumerate(channels)}
+
+    def run(batches):
+        for batch in batches:
+            done = []
+            for t, c, values in zip(*(batch.column(i) for i in range(3))):
+                cell = [rank_t[t.as_py()], rank_c[c.as_py()]]
+                block = values.values.to_numpy(zero_copy_only=False).reshape(shape).astype(kind)
+                own = f"{part}/0/.{cell[0]}.{cell[1]}.{uuid.uuid4().hex}"
+                with open(own, "wb") as out:
+                    out.write(zlib.compress(block.tobytes(), 1))
+                os.replace(own, f"{part}/0/{cell[0]}.{cell[1]}.0.0.0")  # a repeated task writes the same chunk again
+                done.append(cell)
+            yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.int32()) for k in (0, 1)], names=["t", "c"])
+
+    done = sorted((r.t, r.c) for r in frames.select("t", "c", "values").mapInArrow(run, "t int, c int").distinct().collect())
+    array = {"zarr_format": 2, "shape": [len(times), len(channels), *shape], "chunks": [1, 1, *shape], "dtype": kind.str, "compressor": {"id": "zlib", "level": 1}, "fill_value": 0, "order": "C", "filters": None, "dimension_separator": "."}
+    scale = [time_interval_s, 1.0, voxel_um, voxel_um, voxel_um]
+    name = os.path.basename(target)
+    attributes = {
+        "multiscales": [{"name": name.removesuffix(".ome.zarr"), "axes": list("tczyx"), "datasets": [{"path": "0", "coordinateTransformations": [{"type": "scale", "scale": scale}]}]}],
+        "omero": {"name": name, "channels": [{"label": x} for x in (labels or names)]},
+        "progress": {"n_t": len(times), "n_c": len(channels), "done": [list(d) for d in done], "state": "complete"},
+    }
+    for file, document in (("0/.zarray", array), (".zattrs", attributes), (".zgroup", {"zarr_format": 2})):
+        with open(f"{part}/{file}", "w") as out:
+            json.dump(document, out)
+    shutil.rmtree(target, ignore_errors=True)
+    os.replace(part, target)
+    return target
+
+
+def mirror_view(chunks_: DataFrame, channel: str, t: str) -> DataFrame:
+    """A flat three-dimensional view for each (channel, t): chunks without their time axis; what is no longer in the
+    source is in no view."""
+    rest = lambda c: F.slice(c, 2, F.size(c) - 1)
+    return chunks_.select(channel, F.get("chunk", F.lit(0)).alias(t), *(rest(c).alias(c) for c in ("chunk", "origin", "shape")), "values")
+
+
+def missing_chunks(grid: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
+    """How many chunks of each store's grid aren't there: ``grid`` (``keys``, ``counts`` array: chunks per axis) against
+    ``present`` (``keys``, ``chunk`` array)."""
+    full = F.aggregate("counts", F.lit(1).cast("long"), lambda a, n: a * n)
+    inside = F.forall(F.arrays_zip("chunk", "counts"), lambda z: z["chunk"] < z["counts"])
+    have = grid.join(present, keys).filter(inside).select(*keys, "chunk").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("have"))
+    return grid.join(have, keys, "left").select(*keys, full.alias("chunks"), (full - F.coalesce("have", F.lit(0))).alias("missing"))

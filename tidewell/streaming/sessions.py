@@ -1,8 +1,8 @@
-"""Live following: stateful session tracking and idempotent watch passes over a file stream."""
+"""Live following: stateful session tracking and windowed counts (watch passes: ``watch``)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -102,12 +102,6 @@ def run_available(spark: SparkSession, stream: DataFrame, name: str, mode: str =
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/out")
 
 
-def watch(stream: DataFrame, one_pass: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = "120 seconds"):
-    """Run an idempotent pass over each micro-batch; a failed pass ends the query, and a restart repeats that batch."""
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one_pass)
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
-
-
 def windowed_counts(events: DataFrame, ts: str, keys: list[str], late: str, size: str, slide: str | None = None) -> DataFrame:
     """Counts and sums by event-time window and keys under a watermark."""
     rows = events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late)
