@@ -1,0 +1,90 @@
+"""Phase retrieval, Zernike terms, the profile model and its bounded fit."""
+
+import json
+from dataclasses import replace
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidewell.operators import kernels, optics
+
+P = optics.Pupil(na=1.1, wavelength_um=0.515, index=1.4, pixel_um=0.136, dz_um=0.2)
+
+
+def test_retrieval_finds_the_coefficients(spark):
+    rho, theta, _ = P.grid((48, 48))
+    truth = np.zeros(len(P.noll))
+    truth[[1, 3, 7]] = 0.4, -0.3, 0.25
+    inside = rho <= 1
+    phase = np.zeros(rho.shape)
+    phase[inside] = kernels.zernike_basis(rho[inside], theta[inside], P.noll) @ truth
+    stack = P.intensity(inside * np.exp(1j * phase), 21)
+    df = spark.createDataFrame([("a", [21, 48, 48], stack.ravel().tolist())], "k string, shape array<int>, values array<double>")
+    got = optics.retrieve(df, "k", P).first()
+    assert np.allclose(got.coefficients, truth, atol=0.05) and len(got.residuals) == 50 and got.residuals[-1] < got.residuals[0] / 10
+    again = np.reshape(got.regenerated, stack.shape)
+    assert np.corrcoef(again.ravel(), stack.ravel())[0, 1] > 0.999 and np.isclose(again.sum(), stack.sum())
+    pupil, _, _ = P.retrieve(stack, 3)
+    assert np.allclose(np.abs(pupil[inside]), 1) and not pupil[~inside].any()
+
+
+def test_pupil_rejects_what_cannot_be():
+    for wrong in ({"na": 1.5}, {"dz_um": 0.0}):
+        with pytest.raises(ValueError):
+            replace(P, **wrong)
+
+
+def test_zernike_terms_of_maps(spark):
+    y, x = (np.linspace(-1, 1, 65),) * 2
+    rho, theta = np.hypot(x[None], y[:, None]), np.arctan2(y[:, None], x[None] + 0 * y[:, None])
+    c = np.array([0.1, 0, 0, 0.5, 0, -0.2, 0, 0, 0, 0, 0.3])
+    phase = kernels.zernike_basis(rho, theta, tuple(range(1, 12))) @ c
+    df = spark.createDataFrame([(1, [65, 65], phase.ravel().tolist())], "k int, shape array<int>, values array<double>")
+    assert np.allclose(optics.zernike_terms(df, "k").first().coefficients, c, atol=1e-9)
+    names = spark.createDataFrame([("GFP (488)",), ("x 561 y",), ("none",), (None,)], "n string")
+    assert [r[0] for r in names.select(optics.wavelength_of(F.col("n"))).collect()] == [0.515, 0.600, 0.515, 0.515]
+
+
+def test_model_and_sheet(spark):
+    m = optics.Model(na=0.8, dz_um=0.3, tail_frac=0.1, lobe_amp=0.05)
+    a = m.raw((9, 11, 13))
+    assert np.isclose(a.sum(), 1) and np.unravel_index(a.argmax(), a.shape) == (4, 5, 6) and np.allclose(a, a[:, :, ::-1], atol=1e-6)
+    flipped = replace(m, flip_u=True, flip_k=True, lobe_amp=0.0).raw((9, 11, 13))
+    assert np.allclose(flipped, replace(m, lobe_amp=0.0).raw((9, 11, 13)), atol=1e-5)
+    d = np.linspace(-3, 3, 7)
+    df = spark.createDataFrame([(float(v),) for v in d], "d double")
+    assert np.allclose([r[0] for r in df.select(optics.sheet_profile(F.col("d"), m)).collect()], m.sheet(d))
+
+
+def test_bounded_fit_stays_in_bounds():
+    x = np.linspace(0, 4, 40)
+    data = 2.0 * np.exp(-1.3 * x)
+    residual = lambda p: p[0] * np.exp(-p[1] * x) - data
+    got, cost = optics.bounded_fit(residual, np.array([1.0, 0.3]), np.array([0.0, 0.0]), np.array([5.0, 5.0]), 100, 1e-4)
+    assert np.allclose(got, (2, 1.3), atol=1e-3) and cost < 1e-4
+    got, _ = optics.bounded_fit(residual, np.array([1.0, 0.3]), np.array([0.0, 0.0]), np.array([1.5, 5.0]), 100, 1e-4)
+    assert got[0] == 1.5
+
+
+def test_fit_of_a_profile(spark):
+    few = {n: optics.PARAMETERS[n] for n in ("na", "z5", "sheet_sigma_um", "center_v")}
+    base = optics.Model(dz_um=0.3, tail_frac=0.05, wavelength_um=0.515)
+    truth = optics.of_parameters(np.array([0.8, 0.5, 0.7, 0.3]), replace(base, flip_u=True), tuple(few))
+    a = truth.raw((7, 9, 9))
+    df = spark.createDataFrame([("p", [7, 9, 9], (a * 500).ravel().tolist())], "k string, shape array<int>, values array<double>")
+    got = optics.fit(df, "k", base, starts=2, parameters=few, rounds=15).first()
+    assert got.flip_u and got.cost < 0.05 and abs(got.parameters["sheet_sigma_um"] - 0.7) < 0.1 and abs(got.parameters["center_v"] - 0.3) < 0.1 and got.core_voxels > 0
+    assert len(optics.PARAMETERS) == 24
+
+
+def test_channel_models(spark):
+    base = optics.Model(na=0.8, zern={5: 0.6}, center_u=1.0)
+    m = optics.for_channel(base, 0.515, "561")
+    assert m.zern == {5: 0.6 * 0.515 / 0.6} and np.isclose(m.sheet_sigma_um, 0.6 * 561 / 488) and m.center_u == 0
+    got = {r.channel: r for r in optics.model_profiles(spark, base, 0.515, ["488", "561"], (9, 11, 11)).collect()}
+    for c, r in got.items():
+        a = np.reshape(r["values"], r["shape"])
+        assert np.isclose(a.sum(), 1) and np.unravel_index(a.argmax(), a.shape) == (4, 5, 5) and json.loads(r.model)["wavelength_um"] == {"488": 0.517, "561": 0.6}[c]
+    t = optics.tapered(np.ones((21, 3)))
+    assert t[0, 1] == 0 and t[10, 1] == 1 and np.allclose(t[:, 1], t[::-1, 1])

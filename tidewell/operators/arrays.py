@@ -107,18 +107,18 @@ def compare(a: Column, b: Column) -> Column:
     return F.struct((F.array_max(d) == 0).alias("identical"), correlation(a, b).alias("r"), F.array_max(d).alias("max_abs"), median.alias("median_abs"))
 
 
-def nearest_neighbour(points: DataFrame, group: str, key: str, coords: list[str], reach: float) -> DataFrame:
-    """Distance of each point to its nearest other within ``reach``, null beyond: a grid of cells of that size, each
-    point meets the 3^d cells around it."""
+def nearest_neighbour(points: DataFrame, group: str, key: str, coords: list[str], reach: float, asked: DataFrame | None = None) -> DataFrame:
+    """Distance of each point (or of those ``asked`` about) to its nearest other within ``reach``, null beyond: a grid
+    of cells of that size, each point asked about meets the 3^d cells around it."""
+    asked = points if asked is None else asked
     cells = [F.floor(F.col(c) / reach).cast("long").alias(f"_g{i}") for i, c in enumerate(coords)]
-    own = points.select(group, key, *coords, *cells)
-    near = own
+    own, near = (df.select(group, key, *coords, *cells) for df in (points, asked))
     for i in range(len(coords)):
         near = near.withColumn(f"_g{i}", F.explode(F.array(*(F.col(f"_g{i}") + d for d in (-1, 0, 1)))))
-    other = near.withColumnsRenamed({key: "_o", **{c: f"_{c}" for c in coords}})
+    other = own.withColumnsRenamed({key: "_o", **{c: f"_{c}" for c in coords}})
     square = sum((F.pow(F.col(c) - F.col(f"_{c}"), 2) for c in coords), F.lit(0.0))
-    met = own.join(other, [group, *(f"_g{i}" for i in range(len(coords)))]).filter(F.col(key) != F.col("_o")).withColumn("_d", F.sqrt(square)).filter(F.col("_d") <= reach)
-    return points.select(group, key).join(met.groupBy(group, key).agg(F.min("_d").alias("nearest")), [group, key], "left")
+    met = near.join(other, [group, *(f"_g{i}" for i in range(len(coords)))]).filter(F.col(key) != F.col("_o")).withColumn("_d", F.sqrt(square)).filter(F.col("_d") <= reach)
+    return asked.select(group, key).join(met.groupBy(group, key).agg(F.min("_d").alias("nearest")), [group, key], "left")
 
 
 def quality_gates(**gates: tuple[str, Column]) -> Column:

@@ -1,0 +1,157 @@
+"""Neighbourhood kernels on numpy arrays of any number of axes; they run inside Arrow batches. Edges are mirrored."""
+
+from __future__ import annotations
+
+import numpy as np
+
+
+def _windows(a: np.ndarray, axis: int, before: int, after: int) -> np.ndarray:
+    wide = np.pad(a, [(before, after) if k == axis else (0, 0) for k in range(a.ndim)], "symmetric")
+    return np.lib.stride_tricks.sliding_window_view(wide, before + after + 1, axis)
+
+
+def _sizes(a: np.ndarray, size: int | tuple[int, ...]) -> tuple[int, ...]:
+    return (size,) * a.ndim if np.isscalar(size) else tuple(size)
+
+
+def box_mean(a: np.ndarray, size: int | tuple[int, ...]) -> np.ndarray:
+    """Mean over a box; an even box reaches one further back than ahead."""
+    out = a.astype(float)
+    for axis, n in enumerate(_sizes(a, size)):
+        if n > 1:
+            total = np.cumsum(np.pad(out, [(n // 2 + 1 if k == axis else 0, n - 1 - n // 2 if k == axis else 0) for k in range(a.ndim)], "symmetric"), axis, dtype=float)
+            total -= np.take(total, [0], axis)
+            total = np.moveaxis(total, axis, 0)
+            out = np.moveaxis((total[n:] - total[:-n]) / n, 0, axis)
+    return out
+
+
+def extreme(a: np.ndarray, size: int | tuple[int, ...], largest: bool = True) -> np.ndarray:
+    """Largest (or least) value in a box."""
+    out = a
+    for axis, n in enumerate(_sizes(a, size)):
+        if n > 1:
+            view = _windows(out, axis, n // 2, n - 1 - n // 2)
+            out = view.max(-1) if largest else view.min(-1)
+    return out
+
+
+def opened(a: np.ndarray, size: int | tuple[int, ...]) -> np.ndarray:
+    """Grey opening by a box."""
+    return extreme(extreme(a, size, False), size, True)
+
+
+def median3(a: np.ndarray) -> np.ndarray:
+    """Median over a box of three along each axis."""
+    view = np.lib.stride_tricks.sliding_window_view(np.pad(a, 1, "symmetric"), (3,) * a.ndim)
+    return np.median(view.reshape(*a.shape, -1), -1)
+
+
+def gaussian(a: np.ndarray, sigmas: float | tuple[float, ...], zero_edge: bool = False) -> np.ndarray:
+    """Gaussian smoothing, cut at four deviations."""
+    out = a.astype(float)
+    for axis, s in enumerate((sigmas,) * a.ndim if np.isscalar(sigmas) else sigmas):
+        if s > 0:
+            reach = int(4 * s + 0.5)
+            x = np.arange(-reach, reach + 1)
+            weight = np.exp(-(x**2) / (2 * s * s))
+            weight /= weight.sum()
+            pad = [(reach, reach) if k == axis else (0, 0) for k in range(a.ndim)]
+            wide = np.pad(out, pad) if zero_edge else np.pad(out, pad, "symmetric")
+            out = np.lib.stride_tricks.sliding_window_view(wide, 2 * reach + 1, axis) @ weight
+    return out
+
+
+def eroded(mask: np.ndarray, times: int = 1) -> np.ndarray:
+    """A mask without its outermost layer (face neighbours; beyond the edge is outside), so many times."""
+    out = mask
+    for _ in range(times):
+        wide = np.pad(out, 1)
+        inner = tuple(slice(1, -1) for _ in range(mask.ndim))
+        out = wide[inner].copy()
+        for axis in range(mask.ndim):
+            for shift in (-1, 1):
+                out &= np.roll(wide, shift, axis)[inner]
+    return out
+
+
+def dilated(mask: np.ndarray, times: int = 1) -> np.ndarray:
+    """A mask with a layer more, so many times."""
+    out = mask
+    for _ in range(times):
+        wide = np.pad(out, 1)
+        inner = tuple(slice(1, -1) for _ in range(mask.ndim))
+        new = wide[inner].copy()
+        for axis in range(mask.ndim):
+            for shift in (-1, 1):
+                new |= np.roll(wide, shift, axis)[inner]
+        out = new
+    return out
+
+
+def closed(mask: np.ndarray, times: int = 1) -> np.ndarray:
+    """Dilated, then eroded."""
+    return eroded(dilated(mask, times), times)
+
+
+def labelled(mask: np.ndarray) -> np.ndarray:
+    """Components of a mask (corner neighbours count), numbered from 1 in scan order of their first element."""
+    where = np.argwhere(mask)
+    at = np.full(np.array(mask.shape) + 2, -1)
+    at[tuple((where + 1).T)] = np.arange(len(where))
+    root = np.arange(len(where))
+    steps = np.argwhere(np.ones((3,) * mask.ndim)) - 1
+    pairs = [(k, n) for s in steps for k, n in [(np.arange(len(where)), at[tuple((where + 1 + s).T)])]]
+    while True:
+        least = root.copy()
+        for k, n in pairs:
+            ok = n >= 0
+            np.minimum.at(least, k[ok], root[n[ok]])
+        least = least[least]
+        if np.array_equal(least, root):
+            break
+        root = least
+    out = np.zeros(mask.shape, int)
+    out[tuple(where.T)] = np.unique(root, return_inverse=True)[1] + 1 if len(where) else 0
+    return out
+
+
+def zoomed(a: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
+    """Linear interpolation to another shape, corner on corner."""
+    out = a.astype(float)
+    for axis, n in enumerate(shape):
+        m = out.shape[axis]
+        x = np.linspace(0, m - 1, n) if n > 1 else np.zeros(1)
+        low = np.minimum(np.floor(x).astype(int), max(0, m - 2))
+        f = (x - low).reshape([-1 if k == axis else 1 for k in range(a.ndim)])
+        out = np.take(out, low, axis) * (1 - f) + np.take(out, np.minimum(low + 1, m - 1), axis) * f
+    return out
+
+
+def at_points(a: np.ndarray, z: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Trilinear values at points; 0 outside."""
+    out = np.zeros(np.broadcast(z, y, x).shape)
+    low = [np.floor(c).astype(int) for c in (z, y, x)]
+    part = [c - b for c, b in zip((z, y, x), low)]
+    inside = np.ones(out.shape, bool)
+    for c, n in zip((z, y, x), a.shape):
+        inside &= (c >= 0) & (c <= n - 1)
+    for corner in np.ndindex(2, 2, 2):
+        weight, index = 1.0, []
+        for d, b, f, n in zip(corner, low, part, a.shape):
+            weight = weight * (f if d else 1 - f)
+            index.append(np.clip(b + d, 0, n - 1))
+        out += weight * a[tuple(np.broadcast_arrays(*index))]
+    return np.where(inside, out, 0.0)
+
+
+def mad_sigma(values: np.ndarray) -> float:
+    """1.4826 times the median distance to the median."""
+    return float(1.4826 * np.median(np.abs(values - np.median(values))))
+
+
+def zernike_basis(rho: np.ndarray, theta: np.ndarray, indices: tuple[int, ...]) -> np.ndarray:
+    """Values of the Noll polynomials at points of the disc, one column each."""
+    from tidewell.operators.arrays import zernike
+
+    return np.stack([zernike(j, rho, theta) for j in indices], -1)
