@@ -25,7 +25,7 @@ from tidewell.llm.common import fold, lowest_hashes, map_batches
 from tidewell.session import materialise, scratch
 
 #: Longest n-gram, hash bits, documents of the training sample, cells of the matrix, characters taken at a time, smoothing.
-ORDER, BITS, MAX_TRAIN, MAX_CELLS, BLOCK, ALPHA = 3, 16, 20000, 1 << 25, 1 << 18, 0.5
+ORDER, BITS, MAX_TRAIN, MAX_CELLS, BLOCK, ALPHA = 3, 16, 20000, 1 << 25, 1 << 16, 0.5
 UNKNOWN = "und"
 
 _LETTER: list[np.ndarray] = []
