@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.functions import keyword_labels
+from tidewell.sources import layout
+
 # Windows in seconds, and excitation lines with the camera and offset that each is read from.
 SETTLE_S, LOCK_STALE_S = 900, 600
 LINES = (("488", True, 0), ("405", False, 0), ("561", True, 1), ("640", False, 1))
@@ -54,9 +57,13 @@ def store_is_current(frames: DataFrame, stored: DataFrame, key: str, cells: list
     return agg.select(key, (F.col("same") & F.coalesce(F.col("w") <= F.col("u"), F.lit(False))).alias("current"))
 
 
-def extraction_plan(samples: DataFrame, key: str, configs: str, detected: str) -> DataFrame:
+def extraction_plan(samples: DataFrame, key: str, configs: str, detected: str, folder: str | None = None) -> DataFrame:
     """Rows ``key``, ``raw``, ``top``, ``line``, ``out``: with one configuration the detected lines, with several each
-    configuration's own lines at its own raw channels; ``out`` runs through the sample."""
+    configuration's own lines at its own raw channels; ``out`` runs through the sample. Where nothing was detected the
+    labels that the ``folder``'s name hints at count as detected."""
+    if folder:
+        named = keyword_labels(F.col(folder), layout.FLUOROPHORES)
+        samples = samples.withColumn(detected, F.when(F.size(detected) > 0, F.col(detected)).otherwise(named))
     lines = lambda has, base: F.array_compact(F.array(*(F.when(has(name), F.struct((base + off).cast("int").alias("raw"), F.lit(top).alias("top"), F.lit(f"{name}nm").alias("line"))) for name, top, off in LINES)))
     single = lines(lambda name: F.exists(F.col(detected), lambda d: F.contains(d, F.lit(name))), F.lit(0))
     several = F.flatten(F.transform(F.col(configs), lambda c, i: lines(lambda name: F.contains(F.lower(c), F.lit(name)), i * 2)))

@@ -28,16 +28,15 @@ def decide(now: Column) -> list[Column]:
         F.when((F.col("auto_label") == "keep") & (F.col("auto_reason") == "motion_detected"), "automatic triage saw motion"),
         F.when(F.col("name").rlike(layout.BEAD_OR_PSF), "looks like a bead or PSF recording"),
     ))
-    none = F.array().cast("array<string>")
     held, delete = F.size(guarded) > 0, label == "delete"
     bad = F.col("signal_flag").isin(*layout.BAD_SIGNALS) & label.isNull()
     cases = [
         (busy, "P2", "KEEP", F.array(F.concat(F.lit("status is "), "status"))), (young, "P2", "KEEP", F.array(F.lit("discovered recently"))),
-        (held & delete, "R1", "REVIEW", guarded), (held, "P1", "KEEP", F.array_append(guarded, F.lit("protected: nothing derived from it is offered"))),
+        (held & delete, "R1", "REVIEW", F.array_prepend(guarded, F.lit("label is delete but dataset is protected"))), (held, "P1", "KEEP", F.array_append(guarded, F.lit("protected: nothing derived from it is offered"))),
         (delete & (F.size(problems) > 0), "R1", "REVIEW", problems), (delete, "D1", "SUGGEST_DELETE", F.array(F.lit("labelled delete"))),
         (label == "interrogate", "R1", "REVIEW", F.array(F.lit("labelled interrogate"))), (bad, "R1", "REVIEW", F.array(F.concat(F.lit("signal is "), "signal_flag"))),
     ]
-    rule, action, reasons = F.lit("K0"), F.lit("KEEP"), none
+    rule, action, reasons = F.lit("K0"), F.lit("KEEP"), F.array(F.lit("no evidence for deletion"))
     for when, r, a, why in reversed(cases):
         rule, action, reasons = F.when(when, r).otherwise(rule), F.when(when, a).otherwise(action), F.when(when, why).otherwise(reasons)
     return [rule.alias("rule"), action.alias("action"), reasons.alias("reasons")]

@@ -103,8 +103,8 @@ FACTS_SQL = """facts AS (SELECT d.doc_id, CASE d.doc_id % 17 WHEN 0 THEN 'runnin
     d AS (SELECT *, CASE WHEN status IN ('running', 'pending') THEN 1 WHEN age < 14 THEN 2 WHEN guarded <> '' AND label = 'delete' THEN 3 WHEN guarded <> '' THEN 4 WHEN label = 'delete' AND problems <> '' THEN 5
         WHEN label = 'delete' THEN 6 WHEN label = 'interrogate' THEN 7 WHEN signal_flag IN ('dud', 'dead') AND label IS NULL THEN 8 ELSE 9 END AS k FROM g)
     SELECT doc_id, ['P2','P2','R1','P1','R1','D1','R1','R1','K0'][k] AS rule, ['KEEP','KEEP','REVIEW','KEEP','REVIEW','SUGGEST_DELETE','REVIEW','REVIEW','KEEP'][k] AS action,
-        CASE k WHEN 1 THEN 'status is ' || status WHEN 2 THEN 'discovered recently' WHEN 3 THEN guarded WHEN 4 THEN guarded || '|protected: nothing derived from it is offered' WHEN 5 THEN problems
-            WHEN 6 THEN 'labelled delete' WHEN 7 THEN 'labelled interrogate' WHEN 8 THEN 'signal is ' || signal_flag ELSE '' END AS reasons FROM d""")
+        CASE k WHEN 1 THEN 'status is ' || status WHEN 2 THEN 'discovered recently' WHEN 3 THEN 'label is delete but dataset is protected|' || guarded WHEN 4 THEN guarded || '|protected: nothing derived from it is offered' WHEN 5 THEN problems
+            WHEN 6 THEN 'labelled delete' WHEN 7 THEN 'labelled interrogate' WHEN 8 THEN 'signal is ' || signal_flag ELSE 'no evidence for deletion' END AS reasons FROM d""")
 def rule_cascade(spark, sf_dir):
     """The ordered cascade with its reasons."""
     d, now = read_table(spark, sf_dir, "documents"), F.lit("2024-06-01 00:00:00").cast("timestamp")
@@ -149,14 +149,6 @@ def quality_gates(spark, sf_dir):
     return read_table(spark, sf_dir, "part").select("p_partkey", ok.alias("accepted"), flag.alias("flag"))
 
 
-@query("SELECT doc_id, CASE WHEN n_chars = 0 THEN 'empty' WHEN regexp_matches(text, '(?i)licen[cs]e') THEN 'license' WHEN contains(text, '|') THEN 'table' WHEN contains(text, '!!') THEN 'shouting' ELSE 'prose' END AS category FROM documents")
-def failure_category(spark, sf_dir):
-    """Categories by substring and pattern, the first that fits."""
-    t = F.col("text")
-    cat = F.when(F.col("n_chars") == 0, "empty").when(t.rlike("(?i)licen[cs]e"), "license").when(t.contains("|"), "table").when(t.contains("!!"), "shouting").otherwise("prose")
-    return read_table(spark, sf_dir, "documents").select("doc_id", cat.alias("category"))
-
-
 @query("SELECT a.l_orderkey, a.l_partkey FROM lineitem a WHERE a.l_linenumber = 1 AND EXISTS (SELECT 1 FROM lineitem b WHERE b.l_linenumber = 2 AND b.l_orderkey = a.l_orderkey AND nullif(b.l_returnflag, 'R') IS NOT DISTINCT FROM nullif(a.l_returnflag, 'R'))")
 def twin_files(spark, sf_dir):
     """Files of the keeper that the member has too, null-safe."""

@@ -58,7 +58,7 @@ def store_currency(spark, sf_dir):
 
 
 @query("""WITH s AS (SELECT p_partkey AS k, p_size % 4 AS m, [('488', true, 0), ('405', false, 0), ('561', true, 1), ('640', false, 1)] AS l FROM part),
-    one AS (SELECT k, x[1] AS name, x[2] AS top, x[3] AS raw, 0 AS c, CASE x[1] WHEN '488' THEN 1 WHEN '405' THEN 2 WHEN '561' THEN 3 ELSE 4 END AS o FROM (SELECT k, m, unnest([['488', 'true', '0'], ['405', 'false', '0'], ['561', 'true', '1'], ['640', 'false', '1']]) AS x FROM s WHERE m < 2) WHERE (m = 0 AND x[1] IN ('488', '561')) OR (m = 1 AND x[1] IN ('640', '405'))),
+    one AS (SELECT k, x[1] AS name, x[2] AS top, x[3] AS raw, 0 AS c, CASE x[1] WHEN '488' THEN 1 WHEN '405' THEN 2 WHEN '561' THEN 3 ELSE 4 END AS o FROM (SELECT k, m, unnest([['488', 'true', '0'], ['405', 'false', '0'], ['561', 'true', '1'], ['640', 'false', '1']]) AS x FROM s WHERE m < 2) WHERE (m = 0 AND x[1] IN ('488', '561')) OR (m = 1 AND k % 5 > 0 AND x[1] IN ('640', '405')) OR (m = 1 AND k % 5 = 0 AND x[1] = '561')),
     many AS (SELECT k, x[1] AS name, x[2] AS top, CAST(CAST(x[3] AS INTEGER) + 2 * c AS VARCHAR) AS raw, c, CASE x[1] WHEN '488' THEN 1 WHEN '405' THEN 2 WHEN '561' THEN 3 ELSE 4 END AS o FROM (SELECT k, m, c, unnest([['488', 'true', '0'], ['405', 'false', '0'], ['561', 'true', '1'], ['640', 'false', '1']]) AS x FROM s, (VALUES (0), (1)) v(c) WHERE m >= 2) WHERE (c = 0 AND x[1] = '561') OR (c = 1 AND (x[1] = '488' OR (m = 3 AND x[1] = '640')))),
     a AS (SELECT * FROM one UNION ALL SELECT * FROM many)
     SELECT k AS p_partkey, CAST(raw AS INTEGER) AS raw, CAST(top AS BOOLEAN) AS top, name || 'nm' AS line, CAST(row_number() OVER (PARTITION BY k ORDER BY c, o) - 1 AS INTEGER) AS out FROM a""")
@@ -66,9 +66,9 @@ def extraction_plan(spark, sf_dir):
     """P32, W4, J21, SRC24, R7: channels of a sample with a running output index."""
     m = F.col("p_size") % 4
     configs = F.when(m < 2, F.array(F.lit("Laser all"))).when(m == 2, F.array(F.lit("Laser 561"), F.lit("LASER 488"))).otherwise(F.array(F.lit("Laser 561"), F.lit("Laser 488 and 640")))
-    found = F.when(m == 0, F.array(F.lit("GFP (488)"), F.lit("x (561)"))).otherwise(F.array(F.lit("SiR (640)"), F.lit("DAPI (405)")))
-    s = read_table(spark, sf_dir, "part").select("p_partkey", configs.alias("configs"), found.alias("found"))
-    return exports.extraction_plan(s, "p_partkey", "configs", "found")
+    found = F.when(m == 0, F.array(F.lit("GFP (488)"), F.lit("x (561)"))).when((m == 1) & (F.col("p_partkey") % 5 == 0), F.array().cast("array<string>")).otherwise(F.array(F.lit("SiR (640)"), F.lit("DAPI (405)")))
+    s = read_table(spark, sf_dir, "part").select("p_partkey", configs.alias("configs"), found.alias("found"), F.lit("cell_mScarlet_2").alias("folder"))
+    return exports.extraction_plan(s, "p_partkey", "configs", "found", "folder")
 
 
 @query("WITH m AS (SELECT doc_id, sha256(text) AS g FROM documents), l AS (SELECT doc_id, CASE max(quality) WHEN 1 THEN 'keep' ELSE 'delete' END AS label FROM labels GROUP BY 1), p AS (SELECT DISTINCT a.doc_id, b.doc_id AS k, l.label FROM m a JOIN m b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN l ON l.doc_id = b.doc_id) SELECT doc_id, string_agg(k || '=' || label, ',' ORDER BY k) AS siblings FROM p GROUP BY doc_id")

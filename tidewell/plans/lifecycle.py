@@ -122,15 +122,6 @@ def idle_sessions(spark, sf_dir):
     return s.select("user_id", F.date_format("started", "yyyy-MM-dd HH:mm:ss").alias("started"), "n")
 
 
-@query("WITH d AS (SELECT user_id, max(ts) AS done FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1) SELECT e.user_id, CAST(count(*) AS BIGINT) AS late, strftime(min(e.ts), '%Y-%m-%d %H:%M:%S') AS reopened FROM events e JOIN d ON e.user_id = d.user_id AND e.ts > d.done GROUP BY e.user_id")
-def late_reopen(spark, sf_dir):
-    """ST14, P20, ST16: data after the finish re-opens a key."""
-    e = read_table(spark, sf_dir, "events")
-    done = e.filter(F.col("ts").cast("timestamp") < F.lit("2024-01-20 00:00:00").cast("timestamp")).groupBy("user_id").agg(F.max("ts").alias("done"))
-    late = e.join(done, "user_id").filter("ts > done").groupBy("user_id").agg(F.count(F.lit(1)).alias("late"), F.min("ts").alias("m"))
-    return late.select("user_id", "late", F.date_format("m", "yyyy-MM-dd HH:mm:ss").alias("reopened"))
-
-
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey, l_linenumber) AS k FROM lineitem) WHERE k <= 2")
 def top_lines(spark, sf_dir):
     """The top rows of each group."""
@@ -184,12 +175,6 @@ def json_map_sums(spark, sf_dir):
     return e.groupBy("event_type", "name").agg(F.sum("v").alias("total"))
 
 
-@query("SELECT doc_id, left(text, 2) IN ('II', 'MM', 'Th', 'De') AS valid FROM documents")
-def header_check(spark, sf_dir):
-    """A magic number at the start of the content."""
-    return read_table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 2).isin("II", "MM", "Th", "De").alias("valid"))
-
-
 @query("SELECT user_id, string_agg('open #' || lpad(CAST(c AS VARCHAR), 3, '0'), chr(10) ORDER BY c) AS script FROM (SELECT DISTINCT user_id, event_id % 4 AS c FROM events) GROUP BY user_id")
 def open_script(spark, sf_dir):
     """SNK10, SNK7, F6: a text made from distinct channels."""

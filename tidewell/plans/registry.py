@@ -23,5 +23,5 @@ def query(oracle: str | None = None):
     return add
 
 
-for _module in ("inventory", "copies", "lifecycle", "exports", "arrays", "volumes", "streams"):
+for _module in ("inventory", "copies", "lifecycle", "exports", "arrays", "volumes", "streams", "decisions", "beads"):
     importlib.import_module(f"tidewell.plans.{_module}")
