@@ -145,3 +145,32 @@ def test_stream_restart(spark, tmp_path):
     out = run_available(spark, read(), name)
     last = {r.key: (r["count"], r.status) for r in out.orderBy("epoch").collect()}
     assert last == {1: (2, "complete"), 2: (1, "running")}
+
+
+def test_percentiles_are_exact(spark):
+    rng = np.random.default_rng(11)
+    groups = {"a": rng.normal(size=501), "b": np.repeat([1.0, 2.0, 2.0, 7.0], 25), "c": np.array([3.0]), "d": np.concatenate((rng.normal(size=300), [1e9])), "e": np.full(9, -2.0)}
+    df = spark.createDataFrame([(k, float(v)) for k, x in groups.items() for v in x] + [("a", None)], "g string, v double")
+    shares = [0.0, 0.01, 0.5, 0.998, 1.0]
+    got = {r.g: r["_q"] for r in arrays.percentiles(df, ["g"], "v", shares).collect()}
+    assert set(got) == set(groups) and all(np.allclose(got[k], np.quantile(x, shares)) for k, x in groups.items())
+
+
+def test_candidate_pairs_with_a_hot_size(spark):
+    rng = np.random.default_rng(12)
+    files_ = [(k, 100) for k in range(40)] + [(k, int(s)) for k in range(40) for s in rng.integers(10, 160, rng.integers(0, 6))] + [(99, 7)]
+    df = spark.createDataFrame(files_, "k int, size long")
+    total, own = {}, {}
+    for k, s in files_:
+        total[k] = total.get(k, 0) + s
+        if s >= 20:
+            own.setdefault(k, set()).add(s)
+    want = {(a, b, sum(own[a] & own[b])) for a in own for b in own if a < b and own[a] & own[b] and sum(own[a] & own[b]) >= 0.5 * min(total[a], total[b])}
+    got = {tuple(r) for r in dedup.candidate_pairs(df, "k", "size", 20, 0.5).collect()}
+    assert got == want and len(want) > 50
+
+
+def test_differing_groups_by_counted_items(spark):
+    rows = [("g", 1, "x"), ("g", 1, "y"), ("g", 2, "y"), ("g", 2, "x"), ("h", 1, "x"), ("h", 2, "x"), ("h", 2, "x"), ("i", 1, "x"), (None, 1, "x"), (None, 2, "z")]
+    df = spark.createDataFrame(rows, "g string, m int, i string")
+    assert sorted((r.g or "") for r in dedup.differing_groups(df, ["g"], "m", ["i"]).collect()) == ["", "h"]

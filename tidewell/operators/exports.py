@@ -72,10 +72,10 @@ def extraction_plan(samples: DataFrame, key: str, configs: str, detected: str, f
 
 
 def sibling_labels(members: DataFrame, labels: DataFrame, key: str, group: str, label: str) -> DataFrame:
-    """Per key the labels of other members of its groups, as text ``key=label`` in order of keys. Only labelled
-    members are joined to the others, and each group's labels meet once."""
-    named = members.join(labels.select(key, label), key).groupBy(group).agg(F.collect_set(F.struct(F.col(key).alias("k"), F.col(label).alias("l"))).alias("s"))
-    met = members.join(named, group).select(key, F.explode("s").alias("s")).filter(F.col("s.k") != F.col(key)).distinct()
+    """Per key the labels of other members of its groups, as text ``key=label`` in order of keys. Labelled members meet
+    the others row by row, so AQE can split a large group."""
+    named = members.join(labels.select(key, label), key).select(group, F.struct(F.col(key).alias("k"), F.col(label).alias("l")).alias("s")).distinct()
+    met = members.join(named, group).filter(F.col("s.k") != F.col(key)).select(key, "s").distinct()
     return met.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: F.concat(s["k"].cast("string"), F.lit("="), s["l"])), ",").alias("siblings"))
 
 
