@@ -170,3 +170,13 @@ def test_store_of_frames(spark, tmp_path):
     grid = spark.createDataFrame([("s", [2, 2]), ("e", [1, 3])], "k string, counts array<int>")
     have = spark.createDataFrame([("s", [0, 0]), ("s", [0, 0]), ("s", [1, 1]), ("s", [2, 0])], "k string, chunk array<int>")
     assert sorted(map(tuple, chunks.missing_chunks(grid, have, ["k"]).collect())) == [("e", 3, 3), ("s", 4, 2)]
+
+
+def test_dataset_of_three_trees(spark, tmp_path):
+    for n in ("leaf/a.tif", "mirror/m/b.tif", "raw/x_g_488.ome.zarr/.zarray", "raw/x_m_561.ome.zarr/0/0"):
+        (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / n).write_bytes(b"x")
+    stores = [str(tmp_path / "raw" / s) for s in ("x_g_488.ome.zarr", "x_m_561.ome.zarr")]
+    got = listing.scan_dataset(spark, str(tmp_path / "leaf"), str(tmp_path / "mirror"), stores).collect()
+    assert sorted((r.tree, r.rel) for r in got) == [("leaf", "a.tif"), ("master", "x_g_488.ome.zarr/.zarray"), ("master", "x_m_561.ome.zarr/0/0"), ("mirror", "m/b.tif")]
+    assert listing.scan_dataset(spark, str(tmp_path / "leaf")).count() == 1

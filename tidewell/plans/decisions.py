@@ -300,7 +300,7 @@ def control_gate(spark, sf_dir):
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'error: E' WHEN c_custkey % 3 = 0 THEN 'gate failed' WHEN c_nationkey % 2 = 0 THEN 'shapes differ' ELSE 'ok' END AS outcome FROM customer")
 def cohort_results(spark, sf_dir):
-    """Outcomes of a cohort, each cell for itself."""
+    """Outcomes of a cohort, each cell for itself."""
     c, k = read_table(spark, sf_dir, "customer"), F.col("c_custkey")
     gates = c.select("c_custkey", (k % 3 > 0).alias("gate_ok"), F.lit("prod").alias("control"), F.lit("linear").alias("interpolation"))
     shapes = c.select("c_custkey", F.explode(F.array(F.lit("ok"), F.when(F.col("c_nationkey") % 2 == 0, "MISSING").otherwise("ok"))).alias("state"))

@@ -102,3 +102,15 @@ def scan_tree(spark: SparkSession, root: str, tree: str = "leaf") -> DataFrame:
     """Every file below ``root``: ``tree``, ``rel``, ``size`` (-1 if unreadable), ``modified``, ``error``."""
     files = listing(spark, root).filter("not is_dir or size < 0")
     return files.select(F.lit(tree).alias("tree"), "rel", "size", F.timestamp_micros(F.floor(F.col("mtime_ns") / 1000).cast("long")).alias("modified"), "error")
+
+
+def scan_dataset(spark: SparkSession, leaf: str, mirror: str | None = None, stores: list[str] | None = None) -> DataFrame:
+    """Files of one dataset out of its trees: ``leaf``, ``mirror`` and, as ``master``, each channel store of its raw data
+    (their ``rel`` begins with the store's name). Trees that a dataset doesn't have add nothing."""
+    out = scan_tree(spark, leaf, "leaf")
+    if mirror:
+        out = out.unionByName(scan_tree(spark, mirror, "mirror"))
+    for store in stores or []:
+        name = store.rstrip("/").rsplit("/", 1)[-1]
+        out = out.unionByName(scan_tree(spark, store, "master").withColumn("rel", F.concat(F.lit(f"{name}/"), "rel")))
+    return out
