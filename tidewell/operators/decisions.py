@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Folders of the ticket queue, spellings of a claimed ticket, folder names of older results, endings.
 LANES, SPELLINGS = ("queue", "queue_live"), ("", ".active_", ".requeue_")
 LEGACY_DIRS = ("Decon", "decon")
+MIP_FRAME = r"_C(\d+)_T\d+_MIP_z\.tif$"
 STORE_SUFFIX, STAGED, MIRRORED = "_dsr.ome.zarr", "decon_stage", "zarr_mirror"
 
 
@@ -123,6 +124,38 @@ def encode_source(store: Column, result: Column, kind: Column, n_t: Column) -> C
     return F.when(store.isNotNull() & store.eqNullSafe(result), "store").when(kind != "zarr_precropped", "legacy").when(n_t > 1, "series").otherwise("single")
 
 
+def reblend(datasets: DataFrame, stages: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """What is blended anew for each dataset whose movies are done (a recorded output): ``action``, ``source`` (output of
+    the deskew stage), ``target`` (of the encode stage). ``files``: ``dir``, ``name``, both of movies and of the
+    ``MIPs`` folder of a source.
+
+    A composite movie is made anew from the projections of two channels or more; a preview alone, without any channel's
+    movie beside it, from single projections; too few of them make ``failed``. Repeated outputs of a stage: the least."""
+    done = lambda stage, name: stages.filter((F.col("stage") == stage) & (F.col("status") == "done") & (F.col("output_path") != "")).groupBy(key).agg(F.min("output_path").alias(name))
+    name, has = F.col("name"), lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    composite = F.endswith(name, F.lit("_composite.webm"))
+    movies = files.groupBy(F.col("dir").alias("target")).agg(
+        has(composite).alias("blended"), has(F.endswith(name, F.lit(".webm")) & ~composite).alias("movie"), has(name == "triage_preview.jpg").alias("preview"),
+    )
+    channel = F.when(name.rlike(MIP_FRAME), F.regexp_extract(name, MIP_FRAME, 1).cast("long"))
+    mips = files.groupBy(F.col("dir").alias("_mips")).agg(F.count_distinct(channel).alias("channels"), F.count(F.when(F.endswith(name, F.lit("_MIP_z.tif")), 1)).alias("mips"))
+    rows = datasets.select(key).distinct().join(done("mip_encode", "target"), key).join(done("deskew", "source"), key, "left")
+    rows = rows.join(movies, "target", "left").withColumn("_mips", F.concat("source", F.lit("/MIPs"))).join(mips, "_mips", "left")
+    action = (
+        F.when(F.col("source").isNull(), "skipped: no deskew output")
+        .when(F.col("blended"), F.when(F.col("channels") >= 2, "movie composite").otherwise("failed: fewer than two channels"))
+        .when(F.col("movie"), "skipped: single channel")
+        .when(F.col("preview"), F.when(F.col("mips") > 0, "poster").otherwise("failed: no projections")).otherwise("skipped: nothing to blend")
+    )
+    return rows.select(key, action.alias("action"), "source", "target")
+
+
+def outcome_counts(actions: DataFrame) -> DataFrame:
+    """``done``, ``skipped``, ``failed``: how many of the actions end so; one row."""
+    kind = F.regexp_extract("action", r"^(skipped|failed):", 1)
+    return actions.agg(*(F.count(F.when(kind == k, 1)).alias(n) for k, n in (("", "done"), ("skipped", "skipped"), ("failed", "failed"))))
+
+
 def reapable(files: DataFrame, deconvolved: Column, precropped: Column, keep: bool = False) -> DataFrame:
     """Files (``rel`` below the data folder) that can be made again and may go, ``what`` is done: ``drop`` frames staged
     beside the result (cropped stores only) and, after a deconvolution, frames loose in ``Decon``; its ``psfgen`` is

@@ -322,3 +322,43 @@ def folder_numbers(spark, sf_dir):
     """Distinct numbers out of folder names."""
     name = text("deskew_", F.col("p_size"), ".5_deg")
     return read_table(spark, sf_dir, "part").select(decisions.number_in(name, "deskew").alias("angle")).distinct()
+
+
+REBLENDS = """
+    WITH n AS (SELECT l_orderkey AS k, count(DISTINCT l_linenumber) AS c FROM lineitem WHERE l_returnflag <> 'A' GROUP BY l_orderkey),
+    r AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'skipped: no deskew output'
+            WHEN o_orderkey % 4 = 0 THEN CASE WHEN coalesce(c, 0) >= 2 THEN 'movie composite' ELSE 'failed: fewer than two channels' END
+            WHEN o_orderkey % 4 = 1 THEN 'skipped: single channel'
+            WHEN o_orderkey % 4 = 2 THEN CASE WHEN coalesce(c, 0) > 0 THEN 'poster' ELSE 'failed: no projections' END
+            ELSE 'skipped: nothing to blend' END AS action, o_orderkey FROM orders LEFT JOIN n ON k = o_orderkey WHERE o_orderstatus <> 'P')
+"""
+
+
+def reblended(spark, sf_dir):
+    """Orders as datasets: movies by their keys, line items as projections of their sources."""
+    o, k = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), F.col("o_orderkey")
+    stage = lambda name, ok, out: F.struct(F.lit(name).alias("stage"), F.when(ok, "done").otherwise("failed").alias("status"), out.alias("output_path"))
+    stages = o.select("o_orderkey", F.inline(F.array(stage("mip_encode", F.col("o_orderstatus") != "P", text("m", k)), stage("deskew", k % 10 != 5, F.when(k % 10 == 0, F.lit("")).otherwise(text("d", k))))))
+    names = F.when(k % 4 == 0, F.array(F.lit("x_composite.webm"), F.lit("x_C0.webm"))).when(k % 4 == 1, F.array(F.lit("x_C0.webm"), F.lit("triage_preview.jpg"))).when(k % 4 == 2, F.array(F.lit("triage_preview.jpg")))
+    movies = o.select(text("m", k).alias("dir"), F.explode(names).alias("name"))
+    mips = read_table(spark, sf_dir, "lineitem").filter("l_returnflag <> 'A'").select(text("d", F.col("l_orderkey"), "/MIPs").alias("dir"), text("a_C", F.col("l_linenumber"), "_T000_MIP_z.tif").alias("name"))
+    return decisions.reblend(o, stages, movies.union(mips), "o_orderkey")
+
+
+@query(REBLENDS + "SELECT o_orderkey, action FROM r")
+def reblend_actions(spark, sf_dir):
+    """Which composites are blended anew, from which finished stages."""
+    return reblended(spark, sf_dir).select("o_orderkey", "action")
+
+
+@query(REBLENDS + "SELECT count(*) FILTER (NOT action LIKE 'skipped:%' AND NOT action LIKE 'failed:%') AS done, count(*) FILTER (action LIKE 'skipped:%') AS skipped, count(*) FILTER (action LIKE 'failed:%') AS failed FROM r")
+def reblend_counts(spark, sf_dir):
+    """How many of them were done, skipped or failed."""
+    return decisions.outcome_counts(reblended(spark, sf_dir))
+
+
+@query("SELECT p_partkey, d AS device, CASE d WHEN 0 THEN CAST(p_size AS INTEGER) ELSE CAST(p_partkey % 100 AS INTEGER) END AS used_percent, CASE d WHEN 0 THEN CAST(p_partkey AS INTEGER) END AS memory_mib FROM part, (VALUES (0), (1)) t(d)")
+def device_metrics(spark, sf_dir):
+    """SRC29: figures of each device out of a command's output."""
+    out = text(F.col("p_size"), ", ", F.col("p_partkey"), "\n\n", F.col("p_partkey") % 100, ", [N/A]\n")
+    return files.device_metrics(read_table(spark, sf_dir, "part").select("p_partkey", out.alias("value")), ["p_partkey"])

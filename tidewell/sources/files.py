@@ -55,6 +55,14 @@ def projections(names: DataFrame, keys: list[str], name: str = "name") -> DataFr
     return rows.groupBy(*keys, "c").agg(F.sort_array(F.collect_list("f")).alias("frames"))
 
 
+def device_metrics(outputs: DataFrame, keys: list[str], text: str = "value") -> DataFrame:
+    """Figures that a device query printed, a line ``<use>, <memory>`` per device: ``device`` (from 0, by line),
+    ``used_percent``, ``memory_mib``. Blank lines don't count; what is no number is null."""
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    cell = lambda n: F.expr(f"try_cast(trim(split_part(line, ',', {n})) as int)")
+    return outputs.select(*keys, F.posexplode(lines).alias("device", "line")).select(*keys, "device", cell(1).alias("used_percent"), cell(2).alias("memory_mib"))
+
+
 def sessions(df: DataFrame) -> DataFrame:
     """Session documents (``value`` JSON text) with an id; others are dropped."""
     schema = "session_id string, state string, updated_at double, store string, channel_labels array<string>, timepoints_done array<int>, timepoints_failed array<int>, decon_psf string, n_t int, n_c int"

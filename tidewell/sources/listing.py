@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,15 @@ def _entries(root: str, folder: str) -> tuple[list[tuple], list[str]]:
     return rows, below
 
 
+def walk(root: str, skip: Collection[str] = (), folders: Sequence[str] = ("",)) -> Iterator[tuple]:
+    """Rows of everything below some folders of ``root``; folders named in ``skip`` (below ``root``) are left out."""
+    left = list(folders)
+    while left:
+        rows, below = _entries(root, left.pop())
+        yield from (r for r in rows if r[0] not in skip) if skip else rows
+        left += [b for b in below if b not in skip] if skip else below
+
+
 class TreeReader(DataSourceReader):
     def __init__(self, root: str, tasks: int):
         self.root, self.tasks = root, tasks
@@ -59,11 +68,7 @@ class TreeReader(DataSourceReader):
 
     def read(self, partition: Folder) -> Iterator[tuple]:
         yield from partition.rows
-        left = list(partition.folders)
-        while left:
-            rows, below = _entries(self.root, left.pop())
-            yield from rows
-            left += below
+        yield from walk(self.root, (), partition.folders)
 
 
 class TreeSource(DataSource):
