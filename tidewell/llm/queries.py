@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import ann, bpe, decontam, langid, linededup, simhash, substrdedup, tokencounts, toxicity, urlfilter
+from tidewell.llm import ann, bpe, convtrie, decontam, langid, linededup, simhash, substrdedup, tokencounts, toxicity, urlfilter
 from tidewell.llm.common import fold
 from tidewell.sources.tables import read_table
 
@@ -89,7 +89,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_url_filter, op3_simhash, op4_language_id, op5_line_dedup, op6_substring_dedup, op7_token_counts, op8_decontamination, op9_nearest_neighbours, op10_toxicity)}
+def conversation_nodes(conversations: DataFrame) -> DataFrame:
+    """The trie of conversations that each begin as the one whose id is the next lower multiple of five."""
+    taken = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return convtrie.trie(convtrie.rebuilt(convtrie.turns(conversations), F.col("conv_id") - F.col("conv_id") % 5, taken, 8))
+
+
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the conversations."""
+    found = conversation_nodes(read_table(spark, sf_dir, "conversations"))
+    return found.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_url_filter, op3_simhash, op4_language_id, op5_line_dedup, op6_substring_dedup, op7_token_counts, op8_decontamination, op9_nearest_neighbours, op10_toxicity, op11_conversation_trie)}
 
 ORACLES: dict[str, str] = {
     "op2_url_filter": r"""
@@ -138,4 +150,22 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM low LEFT JOIN covered USING (rid) LEFT JOIN owners USING (rid)""",
+    "op11_conversation_trie": r"""
+        WITH RECURSIVE t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+            d AS (SELECT conv_id, turn, strlen(text) AS bytes, sha256(strlen(role)::VARCHAR || ':' || role || text) AS x FROM t),
+            c AS (SELECT conv_id, list({'x': x, 'b': bytes} ORDER BY turn NULLS FIRST, x) AS own FROM d GROUP BY conv_id),
+            h AS (SELECT conv_id, own, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda u: ascii(u)::BIGINT)),
+                lambda a, u: list_reduce(list_prepend(xor(a, u), range(8)), lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)) AS crc FROM c),
+            b AS (SELECT h.conv_id, coalesce(list_slice(o.own, 1, xor(h.crc, 4294967295) % 9), []) || list_slice(h.own, xor(h.crc, 4294967295) % 9 + 1, len(h.own)) AS seq
+                FROM h LEFT JOIN h o ON o.conv_id = h.conv_id - h.conv_id % 5),
+            p AS (SELECT conv_id, d, array_to_string(list_transform(list_slice(seq, 1, d), lambda u: u.x), '') AS k, CASE WHEN d > 0 THEN seq[d].b ELSE 0 END AS bytes, d = len(seq) AS ends,
+                CASE WHEN d > 0 THEN array_to_string(list_transform(list_slice(seq, 1, d - 1), lambda u: u.x), '') END AS pk
+                FROM (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS d FROM b)),
+            n AS (SELECT d, k, any_value(pk) AS pk, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own,
+                sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends FROM p GROUP BY d, k),
+            m AS (SELECT n.*, (SELECT count(*) FROM n c WHERE c.pk = n.k) AS kids FROM n),
+            s AS (SELECT a.k, sum(m.own) AS saved, count(*) FILTER (WHERE m.kids = 0) AS leaves FROM m JOIN p a ON a.conv_id = m.conv_id AND a.d <= m.d GROUP BY a.k)
+        SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, q.conv_id AS parent_conv_id, CAST(m.n_convs AS BIGINT) AS n_convs, CAST(m.kids AS BIGINT) AS n_children,
+            CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, m.ends AS ends_sha256
+        FROM m JOIN s USING (k) LEFT JOIN n q ON q.k = m.pk""",
 }
