@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import ann, bpe, convtrie, decontam, langid, linededup, simhash, substrdedup, tokencounts, toxicity, urlfilter
+from tidewell.llm import ann, bpe, convtrie, decontam, divergence, langid, linededup, simhash, substrdedup, tokencounts, toxicity, urlfilter
 from tidewell.llm.common import fold
 from tidewell.sources.tables import read_table
 
@@ -101,7 +101,12 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_url_filter, op3_simhash, op4_language_id, op5_line_dedup, op6_substring_dedup, op7_token_counts, op8_decontamination, op9_nearest_neighbours, op10_toxicity, op11_conversation_trie)}
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source of a language against the others, and the terms that it has more of than its language."""
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_url_filter, op3_simhash, op4_language_id, op5_line_dedup, op6_substring_dedup, op7_token_counts, op8_decontamination, op9_nearest_neighbours, op10_toxicity, op11_conversation_trie, op12_source_divergence)}
 
 ORACLES: dict[str, str] = {
     "op2_url_filter": r"""
@@ -168,4 +173,21 @@ ORACLES: dict[str, str] = {
         SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, q.conv_id AS parent_conv_id, CAST(m.n_convs AS BIGINT) AS n_convs, CAST(m.kids AS BIGINT) AS n_children,
             CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, m.ends AS ends_sha256
         FROM m JOIN s USING (k) LEFT JOIN n q ON q.k = m.pk""",
+    "op12_source_divergence": r"""
+        WITH r AS (SELECT row_number() OVER () AS rid, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+            w AS (SELECT rid, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM r),
+            kept AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 30),
+            c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+            v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+            g AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM (SELECT DISTINCT lang, source FROM r) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+            d AS (SELECT lang, source, n + 5 * coalesce(v, 0) AS d, sum(n) OVER (PARTITION BY lang) + 5 * coalesce(v, 0) AS dl FROM g LEFT JOIN v USING (lang)),
+            l AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+            p AS (SELECT d.lang, d.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)::HUGEINT) // d.d::HUGEINT AS p,
+                1 + (1000000000::HUGEINT * (l.n + 5)::HUGEINT) // d.dl::HUGEINT AS q FROM d JOIN kept k ON k.lang = d.lang LEFT JOIN c ON c.lang = d.lang AND c.source = d.source AND c.term = k.term JOIN l ON l.lang = d.lang AND l.term = k.term),
+            s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+            f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value FROM d a JOIN d b ON a.lang = b.lang AND a.source <> b.source
+                    LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+                UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(k AS INTEGER) AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS k FROM f) WHERE part = 'pair' OR k <= 50""",
 }
