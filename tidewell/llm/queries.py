@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import ann, bpe, convtrie, decontam, divergence, langid, linededup, simhash, substrdedup, tokencounts, toxicity, urlfilter
+from tidewell.llm import ann, bpe, convtrie, decontam, divergence, langid, linededup, minhash, simhash, substrdedup, tokencounts, toxicity, urlfilter
 from tidewell.llm.common import fold
 from tidewell.sources.tables import read_table
 
@@ -106,7 +106,13 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_url_filter, op3_simhash, op4_language_id, op5_line_dedup, op6_substring_dedup, op7_token_counts, op8_decontamination, op9_nearest_neighbours, op10_toxicity, op11_conversation_trie, op12_source_divergence)}
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document, over two-word shingles."""
+    found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"), size=2)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_url_filter, op3_simhash, op4_language_id, op5_line_dedup, op6_substring_dedup, op7_token_counts, op8_decontamination, op9_nearest_neighbours, op10_toxicity, op11_conversation_trie, op12_source_divergence, op13_minhash)}
 
 ORACLES: dict[str, str] = {
     "op2_url_filter": r"""
