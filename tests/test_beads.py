@@ -1,124 +1,25 @@
-"""Kernels against plain loops; beads planted in noise; masks, metrics, haze and boxes."""
-
-import itertools
+"""Boxes out of chunks against slices of the whole volume, and nearest neighbours at any distance."""
 
 import numpy as np
-import pytest
-
-from tidewell.operators import beads, kernels
-
-
-def plain_filter(a, size, f):
-    size = (size,) * a.ndim if np.isscalar(size) else size
-    wide = np.pad(a, [(n // 2, n) for n in size], "symmetric")
-    return np.array([f(wide[tuple(slice(i, i + n) for i, n in zip(at, size))]) for at in np.ndindex(a.shape)]).reshape(a.shape)
-
-
-@pytest.mark.parametrize("size", [2, 3, (1, 4, 5), (6, 5, 5)])
-def test_box_kernels(size):
-    a = np.random.default_rng(1).normal(size=(7, 8, 9))
-    assert np.allclose(kernels.box_mean(a, size), plain_filter(a, size, np.mean))
-    assert np.array_equal(kernels.extreme(a, size), plain_filter(a, size, np.max))
-    assert np.array_equal(kernels.extreme(a, size, False), plain_filter(a, size, np.min))
-    assert np.allclose(kernels.median3(a), plain_filter(a, 3, np.median))
-
-
-def test_masks_and_components():
-    m = np.random.default_rng(2).random((9, 10)) < 0.45
-    cross = lambda y, x: [(y, x), (y - 1, x), (y + 1, x), (y, x - 1), (y, x + 1)]
-    at = lambda y, x: 0 <= y < 9 and 0 <= x < 10 and m[y, x]
-    assert np.array_equal(kernels.eroded(m), [[all(at(*p) for p in cross(y, x)) for x in range(10)] for y in range(9)])
-    assert np.array_equal(kernels.dilated(m), [[any(at(*p) for p in cross(y, x)) for x in range(10)] for y in range(9)])
-    got, seen = kernels.labelled(m), {}
-    for y, x in np.argwhere(m):
-        for dy, dx in itertools.product((-1, 0, 1), repeat=2):
-            if at(y + dy, x + dx):
-                assert got[y, x] == got[y + dy, x + dx]
-        seen.setdefault(got[y, x], (y, x))
-    left, n = {tuple(p) for p in np.argwhere(m)}, 0
-    while left:
-        n, front = n + 1, [left.pop()]
-        while front:
-            y, x = front.pop()
-            for p in [(y + a, x + b) for a in (-1, 0, 1) for b in (-1, 0, 1)]:
-                if p in left:
-                    left.remove(p)
-                    front.append(p)
-    assert n == got.max() and got.min() == 0 and kernels.labelled(np.zeros((2, 2), bool)).max() == 0
-    ramp = np.add.outer(np.arange(4.0), np.arange(3.0))
-    assert np.allclose(kernels.zoomed(ramp, (7, 5)), np.add.outer(np.linspace(0, 3, 7), np.linspace(0, 2, 5)))
-    v = np.arange(24.0).reshape(2, 3, 4)
-    assert np.allclose(kernels.at_points(v, np.array([0.5, 2.0]), np.array([1.0, 0]), np.array([2.5, 0])), [0.5 * 12 + 4 + 2.5, 0])
-    assert np.isclose(kernels.gaussian(np.eye(9), 1.0).sum(), 9)
-
-
-def bead(shape, at, sigma=(2.0, 1.5, 1.5), peak=1000.0):
-    g = np.ogrid[tuple(slice(0, n) for n in shape)]
-    return peak * np.exp(-sum((a - c) ** 2 / (2 * s * s) for a, c, s in zip(g, at, sigma)))
-
-
-RZ, RXY = 7, 6
 
+from tidewell.operators import beads
 
-def chunked(spark, vol, size=(16, 16, 16), key="v"):
-    rows = []
-    for c in np.ndindex(*(-(-n // s) for n, s in zip(vol.shape, size))):
-        o = [i * s for i, s in zip(c, size)]
-        part = vol[tuple(slice(a, a + s) for a, s in zip(o, size))]
-        rows.append((key, list(c), o, list(part.shape), part.ravel().tolist()))
-    return spark.createDataFrame(rows, "k string, chunk array<int>, origin array<int>, shape array<int>, values array<double>")
 
-
-def test_beads_end_to_end(spark):
-    rng = np.random.default_rng(5)
-    truth = [(20.3, 20.0, 19.6), (20.0, 20.4, 40.2), (30.0, 42.0, 12.0), (30.0, 42.0, 20.0), (3.0, 30.0, 30.0)]
-    vol = rng.normal(100, 2, (44, 56, 56)) + sum(bead((44, 56, 56), t) for t in truth)
-    chunks = chunked(spark, vol)
-    whole = spark.createDataFrame([("v", list(vol.shape), vol.ravel().tolist())], "k string, shape array<int>, values array<double>")
-    points = beads.detect(whole, "k", beads.candidates)
-    found = np.array([(r.z, r.y, r.x) for r in points.orderBy("point_id").collect()])
-    assert len(found) == 5 and all(np.abs(found - t).max(axis=1).min() <= 1 for t in truth)
-    assert len(beads.candidates(vol, rz=RZ)) == 4
-    cut = beads.crops(chunks, points, "k", (16, 16, 16), RZ, RXY)
-    for r in cut.collect():
-        z, y, x = found[r.point_id].astype(int)
-        assert r.fits == (z >= RZ)
-        if r.fits:
-            assert np.array_equal(np.reshape(r["values"], r["shape"]), vol[z - RZ : z + RZ + 1, y - RXY : y + RXY + 1, x - RXY : x + RXY + 1])
-    rows = beads.score(cut, points, "k", RZ, RXY).toPandas().set_index("point_id")
-    assert len(rows) == 4
-    for i, row in rows.iterrows():
-        others = [np.sqrt((((found[i] - f) / (RZ, RXY, RXY)) ** 2).sum()) for j, f in enumerate(found) if j != i]
-        assert np.isclose(row.isolation, min(others)) and np.isclose(sum(row.crop), 1) and row.snr > 20
-        lone = found[i][1] < 30
-        assert (row.mirror_symmetry > 0.97) or not lone
-        if lone:
-            final = np.reshape(row.crop, (2 * RZ + 1, 2 * RXY + 1, 2 * RXY + 1))
-            c = [(g * final).sum() for g in np.ogrid[tuple(slice(0, n) for n in final.shape)]]
-            assert np.allclose(c, (RZ, RXY, RXY), atol=0.1)
-    report = {r.point_id: r for r in beads.isolation_report(cut, points, "k", RZ, RXY).collect()}
-    flags = sorted((r.flag, r.isolated) for r in report.values())
-    assert [f for f, _ in flags].count("orange") == 1 and len(flags) == 5
-    for i, r in report.items():
-        z, y, x = found[i].astype(int)
-        if z >= RZ:
-            own = vol[z - RZ : z + RZ + 1, y - RXY : y + RXY + 1, x - RXY : x + RXY + 1]
-            assert np.isclose(r.sec_frac, beads.secondary_fraction(own, RZ, RXY)) and r.nblobs == beads.count_blobs(own)
-    good = beads.gates(isolation=1.5)
-    psf = beads.curated(chunks, points, "k", (16, 16, 16), RZ, RXY, accept=good).first()
-    profile = np.reshape(psf.psf, psf["shape"])
-    want = bead(profile.shape, (RZ, RXY, RXY))
-    assert np.corrcoef(profile.ravel(), want.ravel())[0, 1] > 0.99 and np.unravel_index(profile.argmax(), profile.shape) == (RZ, RXY, RXY)
-
-
-def test_scores_of_odd_crops():
-    assert beads.scored(np.full((5, 5, 5), 7.0), 2, 2) is None
-    flat = np.zeros((5, 5, 5))
-    flat[2, 2, 2] = 9.0
-    s = beads.scored(flat, 2, 2)
-    assert s["snr"] == np.inf or s["snr"] > 0
-    assert beads.peak_to_noise(flat, np.ones((5, 5, 5))) == np.inf and beads.peak_to_noise(flat * 0, np.ones((5, 5, 5))) == 0
-    assert beads.symmetry(flat * 0) == 0.0 and beads.secondary_fraction(flat * 0, 2, 2) == 0.0 and beads.count_blobs(flat * 0) == 0
+def test_boxes_equal_slices(spark):
+    vol = np.random.default_rng(2).normal(size=(20, 24, 24))
+    size, rows = (8, 16, 16), []
+    for i, z in enumerate(range(0, 20, 8)):
+        for j, y in enumerate(range(0, 24, 16)):
+            for k, x in enumerate(range(0, 24, 16)):
+                part = vol[z : z + 8, y : y + 16, x : x + 16]
+                rows.append((1, [i, j, k], [z, y, x], list(part.shape), part.ravel().tolist()))
+    chunks = spark.createDataFrame(rows, "k int, chunk array<int>, origin array<int>, shape array<int>, values array<double>")
+    at = [(9, 14, 15), (3, 3, 3), (16, 20, 3), (1, 12, 12)]
+    points = spark.createDataFrame([(1, n, *map(float, p)) for n, p in enumerate(at)], "k int, point_id int, z double, y double, x double")
+    got = {r.point_id: r for r in beads.crops(chunks, points, "k", size, 3, 3).collect()}
+    for n, (z, y, x) in enumerate(at[:3]):
+        assert np.array_equal(np.reshape(got[n]["values"], (7, 7, 7)), vol[z - 3 : z + 4, y - 3 : y + 4, x - 3 : x + 4])
+    assert not got[3].fits and got[3]["values"] is None
 
 
 def test_nearest_grows_its_reach(spark):
@@ -126,55 +27,3 @@ def test_nearest_grows_its_reach(spark):
     df = spark.createDataFrame(rows, "k string, point_id int, z double, y double, x double")
     got = {(r.k, r.point_id): r.nearest for r in beads.nearest_in_radii(df, "k", 1, 1).collect()}
     assert got == {("a", 0): 1.0, ("a", 1): 1.0, ("a", 2): 39.0, ("a", 3): 3960.0, ("b", 0): None}
-
-
-def test_registration_is_sub_pixel():
-    a = bead((15, 13, 13), (7, 6, 6))
-    b = bead((15, 13, 13), (7.3, 5.45, 6.8))
-    assert np.allclose(beads.shift_to(a, b), (-0.3, 0.55, -0.8), atol=0.051)
-
-
-def test_blobs_by_laplacian(spark):
-    vol = bead((24, 24, 24), (8, 8, 8), (2, 2, 2)) + bead((24, 24, 24), (16, 15, 17), (2, 2, 2), 600)
-    got = beads.blobs(vol)
-    assert [tuple(r) for r in got[:, :3]] == [(8, 8, 8), (16, 15, 17)] and set(got[:, 3]) == {1.5}  # the scale of a blob of deviation 2 is 2 * sqrt(2 / 3)
-    assert len(beads.blobs(vol * 0)) == 0
-    part = spark.createDataFrame([("v", [24, 24, 24], vol.ravel().tolist(), [0, 100, 7])], "k string, shape array<int>, values array<double>, offset array<int>")
-    assert [(r.z, r.y, r.x) for r in beads.detect(part, "k", beads.blobs).collect()] == [(8, 108, 15), (16, 115, 24)]
-
-
-def test_masks_and_metrics(spark):
-    rng = np.random.default_rng(8)
-    ref = rng.normal(100, 3, (30, 60, 60)) + bead((30, 60, 60), (15, 20, 20), (4, 5, 5), 400)
-    ref[:, :2] = 0
-    m = beads.masks(ref)
-    assert m["interior"].sum() == (30 - 8) * (58 - 8) * (60 - 8) and m["cell"][15, 20, 20] and not m["cell"][15, 50, 50]
-    assert (m["empty"] & kernels.dilated(m["cell"], 8)).sum() == 0 and m["core"].sum() < m["shell"].sum() + m["core"].sum() < m["interior"].sum()
-    assert 90 < m["bg"] < 110 and 2 < m["sigma"] < 4.5
-    sharp = ref.copy()
-    sharp[15, 20, 22] += 500
-    df = spark.createDataFrame([("c", n, list(v.shape), v.ravel().tolist()) for n, v in (("none", ref), ("sharp", sharp), ("zero", ref * 0))], "k string, name string, shape array<int>, values array<double>")
-    got = {r["name"]: r for r in beads.variant_metrics(df, df.filter("name = 'none'"), ["k"], "name").collect()}
-    empty, cell = ref[m["empty"]], ref[m["cell"]]
-    assert np.isclose(got["none"].bg, np.median(empty)) and np.isclose(got["none"].peak, np.percentile(cell, 99.99)) and got["none"].clipped == 0
-    assert np.isclose(got["none"].shell_ratio, ref[m["shell"]].mean() / ref[m["core"]].mean()) and np.isclose(got["none"].noise_rank, got["none"].sigma / got["none"].peak_minus_bg)
-    assert got["sharp"].spikes == got["none"].spikes + 1 and got["zero"].clipped == 1 and got["zero"].shell_ratio is None and got["zero"].noise_rank is None
-    assert np.isnan(beads.shell_ratio(ref, np.zeros_like(m["core"]), m["core"]))
-
-
-def test_haze_and_boxes(spark):
-    vol = np.full((20, 48, 48), 300.0) + bead((20, 48, 48), (10, 24, 24), (1, 1.5, 1.5), 3000)
-    floor = beads.haze_floor(vol, 0.5, open_um=6.0)
-    assert (floor <= vol).all() and np.allclose(floor, 300, atol=25)
-    df = spark.createDataFrame([("v", list(vol.shape), vol.ravel().tolist())], "k string, shape array<int>, values array<double>")
-    out = np.reshape(beads.subtract_haze(df, "k", 0.5, open_um=6.0).first()["values"], vol.shape)
-    assert np.median(out) == 100 and out.max() > 2900 and (out == np.trunc(out)).all()
-    image = np.zeros((80, 60))
-    image[5:17, 10:24] = 1000
-    image[70, 50] = 400
-    df = spark.createDataFrame([("p", [80, 60], image.ravel().tolist())], "k string, shape array<int>, values array<double>")
-    got = {r.half: r for r in beads.camera_boxes(df, "k", 20, 30, smooth=1.0, area=50).collect()}
-    assert got["upper"].found and abs(got["upper"].y0 - 5) <= 3 and abs(got["upper"].x1 - 24) <= 3
-    low = got["lower"]
-    assert (low.found, low.y0, low.y1, low.x0, low.x1) == (False, 50, 70, 15, 45)
-    assert beads.signal_box(image[40:] * 0) is None

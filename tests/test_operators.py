@@ -89,21 +89,6 @@ def test_scalar_functions(spark):
     assert row.a == datetime(2026, 10, 14, 10) and row.b is None and (row.c, row.d, row.e) == (12, 0, "?")
 
 
-def test_kernels(spark):
-    vol = np.exp(-((np.arange(9) - 4.3) ** 2) / 2)[:, None, None] * np.exp(-((np.arange(9) - 3.8) ** 2) / 2)[None, :, None] * np.exp(-((np.arange(9) - 4.0) ** 2) / 2)[None, None]
-    df = spark.createDataFrame([(1, [9, 9, 9], vol.ravel().tolist()), (2, [2, 2, 2], [0.0] * 8)], "k int, s array<int>, v array<double>")
-    got = {r.k: (r.z, r.y, r.x) for r in arrays.mean_shift(df, "k", "s", "v").collect()}
-    assert np.allclose(got[1], (4.3, 3.8, 4.0), atol=0.05) and got[2] == (0.5, 0.5, 0.5)
-    assert np.allclose(arrays.fourier_shift(vol, (1, 0, -2)), np.roll(vol, (1, -2), (0, 2)))
-    assert [arrays.noll(j) for j in range(1, 12)] == [(0, 0), (1, 1), (1, -1), (2, 0), (2, -2), (2, 2), (3, -1), (3, 1), (3, -3), (3, 3), (4, 0)]
-    y, x = np.mgrid[-1:1:201j, -1:1:201j]
-    rho, theta = np.hypot(x, y), np.arctan2(y, x)
-    inside = rho <= 1
-    for a in range(1, 8):
-        for b in range(1, 8):
-            assert abs((arrays.zernike(a, rho, theta) * arrays.zernike(b, rho, theta))[inside].mean() - (a == b)) < 0.05
-
-
 def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "t/sub").mkdir(parents=True)
     (tmp_path / "t/a.tif").write_bytes(b"abc")

@@ -1,59 +1,8 @@
-"""Passes that fail, leases, ticks, deadlines, late data, and a whole pass over small tables."""
-
-import threading
-
-import pytest
+"""Deadlines, late data, and a whole pass over small tables."""
 
 from tidewell.streaming import watch
 
 
-def test_failed_passes_are_retried_and_said_once():
-    said, slept, turns = [], [], iter([None, ValueError("x"), ValueError("x"), None, ValueError("x")])
-
-    def one():
-        if error := next(turns):
-            raise error
-
-    assert watch.watch(one, 120, passes=5, sleep=slept.append, said=watch.OncePerText(said.append)) == (2, 3)
-    assert said == ["pass failed: x", "pass failed: x"] and slept == [120] * 4
-
-
-def test_no_pass_under_a_lease():
-    held, slept = iter([True, True, False]), []
-    assert watch.watch(lambda: None, 120, leased=lambda: next(held), passes=1, sleep=slept.append) == (1, 0)
-    assert slept == [15.0, 15.0]
-
-
-def test_foreach_pass_tries_again():
-    calls = []
-
-    def one(_, epoch):
-        calls.append(epoch)
-        if len(calls) < 3:
-            raise OSError
-
-    watch.foreach_pass(one, 3, sleep=lambda _: None)(None, 7)
-    assert calls == [7, 7, 7]
-    with pytest.raises(ZeroDivisionError):
-        watch.foreach_pass(lambda *_: 1 / 0, 2, sleep=lambda _: None)(None, 1)
-
-
-def test_ticks_survive():
-    n, enough = [], threading.Event()
-
-    def tick():
-        n.append(1)
-        if len(n) >= 3:
-            enough.set()
-        raise RuntimeError
-
-    thread, stop = watch.start_ticks(tick, 0.001)
-    assert enough.wait(10)
-    stop.set()
-    thread.join(10)
-    assert not thread.is_alive() and thread.daemon
-
-
 def test_a_pass(spark):
     df = spark.createDataFrame
     found = df([(k, "precropped" if k == "p" else "tiff") for k in "abcdefp"], "key string, kind string")

@@ -169,52 +169,9 @@ def even_sample(t_star: Column, n_available: Column, n: int) -> Column:
     return F.when(F.size(with_star) <= n, with_star).otherwise(F.array_sort(F.array_append(chosen, t_star.cast("int"))))
 
 
-def mean_shift(crops: DataFrame, key: str, shape: str, values: str, rounds: int = 10, radius: float = 5.0) -> DataFrame:
-    """Sub-pixel centre of each crop by mean shift inside a ball: ``z``, ``y``, ``x``, ``residual`` of the last move. A
-    crop (array of doubles with its shape) is one row of bounded size; Arrow batches, vectorised inside."""
-
-    def step(batches):
-        for pdf in batches:
-            out = []
-            for k, s, v in zip(pdf[key], pdf[shape], pdf[values]):
-                vol = np.asarray(v, float).reshape(tuple(int(x) for x in s))
-                vol = np.clip(vol - np.percentile(vol, 10), 0, None)
-                grid = np.stack(np.meshgrid(*(np.arange(n) for n in vol.shape), indexing="ij"), -1).reshape(-1, vol.ndim)
-                c, move, w = (np.array(vol.shape) - 1) / 2, 0.0, vol.ravel()
-                for _ in range(rounds):
-                    m = w * (((grid - c) ** 2).sum(1) <= radius**2)
-                    if m.sum() <= 0:
-                        break
-                    new = (grid * m[:, None]).sum(0) / m.sum()
-                    c, move = new, float(np.linalg.norm(new - c))
-                out.append((k, *c, move))
-            yield pd.DataFrame(out, columns=[key, "z", "y", "x", "residual"])
-
-    ship_code(crops.sparkSession)
-    kind = crops.schema[key].dataType.simpleString()
-    return crops.select(key, shape, values).mapInPandas(step, f"{key} {kind}, z double, y double, x double, residual double")
-
-
-def fourier_shift(vol: np.ndarray, shift: tuple[float, ...]) -> np.ndarray:
-    """Sub-pixel shift by a phase ramp."""
-    phase = sum(s * f for s, f in zip(shift, np.meshgrid(*(np.fft.fftfreq(n) for n in vol.shape), indexing="ij")))
-    return np.real(np.fft.ifftn(np.fft.fftn(vol) * np.exp(-2j * np.pi * phase)))
-
-
 def noll(j: int) -> tuple[int, int]:
     """Radial order and signed azimuthal frequency of a Noll index."""
     n = int(np.ceil((-3 + np.sqrt(1 + 8 * j)) / 2))
     k = j - n * (n + 1) // 2 - 1
     m = k + (k + n) % 2 if n % 2 == 0 else k + (k + 1) % 2
     return n, m if j % 2 == 0 else -m
-
-
-def zernike(j: int, rho: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """Noll-normalised Zernike polynomial, zero outside the unit disc."""
-    from math import factorial
-
-    n, m = noll(j)
-    a = abs(m)
-    radial = sum((-1) ** s * factorial(n - s) / (factorial(s) * factorial((n + a) // 2 - s) * factorial((n - a) // 2 - s)) * rho ** (n - 2 * s) for s in range((n - a) // 2 + 1))
-    norm = np.sqrt(n + 1) * (1 if m == 0 else np.sqrt(2))
-    return np.where(rho <= 1, norm * radial * (np.cos(a * theta) if m >= 0 else np.sin(a * theta)), 0.0)

@@ -1,4 +1,4 @@
-"""Beads: candidates, crops out of chunked volumes, quality scores, isolation, and averaged profiles."""
+"""Points in chunked volumes: boxes around them, distances to the nearest, and their flags."""
 
 from __future__ import annotations
 
@@ -6,15 +6,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidewell.operators import kernels
-from tidewell.operators.arrays import fourier_shift, nearest_neighbour, trimmed_mean
-from tidewell.operators.volumes import soft_ellipsoid
+from tidewell.operators.arrays import nearest_neighbour
 from tidewell.session import materialise, ship_code
 
-# Radii of a crop, and limits of the isolation flags and of detection.
-RZ, RXY, SECONDARY_RED, BLOBS_AMBER, LEAST_SIGNAL = 40, 15, 1.0, 4, 300.0
+# Radii of a crop, and limits of the isolation flags.
+RZ, RXY, SECONDARY_RED, BLOBS_AMBER = 40, 15, 1.0, 4
 AXES = ("z", "y", "x")
 
 
@@ -22,60 +19,6 @@ def _volume(shape, values) -> np.ndarray:
     return np.asarray(values, float).reshape(tuple(int(n) for n in shape))
 
 
-def _grid(shape: tuple[int, ...], centre) -> list[np.ndarray]:
-    return [g - c for g, c in zip(np.ogrid[tuple(slice(0, n) for n in shape)], centre)]
-
-
-def candidates(vol: np.ndarray, threshold: float = LEAST_SIGNAL, size: tuple[int, ...] = (7, 9, 9), rz: int = 0) -> np.ndarray:
-    """Local maxima of the volume above its median by more than ``threshold``, brightest first; only those with ``rz``
-    planes on either side."""
-    v = np.clip(vol - np.median(vol), 0, None)
-    at = np.argwhere((v == kernels.extreme(v, size)) & (v > threshold))
-    at = at[(at[:, 0] >= rz) & (at[:, 0] < vol.shape[0] - rz)]
-    return at[np.argsort(-v[tuple(at.T)], kind="stable")]
-
-
-def blobs(vol: np.ndarray, sigmas: tuple[float, ...] = (1.5, 2.0, 3.0), threshold: float = 0.1, overlap: float = 0.5) -> np.ndarray:
-    """(z, y, x, sigma) of bright blobs by the scale-normalised Laplacian of Gaussian of the volume scaled to its
-    maximum: maxima over place and scale, the stronger of two that overlap by more than ``overlap`` of a radius."""
-    top = vol.max()
-    if top <= 0:
-        return np.zeros((0, vol.ndim + 1))
-    stack = []
-    for s in sigmas:
-        smooth = kernels.gaussian(vol / top, s)
-        wide = np.pad(smooth, 1, "symmetric")
-        inner = tuple(slice(1, -1) for _ in range(vol.ndim))
-        bend = sum(np.roll(wide, 1, a)[inner] + np.roll(wide, -1, a)[inner] - 2 * smooth for a in range(vol.ndim))
-        stack.append(-s * s * bend)
-    stack = np.stack(stack, -1)
-    at = np.argwhere((stack == kernels.extreme(stack, 3)) & (stack > threshold))
-    at = at[np.argsort(-stack[tuple(at.T)], kind="stable")]
-    kept: list[np.ndarray] = []
-    for p in at:
-        row = np.append(p[:-1].astype(float), sigmas[p[-1]])
-        reach = np.sqrt(vol.ndim)
-        if all(np.linalg.norm(row[:-1] - q[:-1]) > (1 - overlap) * reach * max(row[-1], q[-1]) for q in kept):
-            kept.append(row)
-    return np.array(kept).reshape(-1, vol.ndim + 1)
-
-
-def detect(volumes: DataFrame, key: str, find, least: float | None = None) -> DataFrame:
-    """Points (``point_id`` in order of rank, ``z``, ``y``, ``x``) that ``find`` gives for each volume (``shape``,
-    ``values``, a row each). ``offset`` (array), where there is one, is added: volumes may be parts of larger ones."""
-    ship_code(volumes.sparkSession)
-    offset = F.col("offset").cast("array<double>") if "offset" in volumes.columns else F.array(*(F.lit(0.0) for _ in AXES))
-
-    def step(batches):
-        for pdf in batches:
-            for k, shape, values, off in zip(pdf[key], pdf["shape"], pdf["values"], pdf["offset"]):
-                at = find(_volume(shape, values))[:, :3] + np.asarray(off, float)
-                yield pd.DataFrame({key: [k] * len(at), "point_id": np.arange(len(at)), **{a: at[:, i] for i, a in enumerate(AXES)}})
-
-    kind = volumes.schema[key].dataType.simpleString()
-    return volumes.select(key, "shape", "values", offset.alias("offset")).mapInPandas(step, f"{key} {kind}, point_id long, z double, y double, x double")
-
-
 def crops(chunks: DataFrame, points: DataFrame, key: str, grid: tuple[int, int, int], rz: int = RZ, rxy: int = RXY) -> DataFrame:
     """A box around each point (rounded, half to even): ``shape`` and ``values``, null where it would leave the volume.
 
@@ -138,97 +81,12 @@ def nearest_in_radii(points: DataFrame, key: str, rz: int = RZ, rxy: int = RXY)
         reach *= 4
 
 
-def centre(sub: np.ndarray, rounds: int = 10, radius: float = 5.0) -> tuple[np.ndarray, float, float]:
-    """Mean-shift centre in a ball, its weight (0 for a dark crop) and the length of the last move."""
-    c, move, weight = (np.array(sub.shape) - 1) / 2, 0.0, 0.0
-    for _ in range(rounds):
-        grids = _grid(sub.shape, c)
-        inside = sub * (sum(g * g for g in grids) <= radius**2)
-        weight = float(inside.sum())
-        if weight <= 0:
-            return c, 0.0, move
-        step = np.array([(g * inside).sum() for g in grids]) / weight
-        c, move = c + step, float(np.linalg.norm(step))
-    return c, weight, move
-
-
-def covariance(sub: np.ndarray, at, rz: float, rxy: float) -> np.ndarray:
-    """Second moments in an ellipsoid of half the radii around ``at``; identity where nothing is in it."""
-    grids = _grid(sub.shape, at)
-    inside = sub * (sum((g / (r * 0.5)) ** 2 for g, r in zip(grids, (rz, rxy, rxy))) <= 1)
-    total = inside.sum()
-    return np.array([[(a * b * inside).sum() for b in grids] for a in grids]) / total if total > 0 else np.eye(3)
-
-
-def symmetry(crop: np.ndarray) -> float:
-    """Correlation of the brightest plane with itself turned by half a turn; 0 for a constant plane."""
-    plane = crop[crop.sum(axis=(1, 2)).argmax()]
-    return 0.0 if plane.std() == 0 else float(np.corrcoef(plane.ravel(), plane[::-1, ::-1].ravel())[0, 1])
-
-
-def peak_to_noise(sub: np.ndarray, mask: np.ndarray) -> float:
-    """Peak inside the mask over the deviation outside; infinite without noise, 0 without a peak as well."""
-    inside, outside = sub[mask > 0.5], sub[mask < 0.05]
-    peak, noise = float(inside.max()) if inside.size else 0.0, float(outside.std()) if outside.size else 0.0
-    return peak / noise if noise > 0 else float("inf") if peak > 0 else 0.0
-
-
-def scored(vol: np.ndarray, rz: float, rxy: float, normalise: bool = True) -> dict | None:
-    """Centred, masked crop and its scores; None for a dark crop or one without energy."""
-    sub = np.clip(vol - np.percentile(vol, 10), 0, None)
-    c, weight, move = centre(sub)
-    if weight <= 0:
-        return None
-    mask = soft_ellipsoid(sub.shape, c, covariance(sub, c, rz, rxy), 3.0, 5.0)
-    final = np.maximum(fourier_shift(sub * mask, tuple((np.array(sub.shape) - 1) / 2 - c)), 0)
-    energy = float(final.sum())
-    if normalise and energy <= 0:
-        return None
-    final = final / energy if normalise else final
-    return {"crop": final.ravel(), "snr": peak_to_noise(sub, mask), "mirror_symmetry": symmetry(final), "meanshift_residual_px": move, "energy": energy}
-
-
-def score(cut: DataFrame, points: DataFrame, key: str, rz: int = RZ, rxy: int = RXY, normalise: bool = True) -> DataFrame:
-    """Scores of the crops (see :func:`crops`): ``isolation``, ``snr``, ``mirror_symmetry``, ``meanshift_residual_px``,
-    ``energy``, and the centred ``crop`` with its ``shape``. Points whose box left the volume, dark crops and crops
-    without energy are left out; a point that is alone has infinite isolation."""
-    ship_code(cut.sparkSession)
-
-    def step(batches):
-        for pdf in batches:
-            out = []
-            for k, p, shape, values in zip(pdf[key], pdf["point_id"], pdf["shape"], pdf["values"]):
-                if (s := scored(_volume(shape, values), rz, rxy, normalise)) is not None:
-                    out.append((k, p, shape, s["snr"], s["mirror_symmetry"], s["meanshift_residual_px"], s["energy"], s["crop"]))
-            yield pd.DataFrame(out, columns=[key, "point_id", "shape", "snr", "mirror_symmetry", "meanshift_residual_px", "energy", "crop"])
-
-    kinds = f"{key} {cut.schema[key].dataType.simpleString()}, point_id {cut.schema['point_id'].dataType.simpleString()}"
-    rows = cut.filter("values is not null").select(key, "point_id", "shape", "values").mapInPandas(step, f"{kinds}, shape array<int>, snr double, mirror_symmetry double, meanshift_residual_px double, energy double, crop array<double>")
-    near = nearest_in_radii(points, key, rz, rxy).select(key, "point_id", F.coalesce("nearest", F.lit(float("inf"))).alias("isolation"))
-    return rows.join(near, [key, "point_id"])
-
-
 def gates(isolation: float = 1.0, snr: float = 5.0, symmetry_: float = 0.8, residual: float = 0.1) -> Column:
     """All four limits hold; a null fails."""
     ok = (F.col("isolation") >= isolation) & (F.col("snr") >= snr) & (F.col("mirror_symmetry") >= symmetry_) & (F.col("meanshift_residual_px") <= residual)
     return F.coalesce(ok, F.lit(False))
 
 
-def secondary_fraction(vol: np.ndarray, rz: float, rxy: float) -> float:
-    """Largest value outside the central ellipsoid, after a mean over boxes of two, against the largest inside."""
-    sub = np.clip(vol - np.percentile(vol, 10), 0, None)
-    grids = _grid(sub.shape, (np.array(sub.shape) - 1) / 2)
-    core = sum((g / r) ** 2 for g, r in zip(grids, (rz * 0.45, rxy * 0.5, rxy * 0.5))) <= 1
-    peak = sub[core].max() if core.any() else sub.max()
-    return float(kernels.box_mean(np.where(core, 0, sub), 2).max() / peak) if peak > 0 else 0.0
-
-
-def count_blobs(vol: np.ndarray, share: float = 0.3, size: tuple[int, ...] = (6, 5, 5)) -> int:
-    """Local maxima, after a mean over boxes of two, above a share of the largest."""
-    sub = kernels.box_mean(np.clip(vol - np.percentile(vol, 10), 0, None), 2)
-    return int(((sub == kernels.extreme(sub, size)) & (sub > share * sub.max())).sum()) if sub.max() > 0 else 0
-
-
 def isolation_flag(fits: Column, nearest: Column, secondary: Column, n_blobs: Column) -> Column:
     """``orange`` without a whole box, ``red`` with a neighbour in it or a brighter peak beside the core, ``amber`` with
     many blobs, else ``green``. A null distance is that of a point without others."""
@@ -236,223 +94,4 @@ def isolation_flag(fits: Column, nearest: Column, secondary: Column, n_blobs: Co
     return F.when(~F.coalesce(fits, F.lit(False)), "orange").when(red, "red").when(n_blobs >= BLOBS_AMBER, "amber").otherwise("green")
 
 
-def isolation_report(cut: DataFrame, points: DataFrame, key: str, rz: int = RZ, rxy: int = RXY) -> DataFrame:
-    """Per point ``nn_radii``, ``sec_frac``, ``nblobs``, ``fits``, ``flag`` and ``isolated`` (green or amber)."""
-    ship_code(cut.sparkSession)
-
-    def step(batches):
-        for pdf in batches:
-            out = []
-            for k, p, fits, shape, values in zip(pdf[key], pdf["point_id"], pdf["fits"], pdf["shape"], pdf["values"]):
-                whole = values is not None
-                vol = _volume(shape, values) if whole else None
-                out.append((k, p, bool(fits), secondary_fraction(vol, rz, rxy) if whole else None, count_blobs(vol) if whole else 0))
-            yield pd.DataFrame(out, columns=[key, "point_id", "fits", "sec_frac", "nblobs"])
-
-    kinds = f"{key} {cut.schema[key].dataType.simpleString()}, point_id {cut.schema['point_id'].dataType.simpleString()}"
-    rows = cut.select(key, "point_id", "fits", "shape", "values").mapInPandas(step, f"{kinds}, fits boolean, sec_frac double, nblobs int")
-    rows = rows.join(nearest_in_radii(points, key, rz, rxy).withColumnRenamed("nearest", "nn_radii"), [key, "point_id"])
-    flag = isolation_flag(F.col("fits"), F.col("nn_radii"), F.col("sec_frac"), F.col("nblobs"))
-    return rows.withColumn("flag", flag).withColumn("isolated", F.col("flag").isin("green", "amber"))
-
-
-def shift_to(template: np.ndarray, crop: np.ndarray, upsample: int = 20) -> tuple[float, ...]:
-    """Shift that brings ``crop`` onto ``template``, to 1/``upsample`` of a voxel: the cross-correlation's peak, then its
-    transform on a finer grid within a voxel and a half of there."""
-    cross = np.fft.fftn(template) * np.conj(np.fft.fftn(crop))
-    peak = np.unravel_index(np.abs(np.fft.ifftn(cross)).argmax(), cross.shape)
-    best = [p - n if p > n // 2 else p for p, n in zip(peak, cross.shape)]
-    if upsample > 1:
-        span = np.arange(-int(np.ceil(0.75 * upsample)), int(np.ceil(0.75 * upsample)) + 1) / upsample
-        fine, grids = cross, [b + span for b in best]
-        for axis, (grid, n) in enumerate(zip(grids, cross.shape)):
-            wave = np.exp(2j * np.pi * np.outer(grid, np.fft.fftfreq(n)))
-            fine = np.moveaxis(np.tensordot(wave, fine, (1, axis)), 0, axis)
-        at = np.unravel_index(np.abs(fine).argmax(), fine.shape)
-        best = [g[k] for g, k in zip(grids, at)]
-    return tuple(float(b) for b in best)
-
-
-def reregister(scores: DataFrame, key: str, upsample: int = 20) -> DataFrame:
-    """Crops shifted onto their key's element-wise median. A crop that is alone stays as it is."""
-    ship_code(scores.sparkSession)
-    cells = scores.select(key, F.posexplode("crop").alias("i", "v")).groupBy(key, "i").agg(F.percentile("v", 0.5).alias("v"), F.count(F.lit(1)).alias("n"))
-    template = cells.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("template"), F.max("n").alias("n"))
-    met = scores.join(template, key)
-    out = scores.schema
-
-    def step(batches):
-        for pdf in batches:
-            moved = []
-            for shape, crop, mid, n in zip(pdf["shape"], pdf["crop"], pdf["template"], pdf["n"]):
-                vol = _volume(shape, crop)
-                moved.append(vol.ravel() if n < 2 else fourier_shift(vol, shift_to(_volume(shape, mid), vol, upsample)).ravel())
-            yield pdf.assign(crop=moved)[out.names]
-
-    return met.select(*out.names, "template", "n").mapInPandas(step, out)
-
-
-def average(scores: DataFrame, key: str, shape: tuple[int, int, int], combine: str = "trimmed_mean", cut: float = 0.1) -> DataFrame:
-    """One array per key out of its crops: element-wise ``mean``, ``median`` or ``trimmed_mean``; ``shape``, ``psf``."""
-    cells = scores.select(key, F.posexplode("crop").alias("i", "v"))
-    if combine == "trimmed_mean":
-        cells = trimmed_mean(cells, [key, "i"], "v", cut)
-    else:
-        how = {"mean": F.avg("v"), "median": F.percentile("v", 0.5)}
-        if combine not in how:
-            raise ValueError(f"unknown way to combine: {combine}")
-        cells = cells.groupBy(key, "i").agg(how[combine].alias("v"))
-    whole = cells.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("psf"))
-    return whole.select(key, F.array(*(F.lit(int(n)) for n in shape)).alias("shape"), "psf")
-
-
-def finish(profiles: DataFrame, key: str, rz: int = RZ, rxy: int = RXY, turn: bool = True) -> DataFrame:
-    """Tails rolled off by the soft ellipsoid of the profile's own covariance (6 to 9 deviations), then a quarter turn
-    in the plane."""
-    ship_code(profiles.sparkSession)
-
-    def step(batches):
-        for pdf in batches:
-            out = []
-            for k, shape, values in zip(pdf[key], pdf["shape"], pdf["psf"]):
-                vol = _volume(shape, values)
-                at = (np.array(vol.shape) - 1) / 2
-                vol = vol * soft_ellipsoid(vol.shape, at, covariance(vol, at, rz, rxy), 6.0, 9.0)
-                vol = np.rot90(vol, 1, (1, 2)) if turn else vol
-                out.append((k, list(vol.shape), vol.astype(np.float32).astype(float).ravel()))
-            yield pd.DataFrame(out, columns=[key, "shape", "psf"])
-
-    return profiles.mapInPandas(step, f"{key} {profiles.schema[key].dataType.simpleString()}, shape array<int>, psf array<double>")
-
-
-def curated(chunks: DataFrame, points: DataFrame, key: str, grid: tuple[int, int, int], rz: int = RZ, rxy: int = RXY, accept: Column | None = None, combine: str = "trimmed_mean") -> DataFrame:
-    """Averaged profile of the points of each volume: crop, score, (gate,) register, combine, finish."""
-    rows = score(crops(chunks, points, key, grid, rz, rxy), points, key, rz, rxy)
-    rows = materialise(rows if accept is None else rows.filter(accept), "beads-scores")
-    return finish(average(reregister(rows, key), key, (2 * rz + 1, 2 * rxy + 1, 2 * rxy + 1), combine), key, rz, rxy)
-
-
-def haze_floor(vol: np.ndarray, xy_um: float, dz_um: float = 0.5, open_um: float = 3.0, smooth_um: float = 3.0, coarse: int = 4) -> np.ndarray:
-    """Smooth lower envelope of a (z, y, x) volume: opening and smoothing on a grid that is ``coarse`` times wider in
-    the plane, brought back by linear interpolation, never above the data."""
-    small = kernels.box_mean(vol, (1, coarse, coarse))[:, ::coarse, ::coarse]
-    odd = lambda um, step: max(int(round(um / step)) | 1, 3)
-    size = (odd(open_um, dz_um), odd(open_um, xy_um * coarse), odd(open_um, xy_um * coarse))
-    smooth = kernels.gaussian(kernels.opened(small, size), (smooth_um / dz_um, smooth_um / (xy_um * coarse), smooth_um / (xy_um * coarse)))
-    return np.minimum(kernels.zoomed(smooth, vol.shape), vol)
-
-
-def subtract_haze(volumes: DataFrame, key: str, xy_um: float, dz_um: float = 0.5, gamma: float = 1.0, offset: float = 100.0, **envelope: float) -> DataFrame:
-    """Volumes less ``gamma`` times the haze floor above the camera's offset, clipped and truncated to 0..65535."""
-    ship_code(volumes.sparkSession)
-
-    def step(batches):
-        for pdf in batches:
-            out = []
-            for shape, values in zip(pdf["shape"], pdf["values"]):
-                vol = _volume(shape, values)
-                floor = np.clip(haze_floor(vol, xy_um, dz_um, **envelope) - offset, 0, None)
-                out.append(np.trunc(np.clip(vol - gamma * floor, 0, 65535)).ravel())
-            yield pdf.assign(values=out)
-
-    return volumes.select(key, "shape", "values").mapInPandas(step, T.StructType([volumes.schema[key], volumes.schema["shape"], T.StructField("values", T.ArrayType(T.DoubleType()))]))
-
-
-def masks(vol: np.ndarray) -> dict[str, np.ndarray | float]:
-    """Masks of a reference volume: ``interior`` of the slab, ``cell`` (above background by five deviations, closed),
-    ``empty`` (interior far from any cell), a ``shell`` near the boundary and a ``core`` further in; ``bg``, ``sigma``."""
-    interior = kernels.eroded(vol > 0, 4)
-    inside = vol[interior]
-    bg, sigma = (float(np.median(inside)), kernels.mad_sigma(inside)) if inside.size else (float("nan"),) * 2
-    cell = kernels.closed((kernels.median3(vol) > bg + 5 * sigma) & interior, 2)
-    return {
-        "interior": interior, "cell": cell, "empty": interior & ~kernels.dilated(cell, 8), "bg": bg, "sigma": sigma,
-        "shell": kernels.eroded(interior, 1) & ~kernels.eroded(interior, 4), "core": kernels.eroded(interior, 6),
-    }
-
-
-def shell_ratio(vol: np.ndarray, shell: np.ndarray, core: np.ndarray, least: int = 100) -> float:
-    """Mean near the boundary over the mean inside; nan with less than ``least`` voxels of shell, no core or a core of 0."""
-    inner = vol[core].mean() if core.any() else 0.0
-    return float(vol[shell].mean() / inner) if shell.sum() >= least and inner else float("nan")
-
-
-def spikes(vol: np.ndarray, cell: np.ndarray, bg: float, sigma: float, k: float = 12.0) -> int:
-    """Voxels of the cell above ``bg + k * sigma`` that exceed all their 26 neighbours by more than ``sigma``."""
-    view = np.lib.stride_tricks.sliding_window_view(np.pad(vol, 1, "symmetric"), (3, 3, 3)).reshape(*vol.shape, 27)
-    around = np.delete(view, 13, axis=-1).max(-1)
-    return int((cell & (vol > bg + k * sigma) & (vol > around + sigma)).sum())
-
-
 METRICS = ("bg", "sigma", "peak", "peak_minus_bg", "spikes", "clipped", "shell_ratio", "noise_rank")
-
-
-def metrics(vol: np.ndarray, m: dict) -> tuple:
-    """The eight numbers that variants of a volume are compared by, all over the reference's masks; nan where a mask is
-    empty."""
-    nan = float("nan")
-    empty, cell = vol[m["empty"]], vol[m["cell"]]
-    bg, sigma = (float(np.median(empty)), kernels.mad_sigma(empty)) if empty.size else (nan, nan)
-    peak = float(np.percentile(cell, 99.99)) if cell.size else nan
-    above = peak - bg
-    return bg, sigma, peak, above, float(spikes(vol, m["cell"], bg, sigma if sigma > 0 else 1.0)), float((cell <= 0).mean()) if cell.size else nan, shell_ratio(vol, m["shell"], m["core"]), sigma / above if above > 0 else nan
-
-
-def variant_metrics(variants: DataFrame, reference: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """:func:`metrics` of every variant (``keys``, ``name``, ``shape``, ``values``) over the masks of its reference
-    volume (``keys``, ``shape``, ``values``), which are made once for each reference and task; null stands for nan."""
-    ship_code(variants.sparkSession)
-    met = variants.join(reference.select(*keys, F.col("values").alias("ref")), keys)
-    kinds = ", ".join(f"{k} {variants.schema[k].dataType.simpleString()}" for k in (*keys, name))
-
-    def step(batches):
-        last, made = None, None
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                row = row._asdict()
-                own = tuple(row[k] for k in keys)
-                if own != last:
-                    last, made = own, masks(_volume(row["shape"], row["ref"]))
-                out.append((*own, row[name], *metrics(_volume(row["shape"], row["values"]), made)))
-            yield pd.DataFrame(out, columns=[*keys, name, *METRICS])
-
-    return met.select(*keys, name, "shape", "values", "ref").mapInPandas(step, f"{kinds}, " + ", ".join(f"{m} double" for m in METRICS))
-
-
-def signal_box(image: np.ndarray, least: float = LEAST_SIGNAL, smooth: float = 5.0, area: int = 500) -> tuple[int, int, int, int] | None:
-    """(y0, y1, x0, x1) around the components of more than ``area`` pixels above mean + 2 deviations of the smoothed
-    image; None for a dark image or without such a component."""
-    if image.max() < least:
-        return None
-    soft = kernels.gaussian(image, smooth)
-    parts = kernels.labelled(soft > soft.mean() + 2 * soft.std())
-    large = np.flatnonzero(np.bincount(parts.ravel())[1:] > area) + 1
-    at = np.argwhere(np.isin(parts, large))
-    return None if not len(at) else (int(at[:, 0].min()), int(at[:, 0].max()) + 1, int(at[:, 1].min()), int(at[:, 1].max()) + 1)
-
-
-def centred_box(height: int, width: int, want_h: int, want_w: int) -> tuple[int, int, int, int]:
-    """A box of the wanted size around the middle, cut at the image's bounds."""
-    y0, x0 = max(0, height // 2 - want_h // 2), max(0, width // 2 - want_w // 2)
-    return y0, min(height, y0 + want_h), x0, min(width, x0 + want_w)
-
-
-def camera_boxes(images: DataFrame, key: str, want_h: int, want_w: int, **limits: float) -> DataFrame:
-    """Signal boxes of both halves (upper, lower) of each projection (``shape``, ``values``): ``half``, ``y0``, ``y1``,
-    ``x0``, ``x1``, ``found``; a centred box of the wanted size where a half shows no signal."""
-    ship_code(images.sparkSession)
-
-    def step(batches):
-        for pdf in batches:
-            out = []
-            for k, shape, values in zip(pdf[key], pdf["shape"], pdf["values"]):
-                image = _volume(shape, values)
-                mid = image.shape[0] // 2
-                for half, part, down in (("upper", image[:mid], 0), ("lower", image[mid:], mid)):
-                    box = signal_box(part, **limits) if part.size else None
-                    y0, y1, x0, x1 = box or centred_box(*part.shape, want_h, want_w)
-                    out.append((k, half, y0 + down, y1 + down, x0, x1, box is not None))
-            yield pd.DataFrame(out, columns=[key, "half", "y0", "y1", "x0", "x1", "found"])
-
-    return images.select(key, "shape", "values").mapInPandas(step, f"{key} {images.schema[key].dataType.simpleString()}, half string, y0 int, y1 int, x0 int, x1 int, found boolean")

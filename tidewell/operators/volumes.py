@@ -1,15 +1,10 @@
-"""Volume measurements: masks, regions, registration, fits, pupils."""
+"""Volume measurements: masks and regions."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.operators.arrays import fourier_shift, zernike
-from tidewell.session import ship_code
-
 
 def subtract_bias(rows: DataFrame, pixel: list[str], value: str, offset: float, dark: DataFrame | None = None) -> DataFrame:
     """Values less the offset and, if given, less the pixel's dark value; negative results stay."""
@@ -45,103 +40,3 @@ def occupancy(masks: DataFrame, datasets: DataFrame, key: str, value: str) -> Da
 def unit_sum(rows: DataFrame, group: list[str], value: str) -> DataFrame:
     """Values divided by their group's sum."""
     return rows.join(rows.groupBy(*group).agg(F.sum(value).alias("_s")), group).withColumn(value, F.col(value) / F.col("_s")).drop("_s")
-
-
-def soft_ellipsoid(shape: tuple[int, ...], centre: np.ndarray, cov: np.ndarray, inner: float, outer: float) -> np.ndarray:
-    """1 within ``inner`` Mahalanobis units, 0 beyond ``outer``, linear between; a singular covariance counts as identity."""
-    try:
-        inv = np.linalg.inv(cov)
-    except np.linalg.LinAlgError:
-        inv = np.eye(len(shape))
-    d = np.stack(np.meshgrid(*(np.arange(n) for n in shape), indexing="ij"), -1) - centre
-    r = np.sqrt(np.maximum(np.einsum("...i,ij,...j->...", d, inv, d), 0))
-    return np.clip((outer - r) / (outer - inner), 0, 1)
-
-
-def register(crop: np.ndarray, template: np.ndarray) -> tuple[float, ...]:
-    """Shift that brings ``crop`` onto ``template``: peak of the cross-correlation, refined by a parabola per axis."""
-    c = np.real(np.fft.ifftn(np.fft.fftn(template) * np.conj(np.fft.fftn(crop))))
-    peak, out = np.unravel_index(c.argmax(), c.shape), []
-    for axis, (p, n) in enumerate(zip(peak, c.shape)):
-        line = np.take(c, [(p - 1) % n, p, (p + 1) % n], axis)[tuple(slice(None) if a == axis else q for a, q in enumerate(peak))]
-        bend = line[0] - 2 * line[1] + line[2]
-        shift = p + (0.5 * (line[0] - line[2]) / bend if bend else 0.0)
-        out.append(float(shift - n if shift > n / 2 else shift))
-    return tuple(out)
-
-
-def align_to_median(crops: list[np.ndarray]) -> list[np.ndarray]:
-    """Crops shifted onto their median; one crop alone stays as it is."""
-    if len(crops) < 2:
-        return crops
-    template = np.median(crops, axis=0)
-    return [fourier_shift(c, register(c, template)) for c in crops]
-
-
-def fit_gaussians(profiles: DataFrame, key: str, values: str, starts: int = 4, rounds: int = 60) -> DataFrame:
-    """Least-squares Gaussian of each profile from several starts (Levenberg-Marquardt): ``amplitude``, ``centre``,
-    ``sigma``, ``offset``, ``cost`` of the best. One profile is one row; Arrow batches."""
-
-    def one(y: np.ndarray) -> tuple:
-        x = np.arange(y.size)
-        best = None
-        for k in range(starts):
-            p = np.array([np.ptp(y) or 1.0, y.argmax() if k == 0 else y.size * (k + 0.5) / starts, y.size / (4.0 + k), y.min()])
-            lam, cost = 1e-2, np.inf
-            for _ in range(rounds):
-                e = np.exp(-((x - p[1]) ** 2) / (2 * p[2] ** 2))
-                r = y - p[0] * e - p[3]
-                j = np.stack([e, p[0] * e * (x - p[1]) / p[2] ** 2, p[0] * e * (x - p[1]) ** 2 / p[2] ** 3, np.ones_like(e)], 1)
-                cost = float(r @ r)
-                h = j.T @ j
-                q = p + np.linalg.solve(h + lam * (np.diag(np.diag(h)) + 1e-12 * np.eye(4)), j.T @ r)
-                q[2] = np.clip(abs(q[2]), 1e-2, 10 * y.size)
-                new = y - q[0] * np.exp(-((x - q[1]) ** 2) / (2 * q[2] ** 2)) - q[3]
-                if new @ new < cost:
-                    done, p, lam, cost = cost - new @ new < 1e-12 * cost, q, lam / 5, float(new @ new)
-                    if done:
-                        break
-                else:
-                    lam *= 5
-            if best is None or cost < best[-1]:
-                best = (*map(float, p), cost)
-        return best
-
-    def step(batches):
-        for pdf in batches:
-            yield pd.DataFrame([(k, *one(np.asarray(v, float))) for k, v in zip(pdf[key], pdf[values])], columns=[key, "amplitude", "centre", "sigma", "offset", "cost"])
-
-    ship_code(profiles.sparkSession)
-    kind = profiles.schema[key].dataType.simpleString()
-    return profiles.select(key, values).mapInPandas(step, f"{key} {kind}, amplitude double, centre double, sigma double, offset double, cost double")
-
-
-def pupil_grid(n: int, na: float, wavelength: float, pixel: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Normalised radius, angle and support of a pupil on an n x n frequency grid."""
-    f = np.fft.fftfreq(n, pixel)
-    ky, kx = np.meshgrid(f, f, indexing="ij")
-    rho = np.hypot(ky, kx) / (na / wavelength)
-    return rho, np.arctan2(ky, kx), rho <= 1
-
-
-def retrieve_phase(stack: np.ndarray, z: np.ndarray, na: float, wavelength: float, index: float, pixel: float, rounds: int = 50) -> tuple[np.ndarray, list[float]]:
-    """Pupil of an intensity stack by alternating projections, and the amplitude residual of each round."""
-    n = stack.shape[-1]
-    rho, _, inside = pupil_grid(n, na, wavelength, pixel)
-    kz = 2 * np.pi * np.sqrt(np.maximum((index / wavelength) ** 2 - (np.minimum(rho, 1) * na / wavelength) ** 2, 0))
-    defocus, amplitude = np.exp(1j * kz * z[:, None, None]), np.sqrt(np.maximum(stack, 0))
-    pupil, residuals = inside.astype(complex), []
-    pupil *= np.sqrt((stack[0].sum() * n * n) / max(1, inside.sum()))
-    for _ in range(rounds):
-        field = np.fft.ifft2(pupil * defocus)
-        residuals.append(float(np.linalg.norm(np.abs(field) - amplitude) / np.linalg.norm(amplitude)))
-        back = np.fft.fft2(amplitude * np.exp(1j * np.angle(field)))
-        pupil = (back * np.conj(defocus)).mean(0) * inside
-    return pupil, residuals
-
-
-def zernike_fit(phase: np.ndarray, rho: np.ndarray, theta: np.ndarray, modes: int) -> np.ndarray:
-    """Least-squares Noll coefficients 1..modes of a phase over the unit disc."""
-    inside = rho <= 1
-    basis = np.stack([zernike(j, rho, theta)[inside] for j in range(1, modes + 1)], 1)
-    return np.linalg.lstsq(basis, phase[inside], rcond=None)[0]

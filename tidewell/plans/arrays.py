@@ -147,14 +147,6 @@ def gaussian_model(spark, sf_dir):
     return read_table(spark, sf_dir, "events").select("event_id", F.round(gaussian(F.col("value"), 3.0, 50.0, 10.0, 0.5), 6).alias("g"))
 
 
-@query()
-def mean_shift_centres(spark, sf_dir):
-    """Sub-pixel centres of crops, vectors read as 4 x 4 x 4 volumes."""
-    e = read_table(spark, sf_dir, "embeddings").select("vec_id", F.array(F.lit(4), F.lit(4), F.lit(4)).alias("shape"), F.transform("embedding", lambda x: F.abs(x.cast("double"))).alias("v"))
-    return arrays.mean_shift(e, "vec_id", "shape", "v").select("vec_id", *(F.round(c, 6).alias(c) for c in ("z", "y", "x", "residual")))
-
-
-
 @query(f"WITH {DIMS_SQL}, c AS (SELECT vec_id, sum(dim * abs(v)) / sum(abs(v)) AS c FROM d GROUP BY 1) SELECT vec_id, round(sum(abs(v) * (dim - c) ** 2) FILTER (WHERE abs(dim - c) <= 20) / sum(abs(v)) FILTER (WHERE abs(dim - c) <= 20), 6) AS var FROM d JOIN c USING (vec_id) GROUP BY vec_id")
 def windowed_covariance(spark, sf_dir):
     """Weighted second moment in a window around the centre."""

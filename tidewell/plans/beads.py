@@ -1,4 +1,4 @@
-"""Queries over beads, masks and optics; vectors stand for small volumes."""
+"""Queries over points in volumes and over optics; vectors stand for small volumes."""
 
 from __future__ import annotations
 
@@ -35,21 +35,6 @@ def bead_crops(spark, sf_dir):
     return cut.select("k", "point_id", "fits", F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
 
 
-@query()
-def bead_scores(spark, sf_dir):
-    """Centred crops and their scores (no SQL: iterated in numpy; tests/test_beads.py)."""
-    cut = beads.crops(chunked(spark, sf_dir), points(spark, sf_dir), "k", (4, 4, 4), 2, 1)
-    rows = beads.score(cut, points(spark, sf_dir), "k", 2, 1)
-    return rows.select("k", "point_id", *(F.round(c, 6).alias(c) for c in ("isolation", "snr", "mirror_symmetry", "meanshift_residual_px", "energy")), beads.gates(0.5, 1.0, 0.0, 0.5).alias("accepted"))
-
-
-@query()
-def isolation_report(spark, sf_dir):
-    """Neighbours, secondary peaks, blobs and the flag (no SQL; tests/test_beads.py)."""
-    cut = beads.crops(chunked(spark, sf_dir), points(spark, sf_dir), "k", (4, 4, 4), 2, 1)
-    return beads.isolation_report(cut, points(spark, sf_dir), "k", 2, 1).select("k", "point_id", F.round("nn_radii", 6).alias("nn_radii"), F.round("sec_frac", 6).alias("sec_frac"), "nblobs", "flag", "isolated")
-
-
 @query("SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN 'orange' WHEN p_size % 5 = 0 OR p_size % 3 = 0 THEN 'red' WHEN p_size % 6 >= 4 THEN 'amber' ELSE 'green' END AS flag FROM part")
 def isolation_flags(spark, sf_dir):
     """The cascade of isolation flags."""
@@ -58,69 +43,10 @@ def isolation_flags(spark, sf_dir):
     return read_table(spark, sf_dir, "part").select("p_partkey", flag.alias("flag"))
 
 
-@query()
-def registered_profiles(spark, sf_dir):
-    """Crops registered to their median, combined and finished (no SQL; tests/test_beads.py)."""
-    e = volumes(spark, sf_dir).join(read_table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
-    rows = beads.reregister(e.select("label", "shape", F.col("values").alias("crop")), "label", 4)
-    out = beads.finish(beads.average(rows, "label", (4, 4, 4)), "label", 2, 2)
-    return out.select("label", F.transform("psf", lambda x: F.round(x, 3)).alias("psf"))
-
-
-@query()
-def blob_points(spark, sf_dir):
-    """Blobs by Laplacian of Gaussian (no SQL; tests/test_beads.py)."""
-    return beads.detect(volumes(spark, sf_dir), "vec_id", lambda v: beads.blobs(v, (0.7, 1.0)))
-
-
-@query()
-def haze_subtraction(spark, sf_dir):
-    """Volumes less their haze floor (no SQL; tests/test_beads.py)."""
-    return beads.subtract_haze(volumes(spark, sf_dir), "vec_id", 0.5, coarse=2).select("vec_id", "values")
-
-
-@query()
-def variant_metrics(spark, sf_dir):
-    """Metrics of variants over a reference's masks (no SQL; tests/test_beads.py)."""
-    one = volumes(spark, sf_dir).withColumn("k", F.col("vec_id") % 10).groupBy("k").agg(F.flatten(F.transform(F.slice(F.sort_array(F.collect_list(F.struct("vec_id", "values"))), 1, 5), lambda s: s["values"])).alias("v"))
-    big = one.filter(F.size("v") == 320).select("k", F.array(F.lit(16), F.lit(16), F.lit(20)).alias("shape"), F.flatten(F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: F.transform("v", lambda x: x + i))).alias("values"))
-    arms = big.withColumn("arm", F.lit("none")).union(big.select("k", "shape", F.transform("values", lambda x: x * 2), F.lit("twice")))
-    return beads.variant_metrics(arms, big, ["k"], "arm").select("k", "arm", *(F.round(m, 4).alias(m) for m in beads.METRICS))
-
-
-@query()
-def camera_boxes(spark, sf_dir):
-    """Signal boxes of both camera halves (no SQL; tests/test_beads.py)."""
-    return beads.camera_boxes(volumes(spark, sf_dir, (8, 8)), "vec_id", 2, 4, least=100.0, smooth=0.7, area=1)
-
-
-@query()
-def pupil_phases(spark, sf_dir):
-    """Phase retrieval of small stacks (no SQL; tests/test_optics.py)."""
-    p = optics.Pupil(na=1.1, wavelength_um=0.515, index=1.4, pixel_um=0.2, noll=(4, 5, 6))
-    got = optics.retrieve(volumes(spark, sf_dir), "vec_id", p, 4)
-    return got.select("vec_id", F.round(F.element_at("residuals", -1), 6).alias("residual"), F.size("coefficients").alias("n"))
-
-
-@query()
-def zernike_terms(spark, sf_dir):
-    """Noll coefficients of phase maps (no SQL; tests/test_optics.py)."""
-    got = optics.zernike_terms(volumes(spark, sf_dir, (8, 8), 1.0), "vec_id", 6)
-    return got.select("vec_id", F.transform("coefficients", lambda c: F.round(c, 6)).alias("coefficients"))
-
-
 @query("SELECT event_id, round(0.85 * exp(-((value - 50) ** 2) / (2 * 0.6 ** 2)) + 0.1 * exp(-abs(value - 50) / 3.0) + 0.05 * exp(-((value - 51) ** 2) / (2 * 0.5 ** 2)), 6) AS light FROM events")
 def sheet_profile(spark, sf_dir):
     """Light at a distance from the sheet."""
-    m = optics.Model(tail_frac=0.1, lobe_amp=0.05)
-    return read_table(spark, sf_dir, "events").select("event_id", F.round(optics.sheet_profile(F.col("value") - 50, m), 6).alias("light"))
-
-
-@query()
-def profile_models(spark, sf_dir):
-    """N20, N22, R28, SNK19: model profiles of two channels with their parameters (no SQL; tests/test_optics.py)."""
-    out = optics.model_profiles(spark, optics.Model(na=0.8), 0.515, ["488", "561"], (5, 7, 7))
-    return out.select("channel", F.transform("values", lambda x: F.round(x, 6)).alias("values"), "model")
+    return read_table(spark, sf_dir, "events").select("event_id", F.round(optics.sheet_profile(F.col("value") - 50, 0.6, 0.1, 3.0, 0.05, 1.0, 0.5), 6).alias("light"))
 
 
 @query("SELECT p_partkey, CAST(CASE p_size % 5 WHEN 0 THEN 0.515 WHEN 1 THEN 0.6 WHEN 2 THEN 0.667 WHEN 3 THEN 0.455 ELSE 0.515 END AS DOUBLE) AS um FROM part")

@@ -128,13 +128,6 @@ def throttle(spark, sf_dir):
     return o.select("o_orderkey", F.col("start_s").cast("long").alias("start_s"), (F.col("start_s") > 50_000_000).alias("timed_out"))
 
 
-@query("SELECT a.i AS iterations, m.m AS method, p.p AS psf FROM (VALUES (5), (10), (20)) a(i), (VALUES ('rl'), ('omw')) m(m), (VALUES ('x'), ('y')) p(p) WHERE NOT (a.i = 10 AND m.m = 'rl')")
-def parameter_sweep(spark, sf_dir):
-    """N24, N26, J25, SNK20, U8: combinations that don't exist yet."""
-    have = spark.createDataFrame([(10, "rl", "x"), (10, "rl", "y"), (99, "rl", "x")], "iterations int, method string, psf string")
-    return exports.parameter_arms(spark, have, iterations=[5, 10, 20], method=["rl", "omw"], psf=["x", "y"])
-
-
 @query("SELECT l_returnflag AS tier, l_orderkey AS key, CAST(count(*) AS BIGINT) AS n, round(sum(l_extendedprice), 2) AS bytes, min(l_partkey) FILTER (WHERE l_linenumber = least) AS first_path FROM (SELECT *, min(l_linenumber) OVER (PARTITION BY l_returnflag, l_orderkey) AS least FROM lineitem) GROUP BY l_returnflag, l_orderkey")
 def suggestion_groups(spark, sf_dir):
     """Sums and the first path of each tier and dataset."""

@@ -43,11 +43,3 @@ def unit_sum(spark, sf_dir):
     """Values over their sum."""
     d = dims(spark, sf_dir).select("vec_id", "dim", F.abs("v").alias("v"))
     return volumes.unit_sum(d, ["vec_id"], "v").select("vec_id", "dim", F.round("v", 6).alias("v"))
-
-
-@query()
-def profile_fits(spark, sf_dir):
-    """Least-squares Gaussians from several starts, the best kept."""
-    e = read_table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.abs(x.cast("double"))).alias("v"))
-    fits = volumes.fit_gaussians(e, "vec_id", "v")
-    return fits.select("vec_id", *(F.round(c, 4).alias(c) for c in ("amplitude", "centre", "sigma", "offset", "cost")))

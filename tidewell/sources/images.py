@@ -1,215 +1,14 @@
-"""Image files: TIFF pages as a table, restamping, and PNG posters."""
+"""Image files by their first bytes."""
 
 from __future__ import annotations
 
-import os
-import struct
-import uuid
-import zlib
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewell.session import ship_code
-
-# Tag numbers and type sizes of the TIFF format.
-WIDTH, LENGTH, BITS, COMPRESSION, DESCRIPTION, OFFSETS, PER_STRIP, COUNTS, FORMAT = 256, 257, 258, 259, 270, 273, 278, 279, 339
-_SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 16: 8}
-_CODES = {1: "B", 3: "H", 4: "I", 16: "Q"}
-#: Headers of little- and big-endian files, classic and big.
+# Headers of little- and big-endian files, classic and big.
 MAGIC = (b"II*\0", b"MM\0*", b"II+\0", b"MM\0+")
-PAGES = "path string, page int, shape array<int>, description string, values array<double>"
 
 
 def has_tiff_header(content: Column) -> Column:
     """Whether a file's bytes begin as a TIFF does; null content doesn't."""
     return F.coalesce(F.substring(content, 1, 4).isin(*(F.lit(m) for m in MAGIC)), F.lit(False))
-
-
-def _pages(raw: bytes) -> list[dict[int, tuple]]:
-    """Tags of each page: number -> (type, count, values or text)."""
-    if raw[:4] not in MAGIC:
-        raise ValueError("no TIFF header")
-    e = "<" if raw[:2] == b"II" else ">"
-    big = b"+" in raw[:4]
-    n_form, entry, word = ("Q", "HHQ8s", "Q") if big else ("H", "HHI4s", "I")
-    at = struct.unpack_from(e + word, raw, 8 if big else 4)[0]
-    pages, seen = [], set()
-    while at and at not in seen:
-        seen.add(at)
-        n = struct.unpack_from(e + n_form, raw, at)[0]
-        at += struct.calcsize(n_form)
-        tags = {}
-        for _ in range(n):
-            tag, kind, count, value = struct.unpack_from(e + entry, raw, at)
-            at += struct.calcsize("<" + entry)
-            size = _SIZES.get(kind, 1) * count
-            if size > len(value):
-                where = struct.unpack(e + word, value)[0]
-                value = raw[where : where + size]
-            if kind == 2:
-                tags[tag] = (kind, count, value[:count].split(b"\0")[0].decode("utf-8", "replace"))
-            elif kind in _CODES:
-                tags[tag] = (kind, count, struct.unpack(f"{e}{count}{_CODES[kind]}", value[:size]))
-        pages.append(tags)
-        at = struct.unpack_from(e + word, raw, at)[0]
-    return pages
-
-
-def read_tiff(raw: bytes) -> list[tuple[np.ndarray, str]]:
-    """Pages of a TIFF: pixels and description. Strips without compression, or deflated."""
-    out, order = [], "<" if raw[:2] == b"II" else ">"
-    for tags in _pages(raw):
-        one = lambda tag, default=None: tags[tag][2][0] if tag in tags else default
-        kind = {1: "u", 2: "i", 3: "f"}[one(FORMAT, 1)]
-        dtype = np.dtype(f"{order}{kind}{one(BITS) // 8}")
-        strips = [raw[a : a + n] for a, n in zip(tags[OFFSETS][2], tags[COUNTS][2])]
-        if one(COMPRESSION, 1) in (8, 32946):
-            strips = [zlib.decompress(s) for s in strips]
-        elif one(COMPRESSION, 1) != 1:
-            raise ValueError(f"compression {one(COMPRESSION)} isn't known")
-        pixels = np.frombuffer(b"".join(strips), dtype)[: one(LENGTH) * one(WIDTH)]
-        out.append((pixels.reshape(one(LENGTH), one(WIDTH)), tags[DESCRIPTION][2] if DESCRIPTION in tags else ""))
-    return out
-
-
-def _ifd(tags: list[tuple[int, int, int, bytes]], at: int, after: int = 0) -> bytes:
-    """A little-endian page directory that will stand at ``at``, with its long values behind it."""
-    tags = sorted(tags)
-    head, tail = struct.pack("<H", len(tags)), b""
-    rest = at + 2 + 12 * len(tags) + 4
-    for tag, kind, count, value in tags:
-        if len(value) > 4:
-            where = rest + len(tail)
-            tail += value + b"\0" * (len(value) % 2)
-            value = struct.pack("<I", where)
-        head += struct.pack("<HHI", tag, kind, count) + value.ljust(4, b"\0")
-    return head + struct.pack("<I", after) + tail
-
-
-def write_tiff(pages: np.ndarray, description: str = "", deflate: bool = True) -> bytes:
-    """A little-endian TIFF of (page, y, x); the description stands in the first page."""
-    out = bytearray(struct.pack("<2sHI", b"II", 42, 0))
-    link = 4
-    for k, page in enumerate(np.asarray(pages)):
-        kind = {"u": 1, "i": 2, "f": 3, "b": 1}[page.dtype.kind]
-        data = page.astype(page.dtype.newbyteorder("<")).tobytes()
-        data = zlib.compress(data, 1) if deflate else data
-        start = len(out)
-        out += data + b"\0" * (len(data) % 2)
-        word = lambda tag, v: (tag, 4, 1, struct.pack("<I", v))
-        tags = [word(WIDTH, page.shape[1]), word(LENGTH, page.shape[0]), word(BITS, page.dtype.itemsize * 8), word(COMPRESSION, 8 if deflate else 1), word(262, 1), word(OFFSETS, start), word(277, 1), word(PER_STRIP, page.shape[0]), word(COUNTS, len(data)), word(FORMAT, kind)]
-        if description and not k:
-            text = description.encode() + b"\0"
-            tags.append((DESCRIPTION, 2, len(text), text))
-        struct.pack_into("<I", out, link, len(out))
-        n_tags, at = len(tags), len(out)
-        out += _ifd(tags, at)
-        out += b"\0" * (len(out) % 2)
-        link = at + 2 + 12 * n_tags
-    return bytes(out)
-
-
-def stamped(raw: bytes, description: str) -> bytes | None:
-    """The file with another description in its first page, or None if it has that one already. The pixels stay byte
-    for byte, whatever their compression: a new first directory is put behind them. Classic little-endian files."""
-    if raw[:4] != MAGIC[0]:
-        raise ValueError("not a classic little-endian TIFF")
-    if _pages(raw)[0].get(DESCRIPTION, (2, 0, None))[2] == description:
-        return None
-    at = struct.unpack_from("<I", raw, 4)[0]
-    n = struct.unpack_from("<H", raw, at)[0]
-    tags = []
-    for k in range(n):
-        tag, kind, count, value = struct.unpack_from("<HHI4s", raw, at + 2 + 12 * k)
-        size = _SIZES.get(kind, 1) * count
-        if size > 4:
-            where = struct.unpack("<I", value)[0]
-            value = raw[where : where + size]
-        if tag != DESCRIPTION:
-            tags.append((tag, kind, count, value[: max(size, 4)] if size > 4 else value))
-    after = struct.unpack_from("<I", raw, at + 2 + 12 * n)[0]
-    text = description.encode() + b"\0"
-    out = bytearray(raw + b"\0" * (len(raw) % 2))
-    struct.pack_into("<I", out, 4, len(out))
-    return bytes(out + _ifd([*tags, (DESCRIPTION, 2, len(text), text)], len(out), after))
-
-
-def replace_file(path: str, data: bytes) -> None:
-    """Put a file in place in one step."""
-    part = f"{path}.{uuid.uuid4().hex}.part"
-    with open(part, "wb") as out:
-        out.write(data)
-    os.replace(part, path)
-
-
-def stamp_files(files: DataFrame, path: str, description: str) -> DataFrame:
-    """Write each file's description column into it (mounted files): ``path``, ``stamped`` (false if it was so
-    before). Repeating it changes nothing, so a task may run again."""
-    ship_code(files.sparkSession)
-
-    def run(batches):
-        for batch in batches:
-            names, texts, done = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
-            for name, text in zip(names, texts):
-                with open(name, "rb") as f:
-                    new = stamped(f.read(), text)
-                if new is not None:
-                    replace_file(name, new)
-                done.append(new is not None)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(done)], names=["path", "stamped"])
-
-    return files.select(path, description).mapInArrow(run, "path string, stamped boolean")
-
-
-def read_pages(spark: SparkSession, path: str, pages: tuple[int, int] | None = None, rows: tuple[int, int] | None = None, columns: tuple[int, int] | None = None) -> DataFrame:
-    """One row per page of the TIFFs at ``path``: ``path``, ``page``, ``shape``, ``description``, ``values``. The
-    ranges [low, high) keep a part of the pages and of each page; no more than that leaves the reader. A file that
-    can't be read gives one row of page -1 with the reason as its description."""
-    ship_code(spark)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    inside = slice(*rows) if rows else slice(None), slice(*columns) if columns else slice(None)
-
-    def run(batches):
-        for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                try:
-                    found = [(k, p[inside], text) for k, (p, text) in enumerate(read_tiff(raw.as_py())) if not pages or pages[0] <= k < pages[1]]
-                except Exception as error:  # any parser error stands for a broken file
-                    found = [(-1, np.zeros((0, 0)), str(error))]
-                for k, p, text in found:
-                    yield pa.RecordBatch.from_pydict({"path": [name], "page": pa.array([k], pa.int32()), "shape": pa.array([list(p.shape)], pa.list_(pa.int32())), "description": [text], "values": [p.astype(np.float64).ravel()]})
-
-    return files.mapInArrow(run, PAGES)
-
-
-def png(pixels: np.ndarray) -> bytes:
-    """A PNG of (y, x) grey or (y, x, 3) colour, 8 bits."""
-    data = np.ascontiguousarray(pixels, np.uint8)
-    block = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
-    lines = b"".join(b"\0" + row.tobytes() for row in data)
-    head = struct.pack(">IIBBBBB", data.shape[1], data.shape[0], 8, 2 if data.ndim == 3 else 0, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + block(b"IHDR", head) + block(b"IDAT", zlib.compress(lines, 6)) + block(b"IEND", b"")
-
-
-def write_images(images: DataFrame, path: str, pixels: str, shape: str) -> DataFrame:
-    """Write each row's pixels (array of 0 to 255 in C order, its shape of two or three axes) as a PNG file (mounted);
-    ``path`` and ``error`` of each: a picture that can't be written costs only itself. Frames of a movie are numbered
-    files here, since no codec is at hand."""
-    ship_code(images.sparkSession)
-
-    def run(batches):
-        for batch in batches:
-            names, errors = batch.column(0).to_pylist(), []
-            for name, values, size in zip(names, batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                try:
-                    os.makedirs(os.path.dirname(name), exist_ok=True)
-                    replace_file(name, png(np.asarray(values, float).clip(0, 255).reshape(size)))
-                    errors.append(None)
-                except (OSError, ValueError, TypeError) as error:
-                    errors.append(str(error))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(errors, pa.string())], names=["path", "error"])
-
-    return images.select(path, pixels, shape).mapInArrow(run, "path string, error string")

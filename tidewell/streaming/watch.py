@@ -1,93 +1,10 @@
-"""Watch passes: idempotent work that is done again and again, and survives its own failures."""
+"""Watch passes: what a pass over the catalogue decides, as tables that can be decided again."""
 
 from __future__ import annotations
 
-import logging
-import threading
-import time
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-log = logging.getLogger("tidewell.watch")
-
-#: Seconds between passes, between looks at a live lease, and between ticks of a live index.
-EVERY, LEASE_POLL, TICK = 120.0, 15.0, 5.0
-
-
-class OncePerText:
-    """Says a key's message once, until its text changes or the key is forgotten."""
-
-    def __init__(self, say: Callable[[str], None] = log.warning):
-        self.say, self.last = say, {}
-
-    def __call__(self, key: str, text: str) -> bool:
-        if self.last.get(key) == text:
-            return False
-        self.last[key] = text
-        self.say(text)
-        return True
-
-    def forget(self, key: str) -> None:
-        self.last.pop(key, None)
-
-
-def watch(one_pass: Callable[[], object], every: float = EVERY, leased: Callable[[], bool] = lambda: False, passes: int | None = None, sleep: Callable[[float], None] = time.sleep, said: OncePerText | None = None) -> tuple[int, int]:
-    """Run ``one_pass`` every so many seconds; returns how many passes were done and how many failed.
-
-    A pass that fails is logged and tried again at the next turn. While a live lease is held no pass begins; the lease
-    is looked at every ``LEASE_POLL`` seconds. ``passes`` ends it after so many turns (None: never).
-    """
-    said, done, failed = said or OncePerText(), 0, 0
-    while passes is None or done + failed < passes:
-        while leased():
-            sleep(LEASE_POLL)
-        try:
-            one_pass()
-            done += 1
-            said.forget("pass")
-        except Exception as error:  # the next pass sees the same work again
-            failed += 1
-            said("pass", f"pass failed: {error}")
-        if passes is None or done + failed < passes:
-            sleep(every)
-    return done, failed
-
-
-def foreach_pass(one_pass: Callable[[DataFrame, int], None], attempts: int = 3, delay: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that tries a failed pass over a micro-batch again before it ends the query; the
-    batch itself then repeats from the checkpoint."""
-
-    def run(batch: DataFrame, epoch: int) -> None:
-        for attempt in range(1, attempts + 1):
-            try:
-                return one_pass(batch, epoch)
-            except Exception as error:
-                if attempt == attempts:
-                    raise
-                log.warning("batch %s failed (%s), trying again", epoch, error)
-                sleep(delay)
-
-    return run
-
-
-def start_ticks(tick: Callable[[], object], every: float = TICK, stop: threading.Event | None = None) -> tuple[threading.Thread, threading.Event]:
-    """Run ``tick`` in a daemon thread until the event is set; a tick that fails is logged, the next one comes."""
-    stop, said = stop or threading.Event(), OncePerText()
-
-    def run() -> None:
-        while not stop.is_set():
-            try:
-                tick()
-            except Exception as error:
-                said("tick", f"tick failed: {error}")
-            stop.wait(every)
-
-    thread = threading.Thread(target=run, name="tidewell-ticks", daemon=True)
-    thread.start()
-    return thread, stop
-
 
 def plan_pass(found: DataFrame, registered: DataFrame, stages: DataFrame, tickets: DataFrame, failures: DataFrame, flags: dict[str, int], give_up: int, cap: int) -> dict[str, DataFrame]:
     """What one pass does, as tables; each step sees what those before it decided.
