@@ -1,49 +1,35 @@
-"""Array products and measurements over long tables and ``ArrayType`` columns; numpy kernels where maths iterates."""
+"""Array products and measurements over long tables and ``ArrayType`` columns."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.session import ship_code
-
-
-#: Bins that a group's values are counted in before percentiles are looked up in one of them.
-BINS = 1024
-
+from tidewell.operators.scan import null_safe, scan
 
 def percentiles(rows: DataFrame, group: list[str], value: str, shares: list[float], name: str = "_q") -> DataFrame:
-    """Exact interpolated percentiles of each group, as an array; null values don't count.
+    """Exact interpolated percentiles of each group, as an array; null values don't count, null groups are groups.
 
-    Values are counted in ``BINS`` bins between the group's ends (with map-side combine), which tells the bins that the
-    sought ranks are in; only these bins' distinct values are put in order. So no task holds a group, but a bin's
-    distinct values. Groups must not be null.
+    Distinct values are counted (with map-side combine), dealt into ranges of (group, value) and their counts summed by
+    a segmented scan, which tells each rank's value. So no task holds a group, however its values lie.
     """
-    v = rows.select(*group, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    ends = v.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_a"), F.max("_v").alias("_z"))
-    place = F.when(F.col("_z") > F.col("_a"), F.least(F.floor((F.col("_v") - F.col("_a")) / (F.col("_z") - F.col("_a")) * BINS), F.lit(BINS - 1))).otherwise(0)
-    binned = v.join(ends.select(*group, "_a", "_z"), group).select(*group, "_v", place.cast("int").alias("_b"))
-    counts = binned.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    before = lambda *by: F.sum("_c").over(Window.partitionBy(*by).orderBy("_v" if "_b" in by else "_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")
+    counts = rows.select(*group, F.col(value).cast("double").alias("_v")).filter("_v is not null").groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    summed = scan(counts, group, ["_v"], _s=("sum", F.col("_c"))).select(*group, "_v", "_c", "_s")
+    sizes = counts.groupBy(*group).agg(F.sum("_c").alias("_n"))
     at = [F.lit(q) * (F.col("_n") - 1) for q in shares]
-    ranks = ends.select(*group, F.explode(F.array_distinct(F.array(*(f(x).cast("long") for x in at for f in (F.floor, F.ceil))))).alias("_r"))
-    sought = ranks.join(counts.withColumn("_s", before(*group)), group).filter("_s <= _r and _r < _s + _c").select(*group, "_b", "_r", "_s")
-    inside = binned.join(sought.select(*group, "_b").distinct(), [*group, "_b"], "left_semi").groupBy(*group, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    found = inside.withColumn("_t", before(*group, "_b")).join(sought, [*group, "_b"]).filter("_s + _t <= _r and _r < _s + _t + _c")
-    by_rank = found.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"))
+    ranks = F.array_distinct(F.array(*(f(x).cast("long") for x in at for f in (F.floor, F.ceil))))
+    inside = null_safe(summed, sizes, group).select(*group, "_n", "_v", F.filter(ranks, lambda r: (r >= F.col("_s") - F.col("_c")) & (r < F.col("_s"))).alias("_r"))
+    by_rank = inside.filter("size(_r) > 0").select(*group, "_n", "_v", F.explode("_r").alias("_r")).groupBy(*group, "_n").agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"))
     one = lambda x, f: F.col("_m")[f(x).cast("long")]
-    out = F.array(*(one(x, F.floor) + (one(x, F.ceil) - one(x, F.floor)) * (x - F.floor(x)) for x in at))
-    return by_rank.join(ends.select(*group, "_n"), group).select(*group, out.alias(name))
+    return by_rank.select(*group, F.array(*(one(x, F.floor) + (one(x, F.ceil) - one(x, F.floor)) * (x - F.floor(x)) for x in at)).alias(name))
 
 
 def percentile_stretch(rows: DataFrame, group: list[str], value: str, low: float, high: float, name: str = "level") -> DataFrame:
     """Values scaled so that the group's low and high percentile become 0 and 255, clipped and truncated; 0 where the
-    two coincide. Percentiles are joined back, so no group meets in one task."""
+    two coincide or the group has no values. Percentiles are joined back, so no group meets in one task."""
     q = percentiles(rows, group, value, [low, high]).select(*group, F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
     scaled = F.floor(F.least(F.greatest((F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")), F.lit(0.0)), F.lit(1.0)) * 255)
-    return rows.join(q, group).withColumn(name, F.when(F.col("_hi") > F.col("_lo"), scaled).otherwise(0).cast("int")).drop("_lo", "_hi")
+    return null_safe(rows, q, group, "left").withColumn(name, F.when(F.col("_hi") > F.col("_lo"), scaled).otherwise(0).cast("int")).drop("_lo", "_hi")
 
 
 def blend(rows: DataFrame, cell: list[str], channel: str, level: str, palette: list[tuple[float, float, float]]) -> DataFrame:
@@ -94,7 +80,7 @@ def trimmed_mean(rows: DataFrame, group: list[str], value: str, cut: float) -> D
 def mad_sigma(rows: DataFrame, group: list[str], value: str) -> DataFrame:
     """1.4826 times the median distance to the median."""
     mid = percentiles(rows, group, value, [0.5]).select(*group, F.get("_q", F.lit(0)).alias("_m"))
-    far = rows.join(mid, group).select(*group, F.abs(F.col(value) - F.col("_m")).alias("_d"))
+    far = null_safe(rows, mid, group).select(*group, F.abs(F.col(value) - F.col("_m")).alias("_d"))
     return percentiles(far, group, "_d", [0.5]).select(*group, (F.get("_q", F.lit(0)) * 1.4826).alias("sigma"))
 
 
@@ -167,11 +153,3 @@ def even_sample(t_star: Column, n_available: Column, n: int) -> Column:
     others = F.array_sort(F.transform(F.filter(with_star, lambda x: x != t_star), lambda x: F.struct((-F.abs(x - t_star)).alias("d"), x.alias("x"))))
     chosen = F.transform(F.slice(others, F.lit(1), F.lit(n - 1)), lambda s: s["x"])
     return F.when(F.size(with_star) <= n, with_star).otherwise(F.array_sort(F.array_append(chosen, t_star.cast("int"))))
-
-
-def noll(j: int) -> tuple[int, int]:
-    """Radial order and signed azimuthal frequency of a Noll index."""
-    n = int(np.ceil((-3 + np.sqrt(1 + 8 * j)) / 2))
-    k = j - n * (n + 1) // 2 - 1
-    m = k + (k + n) % 2 if n % 2 == 0 else k + (k + 1) % 2
-    return n, m if j % 2 == 0 else -m

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators.scan import scan
+
+#: Values of a fixed dimension of a grid.
+MAX_SIDE = 10_000
+
 
 def series(frames: DataFrame, series_key: str, channel: str, t: str, size: str, expected: Column | None = None) -> DataFrame:
     """``series_key``, ``ok``, ``detail``: channels hold t = 0..T-1 without gap, no empty frame, equal T, the expected
@@ -24,9 +29,16 @@ def series(frames: DataFrame, series_key: str, channel: str, t: str, size: str,
 
 
 def grid_missing(rows: DataFrame, left: str, right: str, right_values: DataFrame) -> DataFrame:
-    """Cells of (every left value) x (``right_values``, a small fixed dimension) without a row."""
-    cells = rows.select(left).distinct().withColumn("_all", F.lit(1)).join(right_values.select(right).distinct().agg(F.collect_set(right).alias("_v")).withColumn("_all", F.lit(1)), "_all")
-    return cells.select(left, F.explode("_v").alias(right)).join(rows.select(left, right).distinct(), [left, right], "left_anti")
+    """Cells of (every left value) x (``right_values``, a fixed dimension of ``MAX_SIDE`` values at most) without a row.
+
+    The dimension's size is checked, then it is a constant: a left value is exploded to the values that its own set
+    lacks, so cells that are there are never made."""
+    side = [r[0] for r in right_values.select(right).distinct().limit(MAX_SIDE + 1).collect()]
+    if len(side) > MAX_SIDE:
+        raise ValueError(f"{right} has more than {MAX_SIDE} values: join the grid's cells as a table")
+    every = F.array(*(F.lit(v) for v in side)).cast(f"array<{rows.schema[right].dataType.simpleString()}>")
+    have = rows.groupBy(left).agg(F.collect_set(right).alias("_have"))
+    return have.select(left, F.explode(F.array_except(every, F.array_intersect(every, "_have"))).alias(right))
 
 
 def constant_blocks(rows: DataFrame, key: str, size: str, least: int) -> DataFrame:
@@ -54,8 +66,8 @@ def modal(rows: DataFrame, key: str, value: str, order: list[str]) -> DataFrame:
 
 
 def readable_prefix(parts: DataFrame, series_key: str, seq: str, bad: Column, pages: str, pages_per_t: int) -> DataFrame:
-    """The run of good parts that leads each series, its pages, and how many whole timepoints they hold."""
-    w = Window.partitionBy(series_key).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    lead = parts.withColumn("_b", F.max(bad.cast("int")).over(w))
+    """The run of good parts that leads each series, its pages, and how many whole timepoints they hold; a series may
+    span tasks."""
+    lead = scan(parts, [series_key], [seq], _b=("max", F.coalesce(bad, F.lit(False)).cast("int")))
     good = F.coalesce(F.sum(F.when(F.col("_b") == 0, F.col(pages))), F.lit(0))
     return lead.groupBy(series_key).agg(F.count(F.when(F.col("_b") == 0, 1)).alias("n_good"), good.alias("pages"), F.floor(good / pages_per_t).cast("long").alias("n_t"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.scan import RANGE, scan
 from tidewell.session import materialise
 
 
@@ -33,11 +34,12 @@ def queue_position(rows: DataFrame, order: list[Column], name: str = "position")
 
 
 def longest_failure_run(events: DataFrame, key: str, order: list[str], failed: Column) -> DataFrame:
-    """Longest run of consecutive failures of each key."""
-    w = Window.partitionBy(key).orderBy(*order)
-    rows = events.withColumn("_f", failed).withColumn("_g", F.row_number().over(w) - F.sum(F.col("_f").cast("int")).over(w))
-    runs = rows.filter("_f").groupBy(key, "_g").agg(F.count(F.lit(1)).alias("n"))
-    return events.select(key).distinct().join(runs.groupBy(key).agg(F.max("n").alias("n")), key, "left").select(key, F.coalesce("n", F.lit(0)).alias("longest"))
+    """Longest run of consecutive failures of each key; a null outcome is no failure. Failures with as many successes
+    before them are one run, so a key may span tasks."""
+    rows = events.select(key, *order, F.coalesce(failed, F.lit(False)).alias("_f"))
+    numbered = scan(rows, [key], order, _g=("sum", (~F.col("_f")).cast("int")))
+    runs = numbered.groupBy(key, "_g").agg(F.count_if("_f").alias("n"))
+    return runs.groupBy(key).agg(F.max("n").alias("longest"))
 
 
 def latest(events: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -52,9 +54,9 @@ def stale_labels(labels: DataFrame, key: str, labelled_at: str, redone_at: str)
 
 
 def changes(events: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
-    """Rows whose value differs from the key's row before."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return events.withColumn("_p", F.lag(value).over(w)).withColumn("_k", F.row_number().over(w)).filter((F.col("_k") == 1) | ~F.col("_p").eqNullSafe(F.col(value))).drop("_p", "_k")
+    """Rows whose value differs from the key's row before, and each key's first; a key may span tasks."""
+    seen = scan(events, [key], order, _p=("before", F.col(value)))
+    return seen.filter(F.col("_p").isNull() | ~F.col("_p.v").eqNullSafe(F.col(value))).select(events.columns)
 
 
 def admitted(rows: DataFrame, order: list[Column], cap: int, in_flight: int) -> DataFrame:
@@ -63,10 +65,12 @@ def admitted(rows: DataFrame, order: list[Column], cap: int, in_flight: int) ->
 
 
 def idle_sessions(events: DataFrame, key: str, ts: str, gap_s: int) -> DataFrame:
-    """Sessions of each key: a new one starts where more than ``gap_s`` seconds lie between two events."""
-    w = Window.partitionBy(key).orderBy(ts)
-    fresh = F.coalesce((F.unix_micros(F.col(ts).cast("timestamp")) - F.lag(F.unix_micros(F.col(ts).cast("timestamp"))).over(w) > gap_s * 1_000_000).cast("int"), F.lit(1))
-    rows = events.withColumn("_n", fresh).withColumn("session", F.sum("_n").over(w.rangeBetween(Window.unboundedPreceding, 0)))
+    """Sessions of each key: a new one starts where more than ``gap_s`` seconds lie between two events. A key may span
+    tasks: two scans over the same ranges, for the time before and for the number of the session."""
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    seen = scan(events.select(key, ts), [key], [ts], _b=("before", at))
+    fresh = materialise(seen.select(key, ts, RANGE, F.coalesce((at - F.col("_b.v") > gap_s * 1_000_000).cast("int"), F.lit(1)).alias("_n")), "sessions")
+    rows = scan(fresh, [key], [ts], session=("sum", F.col("_n")))
     return rows.groupBy(key, "session").agg(F.min(ts).alias("started"), F.max(ts).alias("ended"), F.count(F.lit(1)).alias("n"))
 
 

@@ -154,11 +154,3 @@ def twin_files(spark, sf_dir):
     """Files of the keeper that the member has too, null-safe."""
     li = read_table(spark, sf_dir, "lineitem").withColumn("sha", F.nullif("l_returnflag", F.lit("R")))
     return dedup.twins(li.filter("l_linenumber = 1"), li.filter("l_linenumber = 2"), ["l_orderkey", "sha"]).select("l_orderkey", "l_partkey")
-
-
-@query("WITH s AS (SELECT lang, source, doc_id % 10 AS m, string_agg(doc_id % 3 || ':' || n_chars % 7, ',' ORDER BY doc_id % 3, n_chars % 7) AS sig FROM documents GROUP BY ALL) SELECT lang, source FROM s GROUP BY ALL HAVING count(DISTINCT sig) > 1")
-def differing_groups(spark, sf_dir):
-    """Reported groups whose members no longer agree."""
-    d = read_table(spark, sf_dir, "documents")
-    d = d.select("lang", "source", (F.col("doc_id") % 10).alias("m"), (F.col("doc_id") % 3).alias("a"), (F.col("n_chars") % 7).alias("b"))
-    return dedup.differing_groups(d, ["lang", "source"], "m", ["a", "b"])

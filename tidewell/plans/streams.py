@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidewell.plans.registry import query
-from tidewell.session import shared_dir
+from tidewell.session import discard_path, shared_dir
 from tidewell.sources.tables import read_table
-from tidewell.streaming import sessions
+from tidewell.streaming import sessions, tickets
 
 
 def event_stream(spark, sf_dir):
@@ -17,8 +17,7 @@ def event_stream(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
     path = f"{shared_dir(spark)}/tidewell/events-{uuid.uuid4().hex}"
     events.withColumn("ts", F.col("ts").cast("timestamp")).repartitionByRange(4, "ts").write.parquet(path)
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    discard_path(spark, path)
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
@@ -38,3 +37,27 @@ def daily_counts(spark, sf_dir):
     counted = sessions.windowed_counts(event_stream(spark, sf_dir), "ts", ["event_type"], "60 days", "1 day")
     out = sessions.run_available(spark, counted.select("event_type", F.date_format("window.start", "yyyy-MM-dd").alias("day"), "n"), f"daily-{uuid.uuid4().hex}")
     return out.groupBy("event_type", "day").agg(F.max("n").alias("n"))
+
+
+@query("""WITH e AS (SELECT user_id AS k, epoch_us(ts) // 1000 AS ms FROM events), f AS (SELECT *, coalesce(CAST(ms - lag(ms) OVER (PARTITION BY k ORDER BY ms) > 900000 AS INTEGER), 1) AS f FROM e),
+    s AS (SELECT *, sum(f) OVER (PARTITION BY k ORDER BY ms RANGE UNBOUNDED PRECEDING) AS i FROM f)
+    SELECT k AS user_id, min(ms) AS started, max(ms) AS ended, CAST(count(*) AS BIGINT) AS n FROM s GROUP BY k, i HAVING max(ms) + 900000 < (SELECT max(ms) - 7200000 FROM e)""")
+def closed_sessions(spark, sf_dir):
+    """ST6, ST15: sessions that 15 idle minutes of event time have ended, by timers and without later events."""
+    closed = sessions.closed_sessions(event_stream(spark, sf_dir).select(F.col("user_id").alias("key"), "ts"), "ts", 900_000, "2 hours")
+    out = sessions.run_available(spark, closed, f"closed-{uuid.uuid4().hex}", "append")
+    return out.select(F.col("key").alias("user_id"), "started", "ended", "n")
+
+
+@query("""WITH s AS (SELECT user_id AS k, event_id AS i, ts FROM events WHERE event_type = 'signup'), c AS (SELECT user_id AS k, event_id AS i, ts FROM events WHERE event_type = 'purchase'),
+    w AS (SELECT least((SELECT max(ts) FROM s), (SELECT max(ts) FROM c)) - INTERVAL 3 HOUR AS wm), p AS (SELECT s.k, s.i AS submitted, c.i AS completed FROM s JOIN c ON s.k = c.k AND c.ts >= s.ts AND c.ts <= s.ts + INTERVAL 6 HOUR)
+    SELECT k AS user_id, submitted, completed, 'done' AS outcome FROM p
+    UNION ALL SELECT k, i, NULL, CASE WHEN ts + INTERVAL 6 HOUR < wm THEN 'lost' ELSE 'in flight' END FROM s, w WHERE i NOT IN (SELECT submitted FROM p)
+    UNION ALL SELECT k, NULL, i, 'late' FROM c, w WHERE ts < wm AND i NOT IN (SELECT completed FROM p)""")
+def ticket_fates(spark, sf_dir):
+    """ST3, ST4, ST14: done, lost, late and waiting tickets out of a join of two streams."""
+    side = lambda rows, kind: rows.filter(F.col("event_type") == kind).select(F.col("user_id").alias("key"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("at"))
+    stream = event_stream(spark, sf_dir)
+    found = tickets.fates(side(stream, "signup"), side(stream, "purchase"), "6 HOURS", "3 hours")
+    out = sessions.run_available(spark, found, f"tickets-{uuid.uuid4().hex}", "append")
+    return tickets.with_in_flight(out, side(read_table(spark, sf_dir, "events"), "signup")).withColumnRenamed("key", "user_id")

@@ -56,8 +56,7 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidewell/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    discard_path(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidewell_path = path
     if _SCRATCH:
@@ -65,6 +64,12 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def discard_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared one when the driver's JVM ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`materialise` that no later plan reads."""
     path = getattr(df, "_tidewell_path", None)
