@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.prefix import covering, nesting
 from tidewell.sources import layout
 
 
@@ -64,20 +65,14 @@ def class_bytes(units: DataFrame, key: str, cls: str, size: str) -> DataFrame:
 
 
 def nested(paths: DataFrame, key: str = "path") -> DataFrame:
-    """Pairs (outer, inner) of listed paths where one lies below the other: ancestors are spread and equi-joined."""
-    parts = F.split(F.rtrim(F.col(key), F.lit("/")), "/")
-    up = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
-    inner = paths.select(F.rtrim(F.col(key), F.lit("/")).alias("inner"), F.explode(up).alias("outer")).distinct()
-    return inner.filter("inner <> outer").join(paths.select(F.rtrim(F.col(key), F.lit("/")).alias("outer")).distinct(), "outer", "left_semi").select("outer", "inner")
+    """Pairs (outer, inner) of listed paths where one lies below the other, by a merge of intervals."""
+    return nesting(paths.select(F.rtrim(F.col(key), F.lit("/")).alias(key)), key)
 
 
 def longest_prefix(files: DataFrame, dirs: DataFrame, path: str = "path", directory: str = "dir") -> DataFrame:
-    """Each file with the deepest listed directory above it, null if there is none."""
-    parts = F.split(F.col(path), "/")
-    up = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, 1, n), "/").alias("dir_")))
-    met = files.select(F.col(path).alias("p_"), F.inline(up)).join(dirs.select(F.col(directory).alias("dir_")).distinct(), "dir_")
-    best = met.groupBy("p_").agg(F.max_by("dir_", "depth").alias(directory))
-    return files.join(best, F.col(path) == F.col("p_"), "left").drop("p_")
+    """Each file with the deepest listed directory above it, null if there is none, by a merge of intervals."""
+    found = covering(files, path, dirs, directory, name="_within")
+    return found.withColumn(directory, F.get(F.reverse(F.filter("_within", lambda d: d != F.col(path))), F.lit(0))).drop("_within")
 
 
 def root_rank(path: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators.prefix import covering
 from tidewell.sources import layout
 
 
@@ -54,12 +55,10 @@ def overall_status(stages: DataFrame, key: str, stage: str, status: str, last_st
 
 
 def protected_reasons(rows: DataFrame, named: DataFrame, pins: DataFrame, key: str = "key", path: str = "path") -> DataFrame:
-    """Reasons per row: a lookup by key, and pinned prefixes (plain string prefixes, no component boundary).
-
-    Pins meet paths by prefix length: only lengths that occur among pins are cut from a path, then an equi-join."""
-    sizes = sorted(r[0] for r in pins.select(F.length("pin")).distinct().collect() if r[0])  # a path's length bounds them
-    cut = rows.select(key, F.explode(F.array(*(F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in sizes)) if sizes else F.array().cast("array<string>")).alias("pin"))
-    hit = cut.join(pins.select("pin").distinct(), "pin").select(key, F.concat(F.lit("pinned: "), "pin").alias("why")).union(named.select(key, "why"))
+    """Reasons per row: a lookup by key, and pinned prefixes (plain string prefixes, no component boundary), which meet
+    the paths in a merge of intervals."""
+    pinned = covering(rows.select(key, path), path, pins, "pin", sep=None, name="pins_")
+    hit = pinned.select(key, F.explode("pins_").alias("pin")).select(key, F.concat(F.lit("pinned: "), "pin").alias("why")).union(named.select(key, "why"))
     return rows.join(hit.groupBy(key).agg(F.sort_array(F.collect_set("why")).alias("protected")), key, "left")
 
 

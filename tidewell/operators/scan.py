@@ -42,28 +42,32 @@ def _straddling(dealt: DataFrame, keys: list[str]) -> DataFrame:
 
 def scan(rows: DataFrame, keys: list[str], order: list[str], **wanted: tuple[str, Column]) -> DataFrame:
     """The rows (of :func:`ranged`, or any) with a column for each wanted (operation, value), over the key's rows up to
-    and including the row itself in ``order``: ``sum``, ``min``, ``max`` (null values don't count; without any, null),
-    or ``before``: a struct of the value of the row before, as ``v``, null at the key's first row.
+    and including the row itself in ``order``: ``sum``, ``min``, ``max``, ``last`` (null values don't count; without any,
+    null), or ``before``: a struct of the value of the row before, as ``v``, null at the key's first row.
 
     Rows that tie in ``order`` stand in any order, so ``order`` should be total where that matters.
     """
     dealt = rows if RANGE in rows.columns else ranged(rows, keys, order)
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = {name: value for name, (_, value) in wanted.items()}
+    last = lambda c: F.last(c, ignorenulls=True)
     fold = {"sum": F.sum, "min": F.min, "max": F.max}
     inside = Window.partitionBy(RANGE, *keys).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     part = null_safe(dealt, F.broadcast(_straddling(dealt, keys)), keys)
-    last = lambda v: F.max_by(F.struct(v.alias("v")), F.struct(*order))
-    sums = part.groupBy(RANGE, *keys).agg(*((last(values[k]) if op == "before" else fold[op](values[k])).alias(f"_in_{k}") for k, (op, _) in wanted.items()))
+    place = F.struct(*order)
+    ends = {"before": lambda v: F.max_by(F.struct(v.alias("v")), place), "last": lambda v: F.max_by(v, F.when(v.isNotNull(), place)), **fold}
+    sums = part.groupBy(RANGE, *keys).agg(*(ends[op](values[k]).alias(f"_in_{k}") for k, (op, _) in wanted.items()))
     earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)  # a row for each range of a key
-    carried = sums.select(RANGE, *keys, *((F.last(f"_in_{k}", ignorenulls=True) if op == "before" else fold[op](f"_in_{k}")).over(earlier).alias(f"_carry_{k}") for k, (op, _) in wanted.items()))
+    carried = sums.select(RANGE, *keys, *(fold.get(op, last)(f"_in_{k}").over(earlier).alias(f"_carry_{k}") for k, (op, _) in wanted.items()))
 
     out = null_safe(dealt.repartitionById(n, RANGE), F.broadcast(carried), [RANGE, *keys], "left")
     for k, (op, value) in wanted.items():
         if op == "before":
             own = F.coalesce(F.lag(F.struct(value.alias("v"))).over(inside), f"_carry_{k}")
+        elif op == "last":
+            own = F.coalesce(last(value).over(upto), f"_carry_{k}")
         elif op == "sum":
             here, more = F.sum(value).over(upto), F.col(f"_carry_{k}")
             own = F.when(more.isNull(), here).otherwise(F.coalesce(here, F.lit(0)) + more)

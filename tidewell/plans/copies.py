@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewell.operators import arrays, dedup, rules
+from tidewell.operators import arrays, dedup, hashtree, rules
 from tidewell.plans.registry import query
 from tidewell.sources.tables import read_table
 
@@ -154,3 +154,29 @@ def twin_files(spark, sf_dir):
     """Files of the keeper that the member has too, null-safe."""
     li = read_table(spark, sf_dir, "lineitem").withColumn("sha", F.nullif("l_returnflag", F.lit("R")))
     return dedup.twins(li.filter("l_linenumber = 1"), li.filter("l_linenumber = 2"), ["l_orderkey", "sha"]).select("l_orderkey", "l_partkey")
+
+
+@query("WITH s AS (SELECT l_orderkey, l_linenumber, string_agg(l_returnflag || l_linestatus, ',' ORDER BY l_returnflag, l_linestatus) AS sig FROM lineitem GROUP BY ALL) SELECT l_orderkey FROM s GROUP BY l_orderkey HAVING count(DISTINCT sig) > 1")
+def differing_groups(spark, sf_dir):
+    """Orders as reported groups, whose lines no longer agree in their flags."""
+    return dedup.differing_groups(read_table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_linenumber", ["l_returnflag", "l_linestatus"])
+
+
+def order_files(orders):
+    """Orders as files in folders of year, month, day."""
+    path = F.concat(F.date_format("o_orderdate", "yyyy/MM/dd"), F.lit("/"), F.col("o_orderkey").cast("string"))
+    return orders.select(path.alias("path"), "o_totalprice")
+
+
+@query("""WITH o AS (SELECT strftime(o_orderdate, '%Y/%m/%d') || '/' || o_orderkey AS path, * FROM orders)
+    SELECT path, CASE WHEN o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-04-01' AND o_orderstatus = 'P' THEN 'missing' ELSE 'changed' END AS state FROM o
+        WHERE o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-04-01' AND o_orderstatus IN ('P', 'F')
+    UNION ALL SELECT '2099/01/01/' || o_orderkey, 'new' FROM orders WHERE o_totalprice > 490000""")
+def tree_differences(spark, sf_dir):
+    """Inventory against the present, by hash trees; only folders that differ are gone into."""
+    o = read_table(spark, sf_dir, "orders")
+    month = F.date_trunc("month", "o_orderdate") == F.expr("timestamp'1997-03-01'")
+    now = o.filter(~(month & (F.col("o_orderstatus") == "P"))).withColumn("o_totalprice", F.when(month & (F.col("o_orderstatus") == "F"), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    new = o.filter("o_totalprice > 490000").withColumn("o_orderdate", F.expr("timestamp'2099-01-01'"))
+    trees = [hashtree.build(order_files(x), "path", ["o_totalprice"]) for x in (o, now.unionByName(new))]
+    return hashtree.differences(*trees)[0]
