@@ -61,11 +61,11 @@ def found(df, **how):
     return sorted((tuple(r) for r in minhash.near_duplicates(df, **how).collect()), key=str)
 
 
-@pytest.mark.parametrize("cell", [4, 512])
-def test_equals_all_pairs(spark, cell):
-    rows = corpus(cell)
+@pytest.mark.parametrize("short,cell", [(0, 4), (1, 512), (32, 512)])
+def test_equals_all_pairs(spark, short, cell):
+    rows = corpus(cell + short)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit("x")).withColumn("label", F.lit(1)).withColumn("value", F.lit(2))
-    assert found(df, size=2, cell=cell) == sorted(plain(rows), key=str)
+    assert found(df, size=2, short=short, cell=cell) == sorted(plain(rows), key=str)
 
 
 def test_five_words_and_repeated_and_null_ids(spark):
@@ -85,6 +85,17 @@ def test_a_star_of_copies_that_only_link_to_their_original(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string"), size=2) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("cell", [6, 512])
+def test_refined_lists_find_every_link(spark, cell):
+    rng = random.Random(cell)
+    texts = [t for _, t in corpus(cell, 12) if t] + [" ".join(edited(rng, [f"v{k}" for k in range(90)], rng.choice([0.02, 0.06, 0.12, 0.2]))) for _ in range(60)]
+    sets = sorted({tuple(s) for s in (x.tolist() for x in minhash.shingles(texts, 2)) if s})
+    df = spark.createDataFrame([(k, list(s)) for k, s in enumerate(sets)], "cid long, set array<long>")
+    got = {tuple(r) for r in minhash._verified(minhash._meet_refined(minhash.refined(df, 80), spark.createDataFrame([], "node long, label long"), 80, cell), df, 80).collect()}
+    full = [set(s) for s in sets]
+    assert got == {(i, j) for j in range(len(full)) for i in range(j) if 100 * len(full[i] & full[j]) >= 80 * len(full[i] | full[j])}
+
+
 def test_least_shared():
     rng = np.random.default_rng(3)
     t = minhash.least_shared()

@@ -12,10 +12,15 @@ where the sketches hold the whole sets). So:
    enough must meet in a list; frequent shingles are hardly ever among them.
 2. Overlaps out of the lists, first linear in their length: each member meets two leaders of its list, the one
    whose values are the most common ones (the original of many copies), and a random one. After those links are
-   verified, lists whose members are one component are done. Of the others, members of different components meet:
-   lists of up to ``CELL`` in one task, longer ones by pairs of blocks of ``CELL / 2``. Nothing is left out, no list is in one task.
-3. Whoever meets is held against a map of 256 bits (one class has as many bits that the other lacks as it has values
-   that the other lacks, at least), then against the union sketch's estimate, then verified on the full sets.
+   verified, lists whose members are one component are done. Of the others, members of different components meet in
+   lists of up to ``SHORT``.
+3. The members of longer lists get lists anew, of their full sets (``refined``). There a set's rarest fifth must meet,
+   without chance, and a value's place in both sets bounds how much they can share: copies of one original that differ
+   from each other by more drop out, so hardly any list is left that isn't one component. What is left meets in one
+   task up to ``CELL`` members, beyond by pairs of blocks. Nothing is left out.
+4. Whoever meets over sketches is held against a map of 256 bits (one class has as many bits that the other lacks as
+   it has values that the other lacks, at least), then against the union sketch's estimate; all that is left is verified on
+   the full sets.
 
 Edge cases: null and empty texts and texts without words have no shingles and link with nothing; with fewer words than
 a shingle has, the whole sequence is one; repeated rows give repeated results; a null id never becomes a component's
@@ -25,19 +30,21 @@ id unless all its ids are null; other columns are ignored; an empty table gives
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.llm.common import ROW_KEY, map_batches, row_key, stand_in
 from tidewell.operators.graph import components
-from tidewell.session import materialise, scratch
+from tidewell.session import discard, materialise, scratch
 
-#: Words of a shingle, percent of similarity, values of a sketch, chance of a missed pair, members of a list that meet in one task.
-SHINGLE, PERCENT, K, MISS, CELL = 5, 80, 64, 1e-10, 512
+#: Words of a shingle, percent of similarity, values of a sketch, chance of a missed pair, members of a list of sketches that
+#: all meet, members of a list of full sets that meet in one task.
+SHINGLE, PERCENT, K, MISS, SHORT, CELL = 5, 80, 64, 1e-10, 32, 512
 #: Longs of the bit map.
 WORDS = 4
 
@@ -138,44 +145,88 @@ def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("x.cid", "y.cid").alias("u"), F.greatest("x.cid", "y.cid").alias("v")).distinct()
 
 
-def _meet_others(lists: DataFrame, labels: DataFrame, percent: int, cell: int) -> DataFrame:
-    """Members of different components that share a list and may link."""
-    labelled = lists.join(labels.select(F.col("node").alias("cid"), "label"), F.col("m.cid") == F.col("cid"), "left").select("value", "m", F.coalesce("label", "m.cid").alias("label"))
-    labelled = materialise(labelled, "minhash-labelled")
-    open_ = labelled.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    open_ = materialise(open_.select("value", F.when(F.col("members") <= cell, 1).otherwise(F.ceil(F.col("members") * 2 / cell)).cast("int").alias("blocks")), "minhash-open")
-    held = materialise(labelled.join(open_, "value"), "minhash-open-members")  # apart from the grouping: a long list can be split
-    block = F.pmod(F.xxhash64("m.cid"), F.col("blocks")).cast("int")
-    with_block = held.select("value", "m", "label", "blocks", block.alias("own"))
-    sent = with_block.select("value", "m", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    cells = sent.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "m", "label", "own")
-    lists_of = cells.groupBy("value", "i", "j").agg(F.collect_list(F.struct("m.cid", "m.n", "m.spare", "m.bits", "label", "own")).alias("members"))
+def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists with each member's component."""
+    named = labels.select(F.col("node").alias("of"), "label")
+    return lists.join(named, F.col("m.cid") == F.col("of"), "left").select("value", "m", F.coalesce("label", "m.cid").alias("label"))
+
+
+def _open(labelled: DataFrame) -> DataFrame:
+    """``value`` and ``members`` of the lists that hold more than one component."""
+    sizes = labelled.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return sizes.filter("low < high").select("value", "members")
+
+
+_MET = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
+
+
+def _meet_all(cells: DataFrame, fits: Callable[[dict[str, np.ndarray], int, np.ndarray], np.ndarray], percent: int) -> DataFrame:
+    """Pairs of ``cells`` (``i``, ``j``: blocks; ``members``) that may link."""
 
     def make():
-        return lambda c: list(map(list, zip(*{e for i, j, x in zip(*c) for e in meetings(x, i, j, percent)}))) or [[], []]
+        return lambda c: list(map(list, zip(*{e for i, j, x in zip(*c) for e in meetings(x, i, j, percent, fits)}))) or [[], []]
 
-    schema = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
-    return map_batches(lists_of.select("i", "j", "members"), make, schema).distinct()
+    return map_batches(cells.select("i", "j", "members"), make, _MET).distinct()
 
 
-def meetings(members: list[dict], i: int, j: int, percent: int) -> list[tuple[int, int]]:
-    """Pairs of one cell that may link and are in different components; in the cell of two blocks only those across."""
-    cid, n, spare, label, own = (np.array([m[k] for m in members], np.int64) for k in ("cid", "n", "spare", "label", "own"))
-    bits = np.array([m["bits"] for m in members], np.int64).view(np.uint64)
-    out = []
+def meetings(members: list[dict], i: int, j: int, percent: int, fits) -> list[tuple[int, int]]:
+    """Pairs of one cell that may link and are in different components; in a cell of two blocks only those across."""
+    m = {k: np.array([x[k] for x in members], np.int64) for k in members[0]}
+    cid, n, label, out = m["cid"], m["n"], m["label"], []
     for at in range(len(cid) - 1):
         rest = slice(at + 1, None)
         ok = (label[rest] != label[at]) & (np.minimum(n[rest], n[at]) * 100 >= np.maximum(n[rest], n[at]) * percent)
         if i != j:
-            ok &= own[rest] != own[at]
+            ok &= m["own"][rest] != m["own"][at]
         k = np.flatnonzero(ok) + at + 1
         if k.size:
-            near = np.bitwise_count(bits[at] & ~bits[k]).sum(axis=1, dtype=np.int64) <= spare[at]
-            near &= np.bitwise_count(~bits[at] & bits[k]).sum(axis=1, dtype=np.int64) <= spare[k]
-            out += [(int(min(cid[at], c)), int(max(cid[at], c))) for c in cid[k[near]]]
+            out += [(int(min(cid[at], c)), int(max(cid[at], c))) for c in cid[k[fits(m, at, k)]]]
     return out
 
 
+def _maps_fit(m: dict[str, np.ndarray], at: int, k: np.ndarray) -> np.ndarray:
+    bits, spare = m["bits"], m["spare"]
+    lacks = lambda x: np.bitwise_count(x.view(np.uint64)).sum(axis=1, dtype=np.int64)
+    return (lacks(bits[at] & ~bits[k]) <= spare[at]) & (lacks(~bits[at] & bits[k]) <= spare[k])
+
+
+def _meet_in_short_lists(labelled: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
+    """Members of different components that share a short list and may link."""
+    held = labelled.join(open_.select("value"), "value")
+    cells = held.groupBy("value").agg(F.collect_list(F.struct("m.cid", "m.n", "m.spare", "m.bits", "label")).alias("members"))
+    return _meet_all(cells.withColumn("i", F.lit(0)).withColumn("j", F.lit(0)), _maps_fit, percent)
+
+
+def refined(sets: DataFrame, percent: int) -> DataFrame:
+    """Inverted lists of full sets (``cid``, ``set``): a set is listed under its rarest values, so many that two that
+    link must meet (with their first common value in the order of rarity). ``m``: ``cid``, ``n``, and ``left``, the
+    values from the listed one on, which bound what the set can share with another that it first meets there."""
+    keyed = sets.select("cid", F.size("set").alias("n"), F.explode("set").alias("value"))
+    often = materialise(keyed.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "minhash-often")
+    own = keyed.join(often, "value").groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("v"))
+    least = F.floor((F.col("n") * percent + 99) / 100).cast("int")
+    placed = own.filter(F.size("v") >= least).select("cid", "n", F.size("v").alias("held"), F.posexplode(F.slice("v", F.lit(1), F.size("v") - least + 1)).alias("at", "x"))
+    return materialise(placed.select(F.col("x.value").alias("value"), F.struct("cid", "n", (F.col("held") - F.col("at")).alias("left")).alias("m")), "minhash-refined")
+
+
+def _meet_refined(lists: DataFrame, labels: DataFrame, percent: int, cell: int) -> DataFrame:
+    """Members of different components that share a list of full sets and may link."""
+    labelled = materialise(_labelled(lists, labels), "minhash-labelled")
+    smallest = labelled.groupBy("value", "label").agg(F.min("m.n").alias("n"))
+    two = smallest.withColumn("k", F.row_number().over(Window.partitionBy("value").orderBy("n", "label"))).filter("k <= 2")
+    two = two.groupBy("value").agg(F.count(F.lit(1)).alias("labels"), F.min_by("label", "k").alias("first"), F.min("n").alias("n1"), F.max("n").alias("n2")).filter("labels = 2")
+    met = labelled.join(materialise(two, "minhash-smallest"), "value")
+    other = F.greatest(F.when(F.col("label") == F.col("first"), F.col("n2")).otherwise(F.col("n1")), F.floor((F.col("m.n") * percent + 99) / 100))  # size of the least partner
+    able = materialise(met.filter(F.col("m.left") * (100 + percent) >= (F.col("m.n") + other) * percent).select("value", "m", "label"), "minhash-able")
+    blocks = F.when(F.col("members") <= cell, 1).otherwise(F.ceil(F.col("members") * 2 / cell)).cast("int")
+    held = materialise(able.join(_open(able).select("value", blocks.alias("blocks")), "value"), "minhash-open-members")  # apart from the grouping: a long list can be split
+    own = held.select("value", "m", "label", "blocks", F.pmod(F.xxhash64("m.cid"), F.col("blocks")).cast("int").alias("own"))
+    sent = own.select("value", "m", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = sent.groupBy("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    cells = cells.agg(F.collect_list(F.struct("m.cid", "m.n", "m.left", "label", "own")).alias("members"))
+    return _meet_all(cells, lambda m, at, k: np.minimum(m["left"][k], m["left"][at]) * (100 + percent) >= (m["n"][k] + m["n"][at]) * percent, percent)
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
     """Pairs whose union sketch allows a link."""
     a, b = classes.select(F.col("cid").alias("u"), F.col("sketch").alias("a")), classes.select(F.col("cid").alias("v"), F.col("sketch").alias("b"))
@@ -185,24 +236,31 @@ def _likely(pairs: DataFrame, classes: DataFrame, k: int, percent: int, miss: fl
     return both.filter(enough).select("u", "v")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """Pairs that link on their full sets, which are made anew for the classes in question from their first rows."""
-    need = pairs.select(F.explode(F.array("u", "v")).alias("cid")).distinct().join(classes.select("cid", "first"), "cid").select("cid", *(F.col(f"first.{k}").alias(k) for k in ROW_KEY))
-    texts = docs.select(*row_key(docs, id_col, text_col), F.col(text_col).cast("string").alias("text")).join(need, ROW_KEY).select("cid", "text")
+def _sets(need: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``cid``, ``set`` of the classes ``need`` (column ``cid``), made anew from the text of their first rows."""
+    keys = need.distinct().join(classes.select("cid", "first"), "cid").select("cid", *(F.col(f"first.{k}").alias(k) for k in ROW_KEY))
+    texts = docs.select(*row_key(docs, id_col, text_col), F.col(text_col).cast("string").alias("text")).join(keys, ROW_KEY).select("cid", "text")
 
     def make():
         return lambda c: [c[0], shingles(c[1], size)]
 
     schema = T.StructType([T.StructField("cid", T.LongType()), T.StructField("set", T.ArrayType(T.LongType()))])
-    sets = map_batches(texts, make, schema).groupBy("cid").agg(F.first("set").alias("set"))
-    sets = materialise(sets, "minhash-sets")
+    return materialise(map_batches(texts, make, schema).groupBy("cid").agg(F.first("set").alias("set")), "minhash-sets")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("u", "v")).alias("cid"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that link on their full sets."""
     both = pairs.join(sets.select(F.col("cid").alias("u"), F.col("set").alias("a")), "u").join(sets.select(F.col("cid").alias("v"), F.col("set").alias("b")), "v")
     common = F.size(F.array_intersect("a", "b")).cast("long")
     counted = both.select("u", "v", common.alias("common"), (F.size("a") + F.size("b")).cast("long").alias("total"))
     return materialise(counted.filter(F.col("common") * 100 >= (F.col("total") - F.col("common")) * percent).select("u", "v"), "minhash-links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT, k: int = K, miss: float = MISS, cell: int = CELL) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT, k: int = K, miss: float = MISS, short: int = SHORT, cell: int = CELL) -> DataFrame:
     """``id_col``, ``n_shingles``, ``component_id``: the smallest id that links reach from the row."""
 
     def make():
@@ -220,12 +278,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         classes = _classes(rows)
         lists = index(classes, k, percent, miss)
         first = materialise(_likely(_meet_leaders(lists, percent), classes, k, percent, miss), "minhash-likely")
-        links = _verified(first, classes, docs, id_col, text_col, size, percent)
+        sets = _sets(_ends(first), classes, docs, id_col, text_col, size)
+        links = _verified(first, sets, percent)
+        discard(sets)
         labels = materialise(components(links), "minhash-labels")
-        more = materialise(_likely(_meet_others(lists, labels, percent, cell), classes, k, percent, miss), "minhash-likely")
-        if not more.isEmpty():
-            links = links.union(_verified(more, classes, docs, id_col, text_col, size, percent)).distinct()
-            labels = components(links)
+
+        labelled = materialise(_labelled(lists, labels), "minhash-labelled")
+        open_ = materialise(_open(labelled), "minhash-open")
+        more = materialise(_likely(_meet_in_short_lists(labelled, open_.filter(F.col("members") <= short), percent), classes, k, percent, miss), "minhash-likely")
+        long = materialise(labelled.join(open_.filter(F.col("members") > short), "value", "left_semi").select("m.cid").distinct(), "minhash-long")
+        sets = _sets(_ends(more).union(long), classes, docs, id_col, text_col, size)
+        rest = _meet_refined(refined(sets.join(long, "cid", "left_semi"), percent), labels, percent, cell)
+        added = _verified(more.union(rest).distinct(), sets, percent)
+        discard(sets)
+        if not added.isEmpty():
+            labels = components(links.union(added).distinct())
         named = classes.select("digest", "first", "cid").join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
         least = named.groupBy("label").agg(F.min("first").alias("best"))
         every = materialise(named.join(least, "label").select("digest", "best"), "minhash-every")
