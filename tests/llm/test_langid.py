@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 
 from tidewell.llm import langid, queries
+from tidewell.llm.common import lowest_hashes
 
 
 def test_grams():
@@ -76,15 +77,28 @@ def test_pieces_and_batches_change_nothing(monkeypatch):
     assert [len(w) for w in want] == [len(plain_grams(t)) for t in texts]
 
 
-def test_no_language_is_left_out(spark, monkeypatch):
+def test_blocks_of_languages_change_nothing(spark, monkeypatch):
     r = random.Random(3)
     words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(40)]
-    df = spark.createDataFrame([(i, f"{words[i % 40]} " * 5, f"l{i % 40}") for i in range(400)], "doc_id long, text string, lang string")
-    monkeypatch.setattr(langid, "MAX_CELLS", 40 << 12)
+    rows = [(i, f"{words[i % 40]} " * (1 + i % 3), f"l{i % 40:02}") for i in range(400)] + [(7, None, None), (None, "123", None), (7, words[3], None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 as row", "2 as top")
     model = langid.train(df)
-    assert len(model[0]) == 40 and model[2].shape == (1 << 12, 40)
-    names, _ = langid.predict([f"{w} {w}" for w in words], model)
-    assert names == [f"l{k}" for k in range(40)]
+    assert len(model[0]) == 40 and model[2].shape == (1 << 16, 40)
+    whole = sorted(map(tuple, langid.identify(df, model).collect()), key=str)
+    for block in (1, 7, 39):
+        monkeypatch.setattr(langid, "LANGS", block)
+        parts = sorted(map(tuple, langid.identify(df, model).collect()), key=str)
+        assert [p[:2] for p in parts] == [w[:2] for w in whole] and np.allclose([p[2] for p in parts], [w[2] for w in whole], rtol=1e-9)
+    assert langid.predict([f"{w} {w}" for w in words], model)[0] == [f"l{k:02}" for k in range(40)]
+
+
+def test_sample_is_bounded_by_rows(spark):
+    rows = [(1, f"t{k % 7}") for k in range(500)] + [(None, "n")] * 300 + [(k, "x") for k in range(2, 60)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    for limit in (1, 10, 100, 400, 1000):
+        got = [sorted((str(r.id), r.text) for r in lowest_hashes(df.repartition(n), "id", limit).collect()) for n in (1, 5)]
+        assert len(got[0]) == min(limit, len(rows)) and got[0] == got[1]
+    assert lowest_hashes(df.limit(0), "id", 5).count() == 0
 
 
 def test_held_out_accuracy(spark):

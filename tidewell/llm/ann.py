@@ -146,7 +146,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     while parts < MAX_PARTS and parts * PER_PART < total:
         parts *= 2
     limit = max(1, min(max(SAMPLE, parts * PER_CELL), SAMPLE_VALUES // max(1, dims)))
-    sample = [np.array(r["v"], np.float64) for _, r in zip(range(2 * limit), lowest_hashes(rows.filter(plain), "id", limit).orderBy("id").select("v").toLocalIterator())]
+    sample = [np.array(r["v"], np.float64) for r in lowest_hashes(rows.filter(plain), "id", limit).orderBy("id").select("v").toLocalIterator()]
     x = np.unique(np.array(sample).reshape(len(sample), dims), axis=0)
     while parts > 1 and parts * PER_CELL > len(x):
         parts //= 2

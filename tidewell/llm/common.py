@@ -83,11 +83,25 @@ def fold(doc_id: Column | str, folds: int = 5) -> Column:
     return F.coalesce(F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def _lowest(df: DataFrame, h: Column, limit: int) -> tuple[int, int | None]:
+    """The largest of the ``limit`` lowest values of a hash, and how many rows are below it."""
+    low = df.select(h.alias("h")).orderBy("h").limit(limit).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    top, n = low.agg(F.max(F.struct("h", "n")), F.sum("n")).first()
+    return (0, None) if top is None else (n - top["n"], top["h"])
+
+
 def lowest_hashes(df: DataFrame, id_col: str, limit: int) -> DataFrame:
-    """The rows whose ids hash lowest, about ``limit`` of them: a bounded, repeatable sample of whole rows.
+    """The rows whose ids hash lowest, ``limit`` of them at most: a bounded, repeatable sample of whole rows.
 
-    Only hashes are ordered (``limit`` per task); the rows are then filtered by the largest hash that is kept.
-    """
+    Only hashes are ordered (``limit`` per task); the rows are then filtered by the largest hash that is kept. Where an
+    id at that hash repeats past the limit, its rows are taken by the hash of the whole row; rows that are equal in
+    every column are as good as each other."""
     h = F.xxhash64(id_col)
-    at = df.select(h.alias("h")).orderBy("h").limit(limit).agg(F.max("h")).first()[0]
-    return df.limit(0) if at is None else df.filter(h <= at)
+    below, at = _lowest(df, h, limit)
+    if at is None:
+        return df.limit(0)
+    if below + df.filter(h == at).count() <= limit:
+        return df.filter(h <= at)
+    ties, whole = df.filter(h == at), F.xxhash64(*df.columns)
+    under, edge = _lowest(ties, whole, limit - below)
+    return df.filter(h < at).union(ties.filter(whole < edge)).union(ties.filter(whole == edge).limit(limit - below - under))

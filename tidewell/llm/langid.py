@@ -3,8 +3,9 @@
 A text is lower-cased, everything but letters becomes a space, and its runs of one to ``ORDER`` characters are hashed
 to ``2**BITS`` buckets (runs of spaces only don't count). Training counts buckets by language over a bounded sample
 (``MAX_TRAIN`` documents, those whose ids hash lowest); the matrix of log probabilities, a column for every language
-of the sample, is broadcast. It holds ``MAX_CELLS`` numbers at most: with more than 512 languages neighbouring buckets
-are merged, no language is left out. Scoring takes a batch's n-grams, whole texts in pieces of bounded size, as a
+of the sample, is broadcast. It is cut by language into blocks of ``LANGS``: where there are more, each block is
+broadcast and scored by itself, and a row's best language and normaliser are reduced over the blocks, so what is
+broadcast at once is bounded and no number of languages changes a prediction. Scoring takes a batch's n-grams, whole texts in pieces of bounded size, as a
 sparse matrix (document x bucket) times that matrix. The score is the posterior probability of the predicted language.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0, and so are all without training rows;
@@ -24,8 +25,8 @@ from pyspark.sql import types as T
 from tidewell.llm.common import fold, lowest_hashes, map_batches
 from tidewell.session import materialise, scratch
 
-#: Longest n-gram, hash bits, documents of the training sample, cells of the matrix, characters taken at a time, smoothing.
-ORDER, BITS, MAX_TRAIN, MAX_CELLS, BLOCK, ALPHA = 3, 16, 20000, 1 << 25, 1 << 16, 0.5
+#: Longest n-gram, hash bits, documents of the training sample, languages of a block, characters taken at a time, smoothing.
+ORDER, BITS, MAX_TRAIN, LANGS, BLOCK, ALPHA = 3, 16, 20000, 256, 1 << 16, 0.5
 UNKNOWN = "und"
 
 _LETTER: list[np.ndarray] = []
@@ -113,49 +114,59 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     with scratch():
         table = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c")).select("lang", F.col("c.bucket").alias("b"), F.col("c.n").alias("n"))
         table = materialise(table, "langid-counts")  # a row per language, each of 2**BITS entries at most
-        n_langs, bits = table.count(), BITS
-        while bits > 1 and n_langs << bits > MAX_CELLS:
-            bits -= 1
         learned = []
         for r in table.toLocalIterator():
             at = np.asarray(r["b"])
-            full = np.bincount(np.where(at < 0, 0, (at >> (BITS - bits)) + 1), r["n"], (1 << bits) + 1)
-            learned.append((full[0], r["lang"], full[1:].astype(np.float32 if n_langs > 512 else np.float64)))
+            full = np.bincount(at + 1, r["n"], (1 << BITS) + 1)
+            learned.append((full[0], r["lang"], np.log((full[1:] + ALPHA) / (full[1:] + ALPHA).sum()).astype(np.float32)))
     learned.sort(key=lambda x: x[1])
     if not learned:
         return [], np.zeros(0), np.zeros((1 << BITS, 0), np.float32)
-    matrix = np.stack([c + ALPHA for _, _, c in learned], axis=1)
     n = np.array([k for k, _, _ in learned])
-    return [x for _, x, _ in learned], np.log(n / n.sum()), np.log(matrix / matrix.sum(axis=0)).astype(np.float32)
+    return [x for _, x, _ in learned], np.log(n / n.sum()), np.stack([c for _, _, c in learned], axis=1)
 
 
-def predict(texts: list[str | None], model: tuple[list[str], np.ndarray, np.ndarray]) -> tuple[list[str], list[float]]:
-    """Language and posterior probability of each text."""
-    langs, prior, matrix = model
-    if not langs:
-        return [UNKNOWN] * len(texts), [0.0] * len(texts)
-    total, seen = np.zeros((len(texts), len(langs))), np.zeros(len(texts), bool)
-    shift, step = BITS - matrix.shape[0].bit_length() + 1, max(1024, (1 << 20) // len(langs))
-    columns = np.ascontiguousarray(matrix.T) if len(langs) <= 8 else None  # a few columns are read faster one by one
+def _margins(texts: list[str | None], prior: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log of prior times likelihood (text x language), and whether a text has a letter."""
+    total, seen = np.zeros((len(texts), prior.size)), np.zeros(len(texts), bool)
+    step = max(1024, (1 << 20) // prior.size)
+    columns = np.ascontiguousarray(matrix.T) if prior.size <= 8 else None  # a few columns are read faster one by one
     for text, bucket in batch_grams(texts):
         for at in range(0, text.size, step):
             own = text[at : at + step]
             first = np.flatnonzero(np.diff(own, prepend=-1))
-            found = bucket[at : at + step] >> shift
+            found = bucket[at : at + step]
             if columns is None:
                 total[own[first]] += np.add.reduceat(matrix[found], first, axis=0, dtype=np.float64)
             else:
                 for k, column in enumerate(columns):
                     total[own[first], k] += np.add.reduceat(column[found], first, dtype=np.float64)
             seen[own[first]] = True
-    total += prior
+    return total + prior, seen
+
+
+def _best(texts: list[str | None], prior: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text: the best language's number (the first on a tie), its margin, the normaliser less that margin, and
+    whether there is a letter."""
+    total, seen = _margins(texts, prior, matrix)
     best = total.argmax(axis=1)
-    score = 1 / np.exp(np.clip(total - total[np.arange(len(texts)), best][:, None], -700, 0)).sum(axis=1)
-    return [langs[k] if s else UNKNOWN for k, s in zip(best, seen)], np.where(seen, score, 0.0).tolist()
+    top = total[np.arange(len(texts)), best]
+    return best, top, np.log(np.exp(np.clip(total - top[:, None], -700, 0)).sum(axis=1)), seen
+
+
+def predict(texts: list[str | None], model: tuple[list[str], np.ndarray, np.ndarray]) -> tuple[list[str], list[float]]:
+    """Language and posterior probability of each text."""
+    langs, prior, matrix = model
+    if not langs:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts)
+    best, _, rest, seen = _best(texts, prior, matrix)
+    return [langs[k] if s else UNKNOWN for k, s in zip(best, seen)], np.where(seen, np.exp(-rest), 0.0).tolist()
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``lang_pred``, ``score``."""
+    if len(model[0]) > LANGS:
+        return _identify_by_blocks(docs, model, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -163,3 +174,34 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], i
 
     schema = T.StructType([docs.schema[id_col], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return map_batches(docs.select(F.col(id_col), F.col(text_col).cast("string")), make, schema)
+
+
+def _identify_by_blocks(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], id_col: str, text_col: str) -> DataFrame:
+    """One pass for each block of ``LANGS`` languages, reduced by row."""
+    langs, prior, matrix = model
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col), F.col(text_col).cast("string").alias("text")), "langid-rows")
+    schema = "row long, lang string, number int, top double, rest double"
+    fields = T.StructType.fromDDL(schema)
+    found = []
+    for at in range(0, len(langs), LANGS):
+        shared = docs.sparkSession.sparkContext.broadcast((langs[at : at + LANGS], prior[at : at + LANGS], np.ascontiguousarray(matrix[:, at : at + LANGS])))
+
+        def make(shared=shared, at=at):
+            def step(c):
+                names, *own = shared.value
+                best, top, rest, seen = _best(c[1], *own)
+                return [c[0], [names[k] if s else None for k, s in zip(best, seen)], (best + at).tolist(), top.tolist(), rest.tolist()]
+
+            return step
+
+        found.append(materialise(map_batches(rows.select("row", "text"), make, fields), "langid-block"))
+        shared.unpersist()
+    every = found[0]
+    for more in found[1:]:
+        every = every.union(more)
+    first = F.max(F.struct("top", (-F.col("number")).alias("number"), "lang")).alias("b")
+    over = F.collect_list(F.struct("top", "rest")).alias("blocks")  # one for each block
+    one = every.groupBy("row").agg(first, over)
+    total = F.aggregate("blocks", F.lit(0.0), lambda s, x: s + F.exp(x["top"] + x["rest"] - F.col("b.top")))
+    named = one.select("row", F.coalesce("b.lang", F.lit(UNKNOWN)).alias("lang_pred"), F.when(F.col("b.lang").isNull(), 0.0).otherwise(1 / total).alias("score"))
+    return rows.select("row", id_col).join(named, "row").select(id_col, "lang_pred", "score")

@@ -11,7 +11,7 @@ ASCII. Runs that may hold several words, those of over ``REACH`` bytes and those
 without spaces among them), give their ``GRAMS`` too, so that any part of a text can weigh. Only features that stand out in P against U weigh anything (``MIN_POSITIVE``
 documents of P and ``MIN_LIFT`` standard deviations), which keeps long clean texts from collecting weight by chance.
 
-The fit takes a bounded sample (``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents, those whose ids hash lowest); the
+The fit takes a bounded sample (``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents, those whose ids hash lowest, by row where an id repeats); the
 prior is counted over all labelled training rows. Scoring covers every whole text.
 
 Edge cases: null and empty texts have no features and get the score of the bias; labels that repeat for a document
@@ -159,8 +159,8 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     return full, float(-cut)
 
 
-def _features_of(docs: DataFrame, limit: int) -> list[np.ndarray]:
-    """Features of a bounded frame of documents, on the driver."""
+def _features_of(docs: DataFrame) -> list[np.ndarray]:
+    """Features of a bounded frame of documents, on the driver, in an order of their own."""
 
     def make():
         def step(columns):
@@ -171,7 +171,7 @@ def _features_of(docs: DataFrame, limit: int) -> list[np.ndarray]:
 
     schema = T.StructType([T.StructField("f", T.ArrayType(T.IntegerType()))])
     rows = map_batches(docs.select("text"), make, schema).toLocalIterator()
-    return [np.asarray(r[0], np.int32) for _, r in zip(range(2 * limit), rows)]
+    return sorted((np.asarray(r[0], np.int32) for r in rows), key=lambda f: f.tobytes())
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark_col: str = "toxic", folds: int = 5) -> tuple[np.ndarray, float] | None:
@@ -182,8 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not toxic:
         return None
     chosen = lowest_hashes(marks.filter("y = 1"), "id", MAX_POSITIVE).select("id")  # so few ids are broadcast
-    positive = _features_of(rows.join(F.broadcast(chosen), "id", "left_semi"), MAX_POSITIVE)
-    unlabelled = _features_of(lowest_hashes(rows, "id", MAX_UNLABELLED), MAX_UNLABELLED)
+    positive = _features_of(lowest_hashes(rows.join(F.broadcast(chosen), "id", "left_semi"), "id", MAX_POSITIVE))
+    unlabelled = _features_of(lowest_hashes(rows, "id", MAX_UNLABELLED))
     if not positive or not unlabelled:
         return None
     return fit_nnpu(positive, unlabelled, min(0.9, max(0.001, toxic / n)))
