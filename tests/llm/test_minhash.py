@@ -90,12 +90,21 @@ def test_refined_lists_find_every_link(spark, cell):
     rng = random.Random(cell)
     texts = [t for _, t in corpus(cell, 12) if t] + [" ".join(edited(rng, [f"v{k}" for k in range(90)], rng.choice([0.02, 0.06, 0.12, 0.2]))) for _ in range(60)]
     sets = sorted({tuple(s) for s in (x.tolist() for x in minhash.shingles(texts, 2)) if s})
-    df = spark.createDataFrame([(k, list(s)) for k, s in enumerate(sets)], "cid long, set array<long>")
-    got = {tuple(r) for r in minhash._verified(minhash._meet_refined(minhash.refined(df, 80), spark.createDataFrame([], "node long, label long"), 80, cell), df, 80).collect()}
+    df = spark.createDataFrame([(k, list(s), minhash.full_map(np.array(s)).tolist()) for k, s in enumerate(sets)], "cid long, set array<long>, map array<long>")
+    got = {tuple(r) for r in minhash._verified(minhash._meet_refined(minhash.refined(df, 80), df, spark.createDataFrame([], "node long, label long"), 80, cell), df, 80).collect()}
     full = [set(s) for s in sets]
     assert got == {(i, j) for j in range(len(full)) for i in range(j) if 100 * len(full[i] & full[j]) >= 80 * len(full[i] | full[j])}
 
 
+def test_maps_bound_what_is_lacking():
+    rng = np.random.default_rng(5)
+    for n in (1, 50, 3000):
+        a, b = (np.unique(rng.integers(-(2**62), 2**62, n)) for _ in range(2))
+        b = np.union1d(a[: n // 2], b)
+        x, y = minhash.full_map(a).view(np.uint64), minhash.full_map(b).view(np.uint64)
+        assert np.bitwise_count(x & ~y).sum() <= np.setdiff1d(a, b).size and np.bitwise_count(x).sum() <= a.size
+
+
 def test_least_shared():
     rng = np.random.default_rng(3)
     t = minhash.least_shared()

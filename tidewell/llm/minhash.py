@@ -11,16 +11,17 @@ where the sketches hold the whole sets). So:
    share has no partner. The others list a class under its rarest values only, so many that two classes that share
    enough must meet in a list; frequent shingles are hardly ever among them.
 2. Overlaps out of the lists, first linear in their length: each member meets two leaders of its list, the one
-   whose values are the most common ones (the original of many copies), and a random one. After those links are
+   whose values are the most common ones (the original of many copies), and in its longest list a random one. After those links are
    verified, lists whose members are one component are done. Of the others, members of different components meet in
    lists of up to ``SHORT``.
 3. The members of longer lists get lists anew, of their full sets (``refined``). There a set's rarest fifth must meet,
    without chance, and a value's place in both sets bounds how much they can share: copies of one original that differ
    from each other by more drop out, so hardly any list is left that isn't one component. What is left meets in one
    task up to ``CELL`` members, beyond by pairs of blocks. Nothing is left out.
-4. Whoever meets over sketches is held against a map of 256 bits (one class has as many bits that the other lacks as
-   it has values that the other lacks, at least), then against the union sketch's estimate; all that is left is verified on
-   the full sets.
+4. Whoever meets over sketches is held against a map of the sketch of 256 bits (a set has as many values that the
+   other lacks as its map has bits that the other's lacks, at least), then against the union sketch's estimate and maps
+   of the full sets of 2,048 bits; who meets over full sets, against these maps. All that is left is verified on the full
+   sets.
 
 Edge cases: null and empty texts and texts without words have no shingles and link with nothing; with fewer words than
 a shingle has, the whole sequence is one; repeated rows give repeated results; a null id never becomes a component's
@@ -45,8 +46,8 @@ from tidewell.session import discard, materialise, scratch
 #: Words of a shingle, percent of similarity, values of a sketch, chance of a missed pair, members of a list of sketches that
 #: all meet, members of a list of full sets that meet in one task.
 SHINGLE, PERCENT, K, MISS, SHORT, CELL = 5, 80, 64, 1e-10, 32, 512
-#: Longs of the bit map.
-WORDS = 4
+#: Longs of the maps of a sketch and of a full set.
+WORDS, FULL = 4, 32
 
 
 def least_shared(k: int = K, percent: int = PERCENT, miss: float = MISS) -> int:
@@ -82,6 +83,20 @@ def shingles(texts: list[str | None], size: int) -> list[np.ndarray]:
     return out
 
 
+def full_map(values: np.ndarray) -> np.ndarray:
+    """Map of a full set: a bit for each value."""
+    bits = np.zeros(64 * FULL, np.uint8)
+    bits[values.view(np.uint64) % np.uint64(64 * FULL)] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def _maps_may_link(percent: int) -> Column:
+    """Whether the full sets' maps (``mu``, ``mv``; sizes ``nu``, ``nv``) allow a link."""
+    lacks = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda s, x: s + x)
+    least = (F.col("nu") + F.col("nv")) * percent
+    return ((F.col("nu") - lacks("mu", "mv")) * (100 + percent) >= least) & ((F.col("nv") - lacks("mv", "mu")) * (100 + percent) >= least)
+
+
 def _shared(n: Column, k: int, percent: int, miss: float) -> Column:
     """Values that a class of ``n`` shingles must share with one that it links to, in their sketches."""
     whole = F.floor((n * percent + 99) / 100).cast("int")  # both sketches hold the whole sets
@@ -112,13 +127,13 @@ def _may_link(percent: int) -> Column:
 
 def _classes(rows: DataFrame) -> DataFrame:
     """One row for each distinct set: a number, its size and sketch, and the key of its first row."""
-    one = rows.filter("n > 0").groupBy("digest").agg(F.min("place").alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    one = rows.filter("n > 0").groupBy("digest").agg(F.min("place").alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("map").alias("map"))
     return materialise(one.withColumn("cid", F.monotonically_increasing_id()), "minhash-classes")
 
 
 def index(classes: DataFrame, k: int = K, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
-    """The inverted lists: ``value`` and the member ``m`` (``cid``, ``n``, ``spare``: values the partner may lack,
-    ``score``, ``bits``)."""
+    """The inverted lists: ``value``, the member ``m`` (``cid``, ``n``, ``spare``: values the partner may lack,
+    ``score``, ``bits``), and whether the list is the ``longest`` that the member is in."""
     keyed = classes.select("cid", "n", F.explode("sketch").alias("value"))
     often = materialise(keyed.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "minhash-often")
     held = materialise(keyed.join(often, "value"), "minhash-held")
@@ -126,18 +141,17 @@ def index(classes: DataFrame, k: int = K, percent: int = PERCENT, miss: float =
     own = own.withColumn("shared", _shared(F.col("n"), k, percent, miss)).filter("size(v) >= shared")
     own = own.join(classes.select("cid", "sketch"), "cid")
     member = F.struct("cid", "n", (F.least(F.col("n"), F.lit(k)) - F.col("shared")).cast("int").alias("spare"), F.col("score").cast("float").alias("score"), _bits(F.col("sketch")).alias("bits"))
-    placed = own.select(member.alias("m"), F.slice("v", F.lit(1), F.size("v") - F.col("shared") + 1).alias("v"))
-    lists = materialise(placed.select("m", F.explode(F.col("v.value")).alias("value")), "minhash-index")
-    return lists
+    placed = own.select(member.alias("m"), (F.size("v") - F.col("shared")).alias("last"), F.slice("v", F.lit(1), F.size("v") - F.col("shared") + 1).alias("v"))
+    return materialise(placed.select("m", "last", F.posexplode(F.col("v.value")).alias("at", "value")).select("value", "m", (F.col("at") == F.col("last")).alias("longest")), "minhash-index")
 
 
 def _meet_leaders(lists: DataFrame, percent: int) -> DataFrame:
-    """Members with the two leaders of each of their lists, where they may link."""
+    """Members with the central leader of each of their lists and a random one of their longest, where they may link."""
     leaders = lists.groupBy("value").agg(
         F.count(F.lit(1)).alias("members"), F.max(F.struct(F.col("m.score").alias("s"), F.col("m").alias("m")))["m"].alias("central"),
         F.min(F.struct(F.xxhash64("m.cid", "value").alias("h"), F.col("m").alias("m")))["m"].alias("random"),
     ).filter("members > 1").drop("members")
-    met = lists.join(materialise(leaders, "minhash-leaders"), "value").select(F.col("m").alias("x"), F.explode(F.array("central", "random")).alias("y"))
+    met = lists.join(materialise(leaders, "minhash-leaders"), "value").select(F.col("m").alias("x"), F.explode(F.when(F.col("longest"), F.array("central", "random")).otherwise(F.array("central"))).alias("y"))
     return _pairs(met.filter(_may_link(percent)))
 
 
@@ -209,8 +223,8 @@ def refined(sets: DataFrame, percent: int) -> DataFrame:
     return materialise(placed.select(F.col("x.value").alias("value"), F.struct("cid", "n", (F.col("held") - F.col("at")).alias("left")).alias("m")), "minhash-refined")
 
 
-def _meet_refined(lists: DataFrame, labels: DataFrame, percent: int, cell: int) -> DataFrame:
-    """Members of different components that share a list of full sets and may link."""
+def _meet_refined(lists: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, cell: int) -> DataFrame:
+    """Members of different components that share a list of ``sets`` and may link, by their places and maps."""
     labelled = materialise(_labelled(lists, labels), "minhash-labelled")
     smallest = labelled.groupBy("value", "label").agg(F.min("m.n").alias("n"))
     two = smallest.withColumn("k", F.row_number().over(Window.partitionBy("value").orderBy("n", "label"))).filter("k <= 2")
@@ -220,32 +234,46 @@ def _meet_refined(lists: DataFrame, labels: DataFrame, percent: int, cell: int)
     able = materialise(met.filter(F.col("m.left") * (100 + percent) >= (F.col("m.n") + other) * percent).select("value", "m", "label"), "minhash-able")
     blocks = F.when(F.col("members") <= cell, 1).otherwise(F.ceil(F.col("members") * 2 / cell)).cast("int")
     held = materialise(able.join(_open(able).select("value", blocks.alias("blocks")), "value"), "minhash-open-members")  # apart from the grouping: a long list can be split
-    own = held.select("value", "m", "label", "blocks", F.pmod(F.xxhash64("m.cid"), F.col("blocks")).cast("int").alias("own"))
-    sent = own.select("value", "m", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    own = held.join(sets.select(F.col("cid").alias("of"), "map"), F.col("m.cid") == F.col("of")).select("value", "m", "map", "label", "blocks", F.pmod(F.xxhash64("m.cid"), F.col("blocks")).cast("int").alias("own"))
+    sent = own.select("value", "m", "map", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = sent.groupBy("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    cells = cells.agg(F.collect_list(F.struct("m.cid", "m.n", "m.left", "label", "own")).alias("members"))
-    return _meet_all(cells, lambda m, at, k: np.minimum(m["left"][k], m["left"][at]) * (100 + percent) >= (m["n"][k] + m["n"][at]) * percent, percent)
+    cells = cells.agg(F.collect_list(F.struct("m.cid", "m.n", "m.left", "map", "label", "own")).alias("members"))
+
+    def fits(m: dict[str, np.ndarray], at: int, k: np.ndarray) -> np.ndarray:
+        least = (m["n"][k] + m["n"][at]) * percent
+        ok = np.minimum(m["left"][k], m["left"][at]) * (100 + percent) >= least
+        k, least = k[ok], least[ok]
+        one, other = m["map"][at], m["map"][k]
+        lacks = lambda x: np.bitwise_count(x.view(np.uint64)).sum(axis=1, dtype=np.int64)
+        ok[ok] = ((m["n"][at] - lacks(one & ~other)) * (100 + percent) >= least) & ((m["n"][k] - lacks(~one & other)) * (100 + percent) >= least)
+        return ok
+
+    return _meet_all(cells, fits, percent)
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
-    """Pairs whose union sketch allows a link."""
-    a, b = classes.select(F.col("cid").alias("u"), F.col("sketch").alias("a")), classes.select(F.col("cid").alias("v"), F.col("sketch").alias("b"))
-    both = pairs.join(a, "u").join(b, "v").select("u", "v", F.slice(F.array_sort(F.array_union("a", "b")), 1, k).alias("union"), F.array_intersect("a", "b").alias("both"))
+    """Pairs whose full sets' maps and union sketch allow a link."""
+    side = lambda e, sketch: classes.select(F.col("cid").alias(e), F.col("n").alias(f"n{e}"), F.col("map").alias(f"m{e}"), F.col("sketch").alias(sketch))
+    both = pairs.join(side("u", "a"), "u").join(side("v", "b"), "v").filter(_maps_may_link(percent)).select("u", "v", F.slice(F.array_sort(F.array_union("a", "b")), 1, k).alias("union"), F.array_intersect("a", "b").alias("both"))
     shared = F.size(F.array_intersect("union", "both"))
     enough = F.when(F.size("union") < k, shared * 100 >= F.size("union") * percent).otherwise(shared >= least_shared(k, percent, miss))
     return both.filter(enough).select("u", "v")
 
 
 def _sets(need: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``cid``, ``set`` of the classes ``need`` (column ``cid``), made anew from the text of their first rows."""
+    """``cid``, ``set``, ``map`` of the classes ``need`` (column ``cid``), made anew from the text of their first rows."""
     keys = need.distinct().join(classes.select("cid", "first"), "cid").select("cid", *(F.col(f"first.{k}").alias(k) for k in ROW_KEY))
     texts = docs.select(*row_key(docs, id_col, text_col), F.col(text_col).cast("string").alias("text")).join(keys, ROW_KEY).select("cid", "text")
 
     def make():
-        return lambda c: [c[0], shingles(c[1], size)]
+        def step(c):
+            sets = shingles(c[1], size)
+            return [c[0], sets, [full_map(s) for s in sets]]
+
+        return step
 
-    schema = T.StructType([T.StructField("cid", T.LongType()), T.StructField("set", T.ArrayType(T.LongType()))])
-    return materialise(map_batches(texts, make, schema).groupBy("cid").agg(F.first("set").alias("set")), "minhash-sets")
+    schema = T.StructType([T.StructField("cid", T.LongType()), T.StructField("set", T.ArrayType(T.LongType())), T.StructField("map", T.ArrayType(T.LongType()))])
+    return materialise(map_batches(texts, make, schema).groupBy("cid").agg(F.first("set").alias("set"), F.first("map").alias("map")), "minhash-sets")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -266,12 +294,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def make():
         def step(c):
             sets = shingles(c[3], size)
-            return [c[0], c[1], c[2], [s.size for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [s[:k] for s in sets]]
+            return [c[0], c[1], c[2], [s.size for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [s[:k] for s in sets], [full_map(s) for s in sets]]
 
         return step
 
     kind = docs.schema[id_col].dataType
-    fields = [docs.schema[id_col], T.StructField("none", T.BooleanType()), T.StructField("th", T.LongType()), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.LongType()))]
+    fields = [docs.schema[id_col], T.StructField("none", T.BooleanType()), T.StructField("th", T.LongType()), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("map", T.ArrayType(T.LongType()))]
     found = map_batches(docs.select(F.col(id_col), F.col(id_col).isNull().alias("none"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("string").alias("text")), make, T.StructType(fields))
     with scratch() as kept:
         rows = materialise(found.withColumn("place", F.struct("none", stand_in(id_col, kind).alias("id"), "th")), "minhash-rows")
@@ -288,7 +316,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = materialise(_likely(_meet_in_short_lists(labelled, open_.filter(F.col("members") <= short), percent), classes, k, percent, miss), "minhash-likely")
         long = materialise(labelled.join(open_.filter(F.col("members") > short), "value", "left_semi").select("m.cid").distinct(), "minhash-long")
         sets = _sets(_ends(more).union(long), classes, docs, id_col, text_col, size)
-        rest = _meet_refined(refined(sets.join(long, "cid", "left_semi"), percent), labels, percent, cell)
+        rest = _meet_refined(refined(sets.join(long, "cid", "left_semi"), percent), sets, labels, percent, cell)
         added = _verified(more.union(rest).distinct(), sets, percent)
         discard(sets)
         if not added.isEmpty():
