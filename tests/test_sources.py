@@ -20,11 +20,34 @@ def test_listing_is_complete(spark, tmp_path, monkeypatch):
     rows = {r.rel: r for r in listing.scan_tree(spark, str(tmp_path), "leaf").collect()}
     assert set(rows) == {*names, "loop", "dangling"} and all(rows[n]["size"] == len(n) % 7 and rows[n].error is None for n in names)
     assert rows["a.tif"].modified is not None and rows["a.tif"].tree == "leaf"
-    got, below = listing._entries(str(tmp_path), "nothing here")
-    assert got[0][2] == -1 and got[0][4] and not below
+    (got,) = listing.entries(*listing.opened(str(tmp_path)), "nothing here")
+    assert got[2] == -1 and got[4]
     assert listing.listing(spark, f"file://{tmp_path}").filter("is_dir").count() == 2 + 120
 
 
+def test_listing_of_a_folder_with_most_files(spark, tmp_path, monkeypatch):
+    """As the file system has it, batch by batch; a store's own listing gives the same; skipped folders are left out."""
+    from pyarrow import fs
+
+    for k in range(3000):
+        path = tmp_path / ("big" if k % 10 else f"d{k % 7}/e{k % 3}") / f"f{k}"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"x" * (k % 5))
+    want = {(os.path.relpath(os.path.join(at, n), tmp_path), os.path.getsize(os.path.join(at, n))) for at, _, names in os.walk(tmp_path) for n in names}
+    found = listing.listing(spark, str(tmp_path))
+    assert {(r.rel, r["size"]) for r in found.filter("not is_dir").collect()} == want
+    store = fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+    level, rows = [""], []
+    while level:
+        rows += (here := [r for folder in level for r in listing.entries(store, "", folder)])
+        level = [r[0] for r in here if r[1]]
+    assert {(r[0], r[2]) for r in rows if not r[1]} == want and all(r[3] > 0 for r in rows)
+    skip = spark.createDataFrame([(str(tmp_path), "big"), (str(tmp_path), "d1/e1"), ("other", "d2")], "root string, rel string")
+    roots = spark.createDataFrame([("t", str(tmp_path))], "tag string, root string")
+    left = {r.rel for r in listing.spread(roots, skip).filter("not is_dir").collect()}
+    assert left == {p for p, _ in want if not p.startswith(("big/", "d1/e1/"))}
+
+
 def test_upsert_survives_a_crash_and_a_race(spark, tmp_path, monkeypatch):
     a, b, c = (spark.createDataFrame(x, "k int, v int") for x in ([(1, 1), (2, 2)], [(2, 9), (3, 3)], [(4, 4)]))
     path = str(tmp_path / "u")

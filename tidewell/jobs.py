@@ -18,16 +18,15 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import decisions, dedup, inventory
 from tidewell.session import discard, materialise, session, ship_code
-from tidewell.sources import sinks
-from tidewell.sources.listing import walk
+from tidewell.sources import listing, sinks
 
 FILES = "dataset_key string, leaf_dir string, rel string, size long, mtime_ns long, error string"
 SCANS = "dataset_key string, scanned_at string"
 HASHES = "path string, size long, mtime long, sha string"
 # They decide which datasets are compared.
 MIN_LINK_BYTES, MIN_SHARED_FRACTION = 1 << 20, 0.5
-#: Rows of one Arrow batch of a listing, bytes of one read of a file.
-ROWS, CHUNK = 4096, 4 << 20
+#: Bytes of one read of a file.
+CHUNK = 4 << 20
 
 
 class StaleInventory(RuntimeError):
@@ -36,31 +35,13 @@ class StaleInventory(RuntimeError):
 
 def list_datasets(datasets: DataFrame, registry: DataFrame, tasks: int = 256) -> DataFrame:
     """Files of datasets (``dataset_key``, ``leaf_dir``), listed by the executors as rows of :data:`FILES`; folders of
-    other datasets of the registry below one are theirs alone. Folders are dealt into ``tasks`` parts and listed as a stream, so no
-    folder's size bounds memory; what can't be read has size -1 and the reason. Null folders have no rows."""
-    ship_code(datasets.sparkSession)
-    rows = datasets.select("dataset_key", F.rtrim("leaf_dir", F.lit("/")).alias("leaf_dir")).filter("leaf_dir is not null")
+    other datasets of the registry below one are theirs alone. Folders of all datasets are dealt level by level, so a
+    dataset spans tasks; what can't be read has size -1 and the reason. Null folders have no rows."""
+    rows = datasets.select(F.col("dataset_key").alias("tag"), F.rtrim("leaf_dir", F.lit("/")).alias("root")).filter("root is not null")
     every = registry.select(F.col("leaf_dir").alias("path")).filter("path is not null").distinct()
-    below = inventory.nested(every).groupBy(F.col("outer").alias("leaf_dir")).agg(F.collect_set("inner").alias("others"))
-    dealt = rows.join(below, "leaf_dir", "left").select("dataset_key", "leaf_dir", "others").repartition(tasks, "dataset_key")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, types = ["dataset_key", "leaf_dir", "rel", "size", "mtime_ns", "error"], [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
-        pack = lambda out: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-        for batch in batches:
-            out: list[tuple] = []
-            for row in batch.to_pylist():
-                skip = {o[len(row["leaf_dir"]) + 1 :] for o in row["others"] or ()}
-                for rel, is_dir, size, mtime, error in walk(row["leaf_dir"], skip):
-                    if not is_dir or size < 0:
-                        out.append((row["dataset_key"], row["leaf_dir"], rel, size, mtime, error))
-                    if len(out) == ROWS:
-                        yield pack(out)
-                        out = []
-            if out:
-                yield pack(out)
-
-    return dealt.mapInArrow(run, FILES)
+    below = inventory.nested(every).select(F.col("outer").alias("root"), F.substr("inner", F.length("outer") + 2).alias("rel"))
+    found = listing.spread(rows, below, tasks).filter("not is_dir or size < 0")
+    return found.select(F.col("tag").alias("dataset_key"), F.col("root").alias("leaf_dir"), "rel", "size", "mtime_ns", "error")
 
 
 def scan(spark: SparkSession, registry: DataFrame, work: str, refresh: bool = False, tasks: int = 256) -> int:

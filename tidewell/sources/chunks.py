@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import json
+import math
 import os
+import re
 import shutil
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, IsNotNull, LessThan, LessThanOrEqual
 
 from tidewell.session import ship_code
-from tidewell.sources.listing import listing
+from tidewell.sources.listing import listing, opened
 
 SCHEMA = "chunk array<int>, origin array<int>, shape array<int>, values array<double>"
 
@@ -45,48 +50,131 @@ def decoded(raw: bytes, codec: dict | None) -> bytes:
     raise ValueError(f"unknown compressor {name}")
 
 
+class Ranks(InputPartition):
+    """Chunks of the grid between two ranks, in C order within bounds for each axis."""
+
+    def __init__(self, low: int, high: int):
+        self.low, self.high = low, high
+
+
+class ChunkReader(DataSourceReader):
+    """Chunks by their place in the grid: names follow from places, so nothing is listed, and filters on the axes' columns
+    bound the places before a file is opened."""
+
+    def __init__(self, store: str, meta: dict, group: int):
+        self.store, self.meta, self.group = store, meta, group
+        self.bounds = [[0, -(-s // c)] for s, c in zip(meta["shape"], meta["chunks"])]
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            axis = int(f.attribute[0][1:]) if hasattr(f, "attribute") and len(f.attribute) == 1 and re.fullmatch(r"c\d+", f.attribute[0]) else None
+            if axis is None or not self._bound(self.bounds[axis], f):
+                yield f
+
+    @staticmethod
+    def _bound(bounds: list[int], f: Filter) -> bool:
+        low, high = bounds
+        match f:
+            case EqualTo(value=v):
+                low, high = max(low, v), min(high, v + 1)
+            case GreaterThan(value=v):
+                low = max(low, v + 1)
+            case GreaterThanOrEqual(value=v):
+                low = max(low, v)
+            case LessThan(value=v):
+                high = min(high, v)
+            case LessThanOrEqual(value=v):
+                high = min(high, v + 1)
+            case IsNotNull():
+                return True
+            case _:
+                return False
+        bounds[:] = low, max(low, high)
+        return True
+
+    def partitions(self) -> list[Ranks]:
+        n = math.prod(high - low for low, high in self.bounds)
+        return [Ranks(k, min(n, k + self.group)) for k in range(0, max(n, 1), self.group)]
+
+    def read(self, partition: Ranks) -> Iterator[tuple]:
+        files, path = opened(self.store)
+        shape, chunks, codec = self.meta["shape"], self.meta["chunks"], self.meta.get("compressor")
+        kind, order = np.dtype(self.meta["dtype"]), self.meta.get("order", "C")
+        sizes = [high - low for low, high in self.bounds]
+        for rank in range(partition.low, partition.high):
+            at = [int(i) + low for i, (low, _) in zip(np.unravel_index(rank, sizes), self.bounds)]
+            raw = self._content(files, path, at)
+            if raw is None:
+                continue
+            origin = [i * c for i, c in zip(at, chunks)]
+            real = [min(c, s - o) for c, s, o in zip(chunks, shape, origin)]
+            try:
+                block = np.frombuffer(decoded(raw, codec), kind).reshape(chunks, order=order)
+                values, error = block[tuple(slice(0, n) for n in real)].astype(np.float64).ravel().tolist(), None
+            except Exception as broken:  # whatever a codec raises: the chunk is there and can't be read
+                values, error = None, f"{type(broken).__name__}: {broken}"
+            yield (*at, at, origin, real, values, error)
+
+    @staticmethod
+    def _content(files: fs.FileSystem, path: str, at: list[int]) -> bytes | None:
+        for sep in "./":
+            try:
+                with files.open_input_stream(f"{path}/{sep.join(map(str, at))}") as stream:
+                    return stream.read()
+            except (FileNotFoundError, NotADirectoryError):
+                pass
+        return None
+
+
+class ChunkSource(DataSource):
+    """``spark.read.format("tidewell_chunks").load(store)``: a chunk that exists is a row, with its place as ``c0``, ``c1``
+    ... and what went wrong as ``error``. Option ``group``: places that a task tries."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tidewell_chunks"
+
+    def _store(self) -> tuple[str, dict]:
+        store = self.options["path"].rstrip("/")
+        files, path = opened(store)
+        with files.open_input_stream(f"{path}/.zarray") as stream:
+            return store, json.loads(stream.read())
+
+    def schema(self) -> str:
+        return ", ".join([*(f"c{k} int" for k in range(len(self._store()[1]["shape"]))), SCHEMA, "error string"])
+
+    def reader(self, schema) -> ChunkReader:
+        return ChunkReader(*self._store(), int(self.options.get("group", "64")))
+
+
+def chunk_table(spark: SparkSession, store: str, group: int = 64) -> DataFrame:
+    """The store as :class:`ChunkSource` gives it; filters on ``c0``, ``c1`` ... reach the source. The store must be mounted
+    everywhere or in a file system that Arrow knows."""
+    ship_code(spark)
+    spark.dataSource.register(ChunkSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return spark.read.format("tidewell_chunks").option("group", str(group)).load(store)
+
+
 def read_chunks(spark: SparkSession, store: str, within: dict[int, tuple[int, int]] | None = None) -> DataFrame:
     """``chunk`` (grid index), ``origin``, ``shape`` (clipped at the array's end), ``values`` (C order) of each chunk.
 
-    ``within`` keeps, per axis, only chunks that meet the range [low, high): the store is listed first and no other file
-    is opened. Chunk names may be dotted or nested. Executors read the files through Spark, from any file system it knows.
-    """
-    ship_code(spark)
-    meta = metadata(spark, store)
-    shape, chunks, codec = meta["shape"], meta["chunks"], meta.get("compressor")
-    kind, order = np.dtype(meta["dtype"]), meta.get("order", "C")
-    name = F.regexp_extract("path", r"((?:^|/)(?:\d+[./])*\d+)$", 1)
-    index = F.slice(F.transform(F.split(F.ltrim(name, F.lit("/")), r"[./]"), lambda x: x.try_cast("int")), -len(shape), len(shape))
-
-    def chosen(files: DataFrame) -> DataFrame:
-        rows = files.filter(name != "").withColumn("chunk", index).filter(F.size("chunk") == len(shape))
-        for axis, (low, high) in (within or {}).items():
-            rows = rows.filter((F.get("chunk", axis) * chunks[axis] < high) & ((F.get("chunk", axis) + 1) * chunks[axis] > low))
-        return rows
-
-    files = spark.read.format("binaryFile")
-    if within:  # as many names as the range has chunks
-        names = [r["path"] for r in chosen(listing(spark, store).filter("not is_dir").withColumnRenamed("rel", "path")).select("path").collect()]
-        if not names:
-            return spark.createDataFrame([], SCHEMA)
-        rows = chosen(files.load([f"{store.rstrip('/')}/{n}" for n in names]))
-    else:
-        rows = chosen(files.option("recursiveFileLookup", "true").load(store))
+    ``within`` keeps, per axis, only chunks that meet the range [low, high): no other file is opened. Chunk names may be
+    dotted or nested. A chunk that can't be decoded is an error."""
+    rows = chunk_table(spark, store)
+    sizes = metadata(spark, store)["chunks"]
+    for axis, (low, high) in (within or {}).items():
+        rows = rows.filter((F.col(f"c{axis}") >= low // sizes[axis]) & (F.col(f"c{axis}") <= (high - 1) // sizes[axis]))
+    whole = F.when(F.col("error").isNull(), F.col("values")).otherwise(F.raise_error(F.concat(F.lit("chunk "), F.to_json("chunk"), F.lit(": "), "error")))
+    return rows.select("chunk", "origin", "shape", whole.alias("values"))
 
-    def run(batches):
-        for batch in batches:
-            out = [[], [], [], []]
-            for at, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                block = np.frombuffer(decoded(raw.as_py(), codec), kind).reshape(chunks, order=order)
-                origin = [i * c for i, c in zip(at, chunks)]
-                real = [min(c, s - o) for c, s, o in zip(chunks, shape, origin)]
-                values = block[tuple(slice(0, n) for n in real)].astype(np.float64).ravel()
-                for column, value in zip(out, (at, origin, real, values)):
-                    column.append(value)
-            types = [pa.list_(pa.int32())] * 3 + [pa.list_(pa.float64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["chunk", "origin", "shape", "values"])
-
-    return rows.select("chunk", "content").mapInArrow(run, SCHEMA)
+
+def occupancy(spark: SparkSession, store: str) -> float:
+    """Share of the array's voxels that aren't zero, absent chunks counting as zeros; -1 if a chunk can't be read."""
+    size = math.prod(metadata(spark, store)["shape"])
+    full = F.size(F.filter("values", lambda v: v != 0))
+    broken, n = chunk_table(spark, store).agg(F.count("error"), F.sum(full)).first()
+    return -1.0 if broken else (n or 0) / size
 
 
 def voxels(chunks: DataFrame, axes: list[str]) -> DataFrame:

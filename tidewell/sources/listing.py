@@ -3,97 +3,102 @@
 from __future__ import annotations
 
 import os
-from collections import deque
-from collections.abc import Collection, Iterator, Sequence
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tidewell.session import ship_code
+from tidewell.session import materialise, scratch, ship_code
 
 SCHEMA = "rel string, is_dir boolean, size long, mtime_ns long, error string"
-#: Folders that the driver opens itself at most, so that enough are left to share out.
-OPENED = 256
+#: Entries that one Arrow batch of a listing holds.
+ENTRIES = 4096
 
 
-class Folder(InputPartition):
-    """Folders to list with all below them, and rows that are known already."""
+def opened(root: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder and its path there, by Arrow; ``pyarrow.ArrowInvalid`` for schemes that it doesn't know."""
+    return fs.FileSystem.from_uri(root) if ":/" in root else (fs.LocalFileSystem(), os.path.abspath(root))
 
-    def __init__(self, folders: list[str], rows: list[tuple]):
-        self.folders, self.rows = folders, rows
 
-
-def _entries(root: str, folder: str) -> tuple[list[tuple], list[str]]:
-    """Rows of a folder's own entries and the folders among them; links aren't followed."""
-    rows, below = [], []
+def _local(path: str, folder: str) -> Iterator[tuple]:
     try:
-        with os.scandir(os.path.join(root, folder)) as found:
-            for entry in sorted(found, key=lambda e: e.name):
+        with os.scandir(os.path.join(path, folder)) as found:
+            for entry in found:
                 rel = f"{folder}/{entry.name}" if folder else entry.name
                 try:
                     is_dir, stat = entry.is_dir(follow_symlinks=False), entry.stat(follow_symlinks=False)
-                    rows.append((rel, is_dir, 0 if is_dir else stat.st_size, stat.st_mtime_ns, None))
-                    if is_dir:
-                        below.append(rel)
+                    yield rel, is_dir, 0 if is_dir else stat.st_size, stat.st_mtime_ns, None
                 except OSError as error:
-                    rows.append((rel, False, -1, 0, str(error)))
+                    yield rel, False, -1, 0, str(error)
     except OSError as error:
-        rows.append((folder, True, -1, 0, str(error)))
-    return rows, below
-
-
-def walk(root: str, skip: Collection[str] = (), folders: Sequence[str] = ("",)) -> Iterator[tuple]:
-    """Rows of everything below some folders of ``root``; folders named in ``skip`` (below ``root``) are left out."""
-    left = list(folders)
-    while left:
-        rows, below = _entries(root, left.pop())
-        yield from (r for r in rows if r[0] not in skip) if skip else rows
-        left += [b for b in below if b not in skip] if skip else below
-
-
-class TreeReader(DataSourceReader):
-    def __init__(self, root: str, tasks: int):
-        self.root, self.tasks = root, tasks
-
-    def partitions(self) -> list[Folder]:
-        rows, left, opened = [], deque([""]), 0
-        while left and len(left) < 4 * self.tasks and opened < OPENED:
-            own, below = _entries(self.root, left.popleft())
-            rows += own
-            left += below
-            opened += 1
-        folders = list(left)
-        return [Folder([], rows), *(Folder(folders[k :: self.tasks], []) for k in range(min(self.tasks, len(folders))))]
-
-    def read(self, partition: Folder) -> Iterator[tuple]:
-        yield from partition.rows
-        yield from walk(self.root, (), partition.folders)
-
+        yield folder, True, -1, 0, str(error)
 
-class TreeSource(DataSource):
-    """``spark.read.format("tidewell_tree").load(folder)`` for folders that driver and executors all mount."""
 
-    @classmethod
-    def name(cls) -> str:
-        return "tidewell_tree"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> TreeReader:
-        return TreeReader(self.options["path"].removeprefix("file://").removeprefix("file:"), int(self.options.get("tasks", "32")))
+def entries(files: fs.FileSystem, path: str, folder: str) -> Iterator[tuple]:
+    """Rows of a folder's own entries; links aren't followed. What can't be read is a row with its error."""
+    if isinstance(files, fs.LocalFileSystem):
+        yield from _local(path, folder)
+        return
+    try:
+        for info in files.get_file_info(fs.FileSelector(f"{path}/{folder}".rstrip("/"), recursive=False)):
+            is_dir = info.type == fs.FileType.Directory
+            yield (f"{folder}/{info.base_name}" if folder else info.base_name), is_dir, 0 if is_dir else info.size, info.mtime_ns or 0, None
+    except OSError as error:
+        yield folder, True, -1, 0, str(error)
+
+
+def spread(roots: DataFrame, skip: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """All entries below some folders (``tag string``, ``root string``): ``tag``, ``root``, ``rel``, ``is_dir``, ``size``,
+    ``mtime_ns``, ``error``; folders of ``skip`` (``root``, ``rel``) are left out with all below them.
+
+    Executors list level by level: the folders of a level are dealt among them, the entries that they find are a
+    written table, whose folders are the next level. The driver sees no entry; a folder's entries stream through one
+    task, a tree's through as many as its levels have folders."""
+    spark = roots.sparkSession
+    ship_code(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string(), pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string()]
+        names = ["tag", "root", "rel", "is_dir", "size", "mtime_ns", "error"]
+        pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+        held: list[tuple] = []
+        for batch in batches:
+            for tag, root, folder in zip(*(c.to_pylist() for c in batch.columns)):
+                files, path = opened(root)
+                for row in entries(files, path, folder):
+                    held.append((tag, root, *row))
+                    if len(held) == ENTRIES:
+                        yield pack(held)
+                        held = []
+        if held:
+            yield pack(held)
+
+    with scratch() as kept:
+        level, out = roots.select("tag", "root", F.lit("").alias("rel")), None
+        while True:
+            found = (level.repartition(tasks, "root", "rel") if tasks else level.repartition("root", "rel")).mapInArrow(run, f"tag string, root string, {SCHEMA}")
+            found = materialise(found if skip is None else found.join(skip, ["root", "rel"], "left_anti").select(found.columns), "listing")
+            kept.append(found)
+            out = found if out is None else out.union(found)
+            level = found.filter("is_dir and error is null").select("tag", "root", "rel")
+            if level.isEmpty():
+                return out
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """All entries below ``root``: ``rel``, ``is_dir``, ``size``, ``mtime_ns``, ``error``. An entry that can't be read
-    has size -1 and the reason, and the scan goes on. Mounted folders are listed by the executors; a folder of another
-    file system by the driver, from the file system's own recursive listing (files only)."""
-    scheme = root.split(":", 1)[0] if ":/" in root else "file"
-    if scheme == "file":
-        ship_code(spark)
-        spark.dataSource.register(TreeSource)
-        return spark.read.format("tidewell_tree").load(root)
+    has size -1 and the reason, and the scan goes on. The folder may be mounted everywhere or in a store that Arrow
+    knows (s3, gs, hdfs); other file systems are listed by the driver from their own recursive listing (files only)."""
+    try:
+        opened(root)
+    except pa.ArrowInvalid:
+        return _by_driver(spark, root)
+    return spread(spark.createDataFrame([("", root)], "tag string, root string")).drop("tag", "root")
+
+
+def _by_driver(spark: SparkSession, root: str) -> DataFrame:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(where, True)
     rows, base = [], where.toUri().getPath().rstrip("/") + "/"
