@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell import functions as fn
+from tidewell.operators import figures, graph, incremental
 from tidewell.operators import inventory as inv
 from tidewell.plans.registry import query
 from tidewell.sources import layout
@@ -188,3 +189,28 @@ def rank_compression(spark, sf_dir):
 
     w = Window.partitionBy("conv_id").orderBy("turn")
     return read_table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").cast("long").alias("t"), (F.dense_rank().over(w) - 1).cast("long").alias("idx"))
+
+
+@query("SELECT doc_id AS node, -(n_chars + 1) AS label FROM documents WHERE source = 'src0' OR lang <> 'es'")
+def components_update(spark, sf_dir):
+    """Groups of documents of one length after a source was added and a language's links were taken out."""
+    d = read_table(spark, sf_dir, "documents").select((-F.col("n_chars") - 1).cast("long").alias("u"), F.col("doc_id").alias("v"), "source", "lang")
+    before = d.filter("source <> 'src0'")
+    labels, _ = incremental.updated_components(graph.components(before), before, d.filter("source = 'src0'"), before.filter("lang = 'es'"))
+    return labels.filter("node >= 0").select("node", "label")
+
+
+@query("SELECT lang, source, CAST(sum(n_chars) AS BIGINT) AS bytes, count(*) AS nfiles, max(doc_id) AS newest FROM documents WHERE source = 'src0' OR lang <> 'es' GROUP BY ALL")
+def rollup_update(spark, sf_dir):
+    """Unit sums after the same change."""
+    d = read_table(spark, sf_dir, "documents").select("lang", "source", F.col("n_chars").cast("long").alias("n_chars"), "doc_id")
+    before, added = d.filter("source <> 'src0'"), d.filter("source = 'src0'")
+    former = inv.unit_rollup(before, ["lang", "source"], "n_chars", "doc_id")
+    return incremental.updated_rollup(former, before.filter("lang <> 'es'").union(added), ["lang", "source"], "n_chars", "doc_id", added, before.filter("lang = 'es'"))
+
+
+@query("SELECT CASE grouping(o_orderstatus) * 2 + grouping(o_orderpriority) WHEN 0 THEN 'cells' WHEN 1 THEN 'status' WHEN 2 THEN 'priority' ELSE 'all' END AS summary, o_orderstatus, o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY GROUPING SETS ((), (o_orderstatus), (o_orderpriority), (o_orderstatus, o_orderpriority))")
+def summary_figures(spark, sf_dir):
+    """SNK23, A5, A25, A27: a document's summaries out of one scan of the table."""
+    sets = {"all": [], "status": ["o_orderstatus"], "priority": ["o_orderpriority"], "cells": ["o_orderstatus", "o_orderpriority"]}
+    return figures.summaries(read_table(spark, sf_dir, "orders"), sets, n=F.count(F.lit(1)), total=F.round(F.sum("o_totalprice"), 2))
