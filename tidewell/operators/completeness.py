@@ -71,3 +71,15 @@ def readable_prefix(parts: DataFrame, series_key: str, seq: str, bad: Column, pa
     lead = scan(parts, [series_key], [seq], _b=("max", F.coalesce(bad, F.lit(False)).cast("int")))
     good = F.coalesce(F.sum(F.when(F.col("_b") == 0, F.col(pages))), F.lit(0))
     return lead.groupBy(series_key).agg(F.count(F.when(F.col("_b") == 0, 1)).alias("n_good"), good.alias("pages"), F.floor(good / pages_per_t).cast("long").alias("n_t"))
+
+
+def readable_master(parts: DataFrame, series_key: str, seq: str, name: str, bad: Column, pages: str, pages_per_t: int) -> DataFrame:
+    """What can be read of a series: ``path`` (its first part), ``actual_timepoints`` (null where nothing is excluded: the
+    declared ones are true), ``excluded`` (the names from the first bad part on, in order). A series whose first part is
+    bad has no path. Parts may span tasks; the names of a series' excluded parts are one row."""
+    lead = scan(parts, [series_key], [seq], _b=("max", F.coalesce(bad, F.lit(False)).cast("int")))
+    good = F.col("_b") == 0
+    out = F.array_sort(F.collect_list(F.when(~good, F.struct(F.col(seq).alias("s"), F.col(name).alias("n")))))
+    agg = lead.groupBy(series_key).agg(F.min_by(F.when(good, F.col(name)), seq).alias("path"), F.coalesce(F.sum(F.when(good, F.col(pages))), F.lit(0)).alias("p"), out.alias("x"))
+    n_t = F.when(F.size("x") > 0, F.floor(F.col("p") / pages_per_t).cast("long"))
+    return agg.select(series_key, "path", n_t.alias("actual_timepoints"), F.transform("x", lambda x: x["n"]).alias("excluded"))

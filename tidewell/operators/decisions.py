@@ -216,10 +216,26 @@ def cohort_results(cells: DataFrame, gates: DataFrame, shapes: DataFrame, errors
     return met.select(cell, "control", "interpolation", what.alias("outcome"))
 
 
+def variant_path(stage: Column, variant: Column, name: Column, deconvolved: Column, padding: Column) -> Column:
+    """Where a variant's volume of that file name lies: beside the staged data without deconvolution, else in a folder of
+    the variant's, and with a padding (not null, not 0) in one of padding and variant beside the staging folder."""
+    own = F.concat(F.lit("Decon_"), variant, F.lit("/DSR/"), name)
+    parent = F.regexp_replace(stage, r"/[^/]*$", "")
+    padded = F.concat(parent, F.lit("/pad"), padding.cast("string"), F.lit("_"), variant, F.lit("/"), own)
+    return F.when(~F.coalesce(deconvolved, F.lit(False)), F.concat(stage, F.lit("/DSR/"), name)).when(F.coalesce(padding, F.lit(0)) != 0, padded).otherwise(F.concat(stage, F.lit("/"), own))
+
+
+#: Rows of one summary of a document.
+MAX_SUMMARY = 100_000
+
+
 def document(named: dict[str, DataFrame]) -> DataFrame:
-    """The rows of several small summaries as one JSON array each: ``name``, ``json``; rows in order of their columns."""
+    """The rows of several small summaries as one JSON array each: ``name``, ``json``; rows in order of their columns. A
+    summary of more than ``MAX_SUMMARY`` rows is an error: it is a table and should be written as one."""
     out = None
     for name, df in named.items():
+        if df.limit(MAX_SUMMARY + 1).count() > MAX_SUMMARY:
+            raise ValueError(f"{name} has more than {MAX_SUMMARY} rows: write it as a table")
         row = df.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*df.columns)))).alias("json")).select(F.lit(name).alias("name"), F.coalesce("json", F.lit("[]")).alias("json"))
         out = row if out is None else out.union(row)
     return out

@@ -362,3 +362,11 @@ def device_metrics(spark, sf_dir):
     """SRC29: figures of each device out of a command's output."""
     out = text(F.col("p_size"), ", ", F.col("p_partkey"), "\n\n", F.col("p_partkey") % 100, ", [N/A]\n")
     return files.device_metrics(read_table(spark, sf_dir, "part").select("p_partkey", out.alias("value")), ["p_partkey"])
+
+
+@query("SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN '/' || p_brand || '/stage/DSR/' || p_name WHEN p_size > 20 THEN '/' || p_brand || '/pad' || p_size || '_' || p_type || '/Decon_' || p_type || '/DSR/' || p_name ELSE '/' || p_brand || '/stage/Decon_' || p_type || '/DSR/' || p_name END AS path FROM part")
+def variant_paths(spark, sf_dir):
+    """Where each variant's volume lies, in three layouts, out of the columns of the table."""
+    stage = F.concat(F.lit("/"), "p_brand", F.lit("/stage"))
+    path = decisions.variant_path(stage, F.col("p_type"), F.col("p_name"), F.col("p_type") != "ECONOMY", F.when(F.col("p_size") > 20, F.col("p_size")))
+    return read_table(spark, sf_dir, "part").select("p_partkey", path.alias("path"))

@@ -181,3 +181,12 @@ def open_script(spark, sf_dir):
     e = read_table(spark, sf_dir, "events").select("user_id", (F.col("event_id") % 4).alias("c")).distinct()
     lines = F.transform(F.sort_array(F.collect_list("c")), lambda c: F.concat(F.lit("open #"), F.lpad(c.cast("string"), 3, "0")))
     return e.groupBy("user_id").agg(F.array_join(lines, "\n").alias("script"))
+
+
+@query("WITH l AS (SELECT l_orderkey AS k, l_linenumber AS s, sum(l_quantity) AS p, max(l_returnflag) = 'R' AS bad FROM lineitem GROUP BY ALL), b AS (SELECT *, bool_or(bad) OVER (PARTITION BY k ORDER BY s ROWS UNBOUNDED PRECEDING) AS out FROM l) SELECT k AS l_orderkey, min_by(s || '.tif', s) FILTER (WHERE NOT out AND s = (SELECT min(s) FROM l x WHERE x.k = b.k)) AS path, CASE WHEN bool_or(out) THEN CAST(floor(coalesce(sum(p) FILTER (WHERE NOT out), 0) / 10) AS BIGINT) END AS actual_timepoints, coalesce(string_agg(s || '.tif', ',' ORDER BY s) FILTER (WHERE out), '') AS excluded FROM b GROUP BY k")
+def readable_masters(spark, sf_dir):
+    """The record of what can be read of each series."""
+    li = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").cast("long").alias("pages"), F.max("l_returnflag").alias("flag"))
+    parts = li.withColumn("name", F.concat(F.col("l_linenumber").cast("string"), F.lit(".tif")))
+    found = completeness.readable_master(parts, "l_orderkey", "l_linenumber", "name", F.col("flag") == "R", "pages", 10)
+    return found.withColumn("excluded", F.array_join("excluded", ","))

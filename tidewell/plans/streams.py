@@ -61,3 +61,13 @@ def ticket_fates(spark, sf_dir):
     found = tickets.fates(side(stream, "signup"), side(stream, "purchase"), "6 HOURS", "3 hours")
     out = sessions.run_available(spark, found, f"tickets-{uuid.uuid4().hex}", "append")
     return tickets.with_in_flight(out, side(read_table(spark, sf_dir, "events"), "signup")).withColumnRenamed("key", "user_id")
+
+
+@query("SELECT f.user_id, f.event_id AS stage, c.event_id AS store FROM events f JOIN events c ON f.user_id = c.user_id AND f.event_type = 'purchase' AND c.event_type = 'error' AND c.ts > f.ts AND c.ts <= f.ts + INTERVAL 5 HOUR")
+def reopened_stages(spark, sf_dir):
+    """ST14, ST16: stages to do again since their store was completed later, out of a join of two streams."""
+    side = lambda rows, kind: rows.filter(F.col("event_type") == kind).select(F.col("user_id").alias("key"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("at"))
+    stream = event_stream(spark, sf_dir)
+    found = tickets.reopened(side(stream, "purchase"), side(stream, "error"), "5 HOURS", "1 hour")
+    out = sessions.run_available(spark, found, f"reopened-{uuid.uuid4().hex}", "append")
+    return out.select(F.col("key").alias("user_id"), F.col("id").alias("stage"), F.col("completed").alias("store"))

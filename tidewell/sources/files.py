@@ -151,3 +151,22 @@ def points(spark: SparkSession, path: str, columns: int = 3) -> DataFrame:
 def save_points(rows: DataFrame, path: str) -> None:
     """The points' coordinates in order, as one CSV without a header."""
     rows.orderBy("point_id").select(*(c for c in ("z", "channel", "y", "x") if c in rows.columns)).coalesce(1).write.mode("overwrite").csv(path)
+
+
+def auto_triage(spark: SparkSession, path: str, fmt: str = "parquet", key: str = "dataset_key", order: str | None = None) -> DataFrame:
+    """Verdicts of automatic triage, whatever columns they have: files of any age are merged by column name, a missing
+    column is null. One row for each key: the last by ``order``, or any where that isn't given. Nothing at ``path``, or
+    files that aren't there, give an empty table with the key alone; rows of null key are left out."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], f"{key} string")
+    rows = spark.read.option("mergeSchema", "true").format(fmt).load(path).filter(F.col(key).isNotNull())
+    rest = F.struct(*(c for c in rows.columns if c != key))
+    last = F.max_by(rest, F.col(order)) if order else F.first(rest)
+    return rows.groupBy(key).agg(last.alias("_r")).select(key, "_r.*") if len(rows.columns) > 1 else rows.distinct()
+
+
+def session_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Session documents as they arrive in a folder, each file one JSON text, as a stream; documents that are broken, no
+    objects or without an id are left out. A document that is written again must be a new file."""
+    return sessions(spark.readStream.schema("value string").text(folder, wholetext=True))

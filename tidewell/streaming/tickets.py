@@ -28,3 +28,14 @@ def with_in_flight(emitted: DataFrame, submitted: DataFrame) -> DataFrame:
     """What the stream has emitted, and the submissions (a table) that it hasn't spoken of, as ``in flight``."""
     open_ = submitted.filter(F.col("key").isNotNull() & F.col("at").isNotNull()).join(emitted.select(F.col("submitted").alias("id")).dropna().distinct(), "id", "left_anti")
     return emitted.select("key", "submitted", "completed", "outcome").union(open_.select("key", F.col("id"), F.lit(None).cast("long"), F.lit("in flight")))
+
+
+def reopened(finished: DataFrame, completed: DataFrame, within: str, late: str) -> DataFrame:
+    """Stages to do again: of two streams (``key``, ``id``, ``at``) each finished stage whose store was completed after it,
+    ``within`` that time at most, as ``key``, ``id`` and ``completed`` (the store's). Emitted as soon as both are there, in
+    any order; the state holds nothing older than ``within`` and ``late`` together."""
+    full = lambda df: df.filter(F.col("key").isNotNull() & F.col("at").isNotNull())
+    f = full(finished).withWatermark("at", late).select("key", "id", F.col("at").alias("finished_at"))
+    c = full(completed).withWatermark("at", late).select(F.col("key").alias("key_c"), F.col("id").alias("completed"), F.col("at").alias("completed_at"))
+    on = (F.col("key") == F.col("key_c")) & (F.col("completed_at") > F.col("finished_at")) & (F.col("completed_at") <= F.col("finished_at") + F.expr(f"INTERVAL {within}"))
+    return f.join(c, on).select("key", "id", "completed")
