@@ -38,7 +38,7 @@ from tidewell.llm.common import bound_batches, map_batches
 from tidewell.session import materialise, scratch
 
 #: Word mark; characters of a long pre-token; nodes of a trie; words a task counts; words that are known to all; smoothing.
-MARK, LONG, NODES, HELD, COMMON, SMOOTH = "▁", 4096, 400_000, 400_000, 1 << 16, 0.5
+MARK, LONG, NODES, HELD, COMMON, SMOOTH = "▁", 4096, 400_000, 400_000, 1 << 18, 0.5
 
 _KEPT: dict[str, "Trie"] = {}
 
