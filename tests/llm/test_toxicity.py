@@ -111,3 +111,44 @@ def test_held_out_documents(spark):
     pos, neg = ([r.score for r in rows if r.toxic == k] for k in (1, 0))
     auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
     assert auc > 0.85 and got.count() == 1000
+
+
+def plain_fit(positive, unlabelled, prior, steps=400, rate=0.05, decay=5e-5):
+    """The fit on dense rows, each step by the risk's own definition: lift, non-negative gradient, Adam, calibration."""
+    count = lambda rows: {f: sum(f in r for r in rows) for f in {f for r in rows for f in r.tolist()}}
+    in_p, in_u = count(positive), count(unlabelled)
+    used = []
+    for f, n in in_p.items():
+        share = (in_u.get(f, 0) + 0.5) / (len(unlabelled) + 1)
+        lift = (n - len(positive) * share) / (len(positive) * share * (1 - share)) ** 0.5
+        if n >= min(toxicity.MIN_POSITIVE, max(1, len(positive) // 2)) and lift >= min(toxicity.MIN_LIFT, len(positive) ** 0.5 / 2):
+            used.append(f)
+    used.sort()
+    dense = lambda rows: np.array([[f in set(r.tolist()) for f in used] + [1] for r in rows], float)
+    p, u = dense(positive), dense(unlabelled)
+    w = np.append(np.zeros(len(used)), np.log(prior / (1 - prior)))
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+    for t in range(1, steps + 1):
+        zp, zu = p @ w, u @ w
+        to_positive = lambda z, x: ((sigmoid(z) - 1)[:, None] * x).mean(axis=0)
+        to_negative = lambda z, x: (sigmoid(z)[:, None] * x).mean(axis=0)
+        rest = np.log1p(np.exp(zu)).mean() - prior * np.log1p(np.exp(zp)).mean()
+        slope = to_negative(zu, u) - prior * to_negative(zp, p)
+        grad = prior * to_positive(zp, p) + slope if rest >= 0 else -slope
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        w = np.append((w[:-1] - step[:-1]) * (1 - rate * decay * 100), w[-1] - step[-1])
+    margins = u[:, :-1] @ w[:-1]
+    return dict(zip(used, w[:-1])), -max(np.quantile(margins, 1 - prior), 1e-3)
+
+
+@pytest.mark.parametrize("prior", [0.15, 0.5])
+def test_whole_fit_equals_a_plain_one(prior):
+    rng = np.random.default_rng(int(prior * 100))
+    row = lambda toxic: np.unique(np.concatenate((rng.integers(50, 120, 10), rng.choice(8, 3) if toxic else rng.choice(40, 2))).astype(np.int64))
+    positive, unlabelled = [row(True) for _ in range(80)], [row(k % 5 == 0) for k in range(240)]
+    weights, bias = toxicity.fit_nnpu(positive, unlabelled, prior)
+    want, cut = plain_fit(positive, unlabelled, prior)
+    assert set(np.flatnonzero(weights)) <= set(want) and len(want) > 2
+    assert np.allclose([weights[f] for f in want], list(want.values()), rtol=1e-4, atol=1e-5) and abs(bias - cut) < 1e-4
