@@ -106,3 +106,10 @@ def test_frame(spark, monkeypatch, common):
     want = [(i, len((x or "").split()), sum(brute(w, scores, lowest)[0] for w in (x or "").split())) for i, x in rows]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert t.count_tokens(df.limit(0), MODEL).count() == 0
+
+
+def test_common_words_are_chosen_by_count(spark):
+    df = spark.createDataFrame([(str(i), n) for i, n in enumerate([9, 7, 7, 3, 3, 3, 1, 1])], "word string, n long")
+    assert [t.least_count(df, k) for k in (0, 1, 2, 3, 5, 6, 8, 99)] == [1 << 62, 9, 9, 7, 7, 3, 1, 1]
+    assert t.least_count(df.limit(0), 5) == 1 << 62
+

@@ -206,6 +206,19 @@ def learn(words: DataFrame, pieces: list[str]) -> dict[str, float]:
     return {p: math.log(found.get(p, 0) + SMOOTH) - total for p in pieces}
 
 
+def least_count(words: DataFrame, most: int) -> int:
+    """The least count that a word of the ``most`` commonest has, words of one count being all in or all out; only
+    counts are ordered, of which no more are read than words are wanted."""
+    least, held = None, 0
+    by_count = words.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).limit(most)
+    for r in by_count.toLocalIterator():
+        held += r["k"]
+        if held > most:
+            break
+        least = r["n"]
+    return (1 << 62) if least is None else least
+
+
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", scores: dict[str, float] | None = None) -> DataFrame:
     """``id_col``, ``n_pretokens``, ``n_tokens``; ``scores`` are learned from ``docs`` where they aren't given."""
     context, known = docs.sparkSession.sparkContext, {}
@@ -213,7 +226,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
         with scratch():
             words = materialise(word_counts(docs, text_col), "tokencounts-words")
             scores = learn(words, read_pieces(model_path))
-            common = words.orderBy(F.desc("n"), "word").limit(COMMON).repartitionByRange("word").sortWithinPartitions("word")
+            common = words.filter(F.col("n") >= least_count(words, COMMON)).repartitionByRange("word").sortWithinPartitions("word")
             shared = context.broadcast(scores)
 
             def make_common():
