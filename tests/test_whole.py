@@ -1,5 +1,9 @@
 """Queries over whole tables: rows that a filter on ids or sizes would hide."""
 
+import re
+
+import pytest
+
 from tidewell.plans import registry
 
 
@@ -49,3 +53,26 @@ def test_settings_of_keys_whose_digits_name_a_label(spark, tmp_path):
     got = run(spark, tmp_path, "sample_settings", "customer", [(k,) for k in keys], "c_custkey long")
     assert {r.c_custkey for r in got.filter("source = 'folder name'").collect()} >= {1647, 2568, 5682}
     same(got, registry.ORACLES["sample_settings"], str(tmp_path))
+
+
+@pytest.mark.parametrize("name", ["size_candidate_pairs"])
+def test_pairs_are_not_shuffled(spark, sf, name):
+    """Nothing that is met in the last join goes through an exchange, an aggregation or a further join."""
+    text = registry.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    above = text[: text.index("Join")]
+    assert not re.search("Exchange|Aggregate|Sort", above)
+
+
+def test_pairs_of_a_size_in_blocks(spark, monkeypatch):
+    from tidewell.operators import dedup
+
+    monkeypatch.setattr(dedup, "BLOCK", 7)
+    rows = [(k, 50 + k % 3) for k in range(40)] + [(k, 60) for k in range(0, 40, 2)] + [(k, 100 + k) for k in range(0, 40, 5)] + [(k, 45) for k in range(40)]
+    sets, total = {}, {}
+    for k, s in rows:
+        sets.setdefault(k, set()).add(s)
+        total[k] = total.get(k, 0) + s
+    got = dedup.candidate_pairs(spark.createDataFrame(rows, "k long, s long"), "k", "s", 46, 0.5)
+    have = {k: {s for s in v if s >= 46} for k, v in sets.items()}
+    want = sorted((a, b, sum(have[a] & have[b])) for a in have for b in have if a < b and sum(have[a] & have[b]) >= 0.5 * min(total[a], total[b]))
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 100
