@@ -117,3 +117,46 @@ def test_batches_of_any_size(spark, sf, rows):
         same(registry.QUERIES["live_session_state"](spark, sf), registry.ORACLES["live_session_state"], sf)
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_key_of_many_open_sessions_has_one_timer():
+    class State(list):
+        def get(self):
+            return iter(self)
+
+        def put(self, spans):
+            self[:] = spans
+
+        def exists(self):
+            return bool(self)
+
+    class Handle:
+        def __init__(self):
+            self.timers = []
+
+        def getListState(self, *_):
+            return State()
+
+        def listTimers(self):
+            return iter(list(self.timers))
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    class Now:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+    keeper, handle = sessions.IdleSession(10), Handle()
+    keeper.init(handle)
+    list(keeper.handleInputRows((1,), iter([pd.DataFrame({"ms": [100 * k for k in range(50)]})]), Now(0)))
+    assert handle.timers == [11]
+    out = list(keeper.handleExpiredTimer((1,), Now(2000), None))
+    assert len(out) == 1 and out[0]["started"].tolist() == [100 * k for k in range(20)] and set(out[0]["n"]) == {1} and handle.timers == [2011]
+    assert len(list(keeper.handleExpiredTimer((1,), Now(9999), None))[0]) == 30 and not handle.timers
