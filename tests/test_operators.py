@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewell import functions as fn
 from tidewell.operators import arrays, completeness, dedup, graph, inventory, lifecycle, rules
+from tidewell.session import materialise
 from tidewell.sources import files, listing, sinks
 
 NOW = datetime(2026, 11, 1)
@@ -59,6 +60,16 @@ def test_components_long_chain_and_empty(spark):
     assert graph.components(edges.limit(0)).count() == 0
 
 
+def test_salted_join_does_not_broadcast_what_it_repeats(spark, capsys):
+    rows = spark.createDataFrame([(k % 3, k) for k in range(90)] + [(7, 90)], "label int, node int")
+    few = materialise(spark.createDataFrame([(0, 10), (1, 11), (2, 12), (5, 15)], "label int, up int"), "test-few")  # Spark knows its size: small
+    for how, more in (("inner", []), ("left", [(7, 90, None)])):
+        got = graph.salted_join(rows, few, "label", "node", how)
+        got.explain()
+        assert "Broadcast" not in capsys.readouterr().out
+        assert sorted(map(tuple, got.collect())) == sorted([(k % 3, k, 10 + k % 3) for k in range(90)] + more)
+
+
 def test_series(spark):
     rows = [("ok", 0, 0, 5), ("ok", 0, 1, 5), ("gap", 0, 0, 5), ("gap", 0, 2, 5), ("zero", 0, 0, 0), ("uneven", 0, 0, 1), ("uneven", 1, 0, 1), ("uneven", 1, 1, 1), ("short", 0, 0, 1), ("dup", 0, 0, 0), ("dup", 0, 0, 4)]
     df = spark.createDataFrame(rows, "k string, c int, t int, s int")

@@ -13,10 +13,11 @@ COMPOSE, SALTS = 4, 16
 
 def salted_join(rows: DataFrame, few: DataFrame, key: str, spread_by: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """``rows`` joined to ``few`` on ``key``, where one key may hold most rows: each key's rows are dealt into
-    ``salts`` parts by a hash of ``spread_by``, and the other side is repeated as often."""
+    ``salts`` parts by a hash of ``spread_by``, and the other side is repeated as often. Spark guesses the size of what is
+    repeated as if it weren't, so it is kept from being broadcast: each task would hold ``salts`` times what was meant."""
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     repeated = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+    return dealt.join(repeated.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def _composed(labels: DataFrame | None, parents: list[DataFrame]) -> DataFrame:
