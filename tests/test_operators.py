@@ -170,3 +170,23 @@ def test_differing_groups_by_counted_items(spark):
     rows = [("g", 1, "x"), ("g", 1, "y"), ("g", 2, "y"), ("g", 2, "x"), ("h", 1, "x"), ("h", 2, "x"), ("h", 2, "x"), ("i", 1, "x"), (None, 1, "x"), (None, 2, "z")]
     df = spark.createDataFrame(rows, "g string, m int, i string")
     assert sorted((r.g or "") for r in dedup.differing_groups(df, ["g"], "m", ["i"]).collect()) == ["", "h"]
+
+
+def test_differing_groups_in_parts_that_do_not_grow(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(int(g) if g else None, int(m) if m else None, "ab"[i] if i < 2 else None) for g, m, i in zip(rng.integers(0, 120, 600), rng.integers(0, 3, 600), rng.integers(0, 3, 600))]
+    rows += [(200 + g, m, i) for g in range(300) for m in (1, None) for i in ("a", "a", None)]  # these agree
+    rows += [(1000, m, i) for m in range(400) for i in "ab"] + [(1001, m, "a") for m in range(800)] + [(1001, 7, "a")]  # large ones: one agrees, one doesn't
+    bags = {}
+    for g, m, i in rows:
+        bags.setdefault(g, {}).setdefault(m, []).append(str(i))
+    want = {g for g, of in bags.items() if len({tuple(sorted(x)) for x in of.values()}) > 1}
+    for name, value in (("GROUP_ROWS", 500), ("UNSORTED", 3)):
+        monkeypatch.setattr(dedup, name, value, raising=False)
+    df = spark.createDataFrame(rows, "g long, m int, i string")
+    for part in (df, df.filter("g < 1000 or g is null")):
+        got = [r.g for r in dedup.differing_groups(part, ["g"], "m", ["i"]).collect()]
+        assert len(got) == len(set(got)) and set(got) == want - ({1000, 1001} if part is not df else set())
+    assert 1001 in want and 1000 not in want and None in want
+    few, many = (dedup.differing_groups(spark.range(n).selectExpr("id div 4 g", "id % 2 m", "id % 3 i"), ["g"], "m", ["i"]).rdd.getNumPartitions() for n in (4000, 40000))
+    assert (few, many) == (8, 80)  # as many parts as the rows need
