@@ -81,3 +81,27 @@ def test_pairs_of_a_size_in_blocks(spark, monkeypatch):
     have = {k: {s for s in v if s >= 46} for k, v in sets.items()}
     want = sorted((a, b, sum(have[a] & have[b])) for a in have for b in have if a < b and sum(have[a] & have[b]) >= 0.5 * min(total[a], total[b]))
     assert sorted(map(tuple, got.collect())) == want and len(want) > 100
+
+
+def test_pairs_that_cannot_hold_are_told_by_bits(spark, monkeypatch):
+    """Most met pairs whose sizes don't sum up are known by their masks; none that holds is lost, of few sizes or many."""
+    import random
+
+    from pyspark.sql import functions as F
+    from tidewell.operators import dedup
+
+    pick, sets = random.Random(4), {}
+    for k in range(160):
+        sets[k] = set(pick.sample(range(46, 130), pick.choice([1, 2, 3, 5, 6, 9, 25, 70])))
+        if k % 8 == 7:
+            sets[k] = set(pick.sample(sorted(sets[k - 1]), 1 + len(sets[k - 1]) * 2 // 3)) | {200 + k}
+    met, meet = {}, dedup.meet
+    monkeypatch.setattr(dedup, "meet", lambda x, y, on, condition: met.update(x=x, y=y) or meet(x, y, on, condition))
+    got = dedup.candidate_pairs(spark.createDataFrame([(k, s) for k, v in sets.items() for s in v], "k long, s long"), "k", "s", 46, 0.5)
+    want = sorted((a, b, sum(sets[a] & sets[b])) for a in sets for b in sets if a < b and sum(sets[a] & sets[b]) >= 0.5 * min(sum(sets[a]), sum(sets[b])))
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 100
+    rows = meet(met["x"], met["y"], "i", F.col("x.k") != F.col("y.k")).select((dedup._common_bits() >= F.col("x.need")).alias("may"), F.col("x.t").alias("t"), F.array_intersect("x.rest", "y.rest").alias("common")).collect()
+    holds = [(r.may, sum(r.common) >= 0.5 * r.t) for r in rows]
+    assert all(may for may, hold in holds if hold)
+    told = [not may for may, hold in holds if not hold]
+    assert sum(told) > 0.8 * len(told) > 1000
