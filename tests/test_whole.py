@@ -105,3 +105,34 @@ def test_pairs_that_cannot_hold_are_told_by_bits(spark, monkeypatch):
     assert all(may for may, hold in holds if hold)
     told = [not may for may, hold in holds if not hold]
     assert sum(told) > 0.8 * len(told) > 1000
+
+
+def test_containment_of_classes_in_parts_and_blocks(spark, monkeypatch):
+    """Copies, classes that share a file, null digests and keys, files in several copies; tables are read once, before pairs are met."""
+    import random
+    from collections import Counter
+
+    from tidewell.operators import dedup
+
+    monkeypatch.setattr(dedup, "CLASS", 3)
+    monkeypatch.setattr(dedup, "MEMBERS", 5)
+    pick, bags = random.Random(5), {}
+    for k in range(60):
+        bags[k] = ["hot"] * (k % 7 != 0) + [f"f{pick.randrange(9)}" for _ in range(k % 4)] + [f"own{k}"] * (k % 5 == 0) + ["mute"] * (k % 3)
+        if k % 6 == 5:
+            bags[k] = [*bags[k - 2]]
+        if k % 17 == 16:
+            bags[k].append(None)
+    bags[100] = bags[101] = bags[102] = bags[103] = [f"copy{i}" for i in range(12)] + ["copy0"]
+    rows = [(k, s) for k, v in bags.items() for s in v] + [(None, "hot"), (None, "hot")]
+    files = spark.createDataFrame(rows, "k long, s string")
+    got = dedup.sharing_containment(files, "k", ["s"], files.s != "mute")
+    want, whole = [], {k: Counter(s for s in v if s is not None) for k, v in bags.items()}
+    for a in bags:
+        for b in bags:
+            if a < b and (set(whole[a]) & set(whole[b])) - {"mute"}:
+                both, known = sum((whole[a] & whole[b]).values()), None not in bags[a] and None not in bags[b]
+                want.append((a, b, known and both == len(bags[a]), known and both == len(bags[b]), len(bags[b]) - both))
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 1000
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in text and "ExistingRDD" not in text
